@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrative_spark.llm import packing, separators
+from narrative_spark.llm import decontaminate, oracles, packing, separators
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -18,6 +18,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.scan(blocks, SEPARATOR).select("doc_id", "file", "ordinal", "start", "n_tokens", "terminated")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *[c.alias(n) for n, c in decontaminate.verdict().items()])
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -25,6 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op4_decontamination": op4_decontamination,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracles.ORACLE_SQL
