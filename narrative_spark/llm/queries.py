@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrative_spark.llm import decontaminate, oracles, packing, separators
+from narrative_spark.llm import decontaminate, oracles, packing, rules, separators
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -25,6 +25,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(n) for n, c in decontaminate.verdict().items()])
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged by the fitted rules."""
+    return rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "quality_rules.*").drop("good")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -33,6 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op6_quality_rules": op6_quality_rules,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL = oracles.ORACLE_SQL
