@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from narrative_spark.llm import decontaminate, oracles, packing, rules, separators
+from narrative_spark.llm import decontaminate, oracles, packing, pii, rules, separators, spans
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -30,6 +31,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "quality_rules.*").drop("good")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *[c.alias(n) for n, c in pii.counts().items()], F.sha2(spans.listed(F.col("pii.base")), 256).alias("base_sha256"), spans.listed(F.col("pii.all")).alias("spans"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -39,6 +46,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op4_decontamination": op4_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL = oracles.ORACLE_SQL
