@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import decontaminate, oracles, packing, pii, rules, separators, spans
+from narrative_spark.llm import decontaminate, oracles, packing, pii, rules, secrets, separators, spans
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -19,6 +19,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.scan(blocks, SEPARATOR).select("doc_id", "file", "ordinal", "start", "n_tokens", "terminated")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; a document counts as a repository, its source as the owner."""
+    found = secrets.find(table(spark, sf_dir, "documents"), owner_col="source", repo_col="doc_id", keep=["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    many = lambda c: F.size(c).cast("long")
+    counts = [many(F.filter(base, _is(kind))).alias(f"n_{kind}") for kind in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(spans.listed(base), 256).alias("base_sha256"), spans.listed(F.col("secrets")).alias("spans"), many(F.filter("secrets", lambda s: s["live"])).alias("n_live"))
+
+
+def _is(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_secret_scan": op2_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op9_pii": op9_pii,
