@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import decontaminate, oracles, packing, pii, rules, secrets, separators, spans
+from narrative_spark.llm import decontaminate, near, oracles, packing, pii, rules, secrets, separators, spans
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -44,6 +44,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "quality_rules.*").drop("good")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return near.classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
