@@ -23,6 +23,17 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP8 = r"""
+WITH a AS (
+  SELECT page_id, sha256(html) AS hash, strlen(html) AS length, coalesce(sum(strlen(html)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM pages
+), b AS (
+  SELECT page_id, sha256(CASE WHEN page_id % 97 = 13 THEN '~' || substring(html, 2) ELSE html END) AS hash FROM pages WHERE page_id % 101 <> 50
+)
+SELECT a.page_id, CASE WHEN b.hash IS NULL THEN 'missing' ELSE 'corrupt' END AS status, CAST(a.place AS BIGINT) AS "offset", a.length AS length, a.hash AS hash_left, b.hash AS hash_right
+FROM a LEFT JOIN b USING (page_id) WHERE a.hash IS DISTINCT FROM b.hash
+"""
+
 ORACLE_SQL = {
     "op4_decontamination": OP4,
+    "op8_merkle_audit": OP8,
 }

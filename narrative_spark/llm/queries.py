@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import decontaminate, near, oracles, packing, pii, rules, secrets, separators, spans
+from narrative_spark.llm import decontaminate, html, merkle, near, oracles, packing, pii, quality, rules, secrets, separators, spans
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -32,6 +32,12 @@ def _is(kind: str):
     return lambda s: s["kind"] == kind
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"), F.col("main_path").alias("path"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +45,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(n) for n, c in decontaminate.verdict().items()])
 
 
+def op5_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored for quality."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document judged by the fitted rules."""
     return rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "quality_rules.*").drop("good")
@@ -49,6 +60,14 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+def op8_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as an archive against a replica in which some records rotted and some are gone."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    rotted = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("~"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    replica = pages.where(F.coalesce(F.col("page_id") % 101 != 50, F.lit(True))).withColumn("html", rotted)
+    return merkle.audit(pages, replica, "page_id", "html").withColumnRenamed("key", "page_id")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -63,9 +82,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op3_main_text": op3_main_text,
     "op4_decontamination": op4_decontamination,
+    "op5_quality_score": op5_quality_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_merkle_audit": op8_merkle_audit,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
