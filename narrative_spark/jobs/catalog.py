@@ -1,5 +1,47 @@
-"""Registered queries and their SQL twins."""
+"""Registered queries: each operator over the given tables. Their SQL is in sql.py."""
 
-QUERIES = {}
-ORACLE_SQL = {}
-FLAGSHIP = ""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from narrative_spark.jobs import fixtures as fx
+from narrative_spark.jobs.sql import ORACLE_SQL
+from narrative_spark.operators import normalize, segment, validate
+
+FLAGSHIP = "search"
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
+
+
+def _split_title(spark: SparkSession, d: str) -> DataFrame:
+    body, titles = normalize.split_title(fx.lines(spark, d), fx.works(spark, d, title_first=True))
+    return titles.join(body.groupBy("work_id").agg(F.count(F.lit(1)).alias("body_lines")), "work_id")
+
+
+def _more_headers(spark: SparkSession, d: str) -> DataFrame:
+    known = fx.headers(spark, d)
+    return known.unionByName(known.where("work_id < 'src3'").select("work_id").distinct().withColumn("header", F.lit("== none ==")))
+
+
+def _bent(spark: SparkSession, d: str) -> DataFrame:
+    start = F.when(F.col("ord") % 7 == 3, F.col("end_line") + 1).when(F.col("ord") % 11 == 5, F.lit(0).cast("long")).otherwise(F.col("start_line"))
+    return fx.units(spark, d).withColumn("start_line", start)
+
+
+QUERIES = {
+    "normalize_lines": lambda s, d: fx.lines(s, d).drop("part"),
+    "split_title": _split_title,
+    "normalize_stats": lambda s, d: normalize.normalize_stats(fx.lines(s, d)),
+    "label_chapters": lambda s, d: fx.labelled(s, d).select("work_id", "line_no", "chapter_idx", "chapter_name", "is_header"),
+    "segment_units": fx.units,
+    "chapter_stats": lambda s, d: segment.chapter_stats(fx.units(s, d)),
+    "segment_warnings": lambda s, d: segment.segment_warnings(fx.labelled(s, d), _more_headers(s, d)),
+    "check_orders": lambda s, d: validate.check_orders(fx.units(s, d)),
+    "check_lossless": lambda s, d: validate.check_lossless(fx.labelled(s, d), fx.units(s, d)),
+    "check_headers": lambda s, d: validate.check_headers(fx.units(s, d), fx.headers(s, d)),
+    "check_provenance": lambda s, d: validate.check_provenance(_bent(s, d)),
+    "units_per_chapter": lambda s, d: validate.units_per_chapter(fx.units(s, d)),
+    "spot_check": lambda s, d: validate.spot_check(fx.units(s, d)),
+    "validation_report": lambda s, d: validate.validation_report(fx.labelled(s, d), fx.units(s, d), fx.headers(s, d)),
+    "corpus_profile": lambda s, d: validate.corpus_profile(fx.lines(s, d), ["the", "de"]),
+}
