@@ -48,7 +48,9 @@ def levels(leaf: DataFrame, top: int) -> list[DataFrame]:
         parent = _node(level + 1, top)
         before = F.coalesce(F.sum("bytes").over(W.partitionBy("parent").orderBy("node").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         named = now.withColumn("parent", parent if level < top else F.lit(0).cast("long"))
-        made.append(named.withColumn("before", before).drop("key"))
+        # Written, as the level above and the comparison both read it.
+        named = materialize(named.withColumn("before", before), "nodes")
+        made.append(named.drop("key"))
         # A parent has FANOUT children at most, the root two more.
         now = named.groupBy("parent").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("node", "hash"))), lambda c: F.concat_ws(":", c["node"].cast("string"), c["hash"])), ","), 256).alias("hash"), F.sum("bytes").alias("bytes"), F.sum("records").alias("records"), F.min("key").alias("key")).withColumnRenamed("parent", "node")
     return made
@@ -77,6 +79,6 @@ def audit(left: DataFrame, right: DataFrame, key: str, payload: str) -> DataFram
         else:
             above = open_.select(F.col("node").alias("parent"), F.col("offset").alias("base"))
             found = found.join(above, "parent").withColumn("offset", F.col("base") + F.col("before"))
-        open_ = found.select("node", "offset", "length", "hash_left", "hash_right")
+        open_ = materialize(found.select("node", "offset", "length", "hash_left", "hash_right"), "branches")
     status = F.when(F.col("hash_right").isNull(), "missing").when(F.col("hash_left").isNull(), "extra").otherwise("corrupt")
     return open_.select(F.col("node").alias("key"), status.alias("status"), "offset", "length", "hash_left", "hash_right")
