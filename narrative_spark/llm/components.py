@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm.common import materialize
@@ -10,6 +10,29 @@ from narrative_spark.llm.common import materialize
 SALTS = 16
 
 
+def dealt(one_for_each: DataFrame) -> DataFrame:
+    """Each row for every share of a key that many rows of another table may have."""
+    return one_for_each.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def salt_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """node, root for rows of node, parent, where a parent is less than its node and a node has one at most; roots have no row.
+
+    Every round takes the parent's parent, so that rounds go with the logarithm of the depth.
+    """
+    now = parents.select("node", "parent")
+    while True:
+        above = dealt(now.select(F.col("node").alias("parent"), F.col("parent").alias("above")))
+        step = now.withColumn("salt", salt_of("node")).join(above, ["parent", "salt"], "left")
+        now = materialize(step.select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")), "roots")
+        if not now.where("moved").limit(1).count():
+            return now.select("node", F.col("parent").alias("root"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (the least node of its component) for every node of edges (a, b).
 
@@ -18,13 +41,15 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder.
     """
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label"))
+    labels = materialize(labels, "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
-        step = materialize(step, "step")
-        if not step.where("new < label").limit(1).count():
-            return labels
-        hook = step.groupBy("label").agg(F.min("new").alias("hook")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = step.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-        labels = materialize(dealt.join(hook, ["label", "salt"]).select("node", F.least("new", "hook").alias("label")), "labels")
+        hook = dealt(step.groupBy("label").agg(F.min("new").alias("hook")))
+        moved = step.withColumn("salt", salt_of("node")).join(hook, ["label", "salt"])
+        least = F.least("new", "hook")
+        labels = materialize(moved.select("node", least.alias("label"), (least < F.col("label")).alias("moved")), "labels")
+        if not labels.where("moved").limit(1).count():
+            return labels.drop("moved")
+        labels = labels.drop("moved")

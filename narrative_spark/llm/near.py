@@ -15,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
 from narrative_spark.llm.common import materialize
-from narrative_spark.llm.components import components
+from narrative_spark.llm.components import components, dealt, roots, salt_of
 
 WIDTH, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 3
@@ -31,7 +31,6 @@ NEIGHBOURS, LIKELY = 3, 0.55
 STRENGTH, BUCKETS = 0.1, 1 << 18
 #: Row numbers that are sent to all tasks at most; beyond it, rows are joined by a shuffle.
 SENT_ROWS = 1_000_000
-SALTS = 16
 _POOL = 1 << 14
 _DRAW = np.random.default_rng(11)
 _R = (_DRAW.gamma(2.0, 1.0, _POOL)).astype(np.float32)
@@ -229,34 +228,29 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     likely = materialize(_likely(_neighbours(nodes), nodes), "likely")
     ends = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
     features = materialize(_features(named, row, text_col, nodes.join(ends, "key").select(F.col("best.row").alias("row"))), "features")
-    # First each text with the neighbour that agrees best, then only pairs that this has not joined.
+    # First each text with the lesser neighbour that agrees best: a forest, whose trees are found by their roots.
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("agree", F.xxhash64("a", "b"))).alias("a"))
     links = materialize(_verified(best, features, rare), "links")
-    known = materialize(components(links), "known")
-    label = lambda x: known.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
-    apart = likely.join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
-    apart = apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-    links = materialize(links.unionByName(_verified(apart, features, rare)), "links")
-    found = components(links)
-    degree = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
-    labelled = nodes.select("key", "best").join(found.withColumnRenamed("node", "key"), "key", "left").join(degree.withColumnRenamed("node", "key"), "key", "left")
-    labelled = materialize(labelled.select("key", "best", F.coalesce("label", "key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
-    heads = _dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
-    per_key = labelled.withColumn("salt", _salt("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
-    own = signed.select("row", "id", "key", _salt("row").alias("salt"))
-    joined = own.join(_dealt(per_key), ["key", "salt"], "left")
+    trees = roots(links.select(F.col("b").alias("node"), F.col("a").alias("parent")))
+    # Then only pairs of different trees; what they join is a graph of trees.
+    tree = lambda x: trees.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    apart = likely.join(best, ["a", "b"], "left_anti").join(tree("a"), "a", "left").join(tree("b"), "b", "left")
+    apart = apart.select("a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b")).where("root_a <> root_b")
+    apart = materialize(apart, "apart")
+    more = materialize(_verified(apart, features, rare), "links")
+    joined = components(apart.join(more, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    links = links.unionByName(more)
+    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("n_links"))
+    labelled = nodes.select("key", "best").join(trees.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
+    labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
+    labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
+    heads = dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
+    per_key = labelled.withColumn("salt", salt_of("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
+    own = signed.select("row", "id", "key", salt_of("row").alias("salt"))
+    joined = own.join(dealt(per_key), ["key", "salt"], "left")
     return joined.select("row", "id", F.coalesce("head.row", "row").alias("class_row"), F.coalesce("head.id", F.when(F.col("head").isNull(), F.col("id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _salt(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
-
-
-def _dealt(one_for_each: DataFrame) -> DataFrame:
-    """Each row for every share of a key that many rows may have."""
-    return one_for_each.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class, the one with the least id; all of its columns as they were."""
     row = "near__row"
