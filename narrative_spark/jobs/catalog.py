@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from narrative_spark.jobs import fixtures as fx
 from narrative_spark.jobs.sql import ORACLE_SQL
-from narrative_spark.operators import normalize, segment, validate
+from narrative_spark.operators import lexical, normalize, search, segment, validate
 
 FLAGSHIP = "search"
 __all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
@@ -28,6 +28,29 @@ def _bent(spark: SparkSession, d: str) -> DataFrame:
     return fx.units(spark, d).withColumn("start_line", start)
 
 
+def _routed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    asked, units = fx.queries(spark, d), fx.units(spark, d)
+    return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
+
+
+def _search(spark: SparkSession, d: str) -> DataFrame:
+    _, units, rows = _routed(spark, d)
+    found = search.to_evidence(rows, units)
+    return found.select("query_id", "work_id", "unit_id", "ord", "place", "used", F.round("score", 3).alias("score"), "raw_text", *[f"metadata.{c}" for c in ("chapter", "start_line", "end_line")])
+
+
+def _bm25(spark: SparkSession, d: str) -> DataFrame:
+    units = fx.units(spark, d)
+    return search.search_bm25(fx.queries(spark, d), lexical.build_postings(units), lexical.index_stats(units)).withColumn("score", F.round("score", 3))
+
+
+def _evaluate(spark: SparkSession, d: str) -> DataFrame:
+    asked, units, rows = _routed(spark, d)
+    good = fx.table(spark, d, "labels").where("quality = 1").select(F.format_string("== %d ==", "doc_id").alias("chapter_name")).distinct()
+    gold = units.join(good, "chapter_name", "left_semi").select("work_id", "ord").join(asked.select("query_id", "work_id"), "work_id").groupBy("query_id").agg(F.collect_set("ord").alias("relevant"))
+    return search.evaluate_retrieval(search.to_evidence(rows, units), asked.select("query_id", "max_order").join(gold, "query_id", "left"))
+
+
 QUERIES = {
     "normalize_lines": lambda s, d: fx.lines(s, d).drop("part"),
     "split_title": _split_title,
@@ -44,4 +67,12 @@ QUERIES = {
     "spot_check": lambda s, d: validate.spot_check(fx.units(s, d)),
     "validation_report": lambda s, d: validate.validation_report(fx.labelled(s, d), fx.units(s, d), fx.headers(s, d)),
     "corpus_profile": lambda s, d: validate.corpus_profile(fx.lines(s, d), ["the", "de"]),
+    "analyze_queries": lambda s, d: lexical.analyze_queries(fx.queries(s, d)).select("query_id", "terms", "single"),
+    "build_postings": lambda s, d: lexical.build_postings(fx.units(s, d)),
+    "index_stats": lambda s, d: lexical.index_stats(fx.units(s, d)).withColumn("mean_size", F.round("mean_size", 6)),
+    "search_bm25": _bm25,
+    "search_scan": lambda s, d: search.search_scan(fx.queries(s, d), fx.units(s, d)),
+    "search": _search,
+    "search_diagnostics": lambda s, d: search.search_diagnostics(*_routed(s, d)),
+    "evaluate_retrieval": _evaluate,
 }

@@ -54,6 +54,39 @@ QUERIES = """
 queries AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, substring(text, 1, 40) AS query, CASE WHEN item_id % 4 <> 0 THEN item_id + 10 END AS max_order FROM benchmark)
 """
 
+STOP = "的了么吗呢啊吧嘛呀哦嗯唉咦之与及和或但而却并且也又再就都只还很最更被把让从向给在是有这那要会能可以应该怎什为哪谁何哪些这个"
+TERMS = QUERIES + f"""
+, q1 AS (SELECT *, regexp_extract_all(query, '[\\p{{L}}\\p{{N}}]') AS every FROM queries
+), q2 AS (SELECT *, list_filter(every, lambda x: NOT contains('{STOP}', x)) AS few FROM q1
+), q3 AS (SELECT *, CASE WHEN len(few) >= 2 THEN few ELSE every END AS c FROM q2
+), q4 AS (SELECT *, list_transform(range(1, greatest(len(c), 1)), lambda i: c[i] || c[i + 1]) AS two FROM q3
+), terms AS (SELECT query_id, work_id, query, max_order, len(c) < 2 AS single, CASE WHEN len(c) >= 2 THEN list_filter(two, lambda x, i: list_position(two, x) = i) ELSE list_sort(list_distinct(c)) END AS terms FROM q4)
+"""
+POSTINGS = """
+, tokens AS (SELECT work_id, unit_id, ord, chapter_name, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]') AS s FROM units
+), postings AS (
+  SELECT work_id, term, ord, unit_id, chapter_name, CAST(len(s) AS BIGINT) AS size, count(*) AS tf
+  FROM (SELECT *, unnest(list_transform(range(1, greatest(len(s), 1)), lambda i: s[i] || s[i + 1])) AS term FROM tokens) GROUP BY ALL
+), stats AS (SELECT work_id, count(*) AS n_units, avg(len(s)) AS mean_size FROM tokens GROUP BY 1)
+"""
+BM25 = """
+, asked AS (SELECT DISTINCT query_id, work_id, max_order, lower(unnest(terms)) AS term FROM terms
+), spread AS (SELECT work_id, term, count(*) AS n FROM postings GROUP BY 1, 2
+), bm AS (
+  SELECT query_id, work_id, unit_id, ord, sum(CASE WHEN ln((n_units - n + 0.5) / (n + 0.5)) <= 0 THEN 1e-6 ELSE ln((n_units - n + 0.5) / (n + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean_size))) AS score
+  FROM asked JOIN spread USING (work_id, term) JOIN stats USING (work_id) JOIN postings USING (work_id, term) WHERE ord <= coalesce(max_order, 9000000000) GROUP BY 1, 2, 3, 4
+), bm25 AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord, unit_id) AS place FROM bm QUALIFY place <= 200)
+"""
+SCAN = """
+, sc AS (
+  SELECT query_id, work_id, unit_id, ord, CAST(CASE WHEN single THEN len(list_filter(terms, lambda t: contains(text, t))) ELSE 2 * coalesce(list_sum(list_transform(terms, lambda t: (length(text) - length(replace(text, t, ''))) // length(t))), 0) END AS DOUBLE) AS score
+  FROM terms JOIN units USING (work_id) WHERE ord <= coalesce(max_order, 9000000000)
+), scan AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ord, unit_id) AS place FROM sc WHERE score > 0 QUALIFY place <= 200)
+"""
+ROUTED = POSTINGS + BM25 + SCAN + """
+, routed AS (SELECT *, 'fts' AS used FROM bm25 UNION ALL SELECT *, 'scan' FROM scan WHERE query_id NOT IN (SELECT query_id FROM bm25))
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "normalize_lines": f"WITH {LINES} SELECT work_id, line_no, line FROM lines",
     "split_title": f"""WITH {LINES}, t AS (SELECT work_id, min(line_no) AS title_line, arg_min(line, line_no) AS title FROM lines GROUP BY work_id)
@@ -79,4 +112,15 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT work_id, 'provenance', bool_and(start_line > 0 AND start_line <= end_line) FROM units GROUP BY 1)
         SELECT * FROM r UNION ALL SELECT work_id, 'all', bool_and(passed) FROM r GROUP BY 1""",
     "corpus_profile": f"""WITH {LINES} SELECT work_id, count(*) AS line_count, quantile_cont(length(line), 0.5) AS median_chars, quantile_cont(length(line), 0.9) AS p90_chars, max(length(line)) AS max_chars, CAST(sum((length(line) - length(replace(line, 'the', ''))) // 3) AS BIGINT) AS n_the, CAST(sum((length(line) - length(replace(line, 'de', ''))) // 2) AS BIGINT) AS n_de FROM lines GROUP BY work_id""",
+    "analyze_queries": f"WITH {TERMS} SELECT query_id, terms, single FROM terms",
+    "build_postings": f"WITH {UNITS} {POSTINGS} SELECT work_id, term, ord, unit_id, chapter_name, size, tf FROM postings",
+    "index_stats": f"WITH {UNITS} {POSTINGS} SELECT work_id, n_units, round(mean_size, 6) AS mean_size FROM stats",
+    "search_bm25": f"WITH {UNITS}, {TERMS} {POSTINGS} {BM25} SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, place FROM bm25",
+    "search_scan": f"WITH {UNITS}, {TERMS} {SCAN} SELECT query_id, work_id, unit_id, ord, score, place FROM scan",
+    "search": f"WITH {UNITS}, {TERMS} {ROUTED} SELECT query_id, work_id, unit_id, ord, place, used, round(round(score, 4), 3) AS score, text AS raw_text, chapter_name AS chapter, start_line, end_line FROM routed JOIN units USING (work_id, unit_id, ord) WHERE place <= 8",
+    "search_diagnostics": f"""WITH {UNITS}, {TERMS} {ROUTED}, e AS (SELECT query_id, count(*) AS n FROM terms JOIN units USING (work_id) WHERE ord <= coalesce(max_order, 9000000000) GROUP BY 1), r AS (SELECT query_id, count(*) AS n, min(used) AS used FROM routed GROUP BY 1)
+        SELECT t.query_id, 'auto' AS requested, coalesce(r.used, 'scan') AS used, CASE WHEN r.used = 'fts' THEN 'vector_unavailable_or_stale' ELSE 'vector_then_fts_unavailable_or_no_match' END AS fallback_reason, coalesce(e.n, 0) AS eligible_units, coalesce(r.n, 0) AS candidates FROM terms t LEFT JOIN e USING (query_id) LEFT JOIN r USING (query_id)""",
+    "evaluate_retrieval": f"""WITH {UNITS}, {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
+        c AS (SELECT q.query_id, q.max_order, g.relevant FROM queries q LEFT JOIN gold g USING (query_id)), x AS (SELECT c.*, (SELECT list(ord) FROM top t WHERE t.query_id = c.query_id AND place <= 5) AS found, (SELECT max(ord) FROM top t WHERE t.query_id = c.query_id) AS furthest FROM c)
+        SELECT count(*) AS cases, count(relevant) AS scored, count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) AS hits, count(*) FILTER (WHERE furthest > max_order) AS violations, coalesce(count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) / nullif(count(relevant), 0), 0.0) AS recall FROM x""",
 }
