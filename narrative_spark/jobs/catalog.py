@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrative_spark.jobs import fixtures as fx
 from narrative_spark.jobs.sql import ORACLE_SQL
-from narrative_spark.operators import lexical, normalize, search, segment, validate
+from narrative_spark.operators import extract, lexical, normalize, search, segment, state, validate, vectors, views
+from narrative_spark.sources import stages
+from narrative_spark.streaming import fold
 
 FLAGSHIP = "search"
 __all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
@@ -29,7 +31,7 @@ def _bent(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _routed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    asked, units = fx.queries(spark, d), fx.units(spark, d)
+    asked, units = fx.queries(spark, d), stages.stored(fx.units(spark, d), "units")
     return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
 
 
@@ -40,7 +42,7 @@ def _search(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bm25(spark: SparkSession, d: str) -> DataFrame:
-    units = fx.units(spark, d)
+    units = stages.stored(fx.units(spark, d), "units")
     return search.search_bm25(fx.queries(spark, d), lexical.build_postings(units), lexical.index_stats(units)).withColumn("score", F.round("score", 3))
 
 
@@ -51,6 +53,96 @@ def _evaluate(spark: SparkSession, d: str) -> DataFrame:
     return search.evaluate_retrieval(search.to_evidence(rows, units), asked.select("query_id", "max_order").join(gold, "query_id", "left"))
 
 
+def _tags(spark: SparkSession, d: str) -> DataFrame:
+    return extract.derive_tags(fx.delta_units(spark, d)).select("work_id", "unit_id", *[F.array_join(c, ",").alias(c) for c in ("characters", "locations", "key_terms")])
+
+
+def _cached(spark: SparkSession, d: str) -> DataFrame:
+    units = fx.units(spark, d)
+    keyed = units.select("work_id", "unit_id", "ord", extract.cache_key(F.lit("v1"), F.col("work_id"), F.col("text")).alias("key"))
+    stored = keyed.where("ord % 3 <> 0").select(F.lit("n1").alias("namespace"), "key", F.lit("{}").alias("fields_json"))
+    hits, misses = extract.cache_split(keyed, stored, "n1")
+    rows = hits.drop("fields_json").withColumn("cached", F.lit(True)).unionByName(misses.withColumn("cached", F.lit(False)))
+    return extract.run_report(rows.withColumn("degraded", F.col("ord") % 10 == 9))
+
+
+def _patched(spark: SparkSession, d: str) -> DataFrame:
+    units = fx.delta_units(spark, d)
+    fields = units.select("work_id", "ord", F.concat(F.lit("s"), F.col("ord").cast("string")).alias("summary"), "entity_updates", "plotline_updates", F.array(F.lit("a"), F.lit("b")).alias("context_refs"), "recent_event")
+    text = F.lit
+    patch = F.struct(F.concat(text("checked "), F.col("ord").cast("string")).alias("summary_replacement"), text("").alias("recent_event_replacement"), F.array(F.struct(text("click").alias("from"), text("press").alias("to"))).alias("rename_entities"), F.array(F.struct(text("press").alias("name"), text("pressed").alias("status"), text("").alias("note"))).alias("entity_status_updates"), F.array(text("view")).alias("remove_entities"), F.array(F.struct(text("advance").alias("action"), text("k1").alias("title"), text("").alias("note"))).alias("plotline_fixes"), F.array(text("b"), text("c")).alias("context_ref_additions"))
+    done = extract.apply_patch(fields, units.where("ord % 4 = 0").select("work_id", "ord", patch.alias("patch")))
+    joined = lambda k: F.array_join(F.transform("entity_updates", lambda e: e[k]), ",").alias(k)
+    return done.select("work_id", "ord", "summary", joined("name"), joined("status"), F.size("plotline_updates").alias("plots"), F.array_join("context_refs", ",").alias("refs"))
+
+
+def _flat(column: str) -> Column:
+    return F.array_join(F.transform(column, lambda e: F.concat_ws(" ", e["order"].cast("string"), e["text"])), "|").alias("recent")
+
+
+def _snapshots(spark: SparkSession, d: str) -> DataFrame:
+    return stages.stored(state.fold_state(fx.delta_units(spark, d)), "snapshots")
+
+
+def _fold(spark: SparkSession, d: str) -> DataFrame:
+    s = F.from_json("snapshot", "last_order long, backdrop string, recent array<struct<order:bigint,text:string>>")
+    return state.fold_state(fx.delta_units(spark, d)).withColumn("s", s).select("work_id", "ord", "s.last_order", _flat("s.recent"), "s.backdrop")
+
+
+def _readers(spark: SparkSession, d: str) -> DataFrame:
+    place = F.explode(F.array(*[F.lit(p) for p in (0, 7, 33, 500)])).alias("max_order")
+    works = fx.delta_units(spark, d).select("work_id").distinct().select("work_id", place)
+    return works.withColumn("reader_id", F.concat_ws("-", "work_id", F.col("max_order").cast("string")))
+
+
+def _requests(spark: SparkSession, d: str, names: list[str]) -> DataFrame:
+    asked = F.explode(F.array(*[F.lit(n) for n in names])).alias("name")
+    works = fx.delta_units(spark, d).select("work_id").distinct().select("work_id", asked)
+    return works.withColumns({"request_id": F.concat_ws("-", "work_id", "name"), "max_order": F.lit(40)})
+
+
+def _history(spark: SparkSession, d: str) -> DataFrame:
+    return views.entity_history(fx.delta_units(spark, d), _requests(spark, d, ["vie", "clicks", "up"])).select("request_id", "work_id", "ord", "unit_id", "update.name")
+
+
+def _plots(spark: SparkSession, d: str) -> DataFrame:
+    return views.plotline_history(fx.delta_units(spark, d), _requests(spark, d, ["k3", "k"])).select("request_id", "work_id", "ord", "unit_id", "update.title")
+
+
+def _ranges(spark: SparkSession, d: str) -> DataFrame:
+    low = F.coalesce("max_order", F.lit(1))
+    asked = fx.queries(spark, d).select(F.col("query_id").alias("range_id"), "work_id", low.alias("low"), (low + 4).alias("high"))
+    return views.get_range(fx.units(spark, d), asked).select("range_id", "work_id", "unit_id", "ord")
+
+
+def _prefixes(spark: SparkSession, d: str) -> DataFrame:
+    """The fold of the first units of each work against the fold of all of them."""
+    units, fields = fx.delta_units(spark, d), ["snapshot", "fingerprint"]
+    runs = [state.fold_state(units.where(F.col("ord") <= p)).where(F.col("ord") < p).withColumn("prefix", F.lit(p)) for p in (5, 20, 40)]
+    return state.prefix_consistency(_snapshots(spark, d), runs[0].unionByName(runs[1]).unionByName(runs[2]), fields)
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    table, unit = fx.table(spark, d, "embeddings"), F.col("vec_id") + 1
+    stored = table.select(F.lit("emb").alias("work_id"), F.format_string("emb-%04d", unit).alias("unit_id"), unit.alias("ord"), F.col("label").cast("string").alias("chapter_name"), F.col("embedding").alias("vector"))
+    asked = table.where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.lit("emb").alias("work_id"), (100 * (F.col("vec_id") % 5 + 1)).alias("max_order"), F.lit(None).cast("string").alias("chapter"), F.col("embedding").alias("vector"))
+    return vectors.search_vector(asked, stored).select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"))
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    units = fx.units(spark, d)
+    done = units.where(F.col("work_id").isin("src1", "src2")).withColumn("summary", F.lit("done"))
+    return stages.resolve_units(done, units).select("work_id", "unit_id", "ord", F.coalesce("summary", F.lit("")).alias("summary"))
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The fold over a stream of all events, fed file by file."""
+    rows = fold.as_stream_rows(fx.delta_units(spark, d))
+    source = stages.stored(rows.repartition(6, "ord"), "stream")
+    root = source.inputFiles()[0].rsplit("/", 1)[0]
+    return fold.run_available(spark, root, rows.schema, f"{root}-out", f"{root}-checkpoint")
+
+
 QUERIES = {
     "normalize_lines": lambda s, d: fx.lines(s, d).drop("part"),
     "split_title": _split_title,
@@ -75,4 +167,32 @@ QUERIES = {
     "search": _search,
     "search_diagnostics": lambda s, d: search.search_diagnostics(*_routed(s, d)),
     "evaluate_retrieval": _evaluate,
+    "fallback_extract": lambda s, d: extract.fallback_extract(fx.units(s, d), (".", "\n")).select("work_id", "unit_id", "summary"),
+    "derive_tags": _tags,
+    "recent_context": lambda s, d: extract.recent_context(fx.talk_units(s, d)).select("work_id", "ord", "recent_text"),
+    "related_context": lambda s, d: extract.related_context(fx.talk_units(s, d)),
+    "cache_split": _cached,
+    "apply_patch": _patched,
+    "entity_timeline": lambda s, d: state.entity_timeline(fx.delta_units(s, d)),
+    "plotline_timeline": lambda s, d: state.plotline_timeline(fx.delta_units(s, d)),
+    "recent_events": lambda s, d: state.recent_events(fx.delta_units(s, d)).select("work_id", "ord", _flat("recent")),
+    "archive_backdrop": lambda s, d: state.archive_backdrop(fx.delta_units(s, d)),
+    "fold_state": _fold,
+    "checkpoints": lambda s, d: state.checkpoints(_snapshots(s, d)),
+    "final_state": lambda s, d: state.final_state(_snapshots(s, d)),
+    "prefix_consistency": _prefixes,
+    "state_view": lambda s, d: state.render_state_view(_snapshots(s, d)).select("work_id", "ord", "view"),
+    "stream_state": _streamed,
+    "list_works": lambda s, d: views.list_works(fx.units(s, d), fx.works(s, d)),
+    "reading_locations": lambda s, d: views.reading_locations(fx.talk_units(s, d)),
+    "get_units": lambda s, d: views.get_units(fx.units(s, d), fx.units(s, d).where("ord % 50 = 7")).select("work_id", "unit_id", "ord", "text"),
+    "get_range": _ranges,
+    "progressive_view": lambda s, d: views.progressive_view(_snapshots(s, d), _readers(s, d)).drop("snapshot"),
+    "recap": lambda s, d: views.recap(_snapshots(s, d), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent")),
+    "entity_history": _history,
+    "plotline_history": _plots,
+    "entity_current": lambda s, d: views.entity_current(_snapshots(s, d), _requests(s, d, ["vie", "clicks"])),
+    "resolve_units": _resolved,
+    "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
+    "search_vector": _vectors,
 }

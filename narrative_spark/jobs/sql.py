@@ -87,6 +87,16 @@ ROUTED = POSTINGS + BM25 + SCAN + """
 , routed AS (SELECT *, 'fts' AS used FROM bm25 UNION ALL SELECT *, 'scan' FROM scan WHERE query_id NOT IN (SELECT query_id FROM bm25))
 """
 
+EVENTS = """
+, seen AS (SELECT work_id, ord, chapter_idx, event FROM deltas WHERE NOT degraded AND event IS NOT NULL)
+, windows AS (SELECT work_id, ord, string_agg(ord || ' ' || event, '|') OVER (PARTITION BY work_id ORDER BY ord ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent FROM seen)
+, recents AS (SELECT d.work_id, d.ord, coalesce(last_value(w.recent IGNORE NULLS) OVER (PARTITION BY d.work_id ORDER BY d.ord ROWS UNBOUNDED PRECEDING), '') AS recent FROM deltas d LEFT JOIN windows w USING (work_id, ord))
+, pushed AS (SELECT * FROM (SELECT work_id, ord, event, lead(chapter_idx, 5) OVER (PARTITION BY work_id ORDER BY ord) AS chapter_idx FROM seen) WHERE chapter_idx IS NOT NULL)
+, digests AS (SELECT work_id, chapter_idx, trim(substring(string_agg('@' || ord || ' ' || event, '；' ORDER BY ord), 1, 200)) AS digest FROM pushed GROUP BY 1, 2)
+, backdrops AS (SELECT work_id, chapter_idx, digest, substring(string_agg(digest, '；') OVER (PARTITION BY work_id ORDER BY chapter_idx ROWS UNBOUNDED PRECEDING), 1, 300) AS backdrop FROM digests)
+, readers AS (SELECT work_id || '-' || p AS reader_id, work_id, p AS max_order FROM (SELECT DISTINCT work_id FROM deltas), (VALUES (0), (7), (33), (500)) v(p))
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "normalize_lines": f"WITH {LINES} SELECT work_id, line_no, line FROM lines",
     "split_title": f"""WITH {LINES}, t AS (SELECT work_id, min(line_no) AS title_line, arg_min(line, line_no) AS title FROM lines GROUP BY work_id)
@@ -123,4 +133,37 @@ ORACLE_SQL: dict[str, str] = {
     "evaluate_retrieval": f"""WITH {UNITS}, {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
         c AS (SELECT q.query_id, q.max_order, g.relevant FROM queries q LEFT JOIN gold g USING (query_id)), x AS (SELECT c.*, (SELECT list(ord) FROM top t WHERE t.query_id = c.query_id AND place <= 5) AS found, (SELECT max(ord) FROM top t WHERE t.query_id = c.query_id) AS furthest FROM c)
         SELECT count(*) AS cases, count(relevant) AS scored, count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) AS hits, count(*) FILTER (WHERE furthest > max_order) AS violations, coalesce(count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) / nullif(count(relevant), 0), 0.0) AS recall FROM x""",
+    "fallback_extract": f"""WITH {UNITS}, h AS (SELECT work_id, unit_id, CASE WHEN contains(text, '.') AND trim(split_part(text, '.', 1)) <> '' THEN trim(split_part(text, '.', 1)) WHEN contains(text, chr(10)) AND trim(split_part(text, chr(10), 1)) <> '' THEN trim(split_part(text, chr(10), 1)) ELSE text END AS head FROM units)
+        SELECT work_id, unit_id, CASE WHEN length(head) > 60 THEN substring(head, 1, 60) || '……' ELSE head END AS summary FROM h""",
+    "derive_tags": f"""WITH {DELTAS} SELECT work_id, unit_id, CASE WHEN type = 'character' THEN name ELSE '' END AS characters, CASE WHEN type = 'location' THEN name ELSE '' END AS locations, CASE WHEN type = 'object' THEN name ELSE '' END AS key_terms FROM deltas""",
+    "recent_context": f"WITH {TALKS} SELECT work_id, ord, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY work_id ORDER BY ord ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS recent_text FROM talks",
+    "related_context": f"""WITH {TALKS}, p0 AS (SELECT work_id, ord, chapter_name, text, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]') AS every, row_number() OVER (PARTITION BY work_id ORDER BY ord) AS place FROM talks),
+        p AS (SELECT *, list_distinct(every) AS signs FROM p0), m AS (SELECT work_id, place, unnest(signs) AS sign FROM p), a AS (SELECT work_id, place AS now, unnest(signs) AS sign FROM p WHERE len(signs) >= 2),
+        sh AS (SELECT work_id, now, place, count(*) AS score FROM a JOIN m USING (work_id, sign) WHERE place <= now - 3 GROUP BY 1, 2, 3), b AS (SELECT *, row_number() OVER (PARTITION BY work_id, now ORDER BY score DESC, place DESC) AS rank FROM sh QUALIFY rank <= 3),
+        x AS (SELECT work_id, now, rank, '@' || ord || '（' || chapter_name || '，相关度' || score || '）：' || trim(text) AS piece FROM b JOIN p USING (work_id, place)), y AS (SELECT *, coalesce(sum(length(piece) + 1) OVER (PARTITION BY work_id, now ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM x),
+        z AS (SELECT work_id, now, string_agg(substring(piece, 1, CAST(greatest(1800 - used, 0) AS BIGINT)), chr(10) ORDER BY rank) AS related FROM y WHERE used < 1800 GROUP BY 1, 2) SELECT p.work_id, p.ord, coalesce(related, '') AS related FROM p LEFT JOIN z ON p.work_id = z.work_id AND p.place = z.now""",
+    "cache_split": f"""WITH {UNITS}, k AS (SELECT work_id, unit_id, ord, sha256('v1' || chr(10) || work_id || chr(10) || text) AS key FROM units), c AS (SELECT DISTINCT key FROM k WHERE ord % 3 <> 0)
+        SELECT work_id, count(*) AS units, count(c.key) AS cached, count(*) - count(c.key) AS fresh, count(*) FILTER (WHERE ord % 10 = 9) AS degraded FROM k LEFT JOIN c USING (key) GROUP BY 1""",
+    "apply_patch": f"""WITH {DELTAS} SELECT work_id, ord, CASE WHEN ord % 4 = 0 THEN 'checked ' || ord ELSE 's' || ord END AS summary, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'press' ELSE name END AS name, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'pressed' ELSE status END AS status, CASE WHEN ord % 4 = 0 AND NOT (action = 'advance' AND title = 'k1') THEN 2 ELSE 1 END AS plots, CASE WHEN ord % 4 = 0 THEN 'a,b,c' ELSE 'a,b' END AS refs FROM deltas""",
+    "entity_timeline": f"""WITH {DELTAS}, r AS (SELECT work_id, type, name, ord, CASE WHEN type = 'location' THEN NULL ELSE nullif(status, '') END AS status, nullif(CASE WHEN type = 'location' AND note = '' THEN status ELSE note END, '') AS note FROM deltas WHERE NOT degraded)
+        SELECT work_id, type, name, arg_max(status, ord) FILTER (WHERE status IS NOT NULL) AS status, arg_max(note, ord) FILTER (WHERE note IS NOT NULL) AS note, min(ord) AS first_seen_order, max(ord) AS last_seen_order FROM r GROUP BY 1, 2, 3""",
+    "plotline_timeline": f"""WITH {DELTAS} SELECT work_id, title, CASE WHEN count(*) FILTER (WHERE action = 'close') > 0 THEN 'closed' ELSE 'open' END AS status, min(ord) AS opened_order, max(ord) FILTER (WHERE action = 'close') AS closed_order, list_sort(list(DISTINCT ord)) AS key_orders, coalesce(arg_max(plot_note, ord) FILTER (WHERE plot_note <> ''), '') AS summary FROM deltas WHERE NOT degraded GROUP BY 1, 2""",
+    "recent_events": f"WITH {DELTAS} {EVENTS} SELECT work_id, ord, recent FROM recents",
+    "archive_backdrop": f"WITH {DELTAS} {EVENTS} SELECT work_id, chapter_idx, digest, backdrop FROM backdrops",
+    "fold_state": f"""WITH {DELTAS} {EVENTS}, l AS (SELECT work_id, ord, max(CASE WHEN NOT degraded THEN ord ELSE 0 END) OVER (PARTITION BY work_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS last_order, lead(chapter_idx) OVER (PARTITION BY work_id ORDER BY ord) IS NOT DISTINCT FROM chapter_idx AS inside, chapter_idx FROM deltas)
+        SELECT l.work_id, l.ord, l.last_order, r.recent, coalesce((SELECT arg_max(backdrop, b.chapter_idx) FROM backdrops b WHERE b.work_id = l.work_id AND b.chapter_idx <= l.chapter_idx - l.inside::INT), '') AS backdrop FROM l JOIN recents r USING (work_id, ord)""",
+    "list_works": f"WITH {UNITS} SELECT work_id, count(*) AS unit_count, CAST(NULL AS VARCHAR) AS title FROM units GROUP BY 1",
+    "reading_locations": f"""WITH {TALKS} SELECT work_id, 'chapter-' || lpad(CAST(chapter_idx AS VARCHAR), 2, '0') AS location_id, chapter_name AS label, min(ord) AS start_order, max(ord) AS end_order, min(ord) AS start_line, max(ord) AS end_line, count(*) AS unit_count FROM talks GROUP BY work_id, chapter_idx, chapter_name""",
+    "get_units": f"WITH {UNITS} SELECT work_id, unit_id, ord, text FROM units WHERE ord % 50 = 7",
+    "get_range": f"WITH {UNITS}, {QUERIES} SELECT query_id AS range_id, work_id, unit_id, ord FROM queries JOIN units USING (work_id) WHERE ord BETWEEN coalesce(max_order, 1) AND coalesce(max_order, 1) + 4",
+    "progressive_view": f"""WITH {DELTAS} {EVENTS}, x AS (SELECT reader_id, r.work_id, r.max_order, max(d.ord) AS snapshot_order, arg_max(degraded, d.ord) AS degraded FROM readers r LEFT JOIN deltas d ON d.work_id = r.work_id AND d.ord <= r.max_order GROUP BY 1, 2, 3)
+        SELECT reader_id, work_id, CAST(max_order AS BIGINT) AS max_order, CASE WHEN snapshot_order IS NULL OR degraded THEN 'unavailable' ELSE 'ok' END AS status, CASE WHEN snapshot_order IS NULL THEN 'no_readable_unit' WHEN degraded THEN 'degraded_snapshot' END AS reason, snapshot_order FROM x""",
+    "recap": f"""WITH {DELTAS} {EVENTS}, x AS (SELECT reader_id, r.work_id, r.max_order, max(d.ord) AS ord FROM readers r LEFT JOIN deltas d ON d.work_id = r.work_id AND d.ord <= r.max_order GROUP BY 1, 2, 3)
+        SELECT reader_id, x.work_id, CAST(max_order AS BIGINT) AS max_order, coalesce(recent, '') AS recent FROM x LEFT JOIN recents USING (work_id, ord)""",
+    "entity_history": f"WITH {DELTAS} SELECT work_id || '-' || q AS request_id, work_id, ord, unit_id, name FROM deltas, (VALUES ('vie'), ('clicks'), ('up')) v(q) WHERE ord <= 40 AND (contains(name, q) OR contains(q, name))",
+    "plotline_history": f"WITH {DELTAS} SELECT work_id || '-' || q AS request_id, work_id, ord, unit_id, title FROM deltas, (VALUES ('k3'), ('k')) v(q) WHERE ord <= 40 AND (contains(title, q) OR contains(q, title))",
+    "resolve_units": f"WITH {UNITS} SELECT work_id, unit_id, ord, CASE WHEN work_id IN ('src1', 'src2') THEN 'done' ELSE '' END AS summary FROM units",
+    "retrieval_text": f"WITH {TALKS} SELECT work_id, unit_id, '章节：' || chapter_name || chr(10) || '正文：' || text AS content FROM talks",
+    "search_vector": """WITH q AS (SELECT CAST(vec_id AS VARCHAR) AS query_id, embedding::DOUBLE[] AS v, 100 * (vec_id % 5 + 1) AS max_order FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id + 1 AS ord, list_cosine_similarity(v, embedding::DOUBLE[]) AS score FROM q, embeddings WHERE vec_id + 1 <= max_order)
+        SELECT query_id, 'emb' AS work_id, 'emb-' || lpad(CAST(ord AS VARCHAR), 4, '0') AS unit_id, ord, round(score, 3) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord) <= 200""",
 }
