@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from narrative_spark.functions.text import content_signs, ustrip
 
@@ -136,7 +137,7 @@ def cache_append(results: DataFrame, namespace: str) -> DataFrame:
 
 def extract_units(inputs: DataFrame, extractor: Callable[[dict], str], attempts: int = 3) -> DataFrame:
     """inputs with output (model text) and error, made by a callable on the executors; tried again up to attempts times. A unit that fails has a null output."""
-    schema = inputs.schema.add("output", "string").add("error", "string")
+    schema = StructType([*inputs.schema.fields, StructField("output", StringType()), StructField("error", StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 RECENT = 5
 
@@ -38,7 +39,7 @@ def get_range(units: DataFrame, ranges: DataFrame) -> DataFrame:
     return ranges.join(units, "work_id").where(F.col("ord").between(F.col("low"), F.col("high")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fault(snapshot: pd.Series, work: pd.Series, order: pd.Series) -> pd.Series:
     """What is wrong with a snapshot, or null. Types are checked in the JSON itself."""
 
