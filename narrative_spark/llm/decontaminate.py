@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import text_or_empty
+from narrative_spark.llm.common import text_or_empty, tidy
 from narrative_spark.llm.fmindex import FMIndex
 
 WINDOW = 13
@@ -134,7 +134,7 @@ def _scan(docs: DataFrame, phrases: Phrases, text_col: str, result: str, earlier
             columns = [c for c, f in zip(batch.columns, batch.schema.names, strict=True) if f != earlier]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], names=schema.names)
 
-    return docs.mapInArrow(search, schema)
+    return docs.mapInArrow(tidy(search), schema)
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", result: str = "overlap", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from narrative_spark.llm.common import materialize, text_or_empty
+from narrative_spark.llm.common import materialize, text_or_empty, tidy
 
 #: A path wins with this share of its host's votes. Hosts whose winners are sent to all tasks at most; beyond it, they are joined by a shuffle.
 SHARE, SENT_HOSTS = 0.1, 200_000
@@ -160,7 +160,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
                     sums[1] += best[1]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()), pa.array([v[0] for v in votes.values()], pa.int64()), pa.array([v[1] for v in votes.values()], pa.float64())], names=["host", "path", "votes", "score"])
 
-    each = pages.select(host_of(F.col(url_col)).alias("host"), text_or_empty(html_col).alias("html")).mapInArrow(vote, "host string, path string, votes long, score double")
+    each = pages.select(host_of(F.col(url_col)).alias("host"), text_or_empty(html_col).alias("html")).mapInArrow(tidy(vote), "host string, path string, votes long, score double")
     summed = each.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
     total = summed.groupBy("host").agg(F.sum("votes").alias("all"))
     # At most 1 / share paths of a host are left here.
@@ -189,4 +189,4 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", text
             got = [cut(blocks(h), w) for h, w in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.string())], names=schema.names)
 
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(tidy(read), schema)

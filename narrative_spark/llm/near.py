@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import materialize
+from narrative_spark.llm.common import materialize, tidy
 from narrative_spark.llm.components import components, dealt, roots, salt_of
 
 WIDTH, SIMILAR = 5, 0.8
@@ -81,7 +81,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], total))], names=["bucket", "n"])
 
-    rows = docs.select(text_col).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select(text_col).mapInArrow(tidy(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     at, n = rows.column("bucket").to_numpy(), rows.column("n").to_numpy().astype(np.int64)
     seen, total = np.zeros(BUCKETS, np.int64), int(n[at == -1].sum())
     seen[at[at >= 0]] = n[at >= 0]
@@ -128,7 +128,7 @@ def signatures(docs: DataFrame, row: str, id_col: str, text_col: str, rare: np.n
                 n = len(sets.keys)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(sets.keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["row", "id", "key", "bands", "sketch"])
 
-    return docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sign, "row long, id long, key binary, bands array<long>, sketch binary")
+    return docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(sign), "row long, id long, key binary, bands array<long>, sketch binary")
 
 
 def _neighbours(nodes: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def _neighbours(nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.where(low, a, b), pa.binary()), pa.array(np.where(low, b, a), pa.binary())], names=["a", "b"])
             tail_bands, tail_keys = bands[-NEIGHBOURS:], keys[-NEIGHBOURS:].tolist()
 
-    return rows.select("band", "key").mapInArrow(pair, "a binary, b binary").where("a <> b").distinct()
+    return rows.select("band", "key").mapInArrow(tidy(pair), "a binary, b binary").where("a <> b").distinct()
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             ok = pa.array(agree >= LIKELY * SAMPLES)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok), pa.array(agree).filter(ok)], names=["a", "b", "agree"])
 
-    return pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(compare, "a binary, b binary, agree long")
+    return pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(tidy(compare), "a binary, b binary, agree long")
 
 
 def _features(docs: DataFrame, row: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def _features(docs: DataFrame, row: str, text_col: str, wanted: DataFrame) -> Da
                 cut = lambda x, e=sets.edges: [x[e[k] : e[k + 1]].tobytes() for k in range(len(e) - 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(sets.keys, pa.binary()), pa.array(cut(sets.hash.astype("<u4")), pa.binary()), pa.array(cut(np.minimum(sets.count, 65535).astype("<u2")), pa.binary())], names=["key", "hashes", "counts"])
 
-    return own.select("text").mapInArrow(collect, "key binary, hashes binary, counts binary")
+    return own.select("text").mapInArrow(tidy(collect), "key binary, hashes binary, counts binary")
 
 
 def weighted_jaccard(left: tuple[bytes, bytes], right: tuple[bytes, bytes], rare: np.ndarray) -> float:
@@ -209,7 +209,7 @@ def _verified(pairs: DataFrame, features: DataFrame, rare: np.ndarray) -> DataFr
             near = [weighted_jaccard((x["hashes"], x["counts"]), (y["hashes"], y["counts"]), sent.value) for x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(verify, "a binary, b binary, similarity double").where(F.col("similarity") >= SIMILAR)
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(tidy(verify), "a binary, b binary, similarity double").where(F.col("similarity") >= SIMILAR)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str = "near__row") -> DataFrame:

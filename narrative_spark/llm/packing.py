@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrative_spark.llm.common import materialize
+from narrative_spark.llm.common import materialize, tidy
 from narrative_spark.llm.tokens import UnitTokenizer
 
 CAPACITY, OPEN, MERGE, END_ID = 2048, 16, 64, 1
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, windows: int
             yield _batch(held)
 
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    made = materialize(docs.mapInArrow(first, _OPEN), "packed")
+    made = materialize(docs.mapInArrow(tidy(first), _OPEN), "packed")
     out, level = made.where("not open"), 0
     left = made.where("open")
     most = left.agg(F.max("task")).first()[0]

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
+from narrative_spark.llm.common import tidy
 
 #: Labelled rows that training sees at most, picked by a hash of their id.
 MAX_ROWS = 3000
@@ -114,5 +115,5 @@ def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
                 out.append(1 / (1 + np.exp(-np.clip(total + base, -500, 500))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else [], pa.float64())], names=["doc_id", "score"])
 
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rate, "doc_id long, score double")
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(rate), "doc_id long, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

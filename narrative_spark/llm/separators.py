@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from narrative_spark.llm.common import materialize
+from narrative_spark.llm.common import materialize, tidy
 from narrative_spark.llm.tokens import UnitTokenizer
 
 BLOCK_TOKENS, GROUP = 1 << 16, 1024
@@ -59,7 +59,7 @@ def flat_blocks(docs: DataFrame, tokenizer: str, separator: int, block_tokens: i
         if size:
             yield cut(size)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(write, BLOCKS)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(write), BLOCKS)
 
 
 def scan(blocks: DataFrame, separator: int, id_bytes: int = 4) -> DataFrame:
@@ -80,7 +80,7 @@ def scan(blocks: DataFrame, separator: int, id_bytes: int = 4) -> DataFrame:
                 places.append(np.flatnonzero(ids == separator))
             yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array(sizes, pa.int64()), pa.array(places, pa.list_(pa.int64())), batch.column("doc_ids")], names=["file", "block", "size", "places", "doc_ids"])
 
-    found = blocks.select("file", "block", "tokens", "doc_ids").mapInArrow(search, "file string, block long, size long, places array<long>, doc_ids array<long>")
+    found = blocks.select("file", "block", "tokens", "doc_ids").mapInArrow(tidy(search), "file string, block long, size long, places array<long>, doc_ids array<long>")
     # Small rows, which both levels of the scan read.
     found = materialize(found, "separators").withColumn("group", F.floor(F.col("block") / GROUP))
     before = lambda *by: W.partitionBy(*by).rowsBetween(W.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from narrative_spark.llm import bytetext
 
-MAX_UNITS = 1_000_000
+MAX_UNITS = 600_000
 _SPACE, _LETTER, _DIGIT, _SIGN = 0, 1, 2, 3
 _CLASS = np.full(256, _SIGN, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
@@ -59,7 +59,7 @@ class UnitTokenizer:
         return _LOADED[path, specials_as_text]
 
     def clear(self) -> None:
-        self.mask = (1 << 22) - 1
+        self.mask = (1 << 21) - 1
         self.keys, self.slots = np.zeros(self.mask + 1, np.uint64), np.zeros(self.mask + 1, np.int32)
         self.first, self.count, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
