@@ -1,5 +1,7 @@
 """DuckDB SQL for the rows of registered queries, where SQL can express them."""
 
+from narrative_spark.llm.rules import STOP_WORDS
+
 OP4 = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
@@ -33,7 +35,58 @@ SELECT a.page_id, CASE WHEN b.hash IS NULL THEN 'missing' ELSE 'corrupt' END AS
 FROM a LEFT JOIN b USING (page_id) WHERE a.hash IS DISTINCT FROM b.hash
 """
 
+#: The rules' votes, in the order of rules.rules().
+_RULES = [
+    ("n_words < 20", "n_words >= 50"),
+    ("2 * word_chars < 5 * n_words OR word_chars > 12 * n_words", "word_chars >= 3 * n_words AND word_chars <= 9 * n_words"),
+    ("5 * n_symbols > n_words", "50 * n_symbols < n_words"),
+    ("10 * n_symbols > word_chars", "100 * n_symbols < word_chars"),
+    ("10 * n_bare > n_words", "50 * n_bare < n_words"),
+    ("2 * n_dup_lines > n_lines", "10 * n_dup_lines < n_lines"),
+    ("4 * n_repeat_words > n_words", "20 * n_repeat_words <= n_words"),
+    ("4 * n_capitals > word_chars", "20 * n_capitals < word_chars"),
+    ("n_stops = 0 AND n_words >= 30", "n_stops >= 2"),
+    ("CASE WHEN n_words <= 500 THEN 5 * n_distinct < n_words ELSE n_distinct < 100 END", "CASE WHEN n_words <= 500 THEN 3 * n_distinct > n_words ELSE n_distinct > 150 END"),
+]
+
+
+def _em(voters: int, prior: float, yes: float, no: float, rounds: int, weight: float = 10.0) -> str:
+    """Expectation-maximisation over patterns (votes, n), as a recursive table em (step, yes, no, prior)."""
+    odds = " + ".join(f"CASE votes[{j}] WHEN 1 THEN ln(yes[{j}] / (1 - no[{j}])) WHEN 0 THEN ln((1 - yes[{j}]) / no[{j}]) ELSE 0.0 END" for j in range(1, voters + 1))
+    share = lambda vote, p, begin: ", ".join(f"greatest(0.02, least(0.998, (sum(CASE WHEN votes[{j}] = {vote} THEN n * {p} ELSE 0 END) + {weight * begin}) / (sum(CASE WHEN votes[{j}] IS NULL THEN 0 ELSE n * {p} END) + {weight})))" for j in range(1, voters + 1))
+    least = ", ".join(f"greatest(no[{j}], 1.02 - yes[{j}])" for j in range(1, voters + 1))
+    return f"""em AS (
+  SELECT 0 AS step, list_transform(range({voters}), lambda x: {yes}::DOUBLE) AS yes, list_transform(range({voters}), lambda x: {no}::DOUBLE) AS no, {prior}::DOUBLE AS prior
+  UNION ALL
+  SELECT step + 1, yes, [{least}], prior FROM (
+    SELECT step, [{share(1, "p", yes)}] AS yes, [{share(0, "(1 - p)", no)}] AS no, greatest(0.01, least(0.99, (sum(n * p) + {weight * prior}) / (sum(n) + {weight}))) AS prior
+    FROM (SELECT step, votes, n, 1 / (1 + exp(-(ln(prior / (1 - prior)) + {odds}))) AS p FROM em, patterns WHERE step < {rounds}) GROUP BY step)
+), posterior AS (
+  SELECT votes, 1 / (1 + exp(-(ln(prior / (1 - prior)) + {odds}))) AS good FROM em, patterns WHERE step = {rounds}
+)"""
+
+
+OP6 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), grams AS (SELECT r, k, list_slice(words, k, k + 7) AS gram FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS k FROM w WHERE len(words) >= 8)
+), twice AS (SELECT r, unnest(list(k)) AS k FROM grams GROUP BY r, gram HAVING count(*) > 1
+), covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(k, k + 8)) AS place FROM twice) GROUP BY r
+), m AS (
+  SELECT w.doc_id, w.r, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words, len(list_distinct(words)) AS n_distinct, len(list_intersect(list_distinct(words), {STOP_WORDS})) AS n_stops, len(regexp_extract_all(text, '[A-Z]')) AS n_capitals,
+    len(list_filter(words, lambda x: regexp_full_match(x, '[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS n_bare FROM w LEFT JOIN covered c USING (r)
+), v AS (SELECT *, [{", ".join(f"CASE WHEN n_words = 0 THEN NULL WHEN {bad} THEN 0 WHEN {good} THEN 1 END" for bad, good in _RULES)}] AS votes FROM m
+), patterns AS (SELECT votes, count(*)::DOUBLE AS n FROM v GROUP BY votes
+), {_em(len(_RULES), 0.9, 0.97, 0.4, 30)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND good >= 0.5 AS kept
+FROM v JOIN posterior p ON p.votes IS NOT DISTINCT FROM v.votes
+"""
+
 ORACLE_SQL = {
     "op4_decontamination": OP4,
+    "op6_quality_rules": OP6,
     "op8_merkle_audit": OP8,
 }
