@@ -16,7 +16,8 @@ def before(df: DataFrame, key: str, block: str, within: list[Column], sums: dict
     inner = W.partitionBy(key, block).orderBy(*within).rowsBetween(W.unboundedPreceding, -1)
     outer = W.partitionBy(key).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
     rows = df.withColumns({f"{n}__in": F.coalesce(F.sum(c).over(inner), F.lit(0)) for n, c in sums.items()})
-    totals = df.groupBy(key, block).agg(*[F.sum(c).alias(f"{n}__all") for n, c in sums.items()])
+    # From the same shuffled rows, so that df is made and dealt out once.
+    totals = rows.groupBy(key, block).agg(*[F.sum(c).alias(f"{n}__all") for n, c in sums.items()])
     totals = totals.select(key, block, *[F.coalesce(F.sum(f"{n}__all").over(outer), F.lit(0)).alias(f"{n}__out") for n in sums])
     joined = rows.join(totals, [key, block])
     return joined.select(*[df[c] for c in df.columns], *[(F.col(f"{n}__in") + F.col(f"{n}__out")).cast("long").alias(n) for n in sums])

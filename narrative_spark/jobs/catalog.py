@@ -30,6 +30,12 @@ def _bent(spark: SparkSession, d: str) -> DataFrame:
     return fx.units(spark, d).withColumn("start_line", start)
 
 
+def _cut(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled lines and units, each made once."""
+    lines = stages.stored(fx.labelled(spark, d), "labelled")
+    return lines, stages.stored(fx.units(spark, d, lines), "units")
+
+
 def _routed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     asked, units = fx.queries(spark, d), stages.stored(fx.units(spark, d), "units")
     return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
@@ -109,6 +115,11 @@ def _plots(spark: SparkSession, d: str) -> DataFrame:
     return views.plotline_history(fx.delta_units(spark, d), _requests(spark, d, ["k3", "k"])).select("request_id", "work_id", "ord", "unit_id", "update.title")
 
 
+def _picked(spark: SparkSession, d: str) -> DataFrame:
+    units = stages.stored(fx.units(spark, d), "units")
+    return views.get_units(units, units.where("ord % 50 = 7")).select("work_id", "unit_id", "ord", "text")
+
+
 def _ranges(spark: SparkSession, d: str) -> DataFrame:
     low = F.coalesce("max_order", F.lit(1))
     asked = fx.queries(spark, d).select(F.col("query_id").alias("range_id"), "work_id", low.alias("low"), (low + 4).alias("high"))
@@ -130,7 +141,7 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _resolved(spark: SparkSession, d: str) -> DataFrame:
-    units = fx.units(spark, d)
+    units = stages.stored(fx.units(spark, d), "units")
     done = units.where(F.col("work_id").isin("src1", "src2")).withColumn("summary", F.lit("done"))
     return stages.resolve_units(done, units).select("work_id", "unit_id", "ord", F.coalesce("summary", F.lit("")).alias("summary"))
 
@@ -152,12 +163,12 @@ QUERIES = {
     "chapter_stats": lambda s, d: segment.chapter_stats(fx.units(s, d)),
     "segment_warnings": lambda s, d: segment.segment_warnings(fx.labelled(s, d), _more_headers(s, d)),
     "check_orders": lambda s, d: validate.check_orders(fx.units(s, d)),
-    "check_lossless": lambda s, d: validate.check_lossless(fx.labelled(s, d), fx.units(s, d)),
+    "check_lossless": lambda s, d: validate.check_lossless(*_cut(s, d)),
     "check_headers": lambda s, d: validate.check_headers(fx.units(s, d), fx.headers(s, d)),
     "check_provenance": lambda s, d: validate.check_provenance(_bent(s, d)),
     "units_per_chapter": lambda s, d: validate.units_per_chapter(fx.units(s, d)),
     "spot_check": lambda s, d: validate.spot_check(fx.units(s, d)),
-    "validation_report": lambda s, d: validate.validation_report(fx.labelled(s, d), fx.units(s, d), fx.headers(s, d)),
+    "validation_report": lambda s, d: validate.validation_report(*_cut(s, d), fx.headers(s, d)),
     "corpus_profile": lambda s, d: validate.corpus_profile(fx.lines(s, d), ["the", "de"]),
     "analyze_queries": lambda s, d: lexical.analyze_queries(fx.queries(s, d)).select("query_id", "terms", "single"),
     "build_postings": lambda s, d: lexical.build_postings(fx.units(s, d)),
@@ -185,7 +196,7 @@ QUERIES = {
     "stream_state": _streamed,
     "list_works": lambda s, d: views.list_works(fx.units(s, d), fx.works(s, d)),
     "reading_locations": lambda s, d: views.reading_locations(fx.talk_units(s, d)),
-    "get_units": lambda s, d: views.get_units(fx.units(s, d), fx.units(s, d).where("ord % 50 = 7")).select("work_id", "unit_id", "ord", "text"),
+    "get_units": _picked,
     "get_range": _ranges,
     "progressive_view": lambda s, d: views.progressive_view(_snapshots(s, d), _readers(s, d)).drop("snapshot"),
     "recap": lambda s, d: views.recap(_snapshots(s, d), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent")),

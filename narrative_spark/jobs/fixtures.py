@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from narrative_spark.operators import normalize, segment
+from narrative_spark.sources import stages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,12 +33,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body, _ = normalize.split_title(lines(spark, sf_dir), works(spark, sf_dir))
+    body, _ = normalize.split_title(stages.stored(lines(spark, sf_dir), "lines"), works(spark, sf_dir))
     return segment.label_chapters(body, headers(spark, sf_dir))
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.segment_units(labelled(spark, sf_dir), works(spark, sf_dir))
+def units(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Units, from labelled lines where a job has them already."""
+    return segment.segment_units(labelled(spark, sf_dir) if lines is None else lines, works(spark, sf_dir))
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:

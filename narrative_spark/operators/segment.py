@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from narrative_spark.functions import prefix
+from narrative_spark.sources.stages import stored
 
 THRESHOLD = 80
 #: Lines that one sort takes together.
@@ -25,18 +26,23 @@ def label_chapters(body: DataFrame, headers: DataFrame) -> DataFrame:
     hit = F.col("is_header").cast("long")
     counted = prefix.before(rows, "work_id", "block", [F.col("line_no")], {"earlier": hit})
     counted = counted.withColumn("chapter_idx", (F.col("earlier") + hit).cast("int")).drop("earlier", "block")
-    names = counted.where("is_header").select("work_id", "chapter_idx", F.col("line").alias("chapter_name"))
-    return counted.join(names, ["work_id", "chapter_idx"], "left").withColumn("chapter_name", F.coalesce("chapter_name", F.lit("")))
+    # A chapter has one header line, its first.
+    name = F.max(F.when(F.col("is_header"), F.col("line"))).over(W.partitionBy("work_id", "chapter_idx"))
+    return counted.withColumn("chapter_name", F.coalesce(name, F.lit("")))
 
 
 def segment_units(labelled: DataFrame, works: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Units of every work. A chapter without lines has none; a header that comes again is a chapter again."""
+    """Units of every work. A chapter without lines has none; a header that comes again is a chapter again.
+
+    Units are written to the shared folder before they are numbered, as their numbers need the counts of all chapters before.
+    """
     lines = labelled.where(~F.col("is_header"))
     inside = W.partitionBy("work_id", "chapter_idx").orderBy("line_no")
     long = (F.length("line") > threshold).cast("long")
     # A chapter whose first line is short counts one beginning more.
     lines = lines.withColumn("place", F.sum(long).over(inside) + 1 - F.first(long).over(inside))
     made = lines.groupBy("work_id", "chapter_idx", "place").agg(F.first("chapter_name").alias("chapter_name"), F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
+    made = stored(made, "units")
     chapters = made.groupBy("work_id", "chapter_idx").agg(F.count(F.lit(1)).alias("n"))
     chapters = chapters.select("work_id", "chapter_idx", F.coalesce(F.sum("n").over(W.partitionBy("work_id").orderBy("chapter_idx").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
     made = made.join(chapters, ["work_id", "chapter_idx"]).join(works.select("work_id", F.coalesce("work_short", F.substring("work_id", 1, 2)).alias("work_short")), "work_id", "left")
