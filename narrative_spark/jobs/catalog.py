@@ -154,6 +154,32 @@ def _streamed(spark: SparkSession, d: str) -> DataFrame:
     return fold.run_available(spark, root, rows.schema, f"{root}-out", f"{root}-checkpoint")
 
 
+def _status(spark: SparkSession, d: str) -> DataFrame:
+    """Vector indexes of some works come from an older source."""
+    docs = fx.table(spark, d, "documents").groupBy(F.col("source").alias("work_id")).agg(F.count(F.lit(1)).alias("n"))
+    now = docs.select("work_id", F.sha2(F.concat_ws(":", "work_id", F.col("n").cast("string")), 256).alias("source_sha256"))
+    then = docs.select("work_id", F.sha2(F.concat_ws(":", "work_id", F.when(F.col("work_id") < "src5", F.col("n") + 1).otherwise(F.col("n")).cast("string")), 256).alias("source_sha256"))
+    return vectors.index_status(then, now)
+
+
+def _coerced(spark: SparkSession, d: str) -> DataFrame:
+    """Model output written from events: whole, no JSON, a wrong collection, or without a summary."""
+    i = F.col("event_id").cast("string")
+    whole = F.concat(F.lit('```json\n{"summary": " s'), i, F.lit(' ", "entity_updates": [{"name": " '), F.col("event_type"), F.lit('", "type": "robot"}, {"name": ""}, 5], "plotline_updates": [{"title": "k'), i, F.lit('", "action": "jump"}], "recent_event": "went '), i, F.lit('"}\n```'))
+    case = F.col("event_id") % 5
+    output = F.when(case == 1, F.lit("sorry")).when(case == 2, F.lit('{"summary": "s", "entity_updates": {"name": "A"}}')).when(case == 3, F.lit('{"summary": " "}')).otherwise(whole)
+    got = extract.coerce_fields(fx.table(spark, d, "events").select("event_id", output.alias("output")))
+    flat = lambda c, a, b: F.when(F.col(c).isNotNull(), F.array_join(F.transform(c, lambda x: F.concat_ws(":", x[a], x[b])), ","))
+    return got.select("event_id", "parse_error", "summary", flat("entity_updates", "name", "type").alias("entities"), flat("plotline_updates", "action", "title").alias("plots"), F.col("recent_event.text").alias("event"))
+
+
+def _refs(spark: SparkSession, d: str) -> DataFrame:
+    """References written from turns: names with blanks, repeated ones, objects, numbers, and none."""
+    case = F.col("turn") % 3
+    raw = F.when(case == 2, F.lit('["", null, 5]')).when(case == 1, F.concat(F.lit('[" '), F.col("role"), F.lit('", {"entity": " e'), F.col("turn").cast("string"), F.lit('"}, "'), F.col("role"), F.lit('"]'))).otherwise(F.concat(F.lit('["'), F.col("role"), F.lit('", 7]')))
+    return fx.table(spark, d, "conversations").select("conv_id", "turn", F.array_join(search.normalize_refs(raw), ",").alias("refs"))
+
+
 QUERIES = {
     "normalize_lines": lambda s, d: fx.lines(s, d).drop("part"),
     "split_title": _split_title,
@@ -206,4 +232,7 @@ QUERIES = {
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
     "search_vector": _vectors,
+    "index_status": _status,
+    "coerce_fields": _coerced,
+    "normalize_refs": _refs,
 }
