@@ -216,7 +216,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     """row, id, class_row, class_id, n_links for every row of docs, which must be repeatable (a stored table).
 
     A class is a set of texts joined by links of similarity SIMILAR or more; class_id is its least id and class_row the row
-    that has it. n_links: other texts that this one was found to be linked to; equal word sequences are one text and count no link. Texts
+    that has it. n_links: other texts with which a link was verified (pairs that other links have joined aren't looked at again); equal word
+    sequences are one text and count no link. Texts
     of fewer than five words have one shingle, all their words; null texts and texts without words are classes of
     their own. Null ids come last; repeated rows fall into one class; an empty table gives an empty result.
     """
