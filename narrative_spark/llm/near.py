@@ -5,7 +5,8 @@ rarity in the corpus (document frequency over hashed buckets, as many at every s
 weighted samples; BANDS groups of them are sorted, so that texts that share a group stand side by side and
 meet their next neighbours: a linear number of candidates whatever the size of a group of copies. Candidates whose samples
 agree enough are verified by weighted Jaccard similarity of their whole shingle sets, and verified links are joined to
-classes. Equal word sequences are one text throughout.
+classes. Groups that are too large for their members to have met each other all, and that still hold texts of several classes, are then
+compared in full, block by block, and give only the links that join classes. Equal word sequences are one text throughout.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ SAMPLES = BANDS * ROWS
 NEIGHBOURS, LIKELY = 3, 0.55
 #: How far TF and IDF stretch the weights: 0 gives plain sets. Buckets of the document frequencies.
 STRENGTH, BUCKETS = 0.1, 1 << 18
+#: Texts in a block of a group that is compared in full.
+BLOCK = 256
 #: Row numbers that are sent to all tasks at most; beyond it, rows are joined by a shuffle.
 SENT_ROWS = 1_000_000
 _POOL = 1 << 14
@@ -212,6 +215,64 @@ def _verified(pairs: DataFrame, features: DataFrame, rare: np.ndarray) -> DataFr
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(tidy(verify), "a binary, b binary, similarity double").where(F.col("similarity") >= SIMILAR)
 
 
+def _open_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, k, key, blocks: members of the groups where not all have met (more than NEIGHBOURS + 1) and not all are of one class."""
+    rows = nodes.select("key", "bands").join(labels.select("key", "label"), "key").select("key", "label", F.posexplode("bands").alias("k", "band"))
+    sums = rows.groupBy("band", "k").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+    sums = sums.where((F.col("n") > NEIGHBOURS + 1) & (F.col("least") != F.col("most"))).select("band", "k", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    return rows.withColumn("salt", salt_of("key")).join(dealt(sums), ["band", "k", "salt"]).select("band", "k", "key", "label", "blocks")
+
+
+def _joins(members: DataFrame, nodes: DataFrame, features: DataFrame, rare: np.ndarray) -> DataFrame:
+    """a, b, label_a, label_b: verified links that join the classes within each pair of blocks of a group. Every two texts of different classes are compared, in the first group that they share."""
+    sent = members.sparkSession.sparkContext.broadcast(rare)
+    own = F.pmod(F.xxhash64("key", "band"), F.col("blocks").cast("long")).cast("int")
+    rows = members.withColumn("block", own).join(nodes.select("key", "bands", "sketch"), "key").join(features, "key")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def compare(part: pa.Table) -> pa.Table:
+        keys, labels, hashes, counts = (part[c].to_pylist() for c in ("key", "label", "hashes", "counts"))
+        k, across = part["k"][0].as_py(), part["low"][0].as_py() != part["high"][0].as_py()
+        block = part["block"].to_numpy()
+        sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u2").reshape(-1, SAMPLES)
+        bands = np.array(part["bands"].to_pylist(), np.int64)
+        number = {x: i for i, x in enumerate(sorted(set(labels)))}
+        group = np.array([number[x] for x in labels])
+        sets = [np.frombuffer(x, "<u4") for x in hashes]
+        weights = [np.exp(log_weight(h.astype(np.uint64), np.frombuffer(n, "<u2"), sent.value)) for h, n in zip(sets, counts, strict=True)]
+        size = np.array([w.sum() for w in weights])
+        found: list[tuple[int, int]] = []
+        for i in range(len(keys) - 1):
+            rest = slice(i + 1, None)
+            agree = (sketch[rest] == sketch[i]).sum(1)
+            ok = (agree >= LIKELY * SAMPLES) & (group[rest] != group[i])
+            ok &= np.minimum(size[rest], size[i]) >= SIMILAR * 0.999 * np.maximum(size[rest], size[i])
+            if across:
+                ok &= block[rest] != block[i]
+            at = np.flatnonzero(ok)
+            at = at[~(bands[at + i + 1, :k] == bands[i, :k]).any(1)]
+            for j in at[np.argsort(-agree[at], kind="stable")] + i + 1:
+                if group[i] != group[j] and _similarity(sets[i], weights[i], sets[j], weights[j]) >= SIMILAR:
+                    found.append((i, int(j)))
+                    group[group == group[j]] = group[i]
+        take = lambda values, side: pa.array([values[f[side]] for f in found], pa.binary())
+        return pa.Table.from_arrays([take(keys, 0), take(keys, 1), take(labels, 0), take(labels, 1)], names=["a", "b", "label_a", "label_b"])
+
+    columns = ["band", "low", "high", "k", "block", "key", "label", "bands", "sketch", "hashes", "counts"]
+    return rows.select(*columns).groupBy("band", "low", "high", "k").applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary")
+
+
+def _similarity(h: np.ndarray, w: np.ndarray, g: np.ndarray, v: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two texts, each its hashes and weights."""
+    order = np.argsort(g, kind="stable")
+    g, v = g[order], v[order]
+    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+    same = g[at] == h
+    low = np.minimum(w[same], v[at[same]]).sum()
+    return float(low / (w.sum() + v.sum() - low))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str = "near__row") -> DataFrame:
     """row, id, class_row, class_id, n_links for every row of docs, which must be repeatable (a stored table).
 
@@ -245,6 +306,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     labelled = nodes.select("key", "best").join(trees.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
     labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
+    labelled = _whole_groups(labelled, nodes, features, ends, named, row, text_col, rare)
     heads = dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
     per_key = labelled.withColumn("salt", salt_of("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
     own = signed.select("row", "id", "key", salt_of("row").alias("salt"))
@@ -252,6 +314,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     return joined.select("row", "id", F.coalesce("head.row", "row").alias("class_row"), F.coalesce("head.id", F.when(F.col("head").isNull(), F.col("id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def _whole_groups(labelled: DataFrame, nodes: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
+    """labelled after the groups that the neighbours left open are compared in full."""
+    members = materialize(_open_groups(nodes, labelled), "members")
+    inside = members.select("key").distinct()
+    unread = nodes.join(inside, "key", "left_semi").join(ends, "key", "left_anti").select(F.col("best.row").alias("row"))
+    features = features.unionByName(materialize(_features(named, row, text_col, unread), "features"))
+    links = materialize(_joins(members, nodes, features, rare), "links")
+    joined = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("further"))
+    moved = labelled.withColumn("salt", salt_of("key")).join(dealt(joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))), ["label", "salt"], "left")
+    moved = moved.join(degree, "key", "left")
+    return materialize(moved.select("key", "best", F.coalesce("joined", "label").alias("label"), (F.col("n_links") + F.coalesce("further", F.lit(0))).alias("n_links")), "labelled")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class, the one with the least id; all of its columns as they were."""
     row = "near__row"
