@@ -213,6 +213,25 @@ def test_near_duplicates_lose_no_link(spark, documents, texts):
     assert all(c == min(i for i in got if got[i] == c) for c in set(got.values()))
 
 
+def test_large_groups_of_several_classes_are_compared_in_full(spark, monkeypatch):
+    """Texts about as far apart as the threshold: neighbours alone leave links, whole groups in small blocks don't."""
+    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "NEIGHBOURS", 1)
+    draw, common = np.random.default_rng(3), [f"word{i}" for i in range(120)]
+    every = {}
+    for k in range(90):
+        w = list(common)
+        for at in draw.choice(24, 2 + k % 3, replace=False) * 5:
+            w[at] = f"own{draw.integers(3)}x{at}"
+        every[k] = " ".join(w)
+    got = {r.id: r.class_id for r in near.classes(_stored(spark, every)).collect()}
+    sets = {i: shingle_set(t) for i, t in every.items()}
+    for i in every:
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.82:
+                assert got[i] == got[j], (i, j)
+
+
 def _stored(spark, every):
     from narrative_spark.llm.common import materialize
 
