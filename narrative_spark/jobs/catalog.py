@@ -133,10 +133,12 @@ def _prefixes(spark: SparkSession, d: str) -> DataFrame:
     return state.prefix_consistency(_snapshots(spark, d), runs[0].unionByName(runs[1]).unionByName(runs[2]), fields)
 
 
-def _vectors(spark: SparkSession, d: str) -> DataFrame:
+def _vectors(spark: SparkSession, d: str, bounded: bool = True) -> DataFrame:
+    """Every twentieth vector asked of those up to a boundary, or of all."""
     table, unit = fx.table(spark, d, "embeddings"), F.col("vec_id") + 1
+    limit = 100 * (F.col("vec_id") % 5 + 1) if bounded else F.lit(None).cast("long")
     stored = table.select(F.lit("emb").alias("work_id"), F.format_string("emb-%04d", unit).alias("unit_id"), unit.alias("ord"), F.col("label").cast("string").alias("chapter_name"), F.col("embedding").alias("vector"))
-    asked = table.where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.lit("emb").alias("work_id"), (100 * (F.col("vec_id") % 5 + 1)).alias("max_order"), F.lit(None).cast("string").alias("chapter"), F.col("embedding").alias("vector"))
+    asked = table.where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.lit("emb").alias("work_id"), limit.alias("max_order"), F.lit(None).cast("string").alias("chapter"), F.col("embedding").alias("vector"))
     return vectors.search_vector(asked, stored).select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"))
 
 
@@ -232,6 +234,7 @@ QUERIES = {
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
     "search_vector": _vectors,
+    "search_vector_whole": lambda s, d: _vectors(s, d, bounded=False),
     "index_status": _status,
     "coerce_fields": _coerced,
     "normalize_refs": _refs,

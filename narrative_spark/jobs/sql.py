@@ -166,6 +166,8 @@ ORACLE_SQL: dict[str, str] = {
     "retrieval_text": f"WITH {TALKS} SELECT work_id, unit_id, '章节：' || chapter_name || chr(10) || '正文：' || text AS content FROM talks",
     "search_vector": """WITH q AS (SELECT CAST(vec_id AS VARCHAR) AS query_id, embedding::DOUBLE[] AS v, 100 * (vec_id % 5 + 1) AS max_order FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id + 1 AS ord, list_cosine_similarity(v, embedding::DOUBLE[]) AS score FROM q, embeddings WHERE vec_id + 1 <= max_order)
         SELECT query_id, 'emb' AS work_id, 'emb-' || lpad(CAST(ord AS VARCHAR), 4, '0') AS unit_id, ord, round(score, 3) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord) <= 200""",
+    "search_vector_whole": """WITH q AS (SELECT CAST(vec_id AS VARCHAR) AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id + 1 AS ord, list_cosine_similarity(v, embedding::DOUBLE[]) AS score FROM q, embeddings)
+        SELECT query_id, 'emb' AS work_id, 'emb-' || lpad(CAST(ord AS VARCHAR), 4, '0') AS unit_id, ord, round(score, 3) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord) <= 200""",
     "index_status": "SELECT source AS work_id, NOT (source < 'src5') AS current FROM documents GROUP BY source",
     "coerce_fields": """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'not_json' WHEN 2 THEN 'entity_updates' WHEN 3 THEN 'no_summary' END AS parse_error, CASE WHEN event_id % 5 IN (0, 4) THEN 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (0, 4) THEN event_type || ':character' END AS entities, CASE WHEN event_id % 5 IN (0, 4) THEN 'advance:k' || event_id END AS plots, CASE WHEN event_id % 5 IN (0, 4) THEN 'went ' || event_id END AS event FROM events""",
     "normalize_refs": "SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL WHEN turn % 3 = 1 THEN role || ',e' || turn ELSE role END AS refs FROM conversations",
