@@ -1,7 +1,7 @@
 """Operator 3: main text of web pages by consensus container paths of their hosts.
 
 Each page's containers are scored by the text of their blocks outside links and boilerplate; the page votes for the path of its
-best container, written as tags with generalised classes. Spark sums the votes of each host; pages are then read
+best container or of the article around it, written as tags with generalised classes. Spark sums the votes of each host; pages are then read
 again and cut by the paths that won on their host.
 """
 
@@ -118,8 +118,25 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def widened(found: list[Block], path: tuple[str, ...]) -> tuple[str, ...]:
+    """path up to its nearest article or main; without one, up to the widest container below body as long as what stands beside isn't mostly links."""
+    for k in range(len(path) - 1, -1, -1):
+        if path[k].split(".")[0] in ("article", "main"):
+            return path[: k + 1]
+    wide = path
+    for k in range(len(path) - 1, 0, -1):
+        if path[k - 1] == "html" or path[k - 1].split(".")[0] == "body":
+            break
+        beside = [b for b in found if b.good and b.path[:k] == path[:k] and b.path[: len(wide)] != wide]
+        if beside:
+            if 2 * sum(b.links for b in beside) >= sum(len(b.text) for b in beside):
+                break
+            wide = path[:k]
+    return wide
+
+
 def best_path(found: list[Block]) -> tuple[str, float] | None:
-    """Path of the container with most text, a parent counting half of what its children hold."""
+    """Path of the container with most text, a parent counting half of what its children hold; widened to the article around it."""
     scores: dict[tuple[str, ...], float] = {}
     for b in found:
         if b.good and (size := len(b.text) - b.links) > 0 and b.path:
@@ -129,7 +146,7 @@ def best_path(found: list[Block]) -> tuple[str, float] | None:
     if not scores:
         return None
     path = max(scores, key=lambda p: (scores[p], len(p), p))
-    return " ".join(path), scores[path]
+    return " ".join(widened(found, path)), scores[path]
 
 
 def cut(found: list[Block], winners: list[str]) -> tuple[str, str]:

@@ -266,6 +266,33 @@ def test_main_text_of_a_page():
     assert text == "Big news\n\nFirst para goes & goes on for long enough\n\nSecond para link text.\n\nOne\n\nTwo" and path == "html body div.content article"
 
 
+@pytest.mark.parametrize(
+    ("inner", "wanted", "path"),
+    [
+        ("<article><header><h1>T</h1></header><div class=body><p>LONG</p></div></article>", ["T", "LONG"], "html body article"),
+        ("<article><h1>T</h1><p>lead</p><div class=content><p>LONG</p></div></article>", ["T", "lead", "LONG"], "html body article"),
+        ("<article><section class=intro><p>lead</p></section><section class=body><p>LONG</p></section></article>", ["lead", "LONG"], "html body article"),
+        ("<article><p>lead</p><ul><li>LONG</li></ul><blockquote>said</blockquote></article>", ["lead", "LONG", "said"], "html body article"),
+        ("<main><h1>T</h1><div class=body><p>LONG</p></div></main>", ["T", "LONG"], "html body main"),
+        ("<div class=story><h1>T</h1><div class=in><div class=body><p>LONG</p></div></div></div>", ["T", "LONG"], "html body div.story"),
+        ("<div class=page><div class=body><p>LONG</p></div><div class=more><a href=x>Another page of ours</a></div></div>", ["LONG"], "html body div.page div.body"),
+    ],
+)
+def test_text_beside_the_best_container_stays(inner, wanted, path):
+    long = "Words of the story go on and on. " * 9
+    page = f"<html><body><nav><a href=/>Home</a></nav>{inner}<footer>me</footer></body></html>".replace("LONG", long)
+    assert html.cut(html.blocks(page), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
+
+
+def test_widening_needs_the_votes_of_the_host(spark):
+    page = lambda extra: f"<html><body><div class=wrap>{extra}<div class=story><p>{'Story text here. ' * 5}</p></div></div></body></html>"
+    odd_one = page(f"<div class=strange><p>{'Injected words. ' * 30}</p></div>")
+    head = lambda k: page(f"<h1>Head {k}</h1>").replace("story", "text")
+    rows = [(k, "http://plain.example/x", page("")) for k in range(20)] + [(99, "http://plain.example/y", odd_one)] + [(100 + k, "http://headed.example/x", head(k)) for k in range(5)]
+    got = {r.page_id: r.main_text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[99] == got[1] == ("Story text here. " * 5).strip() and got[103].startswith("Head 3\n\nStory")
+
+
 def test_host_consensus_wins(spark):
     page = lambda inner: f"<html><body>{inner}<div class=story><p>{'Story text here. ' * 5}</p></div></body></html>"
     odd_one = page(f"<div class=strange><p>{'Injected words everywhere. ' * 30}</p></div>")
