@@ -119,10 +119,16 @@ def blocks(html: str) -> list[Block]:
 
 
 def widened(found: list[Block], path: tuple[str, ...]) -> tuple[str, ...]:
-    """path up to its nearest article or main; without one, up to the widest container below body as long as what stands beside isn't mostly links."""
-    for k in range(len(path) - 1, -1, -1):
-        if path[k].split(".")[0] in ("article", "main"):
-            return path[: k + 1]
+    """path up to its nearest article or main; without one, up to the widest container below body as long as what stands beside isn't mostly links.
+
+    An article inside main goes up to main, if what stands beside it is neither mostly links nor another article."""
+    tags = [step.split(".")[0] for step in path]
+    if "article" in tags or "main" in tags:
+        k = max(k for k, tag in enumerate(tags, 1) if tag in ("article", "main"))
+        main = tags.index("main") + 1 if "main" in tags[:k] else k
+        beside = [b for b in found if b.good and b.path[:main] == path[:main] and b.path[:k] != path[:k]]
+        other = any(step.split(".")[0] == "article" for b in beside for step in b.path[main:])
+        return path[: k if other or 2 * sum(b.links for b in beside) >= sum(len(b.text) for b in beside) else main]
     wide = path
     for k in range(len(path) - 1, 0, -1):
         if path[k - 1] == "html" or path[k - 1].split(".")[0] == "body":

@@ -284,6 +284,19 @@ def test_text_beside_the_best_container_stays(inner, wanted, path):
     assert html.cut(html.blocks(page), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
 
 
+@pytest.mark.parametrize(
+    ("inner", "wanted", "path"),
+    [
+        ("<main><h1>T</h1><article><p>LONG</p></article></main>", ["T", "LONG"], "html body main"),
+        ("<main><div><article><p>LONG</p></article></div><article><p>Other story</p></article></main>", ["LONG"], "html body main div article"),
+        ("<main><article><p>LONG</p></article><ul><li><a href=x>Another page of ours</a></li></ul></main>", ["LONG"], "html body main article"),
+    ],
+)
+def test_headline_of_main_stays_with_its_article(inner, wanted, path):
+    long = "Words of the story go on and on. " * 9
+    assert html.cut(html.blocks(f"<html><body>{inner}</body></html>".replace("LONG", long)), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
+
+
 def test_widening_needs_the_votes_of_the_host(spark):
     page = lambda extra: f"<html><body><div class=wrap>{extra}<div class=story><p>{'Story text here. ' * 5}</p></div></div></body></html>"
     odd_one = page(f"<div class=strange><p>{'Injected words. ' * 30}</p></div>")
