@@ -36,24 +36,24 @@ def _cut(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return lines, stages.stored(fx.units(spark, d, lines), "units")
 
 
-def _routed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    asked, units = fx.queries(spark, d), stages.stored(fx.units(spark, d), "units")
+def _routed(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    asked, units = fx.queries(spark, d, whole), stages.stored(fx.units(spark, d), "units")
     return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
 
 
-def _search(spark: SparkSession, d: str) -> DataFrame:
-    _, units, rows = _routed(spark, d)
+def _search(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    _, units, rows = _routed(spark, d, whole)
     found = search.to_evidence(rows, units)
     return found.select("query_id", "work_id", "unit_id", "ord", "place", "used", F.round("score", 3).alias("score"), "raw_text", *[f"metadata.{c}" for c in ("chapter", "start_line", "end_line")])
 
 
-def _bm25(spark: SparkSession, d: str) -> DataFrame:
+def _bm25(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     units = stages.stored(fx.units(spark, d), "units")
-    return search.search_bm25(fx.queries(spark, d), lexical.build_postings(units), lexical.index_stats(units)).withColumn("score", F.round("score", 3))
+    return search.search_bm25(fx.queries(spark, d, whole), lexical.build_postings(units), lexical.index_stats(units)).withColumn("score", F.round("score", 3))
 
 
-def _evaluate(spark: SparkSession, d: str) -> DataFrame:
-    asked, units, rows = _routed(spark, d)
+def _evaluate(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    asked, units, rows = _routed(spark, d, whole)
     good = fx.table(spark, d, "labels").where("quality = 1").select(F.format_string("== %d ==", "doc_id").alias("chapter_name")).distinct()
     gold = units.join(good, "chapter_name", "left_semi").select("work_id", "ord").join(asked.select("query_id", "work_id"), "work_id").groupBy("query_id").agg(F.collect_set("ord").alias("relevant"))
     return search.evaluate_retrieval(search.to_evidence(rows, units), asked.select("query_id", "max_order").join(gold, "query_id", "left"))
@@ -206,6 +206,12 @@ QUERIES = {
     "search": _search,
     "search_diagnostics": lambda s, d: search.search_diagnostics(*_routed(s, d)),
     "evaluate_retrieval": _evaluate,
+    "analyze_queries_whole": lambda s, d: lexical.analyze_queries(fx.queries(s, d, whole=True)).select("query_id", "terms", "single"),
+    "search_bm25_whole": lambda s, d: _bm25(s, d, whole=True),
+    "search_scan_whole": lambda s, d: search.search_scan(fx.queries(s, d, whole=True), fx.units(s, d)),
+    "search_whole": lambda s, d: _search(s, d, whole=True),
+    "search_diagnostics_whole": lambda s, d: search.search_diagnostics(*_routed(s, d, whole=True)),
+    "evaluate_retrieval_whole": lambda s, d: _evaluate(s, d, whole=True),
     "fallback_extract": lambda s, d: extract.fallback_extract(fx.units(s, d), (".", "\n")).select("work_id", "unit_id", "summary"),
     "derive_tags": _tags,
     "recent_context": lambda s, d: extract.recent_context(fx.talk_units(s, d)).select("work_id", "ord", "recent_text"),

@@ -42,10 +42,12 @@ def units(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> D
     return segment.segment_units(labelled(spark, sf_dir) if lines is None else lines, works(spark, sf_dir))
 
 
-def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Beginnings of benchmark items asked of a work each, three of four within a boundary."""
+def queries(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Beginnings of benchmark items asked of a work each, three of four within a boundary; or whole items, asked of all units of their work."""
     item = F.col("item_id")
-    return table(spark, sf_dir, "benchmark").select(item.cast("string").alias("query_id"), F.concat(F.lit("src"), (item % 20).cast("string")).alias("work_id"), F.substring("text", 1, 40).alias("query"), F.when(item % 4 != 0, item + 10).alias("max_order"), F.lit(None).cast("string").alias("chapter"))
+    text = F.col("text") if whole else F.substring("text", 1, 40)
+    limit = F.lit(None).cast("long") if whole else F.when(item % 4 != 0, item + 10)
+    return table(spark, sf_dir, "benchmark").select(item.cast("string").alias("query_id"), F.concat(F.lit("src"), (item % 20).cast("string")).alias("work_id"), text.alias("query"), limit.alias("max_order"), F.lit(None).cast("string").alias("chapter"))
 
 
 def talk_units(spark: SparkSession, sf_dir: str) -> DataFrame:

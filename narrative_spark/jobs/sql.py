@@ -172,3 +172,9 @@ ORACLE_SQL: dict[str, str] = {
     "coerce_fields": """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'not_json' WHEN 2 THEN 'entity_updates' WHEN 3 THEN 'no_summary' END AS parse_error, CASE WHEN event_id % 5 IN (0, 4) THEN 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (0, 4) THEN event_type || ':character' END AS entities, CASE WHEN event_id % 5 IN (0, 4) THEN 'advance:k' || event_id END AS plots, CASE WHEN event_id % 5 IN (0, 4) THEN 'went ' || event_id END AS event FROM events""",
     "normalize_refs": "SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL WHEN turn % 3 = 1 THEN role || ',e' || turn ELSE role END AS refs FROM conversations",
 }
+
+#: The searches asked with whole benchmark items, of all units of their work.
+WHOLE_QUERIES = """
+queries AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, text AS query, CAST(NULL AS BIGINT) AS max_order FROM benchmark)
+"""
+ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(QUERIES, WHOLE_QUERIES) for name in ("analyze_queries", "search_bm25", "search_scan", "search", "search_diagnostics", "evaluate_retrieval")}
