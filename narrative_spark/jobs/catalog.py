@@ -90,6 +90,21 @@ def _snapshots(spark: SparkSession, d: str) -> DataFrame:
     return stages.stored(state.fold_state(fx.delta_units(spark, d)), "snapshots")
 
 
+def _kept(spark: SparkSession, d: str, keep: str) -> DataFrame:
+    return state.fold_state(fx.delta_units(spark, d), keep=keep)
+
+
+def _read(spark: SparkSession, d: str, readers: DataFrame) -> DataFrame:
+    """Snapshots of the units that readers stand at, and no others."""
+    units = fx.delta_units(spark, d)
+    return stages.stored(state.fold_state(units, keep="marked", marked=views.read_units(units, readers)), "snapshots")
+
+
+def _current(spark: SparkSession, d: str) -> DataFrame:
+    asked = _requests(spark, d, ["vie", "clicks"])
+    return views.entity_current(_read(spark, d, asked), asked)
+
+
 def _fold(spark: SparkSession, d: str) -> DataFrame:
     s = F.from_json("snapshot", "last_order long, backdrop string, recent array<struct<order:bigint,text:string>>")
     return state.fold_state(fx.delta_units(spark, d)).withColumn("s", s).select("work_id", "ord", "s.last_order", _flat("s.recent"), "s.backdrop")
@@ -223,8 +238,8 @@ QUERIES = {
     "recent_events": lambda s, d: state.recent_events(fx.delta_units(s, d)).select("work_id", "ord", _flat("recent")),
     "archive_backdrop": lambda s, d: state.archive_backdrop(fx.delta_units(s, d)),
     "fold_state": _fold,
-    "checkpoints": lambda s, d: state.checkpoints(_snapshots(s, d)),
-    "final_state": lambda s, d: state.final_state(_snapshots(s, d)),
+    "checkpoints": lambda s, d: state.checkpoints(_kept(s, d, "chapter")),
+    "final_state": lambda s, d: state.final_state(_kept(s, d, "work")),
     "prefix_consistency": _prefixes,
     "state_view": lambda s, d: state.render_state_view(_snapshots(s, d)).select("work_id", "ord", "view"),
     "stream_state": _streamed,
@@ -232,11 +247,11 @@ QUERIES = {
     "reading_locations": lambda s, d: views.reading_locations(fx.talk_units(s, d)),
     "get_units": _picked,
     "get_range": _ranges,
-    "progressive_view": lambda s, d: views.progressive_view(_snapshots(s, d), _readers(s, d)).drop("snapshot"),
-    "recap": lambda s, d: views.recap(_snapshots(s, d), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent")),
+    "progressive_view": lambda s, d: views.progressive_view(_read(s, d, _readers(s, d)), _readers(s, d)).drop("snapshot"),
+    "recap": lambda s, d: views.recap(_read(s, d, _readers(s, d)), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent")),
     "entity_history": _history,
     "plotline_history": _plots,
-    "entity_current": lambda s, d: views.entity_current(_snapshots(s, d), _requests(s, d, ["vie", "clicks"])),
+    "entity_current": _current,
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
     "search_vector": _vectors,

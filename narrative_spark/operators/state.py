@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -144,34 +144,75 @@ def joined(events: list[dict]) -> str:
     return "；".join(f"@{e['order']} {e['text']}" for e in events)[:DIGEST]
 
 
-def fold_rows(story: Story, frame: pd.DataFrame, compress: Callable[[list[dict]], str], last: bool) -> list[tuple]:
-    """(work_id, ord, chapter_idx, snapshot, fingerprint, degraded) for units in order; last: the work ends with them."""
-    out = []
-    rows = frame.to_dict("records")
+def fold_rows(story: Story, rows: list[dict], compress: Callable[[list[dict]], str], last: bool, after: int | None, keep: str = "unit") -> Iterator[tuple]:
+    """(work_id, ord, chapter_idx, snapshot, fingerprint, degraded) for units in order; last: the work ends with them, else after is the next unit's chapter.
+
+    keep: the units whose snapshots are written: each "unit", the last of each run of a "chapter", the last of a "work", or those "marked"."""
     for k, row in enumerate(rows):
         if not row["degraded"]:
             event = row["recent_event"]
             story.apply(int(row["ord"]), [dict(x) for x in (row["entity_updates"] if row["entity_updates"] is not None else [])], [dict(x) for x in (row["plotline_updates"] if row["plotline_updates"] is not None else [])], str((event or {}).get("text") or ""))
-        ends = last if k + 1 == len(rows) else rows[k + 1]["chapter_idx"] != row["chapter_idx"]
+        final = last and k + 1 == len(rows)
+        ends = final or (after if k + 1 == len(rows) else rows[k + 1]["chapter_idx"]) != row["chapter_idx"]
         if ends:
             story.archive(compress)
-        text = story.snapshot()
-        out.append((row["work_id"], int(row["ord"]), int(row["chapter_idx"]), text, hashlib.sha256(text.encode()).hexdigest(), bool(row["degraded"])))
-    return out
+        if {"unit": True, "chapter": ends, "work": final, "marked": bool(row.get("marked"))}[keep]:
+            text = story.snapshot()
+            yield row["work_id"], int(row["ord"]), int(row["chapter_idx"]), text, hashlib.sha256(text.encode()).hexdigest(), bool(row["degraded"])
 
 
 SNAPSHOTS = "work_id string, ord long, chapter_idx int, snapshot string, fingerprint string, degraded boolean"
 _NAMES = [x.split()[0] for x in SNAPSHOTS.split(", ")]
-
-
-def fold_state(units: DataFrame, compress: Callable[[list[dict]], str] = joined) -> DataFrame:
-    """A snapshot and its fingerprint for every unit: works side by side, a work's units in order in one task, as each needs the state before it."""
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("ord", kind="stable")
-        return pd.DataFrame(fold_rows(Story(frame["work_id"].iloc[0]), frame, compress, True), columns=_NAMES)
-
-    return units.select("work_id", "ord", "chapter_idx", "entity_updates", "plotline_updates", "recent_event", F.coalesce("degraded", F.lit(False)).alias("degraded")).groupBy("work_id").applyInPandas(fold, SNAPSHOTS)
+#: Letters of snapshots that a task holds before it hands them on.
+HANDED = 4_000_000
+
+
+def fold_state(units: DataFrame, compress: Callable[[list[dict]], str] = joined, keep: str = "unit", marked: DataFrame | None = None) -> DataFrame:
+    """A snapshot and its fingerprint for every unit, or for those that keep names (fold_rows); marked: work_id, ord of the units for keep "marked".
+
+    Works side by side, a work's units in order in one task, as each needs the state before it; Spark sorts them, and the task holds one
+    state and one batch of units, whatever the size of the work.
+    """
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        story, held = None, []
+        out, size = [], 0
+
+        def folded(rows: list[dict]) -> Iterator[tuple]:
+            """The rows, but for the last one, which waits for its successor."""
+            nonlocal story, held
+            start = 0
+            for k in range(1, len(rows) + 1):
+                ended = k < len(rows) and rows[k]["work_id"] != rows[start]["work_id"]
+                if not ended and k < len(rows):
+                    continue
+                story = story or Story(rows[start]["work_id"])
+                if ended:
+                    yield from fold_rows(story, rows[start:k], compress, True, None, keep)
+                    story, start = None, k
+                else:
+                    held = rows[k - 1 :]
+                    yield from fold_rows(story, rows[start : k - 1], compress, False, held[0]["chapter_idx"], keep)
+
+        def rest() -> Iterator[tuple]:
+            for frame in frames:
+                yield from folded(held + frame.to_dict("records"))
+            if held:
+                yield from fold_rows(story, held, compress, True, None, keep)
+
+        for row in rest():
+            out.append(row)
+            size += len(row[3])
+            if size >= HANDED:
+                yield pd.DataFrame(out, columns=_NAMES)
+                out, size = [], 0
+        yield pd.DataFrame(out, columns=_NAMES)
+
+    columns = ["work_id", "ord", "chapter_idx", "entity_updates", "plotline_updates", "recent_event", F.coalesce("degraded", F.lit(False)).alias("degraded")]
+    rows = units.select(*columns)
+    if marked is not None:
+        rows = rows.join(marked.select("work_id", "ord").distinct().withColumn("marked", F.lit(True)), ["work_id", "ord"], "left").withColumn("marked", F.coalesce("marked", F.lit(False)))
+    return rows.repartition("work_id").sortWithinPartitions("work_id", "ord").mapInPandas(fold, SNAPSHOTS)
 
 
 def checkpoints(snapshots: DataFrame) -> DataFrame:

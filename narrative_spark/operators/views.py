@@ -81,6 +81,13 @@ def as_of(snapshots: DataFrame, readers: DataFrame) -> DataFrame:
     return both.where("side = 1").select("reader_id", "work_id", F.col("at").alias("max_order"), "row.*")
 
 
+def read_units(units: DataFrame, readers: DataFrame) -> DataFrame:
+    """work_id, ord of the units that as_of finds for readers (work_id, max_order): the last one at or before each position."""
+    asked = readers.select("work_id", "max_order").distinct()
+    seen = units.where("ord > 0").select("work_id", "ord").join(asked, "work_id").where(F.col("ord") <= F.col("max_order"))
+    return seen.groupBy("work_id", "max_order").agg(F.max("ord").alias("ord")).select("work_id", "ord").distinct()
+
+
 def progressive_view(snapshots: DataFrame, readers: DataFrame) -> DataFrame:
     """One row for each reader: status ok, invalid or unavailable, reason, snapshot order and snapshot. No older snapshot stands in for a bad one."""
     seen = as_of(validate_snapshots(snapshots), readers)

@@ -107,6 +107,26 @@ def test_fold_follows_aliases_and_skips_degraded_units(spark):
     assert got[6]["backdrop"] == "" and got[7]["backdrop_buffer"] == [{"order": 1, "text": "e1"}] and got[8]["backdrop"] == "@1 e1"
 
 
+def test_fold_holds_a_batch_and_writes_only_the_asked_snapshots(spark):
+    copies = deltas(spark).drop("work_id").crossJoin(spark.createDataFrame([(f"w{k}",) for k in range(7)], "work_id string"))
+    want = {}
+    by_work: dict[str, list[dict]] = {}
+    for r in copies.orderBy("work_id", "ord").collect():
+        by_work.setdefault(r.work_id, []).append(r.asDict(recursive=True))
+    for work, rows in by_work.items():
+        want |= {(r[0], r[1]): r[3] for r in state.fold_rows(state.Story(work), rows, state.joined, True, None)}
+    marked = copies.where("ord in (2, 5)").select("work_id", "ord")
+    for size in ("1", "2", "3", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            for keep, orders in (("unit", range(1, 9)), ("chapter", (6, 8)), ("work", (8,)), ("marked", (2, 5))):
+                made = state.fold_state(copies, keep=keep, marked=marked if keep == "marked" else None)
+                assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().toString()
+                assert {(r.work_id, r.ord): r.snapshot for r in made.collect()} == {k: v for k, v in want.items() if k[1] in orders}
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_stream_waits_for_gaps_and_drops_late_units(spark, tmp_path):
     rows = fold.as_stream_rows(deltas(spark)).cache()
     for name, orders in (("a", [2, 1]), ("b", [2, 4]), ("c", [3, 5, 6, 7, 8])):
