@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,8 +102,8 @@ def _read(spark: SparkSession, d: str, readers: DataFrame) -> DataFrame:
     return stages.stored(state.fold_state(units, keep="marked", marked=views.read_units(units, readers)), "snapshots")
 
 
-def _current(spark: SparkSession, d: str) -> DataFrame:
-    asked = _requests(spark, d, ["vie", "clicks"])
+def _current(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    asked = _requests(spark, d, ["vie", "clicks"], whole)
     return views.entity_current(_read(spark, d, asked), asked)
 
 
@@ -116,23 +118,24 @@ def _readers(spark: SparkSession, d: str) -> DataFrame:
     return works.withColumn("reader_id", F.concat_ws("-", "work_id", F.col("max_order").cast("string")))
 
 
-def _requests(spark: SparkSession, d: str, names: list[str]) -> DataFrame:
+def _requests(spark: SparkSession, d: str, names: list[str], whole: bool = False) -> DataFrame:
+    """Names asked of each work up to order 40, or of all its units."""
     asked = F.explode(F.array(*[F.lit(n) for n in names])).alias("name")
     works = fx.delta_units(spark, d).select("work_id").distinct().select("work_id", asked)
-    return works.withColumns({"request_id": F.concat_ws("-", "work_id", "name"), "max_order": F.lit(40)})
+    return works.withColumns({"request_id": F.concat_ws("-", "work_id", "name"), "max_order": F.lit(2**62 if whole else 40)})
 
 
-def _history(spark: SparkSession, d: str) -> DataFrame:
-    return views.entity_history(fx.delta_units(spark, d), _requests(spark, d, ["vie", "clicks", "up"])).select("request_id", "work_id", "ord", "unit_id", "update.name")
+def _history(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    return views.entity_history(fx.delta_units(spark, d), _requests(spark, d, ["vie", "clicks", "up"], whole)).select("request_id", "work_id", "ord", "unit_id", "update.name")
 
 
-def _plots(spark: SparkSession, d: str) -> DataFrame:
-    return views.plotline_history(fx.delta_units(spark, d), _requests(spark, d, ["k3", "k"])).select("request_id", "work_id", "ord", "unit_id", "update.title")
+def _plots(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    return views.plotline_history(fx.delta_units(spark, d), _requests(spark, d, ["k3", "k"], whole)).select("request_id", "work_id", "ord", "unit_id", "update.title")
 
 
-def _picked(spark: SparkSession, d: str) -> DataFrame:
+def _picked(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     units = stages.stored(fx.units(spark, d), "units")
-    return views.get_units(units, units.where("ord % 50 = 7")).select("work_id", "unit_id", "ord", "text")
+    return views.get_units(units, units if whole else units.where("ord % 50 = 7")).select("work_id", "unit_id", "ord", "text")
 
 
 def _ranges(spark: SparkSession, d: str) -> DataFrame:
@@ -142,10 +145,18 @@ def _ranges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _prefixes(spark: SparkSession, d: str) -> DataFrame:
-    """The fold of the first units of each work against the fold of all of them."""
+    """The fold of the first units of each work, by number and by share up to all of them, against the fold of all of them."""
     units, fields = fx.delta_units(spark, d), ["snapshot", "fingerprint"]
-    runs = [state.fold_state(units.where(F.col("ord") <= p)).where(F.col("ord") < p).withColumn("prefix", F.lit(p)) for p in (5, 20, 40)]
-    return state.prefix_consistency(_snapshots(spark, d), runs[0].unionByName(runs[1]).unionByName(runs[2]), fields)
+    ends = units.groupBy("work_id").agg(F.max("ord").alias("last"))
+    places = [F.lit(p).cast("long") for p in (5, 20, 40)] + [F.ceil(F.col("last") * share) for share in (0.5, 0.75, 1.0)]
+    runs = []
+    for k, place in enumerate(places):
+        upto = ends.where(~place.isin(places[:k])) if k else ends
+        upto = upto.select("work_id", "last", place.alias("prefix"))
+        first = units.join(upto, "work_id").where(F.col("ord") <= F.col("prefix"))
+        # A prefix ends its chapter early; its last unit counts only where the work ends too.
+        runs.append(state.fold_state(first).join(upto, "work_id").where((F.col("ord") < F.col("prefix")) | (F.col("ord") == F.col("last"))).drop("last"))
+    return state.prefix_consistency(_snapshots(spark, d), reduce(DataFrame.unionByName, runs), fields)
 
 
 def _vectors(spark: SparkSession, d: str, bounded: bool = True) -> DataFrame:
@@ -252,6 +263,10 @@ QUERIES = {
     "entity_history": _history,
     "plotline_history": _plots,
     "entity_current": _current,
+    "get_units_whole": lambda s, d: _picked(s, d, whole=True),
+    "entity_history_whole": lambda s, d: _history(s, d, whole=True),
+    "plotline_history_whole": lambda s, d: _plots(s, d, whole=True),
+    "entity_current_whole": lambda s, d: _current(s, d, whole=True),
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
     "search_vector": _vectors,

@@ -178,3 +178,4 @@ WHOLE_QUERIES = """
 queries AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, text AS query, CAST(NULL AS BIGINT) AS max_order FROM benchmark)
 """
 ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(QUERIES, WHOLE_QUERIES) for name in ("analyze_queries", "search_bm25", "search_scan", "search", "search_diagnostics", "evaluate_retrieval")}
+ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(" ord <= 40 AND", "").replace(" WHERE ord % 50 = 7", "") for name in ("get_units", "entity_history", "plotline_history")}
