@@ -16,10 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Keys that may count as hot, and rows that a key may have without counting as hot.
+HOT_KEYS, HOT_ROWS = 10_000, 10_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where it is unset, a local session (tests) gets one of its own; a cluster has none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -56,6 +62,26 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def natural(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns only, so that clashing extra columns can't get in the way."""
-    return df.select(*[df[c] for c in columns])
+def unused(columns: list[str], wish: str) -> str:
+    """wish, or wish with as many underscores behind it as it takes to be none of columns (case counts for nothing)."""
+    taken = {c.lower() for c in columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def join_dealt(rows: DataFrame, one: DataFrame, key: str, count: str, by: Column, how: str = "left") -> DataFrame:
+    """rows joined on key with one, which has a row for each key and in count how many of rows have it; key and count are dropped from one.
+
+    A hot key has more than HOT_ROWS rows and more than a HOT_KEYS-th of all, so that there are HOT_KEYS of them at most: these few
+    are sent to all tasks, their rows are dealt to shares by the hash of by, and only their row in one is repeated.
+    """
+    total = one.agg(F.sum(count)).first()[0] or 0
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    taken = [*rows.columns, *one.columns]
+    shares, salt = unused(taken, "shares"), unused(taken, "salt")
+    dealt = one.withColumn(shares, F.greatest(F.lit(1), F.ceil(F.col(count) / most)).cast("int"))
+    hot = F.broadcast(dealt.where(F.col(shares) > 1).select(key, shares))
+    left = rows.join(hot, key, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(shares, F.lit(1))).cast("int")).drop(shares)
+    right = dealt.withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(shares) - 1))).drop(shares, count)
+    return left.join(right, [key, salt], how).drop(salt)

@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import spans, weak
-from narrative_spark.llm.common import let, materialize, text_or_empty
+from narrative_spark.llm.common import materialize, text_or_empty, unused
 
 BASE = ("email", "ip", "card", "phone")
 MORE = ("local_phone", "ssn", "iban", "number")
 KINDS = (*BASE, *MORE)
-KEEP, PRIOR, YES, NO, CONTEXT = 0.5, 0.7, 0.8, 0.7, 32
-#: Forms that the base kinds are found by. Possessive runs and the look-behinds change no match: they only spare second tries inside a run.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+KEEP, PRIOR, YES, NO = 0.5, 0.7, 0.8, 0.7
+#: Forms that the base kinds are found by. Possessive runs and the look-behinds change no match: they only spare second tries inside a run, and a stack that grows with it.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -37,21 +37,35 @@ FOR_WORDS = r"(?i)(?:e-?mail|contact|write to|reach|call|phone|tel|mobile|fax|wh
 AGAINST_WORDS = r"(?i)(?:version|release|build|isbn|order|invoice|sku|sha|hash|commit|id|no\.|nr\.|ref)[\x20:#=]{0,3}$"
 
 
-def _candidates(text: Column) -> list[tuple[str, Column]]:
+def _found(text: Column) -> dict[str, Column]:
+    """Spans of each pattern, with what stands before them."""
     digit = text.rlike("[0-9]")
+    where = {
+        "email": (EMAIL, text.contains("@")),
+        "ip": (IP, digit & text.contains(".")),
+        "chain": (CARD, digit),
+        "phone": (PHONE, text.contains("+")),
+        "local_phone": (LOCAL_PHONE, digit),
+        "ssn": (SSN, digit & text.contains("-")),
+        "iban": (IBAN, digit & text.rlike("[A-Z]{2}[0-9]{2}")),
+    }
+    return {name: spans.matches(text, pattern, only_if, before=True) for name, (pattern, only_if) in where.items()}
+
+
+def _candidates(found: dict[str, Column]) -> dict[str, Column]:
+    """Spans of each kind."""
     luhn = lambda s: F.call_function("luhn_check", F.regexp_replace(s["text"], r"[\x20-]", ""))
     digits = lambda s: F.length(F.regexp_replace(s["text"], "[^0-9]", ""))
-    chains = spans.matches(text, CARD, digit)
-    return [
-        ("email", spans.matches(text, EMAIL, text.contains("@"))),
-        ("ip", F.filter(spans.matches(text, IP, digit & text.contains(".")), lambda s: s["text"].rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"))),
-        ("card", F.filter(chains, lambda s: digits(s).between(13, 19) & luhn(s))),
-        ("phone", F.filter(spans.matches(text, PHONE, text.contains("+")), lambda s: digits(s).between(9, 15))),
-        ("local_phone", spans.matches(text, LOCAL_PHONE, digit)),
-        ("ssn", spans.matches(text, SSN, digit & text.contains("-"))),
-        ("iban", spans.matches(text, IBAN, digit & text.rlike("[A-Z]{2}[0-9]{2}"))),
-        ("number", F.filter(chains, lambda s: digits(s).between(13, 19) & ~luhn(s))),
-    ]
+    return {
+        "email": found["email"],
+        "ip": F.filter(found["ip"], lambda s: s["text"].rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")),
+        "card": F.filter(found["chain"], lambda s: digits(s).between(13, 19) & luhn(s)),
+        "phone": F.filter(found["phone"], lambda s: digits(s).between(9, 15)),
+        "local_phone": found["local_phone"],
+        "ssn": found["ssn"],
+        "iban": found["iban"],
+        "number": F.filter(found["chain"], lambda s: digits(s).between(13, 19) & ~luhn(s)),
+    }
 
 
 def _votes(kind: str, s: Column, before: Column) -> list[Column]:
@@ -62,7 +76,7 @@ def _votes(kind: str, s: Column, before: Column) -> list[Column]:
     yes_no = lambda c: F.when(c, 1).otherwise(0)
     form, names, sums = none, none, none
     if kind == "email":
-        form = yes_no(x.rlike(r"^[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?!\.))*@.*\.[A-Za-z]{2,}$"))
+        form = yes_no(x.rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]*\.[A-Za-z]{2,}$") & ~F.substring_index(x, "@", 1).contains(".."))
         names = F.when(F.lower(F.substring_index(x, ".", -1)).isin(DOMAINS), 1)
     elif kind == "ip":
         form = yes_no(~x.rlike(r"(?:^|\.)0[0-9]"))
@@ -88,58 +102,67 @@ def _votes(kind: str, s: Column, before: Column) -> list[Column]:
 VOTERS = 5
 
 
-def _features(kind: str, s: Column, before: Column) -> Column:
-    """Names of what the classifier goes by: the kind with each property, so that kinds are learned apart."""
-    votes = F.transform(F.array(*_votes(kind, s, before)), lambda v, i: F.concat(F.lit(kind + "/vote"), i.cast("string"), F.lit("="), F.coalesce(v.cast("string"), F.lit("-"))))
-    size = F.concat(F.lit(kind + "/size="), F.floor(F.length(s["text"]) / 4).cast("string"))
-    sign = F.concat(F.lit(kind + "/before="), F.when(F.length(before) == 0, "start").when(before.rlike(r"[\x20\n]$"), "space").when(before.rlike("[:=(<\"']$"), "mark").otherwise("other"))
-    return F.array_union(votes, F.array(F.lit(kind), size, sign))
+#: Places of a kind's features in the table of weights: the kind itself, three values of each vote, lengths by four code points (the last stands for all longer ones), the sign before.
+LENGTHS, SIGNS = 24, 4
+WIDTH = 1 + 3 * VOTERS + LENGTHS + SIGNS
+
+
+def _features(kind: str, s: Column, votes: Column) -> Column:
+    """Numbers of what the classifier goes by, each kind's apart."""
+    first, before = KINDS.index(kind) * WIDTH, s["before"]
+    voted = F.transform(votes, lambda v, j: F.lit(first + 1) + 3 * j + F.coalesce(v + 1, F.lit(0)))
+    size = first + 1 + 3 * VOTERS + F.least(F.floor(F.length(s["text"]) / 4).cast("int"), F.lit(LENGTHS - 1))
+    sign = first + 1 + 3 * VOTERS + LENGTHS + F.when(F.length(before) == 0, 0).when(before.rlike(r"[\x20\n]$"), 1).when(before.rlike("[:=(<\"']$"), 2).otherwise(3)
+    return F.concat(F.array(F.lit(first)), voted, F.array(size, sign))
 
 
 def propose(docs: DataFrame, text_col: str, out: str) -> DataFrame:
-    """docs with base (spans of the base kinds) and more (candidates, the base kinds' spans among them) in a struct out."""
-    text = text_or_empty(text_col)
-    arrays = [(kind, found) for kind, found in _candidates(text)]
-    made = docs.withColumns({f"{out}_{kind}": found for kind, found in arrays})
+    """docs with base (spans of the base kinds) and more (candidates outside them) in a struct out."""
+    held, named = unused([*docs.columns, out], "pii__found"), unused([*docs.columns, out], "pii__kinds")
+    made = docs.withColumn(held, F.struct(*[c.alias(k) for k, c in _found(text_or_empty(text_col)).items()]))
 
-    def rows(kind: str) -> Column:
+    def rows(kind: str, spans_: Column) -> Column:
         def row(s: Column) -> Column:
-            start = F.greatest(s["start"] - CONTEXT, F.lit(0).cast("long"))
-            before = F.substring(text, (start + 1).cast("int"), (s["start"] - start).cast("int"))
-            return let(before, lambda b: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.array(*_votes(kind, s, b)).alias("votes"), _features(kind, s, b).alias("features")))
+            votes = F.array(*_votes(kind, s, s["before"]))
+            return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), votes.alias("votes"), _features(kind, s, votes).alias("features"))
 
-        return F.transform(F.col(f"{out}_{kind}"), row)
+        return F.transform(spans_, row)
 
-    made = made.withColumns({f"{out}_{kind}": rows(kind) for kind, _ in arrays})
-    base = F.concat(*[F.col(f"{out}_{kind}") for kind in BASE])
-    more = F.concat(*[F.col(f"{out}_{kind}") for kind in MORE])
+    kinds = _candidates({k: F.col(held)[k] for k in ("email", "ip", "chain", "phone", "local_phone", "ssn", "iban")})
+    made = made.withColumn(named, F.struct(*[rows(kind, kinds[kind]).alias(kind) for kind in KINDS]))
+    base, more = (F.concat(*[F.col(named)[kind] for kind in some]) for some in (BASE, MORE))
     return made.select(*docs.columns, F.struct(base.alias("base"), spans.outside(more, base).alias("more")).alias(out))
 
 
-def train(proposed: DataFrame, out: str) -> dict[str, float]:
-    """Log-odds of each feature ('' is the prior), learned from the labelers' posteriors. There are a few hundred features whatever the corpus."""
+def train(proposed: DataFrame, out: str) -> tuple[float, list[float]]:
+    """(prior log-odds, log-odds of each feature), learned from the labelers' posteriors. There are WIDTH features of each kind, whatever the corpus."""
     each = proposed.select(F.explode(F.concat(F.col(out)["base"], F.col(out)["more"])).alias("s"))
     counted = each.groupBy(F.col("s.votes").alias("votes")).agg(F.count(F.lit(1)).alias("n"))
     model = weak.fitted(weak.fit(counted, VOTERS, PRIOR, YES, NO))
     p = weak.probability([F.col("s.votes")[j] for j in range(VOTERS)], model)
-    sums = each.select(p.alias("p"), F.explode(F.concat(F.array(F.lit("")), F.col("s.features"))).alias("feature")).groupBy("feature").agg(F.sum("p").alias("yes"), F.count(F.lit(1)).alias("n")).collect()
-    whole = next(((r.yes, r.n) for r in sums if not r.feature), (0.0, 0))
-    yes, no = whole[0] + 1, whole[1] - whole[0] + 1
-    return {"": round(log(yes / no), 6)} | {r.feature: round(log(((r.yes + 0.5) / yes) / ((r.n - r.yes + 0.5) / no)), 6) for r in sums if r.feature}
+    sums = each.select(p.alias("p"), F.explode(F.concat(F.array(F.lit(-1)), F.col("s.features"))).alias("feature")).groupBy("feature").agg(F.sum("p").alias("yes"), F.count(F.lit(1)).alias("n")).collect()
+    seen = {r.feature: (r.yes, r.n) for r in sums}
+    yes, n = seen.pop(-1, (0.0, 0))
+    no, yes = n - yes + 1, yes + 1
+    odds = [0.0] * (WIDTH * len(KINDS))
+    for feature, (y, n) in seen.items():
+        odds[feature] = round(log(((y + 0.5) / yes) / ((n - y + 0.5) / no)), 6)
+    return round(log(yes / no), 6), odds
 
 
 def find(docs: DataFrame, text_col: str = "text", result: str = "pii", keep: list[str] | None = None) -> DataFrame:
     """docs (the columns in keep, or all) with a struct result: base and all, arrays of kind, start, end by kind, then start.
 
-    Null and empty texts have no spans; ties (a span proposed twice, probability just at KEEP) keep the base kind and count as personal; repeated rows
-    are handled each for itself; an empty table gives an empty result; other columns pass through, and result must be a new name.
+    Null and empty texts have no spans; very long texts, words and lists of spans are read whole, in time near their length; ties (a
+    span proposed twice, probability just at KEEP) keep the base kind and count as personal; repeated rows are handled each for
+    itself; an empty table gives an empty result; other columns pass through whatever their names, but result must be a new one.
     """
     carried = docs.columns if keep is None else keep
     proposed = materialize(propose(docs, text_col, result).select(*carried, result), "pii")
-    weights = train(proposed, result)
-    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
+    prior, odds = train(proposed, result)
+    table = F.array(*[F.lit(x) for x in odds])
     base, more = F.col(result)["base"], F.col(result)["more"]
-    score = lambda s: F.aggregate(s["features"], F.lit(weights[""]), lambda t, f: t + F.coalesce(F.try_element_at(table, f), F.lit(0.0)))
+    score = lambda s: F.aggregate(s["features"], F.lit(prior), lambda t, f: t + F.get(table, f))
     plain = lambda a: F.transform(a, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     added = F.filter(more, lambda s: score(s) >= log(KEEP / (1 - KEEP)))
     return proposed.select(*carried, F.struct(plain(base).alias("base"), F.concat(plain(base), plain(added)).alias("all")).alias(result))
@@ -155,7 +178,8 @@ def _count(base: Column, kind: str) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with every span of personal data replaced by its kind in brackets; texts without any are as they were."""
-    found = find(docs, text_col, "pii__found")
-    text = spans.replaced(F.col(text_col), F.col("pii__found")["all"])
+    """docs with every span of personal data replaced by its kind in brackets; texts without any, and null ones, are as they were. Else as find."""
+    found_col = unused(docs.columns, "pii__redact")
+    found = find(docs, text_col, found_col)
+    text = spans.replaced(F.col(text_col), F.col(found_col)["all"])
     return found.select(*[text.alias(c) if c == text_col else found[c] for c in docs.columns])

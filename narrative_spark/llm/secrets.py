@@ -12,14 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import spans
-from narrative_spark.llm.common import materialize, text_or_empty
+from narrative_spark.llm.common import join_dealt, materialize, text_or_empty, unused
 
 BASE = ("assign", "access", "hex")
 MORE = ("prefixed", "jwt", "pem", "opaque")
 #: A value under more owners, or in more repositories, is an example.
 MAX_OWNERS, MAX_REPOS = 1, 3
-#: Shares that a hash's rows are dealt to, as one value may stand in a third of all documents.
-SALTS = 16
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: The same matches as of AKIA[A-Z0-9]+ and [0-9a-f]+ with their least lengths: both take a whole run from its first place.
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
@@ -50,48 +48,47 @@ def _candidates(text: Column) -> list[tuple[str, Column]]:
 
 def propose(docs: DataFrame, text_col: str, out: str) -> DataFrame:
     """docs with an array out of candidates: rank (place of the kind), kind, start, end, hash, plain (a placeholder or a value of few signs)."""
-    text = text_or_empty(text_col)
-    found = _candidates(text)
-    made = docs.withColumns({f"{out}_{kind}": x for kind, x in found})
+    found, held = _candidates(text_or_empty(text_col)), unused([*docs.columns, out], "secrets__kinds")
 
-    def rows(rank: int, kind: str) -> Column:
+    def rows(rank: int, kind: str, spans_: Column) -> Column:
         def row(s: Column) -> Column:
             value = _value(kind, s["text"])
             plain = value.rlike(PLACEHOLDER) | (F.size(F.array_distinct(F.split(value, ""))) < 8)
             return F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.sha2(value, 256).alias("hash"), plain.alias("plain"))
 
-        return F.transform(F.col(f"{out}_{kind}"), row)
+        return F.transform(spans_, row)
 
-    made = made.withColumns({f"{out}_{kind}": rows(k, kind) for k, (kind, _) in enumerate(found)})
-    base = F.concat(*[F.col(f"{out}_{kind}") for kind in BASE])
-    more = F.concat(*[F.col(f"{out}_{kind}") for kind in MORE])
+    made = docs.withColumn(held, F.struct(*[rows(k, kind, x).alias(kind) for k, (kind, x) in enumerate(found)]))
+    base, more = (F.concat(*[F.col(held)[kind] for kind in some]) for some in (BASE, MORE))
     return made.select(*docs.columns, F.concat(base, spans.outside(more, base)).alias(out))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """hash, n_repos, n_owners from rows of hash, owner, repo; counted in three steps, so that no key gathers its rows."""
+    """hash, n_rows, n_repos, n_owners from rows of hash, owner, repo; counted in three steps, so that no key gathers its rows."""
     repos = candidates.groupBy("hash", "owner", "repo").agg(F.count(F.lit(1)).alias("rows"))
-    owners = repos.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    return owners.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    owners = repos.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("rows").alias("rows"))
+    return owners.groupBy("hash").agg(F.sum("rows").alias("n_rows"), F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
 def find(docs: DataFrame, owner_col: str, repo_col: str, text_col: str = "text", result: str = "secrets", keep: list[str] | None = None, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """docs (the columns in keep, or all) with an array result: kind, start, end, hash, n_repos, n_owners, live, by start, then kind.
 
-    Null and empty texts have no spans; a null owner or repository counts as one of its own; repeated rows are handled each for itself
-    and count as one repository; an empty table gives an empty result; other columns pass through, and
-    result must be a new name.
+    Null and empty texts have no spans; very long texts, words and lists of spans are read whole, in time near their length; spans
+    that start at one place come in the order of BASE and MORE; a null owner or repository counts as one of its own; repeated rows
+    are handled each for itself and count as one repository; an empty table gives an empty result; other columns pass through
+    whatever their names, but result must be a new one.
     """
     carried = docs.columns if keep is None else keep
-    row, owner, repo = f"{result}_row", f"{result}_owner", f"{result}_repo"
+    row, owner, repo = (unused([*docs.columns, result], f"secrets__{x}") for x in ("row", "owner", "repo"))
     named = docs.withColumns({row: F.monotonically_increasing_id(), owner: F.col(owner_col).cast("string"), repo: F.col(repo_col).cast("string")})
     proposed = materialize(propose(named, text_col, result).select(*carried, row, owner, repo, result), "secrets")
     each = proposed.select(F.col(row).alias("row"), F.col(owner).alias("owner"), F.col(repo).alias("repo"), F.explode(result).alias("s")).select("row", "owner", "repo", "s", F.col("s.hash").alias("hash"))
-    known = ownership(each.select("hash", "owner", "repo")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    each = each.select("row", "s", "hash", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt")).join(known, ["hash", "salt"])
+    known = materialize(ownership(each.select("hash", "owner", "repo")), "owners")
+    each = join_dealt(each.select("row", "s", "hash"), known, "hash", "n_rows", F.col("row"), "inner")
     live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos) & ~F.col("s.plain")
     kept = each.withColumn("live", live).where((F.col("s.rank") < len(BASE)) | F.col("live"))
     one = F.struct("s.start", "s.rank", "s.end", "s.kind", "s.hash", "n_repos", "n_owners", "live")
-    by_row = kept.groupBy(F.col("row").alias(f"{row}_found")).agg(F.sort_array(F.collect_list(one)).alias("found"))
-    shown = F.transform(F.coalesce("found", F.array().cast(by_row.schema["found"].dataType)), lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "hash", "n_repos", "n_owners", "live")]))
-    return proposed.drop(owner, repo, result).join(by_row, F.col(row) == F.col(f"{row}_found"), "left").select(*carried, shown.alias(result))
+    # A row's spans are bounded by its text.
+    by_row = kept.groupBy(F.col("row").alias(f"{row}_of")).agg(F.sort_array(F.collect_list(one)).alias(f"{row}_found"))
+    shown = F.transform(F.coalesce(f"{row}_found", F.array().cast(by_row.schema[f"{row}_found"].dataType)), lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "hash", "n_repos", "n_owners", "live")]))
+    return proposed.drop(owner, repo, result).join(by_row, F.col(row) == F.col(f"{row}_of"), "left").select(*carried, shown.alias(result))

@@ -15,7 +15,7 @@ from tests.oracle import both
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Names that operators use inside.
-CLASHES = ["id", "row", "key", "label", "words", "hash", "size", "kind", "base", "salt", "task", "n", "votes", "file", "block"]
+CLASHES = ["shares", "found", "hot", "owner", "repo", "path", "id", "row", "key", "label", "words", "hash", "size", "kind", "base", "salt", "task", "n", "votes", "file", "block"]
 
 
 def lower(text):
@@ -149,6 +149,67 @@ def test_base_spans_of_secrets(spark, texts):
         assert r.s == ",".join(base_secrets(every[r.doc_id])), r
 
 
+#: Texts that make patterns recurse, spans crowd, or runs never end.
+HARD = {
+    "labels": "x@b" + ".b" * 100_000,
+    "local part": "a" * 100_000 + "@b.com",
+    "digits": "7" * 100_000,
+    "signs": "+1 " * 30_000 + "." * 30_000,
+    "mails": "mail a@b.co " * 20_000,
+    "numbers": "1.2.3.4 +1 (222) 333-4444 " * 10_000,
+    "wide": "😀a" * 50_000 + " a@b.co 10.0.0.1 token=abcdefgh",
+    "secrets": ("token=abcdefg1 " + "ab12" * 8 + " ") * 10_000,
+}
+
+
+def cut_out(text, spans_):
+    """Brute force of redaction."""
+    out, at = [], 0
+    for start, end, kind in sorted(spans_):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_long_words_and_many_spans(spark):
+    df = spark.createDataFrame([(k, t, "o") for k, t in HARD.items()], "doc_id string, text string, source string").repartition(4)
+    found = {r.doc_id: r.pii for r in pii.find(df).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for k, t in HARD.items():
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in found[k].base] == base_pii(t), k
+        assert clean[k] == cut_out(t, [(s.start, s.end, s.kind) for s in found[k].all]), k
+    for r in secrets.find(df, "source", "doc_id").collect():
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in r.secrets if s.kind in secrets.BASE] == base_secrets(HARD[r.doc_id]), r.doc_id
+
+
+def test_pieces_and_overlaps(spark):
+    draw = np.random.default_rng(8)
+    text = "".join(draw.choice(list("aé😀 "), 5000))
+    cuts = np.sort(draw.integers(0, 5001, (200, 2)), 1).tolist() + [[0, 1024], [1024, 2048], [0, 5000], [7, 7], [1023, 1025]]
+    a, b = ([(int(x), int(x + n)) for x, n in zip(draw.integers(0, 900, 60), draw.integers(1, 12, 60), strict=True)] for _ in range(2))
+    df = spark.createDataFrame([(text, cuts, a, b)], "t string, c array<array<int>>, a array<struct<start:long,end:long>>, b array<struct<start:long,end:long>>")
+    ranges = F.transform("c", lambda x: F.struct(x[0].cast("long").alias("start"), x[1].cast("long").alias("end")))
+    row = df.select(spans.pieces(F.col("t"), ranges).alias("p"), spans.outside(F.col("a"), F.col("b")).alias("o"), spans.running(F.transform("a", lambda x: x["start"]), lambda x, y: x + y).alias("r")).first()
+    assert row.p == [text[x:y] for x, y in cuts]
+    assert [(s.start, s.end) for s in row.o] == [s for s in a if not any(s[0] < o[1] and o[0] < s[1] for o in b)]
+    assert row.r == np.cumsum([x for x, _ in a]).tolist()
+
+
+def test_own_names_of_the_operators_stay(spark):
+    own = ["pii__found", "pii__kinds", "pii__redact", "secrets__kinds", "secrets__row", "secrets__row_of", "secrets__row_found", "near__row", "overlap__0", "main_path_host", "main_path_won"]
+    df = spark.createDataFrame([(1, "mail a@b.co token=abcdefgh", "o")], "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in own})
+    for got in (pii.find(df), pii.redact(df), secrets.find(df, "source", "doc_id"), near.keep_one(_same(df)), html.extract(df.withColumns({"url": F.lit("http://a.b"), "html": F.col("text")}))):
+        row = got.first()
+        assert all(row[c] == c for c in own)
+
+
+def _same(df):
+    from narrative_spark.llm.common import materialize
+
+    return materialize(df, "test")
+
+
 def test_ownership_tells_live_from_copied(spark):
     live, copied = "Zx9" + "aB3dE5gH7" * 4, "Qw8" + "xY2zA4bC6" * 4
     rows = [(1, f"see {live} here", "a"), (2, f"see {live} here", "a")] + [(10 + k, f"see {copied} here", f"o{k}") for k in range(6)]
