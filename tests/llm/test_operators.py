@@ -2,13 +2,17 @@
 
 import hashlib
 import re
+import time
 import zlib
+from collections import Counter
+from html.parser import HTMLParser
+from urllib.parse import urlsplit
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import components, decontaminate, fmindex, html, merkle, near, packing, pii, quality, queries, rules, secrets, separators, spans, weak
+from narrative_spark.llm import common, components, decontaminate, fmindex, html, merkle, near, packing, pii, quality, queries, rules, secrets, separators, spans, weak
 from narrative_spark.llm.tokens import UnitTokenizer, tokenizer_path
 from tests.oracle import both
 
@@ -323,7 +327,7 @@ PAGE = """<html><body><nav><a href=/>Home</a></nav><div class="cookie-notice">We
 
 
 def test_main_text_of_a_page():
-    text, path = html.cut(html.blocks(PAGE), [])
+    text, path = html.cut(html.read(PAGE), [])
     assert text == "Big news\n\nFirst para goes & goes on for long enough\n\nSecond para link text.\n\nOne\n\nTwo" and path == "html body div.content article"
 
 
@@ -342,7 +346,7 @@ def test_main_text_of_a_page():
 def test_text_beside_the_best_container_stays(inner, wanted, path):
     long = "Words of the story go on and on. " * 9
     page = f"<html><body><nav><a href=/>Home</a></nav>{inner}<footer>me</footer></body></html>".replace("LONG", long)
-    assert html.cut(html.blocks(page), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
+    assert html.cut(html.read(page), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
 
 
 @pytest.mark.parametrize(
@@ -355,7 +359,140 @@ def test_text_beside_the_best_container_stays(inner, wanted, path):
 )
 def test_headline_of_main_stays_with_its_article(inner, wanted, path):
     long = "Words of the story go on and on. " * 9
-    assert html.cut(html.blocks(f"<html><body>{inner}</body></html>".replace("LONG", long)), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
+    assert html.cut(html.read(f"<html><body>{inner}</body></html>".replace("LONG", long)), []) == ("\n\n".join(wanted).replace("LONG", long.strip()), path)
+
+
+@pytest.mark.parametrize(
+    ("inner", "wanted"),
+    [
+        ("<div class='wrap has-sidebar'><h1>T</h1><p>LONG</p><div class=sidebar><p>Other</p></div></div>", ["T", "LONG"]),
+        ("<div id=ad-free-content><p>LONG</p></div>", ["LONG"]),
+        ("<form id=aspnetForm><div class=a><h1>T</h1><p>LONG</p></div><div class=search><p>Find</p></div></form>", ["T", "LONG"]),
+        ("<div class=no-sidebar><div class=content-with-header><p>LONG</p></div></div>", ["LONG"]),
+        ("<article><div class=entry-header><h1>T</h1></div><p>LONG</p><form><p>Sign up</p></form></article>", ["T", "LONG"]),
+        ("<div class=header-and-main><main><h1>T</h1><p>LONG</p></main></div>", ["T", "LONG"]),
+        ("<article><header><div class=top><h1>T</h1></div><nav><h2>Parts</h2></nav></header><p>LONG</p></article>", ["T", "LONG"]),
+        ("<div class='post category-social'><p>LONG</p></div><div id=comments><article class=comment-body><p>MANY</p></article></div>", ["LONG"]),
+        ("<article><p>LONG</p></article><section class=related-posts><article><p>Another</p></article></section>", ["LONG"]),
+        ("<div class=siteHeader><p>Us</p></div><div class=text><p>LONG</p></div><div class=adSlot><p>Buy</p></div>", ["LONG"]),
+        ("<div class=sidebar><p>LONG</p></div>", ["LONG"]),
+    ],
+)
+def test_names_are_hints_only(inner, wanted):
+    long = "Words of the story go on and on. " * 9
+    page = f"<html><body><nav><a href=/>Home</a></nav>{inner}<footer>me</footer></body></html>".replace("LONG", long).replace("MANY", long * 3)
+    assert html.cut(html.read(page), [])[0] == "\n\n".join(wanted).replace("LONG", long.strip())
+
+
+BROKEN = {
+    "names": "<a" * 500_000,
+    "open tag": "<p>kept</p><x" + "y" * 1_000_000,
+    "open attribute": "<p>kept</p><x a='" + "y" * 1_000_000,
+    "open attributes": "<p>kept</p>" + "<x a=\"" * 150_001 + ">",
+    "quotes in turn": "<x a=\"'><y b='\">" * 60_000 + "<x a='\">" * 60_000,
+    "signs": "< <" * 330_000,
+    "deep": "<div class=a>x" * 60_000,
+    "closers": "<div>" * 60_000 + "</b></section></i>" * 40_000,
+    "comment": "<p>kept</p><!--" * 60_000,
+    "script": "<p>kept</p><script>" + "<script " * 100_000,
+    "spaces": "<p " + " " * 1_000_000 + ">kept",
+    "equals": "<p " + "a=" * 400_000 + ">kept",
+}
+
+
+@pytest.mark.parametrize("name", sorted(BROKEN))
+def test_broken_pages_are_read_in_linear_time(name):
+    began = time.process_time()
+    text, _ = html.cut(html.read(BROKEN[name]), [])
+    assert time.process_time() - began < 5
+    assert "kept" not in BROKEN[name] or text.startswith("kept")
+
+
+class Walk(HTMLParser):
+    """Plain reading of a page: (path, text, letters in links, good) of each block, paths as tuples."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.stack, self.out, self.text, self.links, self.link, self.leaf = [], [], "", 0, False, ""
+        self.feed(page or "")
+        self.close()
+        self.flush()
+
+    def flush(self):
+        if text := " ".join(self.text.split()):
+            own = [t for t, _ in self.stack]
+            bad = any(b for _, b in self.stack)
+            self.out.append((tuple(own), text, self.links, not bad))
+        self.text, self.links = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html.INLINE:
+            self.text += " " * (tag == "br")
+            self.link = self.link or tag == "a"
+            return
+        self.flush()
+        if tag in html.LEAVES:
+            self.leaf = tag
+        elif tag not in html.VOID:
+            a = dict(attrs)
+            hint = any(w in html.NAMES for w in re.split(r"[-_\s]", (a.get("class") or "") + " " + (a.get("id") or "")))
+            name = ".".join([tag, *sorted(re.sub(r"\d", "", w) for w in (a.get("class") or "").split())])
+            self.stack.append((name, tag in html.HIDDEN | html.BOILERPLATE | html.FORMS or hint))
+
+    def handle_endtag(self, tag):
+        if tag in html.INLINE:
+            self.link = self.link and tag != "a"
+            return
+        self.flush()
+        tags = [t.split(".")[0] for t, _ in self.stack]
+        if tag in tags:
+            del self.stack[len(tags) - 1 - tags[::-1].index(tag) :]
+
+    def handle_data(self, data):
+        self.text += data
+        self.links += len(data) if self.link else 0
+
+
+def plain_vote(found):
+    """The best container of a page, by comparing paths outright; up to the article around it."""
+    scores = {}
+    for path, text, links, good in found:
+        if good and len(text) > links:
+            for up in range(min(4, len(path))):
+                scores[path[: len(path) - up]] = scores.get(path[: len(path) - up], 0) + (len(text) - links) / 2**up
+    if not scores:
+        return ()
+    best = max(scores, key=lambda p: (scores[p], len(p)))
+    return max((best[:k] for k in range(1, len(best) + 1) if best[k - 1].split(".")[0] in ("article", "main")), key=len, default=best)
+
+
+def test_main_text_of_all_pages_equals_a_plain_walk(spark):
+    """The whole table: pages voted on and cut by comparing tuples, read by Python's own parser."""
+    sf = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    walked = {r.page_id: Walk(r.html).out for r in pages}
+    host = {r.page_id: urlsplit(r.url or "").hostname or "" for r in pages}
+    votes = {}
+    for i, found in walked.items():
+        if vote := plain_vote(found):
+            votes.setdefault(host[i], Counter())[vote] += 1
+    for r in queries.op3_main_text(spark, sf).collect():
+        found, cast = walked[r.page_id], votes.get(host[r.page_id], Counter())
+        won = [p for p, n in cast.most_common() if n >= html.SHARE * cast.total()]
+        path = plain_vote(found)
+        path = path if path in won else next((p for p in won if any(b[3] and b[0][: len(p)] == p for b in found)), path)
+        text = "\n\n".join(b[1] for b in found if b[3] and b[0][: len(path)] == path)
+        assert (r.text, r.n_chars, r.path) == (text, len(text), " ".join(path)), r.page_id
+
+
+def test_large_hosts_are_dealt_to_shares(spark, monkeypatch):
+    """Winners joined by a shuffle, a hot host's pages over many shares: the same rows as with winners sent to all tasks."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("url", F.when(F.col("page_id") % 3 == 0, F.lit("http://hot.example/x")).otherwise(F.col("url")))
+    rows = lambda: sorted(map(repr, html.extract(pages.select("page_id", "url", "html")).collect()))
+    sent = rows()
+    monkeypatch.setattr(html, "SENT_BYTES", -1)
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    assert rows() == sent
 
 
 def test_widening_needs_the_votes_of_the_host(spark):
