@@ -5,8 +5,8 @@ rarity in the corpus (document frequency over hashed buckets, as many at every s
 weighted samples; BANDS groups of them are sorted, so that texts that share a group stand side by side and
 meet their next neighbours: a linear number of candidates whatever the size of a group of copies. Candidates whose samples
 agree enough are verified by weighted Jaccard similarity of their whole shingle sets, and verified links are joined to
-classes. Groups that are too large for their members to have met each other all, and that still hold texts of several classes, are then
-compared in full, block by block, and give only the links that join classes. Equal word sequences are one text throughout.
+classes. Groups that then still hold texts of several classes are compared in full: blocks of sketches meet in pairs, and of the pairs
+that class, size and sketch let through the whole sets are fetched and verified. Equal word sequences are one text throughout.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import materialize, tidy
+from narrative_spark.llm.common import materialize, tidy, unused
 from narrative_spark.llm.components import components, dealt, roots, salt_of
 
 WIDTH, SIMILAR = 5, 0.8
@@ -28,10 +28,10 @@ BANDS, ROWS = 16, 3
 SAMPLES = BANDS * ROWS
 #: Neighbours that a text meets in each band. Sampled similarity that a candidate needs; a pair at 0.8 falls below it once in ten thousand times.
 NEIGHBOURS, LIKELY = 3, 0.55
-#: How far TF and IDF stretch the weights: 0 gives plain sets. Buckets of the document frequencies.
-STRENGTH, BUCKETS = 0.1, 1 << 18
-#: Texts in a block of a group that is compared in full.
-BLOCK = 256
+#: Buckets of the document frequencies.
+BUCKETS = 1 << 18
+#: Texts in a block of a group that is compared in full; of each, about 250 bytes meet the other blocks.
+BLOCK = 1024
 #: Row numbers that are sent to all tasks at most; beyond it, rows are joined by a shuffle.
 SENT_ROWS = 1_000_000
 _POOL = 1 << 14
@@ -66,12 +66,13 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def log_weight(h: np.ndarray, count: np.ndarray, rare: np.ndarray) -> np.ndarray:
-    """Logarithm of the weights (1 + s ln tf)(1 + s idf)."""
-    return np.log1p(STRENGTH * np.log(count)).astype(np.float32) + rare[_bucket(h)]
+    """Logarithm of the weights (1 + ln tf)(1 + idf)."""
+    return np.log1p(np.log(count)).astype(np.float32) + rare[_bucket(h)]
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
-    """ln(1 + STRENGTH * idf) of each bucket, from all documents. BUCKETS numbers reach the driver."""
+    """ln(1 + idf) of each bucket, from all documents; idf is ln((n + 1) / (df + 1)) as a share of ln(n + 1), so that it lies between 0 and 1
+    whatever the corpus' size. BUCKETS numbers reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total = np.zeros(BUCKETS, np.int64), 0
@@ -89,12 +90,11 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     seen, total = np.zeros(BUCKETS, np.int64), int(n[at == -1].sum())
     seen[at[at >= 0]] = n[at >= 0]
     idf = np.log((total + 1) / (np.minimum(seen, total) + 1)) / max(np.log(total + 1), 1e-9)
-    return np.log1p(STRENGTH * idf).astype(np.float32)
+    return np.log1p(idf).astype(np.float32)
 
 
-def _samples(sets: Sets, rare: np.ndarray) -> np.ndarray:
-    """SAMPLES numbers for each text that has shingles; two texts agree in one with the probability of their weighted similarity."""
-    weight = log_weight(sets.hash, sets.count, rare)
+def _samples(sets: Sets, weight: np.ndarray) -> np.ndarray:
+    """SAMPLES numbers for each text that has shingles; two texts agree in one with the probability of their weighted similarity. weight: logarithms."""
     starts = sets.edges[:-1][np.diff(sets.edges) > 0]
     size = np.diff(np.append(starts, len(sets.hash)))
     out = np.zeros((len(starts), SAMPLES), np.uint64)
@@ -110,7 +110,7 @@ def _samples(sets: Sets, rare: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, row: str, id_col: str, text_col: str, rare: np.ndarray) -> DataFrame:
-    """row, id, key (null without words), bands (array<long>), sketch (two bytes of each sample)."""
+    """row, id, key (null without words), bands (array<long>), sketch (two bytes of each sample), size (sum of the weights)."""
     sent = docs.sparkSession.sparkContext.broadcast(rare)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,8 +119,10 @@ def signatures(docs: DataFrame, row: str, id_col: str, text_col: str, rare: np.n
                 sets = Sets(data, edges)
                 bands: list = [None] * len(sets.keys)
                 sketch: list = [None] * len(sets.keys)
+                weight = log_weight(sets.hash, sets.count, sent.value)
+                size = np.bincount(sets.doc, np.exp(weight.astype(np.float64)), len(sets.keys))
                 if len(sets.hash):
-                    got = _samples(sets, sent.value)
+                    got = _samples(sets, weight)
                     short = (got >> np.uint64(16)).astype("<u2")
                     mixed = np.zeros((len(got), BANDS), np.uint64)
                     for j in range(ROWS):
@@ -129,9 +131,9 @@ def signatures(docs: DataFrame, row: str, id_col: str, text_col: str, rare: np.n
                     for j, k in enumerate(np.flatnonzero(np.diff(sets.edges))):
                         bands[k], sketch[k] = mixed[j], short[j].tobytes()
                 n = len(sets.keys)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(sets.keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["row", "id", "key", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(sets.keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(size)], names=["row", "id", "key", "bands", "sketch", "size"])
 
-    return docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(sign), "row long, id long, key binary, bands array<long>, sketch binary")
+    return docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(sign), "row long, id long, key binary, bands array<long>, sketch binary, size double")
 
 
 def _neighbours(nodes: DataFrame) -> DataFrame:
@@ -174,139 +176,129 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(tidy(compare), "a binary, b binary, agree long")
 
 
-def _features(docs: DataFrame, row: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """key, hashes (sorted, 8 bytes each), counts of the texts in wanted (row): read again, as most texts are in no pair."""
-    many = wanted.count()
-    wanted = wanted.select(F.col("row").alias(f"{row}_wanted"))
+def _features(docs: DataFrame, row: str, text_col: str, wanted: DataFrame, rare: np.ndarray) -> DataFrame:
+    """key, hashes (sorted, 8 bytes each), weights (4 bytes each) of the texts in wanted (row): read again, as most texts are in no pair."""
+    many, name, sent = wanted.count(), unused(docs.columns, "near__wanted"), docs.sparkSession.sparkContext.broadcast(rare)
+    wanted = wanted.select(F.col("row").alias(name))
     own = docs.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    own = own.join(F.broadcast(wanted) if many <= SENT_ROWS else wanted, F.col("row") == F.col(f"{row}_wanted"), "left_semi")
+    own = own.join(F.broadcast(wanted) if many <= SENT_ROWS else wanted, F.col("row") == F.col(name), "left_semi")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, edges in bytetext.chunks(batch.column(0)):
                 sets = Sets(data, edges)
+                weight = np.exp(log_weight(sets.hash, sets.count, sent.value))
                 cut = lambda x, e=sets.edges: [x[e[k] : e[k + 1]].tobytes() for k in range(len(e) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(sets.keys, pa.binary()), pa.array(cut(sets.hash.astype("<u4")), pa.binary()), pa.array(cut(np.minimum(sets.count, 65535).astype("<u2")), pa.binary())], names=["key", "hashes", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(sets.keys, pa.binary()), pa.array(cut(sets.hash.astype("<u8")), pa.binary()), pa.array(cut(weight.astype("<f4")), pa.binary())], names=["key", "hashes", "weights"])
 
-    return own.select("text").mapInArrow(tidy(collect), "key binary, hashes binary, counts binary")
+    return own.select("text").mapInArrow(tidy(collect), "key binary, hashes binary, weights binary")
 
 
-def weighted_jaccard(left: tuple[bytes, bytes], right: tuple[bytes, bytes], rare: np.ndarray) -> float:
-    """Similarity of two texts from their (hashes, counts)."""
-    (h, n), (g, m) = ((np.frombuffer(a, "<u4"), np.frombuffer(b, "<u2")) for a, b in (left, right))
-    w, v = (np.exp(log_weight(x.astype(np.uint64), c, rare)) for x, c in ((h, n), (g, m)))
-    every = np.concatenate([h, g])
-    by = np.argsort(every, kind="stable")
-    every, mine = every[by], np.concatenate([w, v])[by]
-    twice = np.flatnonzero(every[1:] == every[:-1])
-    low = np.minimum(mine[twice], mine[twice + 1]).sum()
+def weighted_jaccard(left: tuple[bytes, bytes], right: tuple[bytes, bytes]) -> float:
+    """Similarity of two texts from their (hashes, weights)."""
+    (h, w), (g, v) = ((np.frombuffer(a, "<u8"), np.frombuffer(b, "<f4").astype(np.float64)) for a, b in (left, right))
+    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+    same = g[at] == h
+    low = np.minimum(w[same], v[at[same]]).sum()
     return float(low / (w.sum() + v.sum() - low))
 
 
-def _verified(pairs: DataFrame, features: DataFrame, rare: np.ndarray) -> DataFrame:
-    sent = pairs.sparkSession.sparkContext.broadcast(rare)
-    side = lambda x: features.select(F.col("key").alias(x), F.struct("hashes", "counts").alias(f"set_{x}"))
+def _verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
+    """a, b, similarity of the pairs that reach SIMILAR on their whole sets."""
+    side = lambda x: features.select(F.col("key").alias(x), F.struct("hashes", "weights").alias(f"set_{x}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [weighted_jaccard((x["hashes"], x["counts"]), (y["hashes"], y["counts"]), sent.value) for x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
+            (h, w), (g, v) = ((c.field(0), c.field(1)) for c in batch.columns[2:])
+            near = [weighted_jaccard((h[k].as_buffer(), w[k].as_buffer()), (g[k].as_buffer(), v[k].as_buffer())) for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
 
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(tidy(verify), "a binary, b binary, similarity double").where(F.col("similarity") >= SIMILAR)
 
 
 def _open_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, k, key, blocks: members of the groups where not all have met (more than NEIGHBOURS + 1) and not all are of one class."""
+    """band, k, key, label, blocks: members of the groups of several classes. Small ones count too, as the border between two tasks may have kept neighbours apart."""
     rows = nodes.select("key", "bands").join(labels.select("key", "label"), "key").select("key", "label", F.posexplode("bands").alias("k", "band"))
     sums = rows.groupBy("band", "k").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-    sums = sums.where((F.col("n") > NEIGHBOURS + 1) & (F.col("least") != F.col("most"))).select("band", "k", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    sums = sums.where(F.col("least") != F.col("most")).select("band", "k", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     return rows.withColumn("salt", salt_of("key")).join(dealt(sums), ["band", "k", "salt"]).select("band", "k", "key", "label", "blocks")
 
 
-def _joins(members: DataFrame, nodes: DataFrame, features: DataFrame, rare: np.ndarray) -> DataFrame:
-    """a, b, label_a, label_b: verified links that join the classes within each pair of blocks of a group. Every two texts of different classes are compared, in the first group that they share."""
-    sent = members.sparkSession.sparkContext.broadcast(rare)
+def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b, label_a, label_b: pairs of different classes in a group that size and sketch let through, each in the first group that its texts share.
+
+    Blocks of a group meet in pairs; only keys, classes, sizes and sketches are sent there.
+    """
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks").cast("long")).cast("int")
-    rows = members.withColumn("block", own).join(nodes.select("key", "bands", "sketch"), "key").join(features, "key")
+    rows = members.withColumn("block", own).join(nodes.select("key", "bands", "sketch", "size"), "key")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
     def compare(part: pa.Table) -> pa.Table:
-        keys, labels, hashes, counts = (part[c].to_pylist() for c in ("key", "label", "hashes", "counts"))
+        keys, labels = (part[c].to_pylist() for c in ("key", "label"))
         k, across = part["k"][0].as_py(), part["low"][0].as_py() != part["high"][0].as_py()
-        block = part["block"].to_numpy()
+        block, size = part["block"].to_numpy(), part["size"].to_numpy()
         sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u2").reshape(-1, SAMPLES)
         bands = np.array(part["bands"].to_pylist(), np.int64)
         number = {x: i for i, x in enumerate(sorted(set(labels)))}
         group = np.array([number[x] for x in labels])
-        sets = [np.frombuffer(x, "<u4") for x in hashes]
-        weights = [np.exp(log_weight(h.astype(np.uint64), np.frombuffer(n, "<u2"), sent.value)) for h, n in zip(sets, counts, strict=True)]
-        size = np.array([w.sum() for w in weights])
-        found: list[tuple[int, int]] = []
+        left, right = [], []
         for i in range(len(keys) - 1):
             rest = slice(i + 1, None)
-            agree = (sketch[rest] == sketch[i]).sum(1)
-            ok = (agree >= LIKELY * SAMPLES) & (group[rest] != group[i])
-            ok &= np.minimum(size[rest], size[i]) >= SIMILAR * 0.999 * np.maximum(size[rest], size[i])
+            ok = (group[rest] != group[i]) & (np.minimum(size[rest], size[i]) >= SIMILAR * 0.999 * np.maximum(size[rest], size[i]))
             if across:
                 ok &= block[rest] != block[i]
-            at = np.flatnonzero(ok)
-            at = at[~(bands[at + i + 1, :k] == bands[i, :k]).any(1)]
-            for j in at[np.argsort(-agree[at], kind="stable")] + i + 1:
-                if group[i] != group[j] and _similarity(sets[i], weights[i], sets[j], weights[j]) >= SIMILAR:
-                    found.append((i, int(j)))
-                    group[group == group[j]] = group[i]
-        take = lambda values, side: pa.array([values[f[side]] for f in found], pa.binary())
-        return pa.Table.from_arrays([take(keys, 0), take(keys, 1), take(labels, 0), take(labels, 1)], names=["a", "b", "label_a", "label_b"])
-
-    columns = ["band", "low", "high", "k", "block", "key", "label", "bands", "sketch", "hashes", "counts"]
+            at = np.flatnonzero(ok) + i + 1
+            at = at[(sketch[at] == sketch[i]).sum(1) >= LIKELY * SAMPLES]
+            at = at[~(bands[at, :k] == bands[i, :k]).any(1)]
+            left += [i] * len(at)
+            right += at.tolist()
+        take = lambda values, some: pa.array([values[j] for j in some], pa.binary())
+        return pa.Table.from_arrays([take(keys, left), take(keys, right), take(labels, left), take(labels, right)], names=["a", "b", "label_a", "label_b"])
+
+    columns = ["band", "low", "high", "k", "block", "key", "label", "bands", "sketch", "size"]
     return rows.select(*columns).groupBy("band", "low", "high", "k").applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary")
 
 
-def _similarity(h: np.ndarray, w: np.ndarray, g: np.ndarray, v: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two texts, each its hashes and weights."""
-    order = np.argsort(g, kind="stable")
-    g, v = g[order], v[order]
-    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
-    same = g[at] == h
-    low = np.minimum(w[same], v[at[same]]).sum()
-    return float(low / (w.sum() + v.sum() - low))
-
-
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str = "near__row") -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str | None = None) -> DataFrame:
     """row, id, class_row, class_id, n_links for every row of docs, which must be repeatable (a stored table).
 
     A class is a set of texts joined by links of similarity SIMILAR or more; class_id is its least id and class_row the row
     that has it. n_links: other texts with which a link was verified (pairs that other links have joined aren't looked at again); equal word
     sequences are one text and count no link. Texts
     of fewer than five words have one shingle, all their words; null texts and texts without words are classes of
-    their own. Null ids come last; repeated rows fall into one class; an empty table gives an empty result.
+    their own; very long texts are read whole. Null ids come last; repeated rows fall into one class, and of rows of one id the
+    first in the table stands for the class; an empty table gives an empty result; other columns aren't read. row: a column that numbers
+    the rows, where docs has one.
     """
-    named = docs.select(F.col(id_col), F.col(text_col), F.monotonically_increasing_id().alias(row)) if row not in docs.columns else docs
+    named = docs
+    if row is None:
+        row = unused([id_col, text_col], "near__row")
+        named = docs.select(F.col(id_col), F.col(text_col), F.monotonically_increasing_id().alias(row))
     rare = document_frequencies(named, text_col)
     signed = materialize(signatures(named, row, id_col, text_col, rare), "signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("best")
-    nodes = materialize(signed.where("key is not null").groupBy("key").agg(first, F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+    nodes = materialize(signed.where("key is not null").groupBy("key").agg(first, *[F.first(c).alias(c) for c in ("bands", "sketch", "size")]), "nodes")
     likely = materialize(_likely(_neighbours(nodes), nodes), "likely")
     ends = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
-    features = materialize(_features(named, row, text_col, nodes.join(ends, "key").select(F.col("best.row").alias("row"))), "features")
+    features = materialize(_features(named, row, text_col, nodes.join(ends, "key").select(F.col("best.row").alias("row")), rare), "features")
     # First each text with the lesser neighbour that agrees best: a forest, whose trees are found by their roots.
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("agree", F.xxhash64("a", "b"))).alias("a"))
-    links = materialize(_verified(best, features, rare), "links")
+    links = materialize(_verified(best, features), "links")
     trees = roots(links.select(F.col("b").alias("node"), F.col("a").alias("parent")))
     # Then only pairs of different trees; what they join is a graph of trees.
     tree = lambda x: trees.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
     apart = likely.join(best, ["a", "b"], "left_anti").join(tree("a"), "a", "left").join(tree("b"), "b", "left")
     apart = apart.select("a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b")).where("root_a <> root_b")
     apart = materialize(apart, "apart")
-    more = materialize(_verified(apart, features, rare), "links")
+    more = materialize(_verified(apart, features), "links")
     joined = components(apart.join(more, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
     links = links.unionByName(more)
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("n_links"))
     labelled = nodes.select("key", "best").join(trees.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
     labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
-    labelled = _whole_groups(labelled, nodes, features, ends, named, row, text_col, rare)
+    labelled = _whole_groups(labelled, nodes, likely, features, ends, named, row, text_col, rare)
     heads = dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
     per_key = labelled.withColumn("salt", salt_of("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
     own = signed.select("row", "id", "key", salt_of("row").alias("salt"))
@@ -314,14 +306,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     return joined.select("row", "id", F.coalesce("head.row", "row").alias("class_row"), F.coalesce("head.id", F.when(F.col("head").isNull(), F.col("id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _whole_groups(labelled: DataFrame, nodes: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
-    """labelled after the groups that the neighbours left open are compared in full."""
-    members = materialize(_open_groups(nodes, labelled), "members")
-    inside = members.select("key").distinct()
+def _whole_groups(labelled: DataFrame, nodes: DataFrame, likely: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
+    """labelled after the groups that hold several classes are compared in full. Pairs that neighbours brought together were verified before."""
+    pairs = _across(materialize(_open_groups(nodes, labelled), "members"), nodes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "label_a", "label_b")
+    pairs = materialize(pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    inside = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     unread = nodes.join(inside, "key", "left_semi").join(ends, "key", "left_anti").select(F.col("best.row").alias("row"))
-    features = features.unionByName(materialize(_features(named, row, text_col, unread), "features"))
-    links = materialize(_joins(members, nodes, features, rare), "links")
-    joined = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    features = features.unionByName(materialize(_features(named, row, text_col, unread, rare), "features"))
+    links = materialize(_verified(pairs, features), "links")
+    joined = components(pairs.join(links, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("further"))
     moved = labelled.withColumn("salt", salt_of("key")).join(dealt(joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))), ["label", "salt"], "left")
     moved = moved.join(degree, "key", "left")
@@ -329,8 +322,8 @@ def _whole_groups(labelled: DataFrame, nodes: DataFrame, features: DataFrame, en
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class, the one with the least id; all of its columns as they were."""
-    row = "near__row"
+    """docs, which must be a stored table, with one row of each class, the one with the least id; all of its columns as they were. Else as classes."""
+    row = unused(docs.columns, "near__row")
     named = docs.withColumn(row, F.monotonically_increasing_id())
-    kept = classes(named, id_col, text_col, row).where("row = class_row").select(F.col("row").alias("kept"))
-    return named.join(kept, F.col(row) == F.col("kept"), "left_semi").select(*docs.columns)
+    kept = classes(named, id_col, text_col, row).where("row = class_row").select(F.col("row").alias(f"{row}_kept"))
+    return named.join(kept, F.col(row) == F.col(f"{row}_kept"), "left_semi").select(*docs.columns)

@@ -6,6 +6,7 @@ import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
+from itertools import combinations
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -250,12 +251,46 @@ def test_several_passes_find_the_same(documents, spark, sf_dir):
     assert cut.select(decontaminate.cut_spans().alias("t")).first().t == "keep this: ! and that"
 
 
-def shingle_set(text):
+def shingle_counts(text):
     w = WORD.findall(lower(text))
-    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def weighted_pairs(every):
+    """(similarity, i, j) of all pairs of different texts, by whole TF-IDF sets."""
+    counts = {i: shingle_counts(t) for i, t in every.items()}
+    df, n = Counter(s for c in counts.values() for s in c), sum(bool(c) for c in counts.values())
+    weight = {i: {s: (1 + np.log(k)) * (1 + np.log((n + 1) / (df[s] + 1)) / np.log(n + 1)) for s, k in c.items()} for i, c in counts.items()}
+    total = {i: sum(w.values()) for i, w in weight.items()}
+    for i, j in combinations([i for i in every if counts[i]], 2):
+        if min(total[i], total[j]) >= 0.7 * max(total[i], total[j]):
+            low = sum(min(x, weight[j][s]) for s, x in weight[i].items() if s in weight[j])
+            if low:
+                yield low / (total[i] + total[j] - low), i, j
+
+
+def linked(ids, links):
+    """Least id of each id's class, by joining the links one by one."""
+    label = {i: i for i in ids}
+    for i, j in links:
+        a, b = sorted((label[i], label[j]))
+        if a != b:
+            label = {k: a if x == b else x for k, x in label.items()}
+    return label
+
+
+def check_classes(got, every):
+    """Every pair clearly above the threshold is in one class, and classes hang together by pairs that aren't clearly below it."""
+    pairs = [p for p in weighted_pairs(every) if p[0] >= near.SIMILAR - 0.01]
+    lost = [p for p in pairs if p[0] >= near.SIMILAR + 0.01 and got[p[1]] != got[p[2]]]
+    assert not lost
+    loose = linked(every, [(i, j) for _, i, j in pairs])
+    assert all(loose[i] == loose[c] for i, c in got.items() if every[i])
+    assert all(c == min(i for i in got if got[i] == c) for c in set(got.values()))
+    return pairs
 
 
-def test_near_duplicates_lose_no_link(spark, documents, texts):
+def test_near_duplicates_are_those_of_brute_force(spark, documents, texts):
     base = [t for t in texts.values() if len(t.split()) > 60][:12]
     planted = {}
     for k, t in enumerate(base):
@@ -266,20 +301,18 @@ def test_near_duplicates_lose_no_link(spark, documents, texts):
             planted[10_000 + 10 * k + j] = " ".join(v)
     every = {**texts, **planted}
     got = {r.id: r.class_id for r in near.classes(_stored(spark, every)).collect()}
-    sets = {i: shingle_set(t) for i, t in every.items()}
-    ids = [i for i in every if sets[i]]
-    for x, i in enumerate(ids):
-        for j in ids[x + 1 :]:
-            if len(sets[i]) * 0.8 <= len(sets[j]) * 1.01 and len(sets[j]) * 0.8 <= len(sets[i]) * 1.01:
-                both_ = len(sets[i] & sets[j])
-                near_ = both_ / (len(sets[i]) + len(sets[j]) - both_)
-                if near_ >= 0.81:
-                    assert got[i] == got[j], (i, j, near_)
-    assert all(c == min(i for i in got if got[i] == c) for c in set(got.values()))
+    assert len(check_classes(got, every)) > 30
+
+
+def test_near_duplicates_of_a_whole_table(spark):
+    """Pairs drawn without sketches: all pairs of the 1,000 documents."""
+    every = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = {r.doc_id: r.class_id for r in queries.op7_near_duplicates(spark, "/root/testdata/sf0.01").collect()}
+    check_classes(got, every)
 
 
 def test_large_groups_of_several_classes_are_compared_in_full(spark, monkeypatch):
-    """Texts about as far apart as the threshold: neighbours alone leave links, whole groups in small blocks don't."""
+    """Texts about as far apart as the threshold: neighbours alone leave links, whole groups in small blocks don't; nor do borders between tasks."""
     monkeypatch.setattr(near, "BLOCK", 16)
     monkeypatch.setattr(near, "NEIGHBOURS", 1)
     draw, common = np.random.default_rng(3), [f"word{i}" for i in range(120)]
@@ -290,11 +323,7 @@ def test_large_groups_of_several_classes_are_compared_in_full(spark, monkeypatch
             w[at] = f"own{draw.integers(3)}x{at}"
         every[k] = " ".join(w)
     got = {r.id: r.class_id for r in near.classes(_stored(spark, every)).collect()}
-    sets = {i: shingle_set(t) for i, t in every.items()}
-    for i in every:
-        for j in range(i):
-            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.82:
-                assert got[i] == got[j], (i, j)
+    assert len(check_classes(got, every)) > 30
 
 
 def _stored(spark, every):
