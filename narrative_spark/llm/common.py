@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +33,32 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that materialize writes inside: for steps whose result is written elsewhere by then."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        drop(spark, _WRITTEN.pop())
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that this session wrote."""
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

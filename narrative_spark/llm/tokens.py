@@ -58,8 +58,9 @@ class UnitTokenizer:
             _LOADED[path, specials_as_text] = cls(path, specials_as_text)
         return _LOADED[path, specials_as_text]
 
-    def clear(self) -> None:
-        self.mask = (1 << 21) - 1
+    def clear(self, units: int = 0) -> None:
+        """Forget all units; the table is at least twice as large as what it will hold."""
+        self.mask = max(1 << 21, 1 << (2 * units).bit_length()) - 1
         self.keys, self.slots = np.zeros(self.mask + 1, np.uint64), np.zeros(self.mask + 1, np.int32)
         self.first, self.count, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -142,8 +143,8 @@ class UnitTokenizer:
             new, at = np.unique(h[missing], return_index=True)
             at = missing[at]
             if len(self.first) + len(new) > MAX_UNITS:
-                self.clear()
                 new, at = np.unique(h, return_index=True)
+                self.clear(len(new))
             raw = data.tobytes()
             self._learn(new, [raw[start[k] : end[k]].decode() for k in at], inner[start[at]])
             found = self._find(h) if len(self.first) == len(new) else np.where(found < 0, self._find(h), found)
