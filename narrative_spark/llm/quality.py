@@ -1,8 +1,8 @@
 """Operator 5: supervised subword embeddings for document quality.
 
 A document is the average of learned vectors of its hashed words, word pairs and byte n-grams inside words; a softmax over
-that average gives its label. Vectors and softmax are trained by plain numpy gradient descent on a bounded sample of labelled
-rows. As the average and the output are linear, scoring needs one number for each feature, so that whole texts are scored
+that average gives its label. Vectors and softmax are trained by numpy stochastic gradient descent on a bounded sample of labelled
+rows, each feature's step shrinking with the gradients that it has seen (AdaGrad). As the average and the output are linear, scoring needs one number for each feature, so that whole texts are scored
 by table look-ups.
 """
 
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from narrative_spark.llm import bytetext
 from narrative_spark.llm.common import tidy
 
-#: Labelled rows that training sees at most, picked by a hash of their id.
-MAX_ROWS = 3000
-BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 16, 6, 0.5
+#: Labelled rows that training sees at most, picked by a hash of their id, and bytes of their texts together; texts are taken whole or not at all.
+MAX_ROWS, MAX_BYTES = 3000, 24 << 20
+BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 16, 6, 0.1
 NGRAMS = (2, 3, 4)
 _SAME = np.uint64(0x5851F42D4C957F2D)
 
@@ -62,6 +62,7 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 5) -> tuple[np.ndarra
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     out, bias = np.zeros((2, WIDTH), np.float32), np.zeros(2, np.float32)
+    seen, seen_out, seen_bias = np.full(BUCKETS, 1e-12, np.float32), np.full((2, WIDTH), 1e-12, np.float32), np.full(2, 1e-12, np.float32)
     step, steps = 0, EPOCHS * len(rows)
     for _ in range(EPOCHS):
         for k in draw.permutation(len(rows)):
@@ -73,11 +74,14 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 5) -> tuple[np.ndarra
             p = np.exp(odds - odds.max())
             p /= p.sum()
             p[labels[k]] -= 1
-            back = p @ out
-            out -= rate * np.outer(p, hidden)
-            bias -= rate * p
-            # One step for a feature, not for its share of a long average.
-            vectors[at] -= rate * np.outer(np.minimum(share * 50, 1), back)
+            # The gradients of the loss: of a feature's vector share * back, of the output p * hidden, of the bias p.
+            back, turn = p @ out, np.outer(p, hidden)
+            seen[at] += share * share * (back @ back)
+            vectors[at] -= rate * np.outer(share / np.sqrt(seen[at]), back)
+            seen_out += turn * turn
+            out -= rate * turn / np.sqrt(seen_out)
+            seen_bias += p * p
+            bias -= rate * p / np.sqrt(seen_bias)
     return vectors @ (out[1] - out[0]), float(bias[1] - bias[0])
 
 
@@ -86,18 +90,26 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", rows: int = MAX_ROWS) -> tuple[pa.Array, np.ndarray]:
-    """Texts and labels of at most rows labelled documents that are not held out."""
+def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", rows: int = MAX_ROWS, most: int = MAX_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """Texts and labels of at most rows labelled documents that are not held out, in the order of a hash of their ids as long as they fit into most bytes."""
     picked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     picked = picked.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").orderBy("id").limit(rows).select("text", "label").toArrow()
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    # Lengths first: rows numbers at most. An id that stands for several documents counts with all of them.
+    sizes = known.groupBy("id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"), F.count(F.lit(1)).alias("n")).orderBy(F.xxhash64("id"), "id").collect()
+    fits, total, count = [], 0, 0
+    for r in sizes:
+        if total + r.bytes <= most and count + r.n <= rows:
+            fits, total, count = [*fits, r.id], total + r.bytes, count + r.n
+    texts = known.where(F.col("id").isin(fits)).orderBy("id", F.xxhash64("text")).select("text", "label").toArrow()
     return texts.column("text").combine_chunks() if texts.num_rows else pa.array([], pa.string()), texts.column("label").to_numpy().astype(np.int64)
 
 
 def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
-    Null and empty texts have no features and score as the bias says; ties at 0.5 are predicted 1; repeated rows score alike, each
+    Null and empty texts have no features and score as the bias says; very long texts are scored whole, and count for training where they fit
+    into MAX_BYTES; ties at 0.5 are predicted 1; repeated rows score alike, each
     for itself; rows with null labels or ids aren't trained on, and of conflicting labels 1 counts; without labels all score
     0.5; an empty table gives an empty result; other columns are not read.
     """
