@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import text_or_empty, tidy
+from narrative_spark.llm.common import materialize, text_or_empty, tidy, unused
 from narrative_spark.llm.fmindex import FMIndex
 
 WINDOW = 13
@@ -140,7 +140,8 @@ def _scan(docs: DataFrame, phrases: Phrases, text_col: str, result: str, earlier
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", result: str = "overlap", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
     """docs with a struct result: n_words, items (ids whose windows occur, sorted as strings), word_spans and char_spans (merged, end exclusive).
 
-    Null and empty texts have no words, no items and no spans; items without words or without an id never match; repeated items
+    Words count as equal where their 64-bit hashes are. Null and empty texts have no words, no items and no spans; very long texts are
+    indexed whole; overlapping and touching windows are one span; items without words or without an id never match; repeated items
     and windows count once; repeated documents are judged each for itself; empty tables on either side are fine.
     Extra columns pass through; result must be a new name.
     The phrases go to every task: their size is measured first, and a benchmark of more than phrase_bytes takes as many passes
@@ -152,8 +153,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     out, earlier = docs, None
     for k in range(passes):
         some = items if passes == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k)
-        name = result if k == passes - 1 else f"{result}__{k}"
+        name = result if k == passes - 1 else unused([*docs.columns, result], f"{result}__{k}")
         out, earlier = _scan(out, Phrases([(r.id, r.text) for r in some.collect()], window), text_col, name, earlier), name
+        if k < passes - 1:
+            out = materialize(out, "overlaps")
     return out
 
 

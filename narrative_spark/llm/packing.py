@@ -127,7 +127,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, windows: int
 
     Null and empty texts have the end id alone; repeated rows are packed each for itself, under the same doc_id; null
     ids stay null; an empty table gives no pieces; other columns are not read. A text longer than a window
-    fills windows of its own and its rest is placed as any other.
+    fills windows of its own and its rest is placed as any other; of windows that fit alike the first opened is taken.
     """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

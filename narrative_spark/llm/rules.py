@@ -109,7 +109,7 @@ def base_failed(prefix: str = "") -> Column:
 def judge(docs: DataFrame, text_col: str = "text", result: str = "quality_rules", keep: list[str] | None = None) -> DataFrame:
     """docs (the columns in keep, or all) with a struct result: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, good (posterior), kept.
 
-    Null and empty texts have no words: all rules abstain and base_failed rejects them. Ties at KEEP are kept; repeated rows are judged
+    Null and empty texts have no words: all rules abstain and base_failed rejects them. Very long texts are read whole, in time near their length. Ties at KEEP are kept; repeated rows are judged
     alike, each for itself; an empty table gives an empty result; other columns pass through, and result must be a new name.
     Counts are made once and written to the shared folder, as the fit needs all of them before the first verdict.
     """

@@ -58,7 +58,7 @@ OPERATORS = {
     "decontaminate": lambda d: decontaminate.find_overlaps(d, d.sparkSession.createDataFrame([(1, "one two three"), (2, None), (None, "short")], "item_id long, text string")),
     "quality": lambda d: quality.score(d, d.sparkSession.createDataFrame([(4, 1), (5, 0), (5, None), (None, 1)], "doc_id long, quality int")),
     "packing": lambda d: packing.pack(d, tokenizer_path()),
-    "separators": lambda d: separators.scan(separators.flat_blocks(d, tokenizer_path(), 49407, 1000), 49407),
+    "separators": lambda d: separators.count_tokens(d, tokenizer_path(), 49407),
     "html": lambda d: html.extract(d.withColumnRenamed("text", "html").withColumn("url", F.lit("http://a.b/c"))),
     "merkle": lambda d: merkle.audit(d, d.where("doc_id <> 7"), "doc_id", "text"),
 }
@@ -551,6 +551,18 @@ def test_audit_finds_what_differs(spark):
     assert merkle.audit(left, left, "k", "p").count() == 0
 
 
+def test_audit_of_sparse_and_missing_numbers(spark):
+    draw = np.random.default_rng(6)
+    numbers = [*(int(x) for x in draw.integers(-(1 << 62), 1 << 62, 400)), *range(-20, 300), None, None]
+    left = spark.createDataFrame([(k, f"r{j}") for j, k in enumerate(numbers)], "k long, p string")
+    bad = [numbers[3], numbers[200], 7, -1]
+    right = left.withColumn("p", F.when(F.col("k").isin(bad), "rot").when(F.col("k").isNull() & (F.col("p") == f"r{len(numbers) - 1}"), "rot").otherwise(F.col("p")))
+    ordered = sorted((k if k is not None else -(1 << 63), f"r{j}") for j, k in enumerate(numbers))
+    at = dict(zip([k for k, _ in ordered], np.cumsum([0] + [len(p) for _, p in ordered[:-1]]), strict=True)) | {-(1 << 63): 0}
+    assert len(merkle.shifts(merkle.leaves(left, "k", "p"))) <= 9
+    assert {r.key: (r.status, r.offset) for r in merkle.audit(left, right, "k", "p").collect()} == {k: ("corrupt", at[k]) for k in bad} | {None: ("corrupt", 0)}
+
+
 def test_pieces_rebuild_all_ids(documents, texts):
     inner = UnitTokenizer(tokenizer_path()).inner
     rows = packing.pack(documents.repartition(7), tokenizer_path()).collect()
@@ -594,7 +606,7 @@ def test_separator_scan_over_block_borders(spark):
     files = {f"f{k}": draw.choice([9, 1, 2, 3], n, p=[0.1, 0.3, 0.3, 0.3]) for k, n in enumerate((0, 1, 64, 1000, 5000))}
     files["none"] = np.full(300, 2)
     files["all"] = np.full(70, 9)
-    rows = [(f, b, x[b * 16 : b * 16 + 16].astype("<u4").tobytes(), None) for f, x in files.items() for b in range(-(-len(x) // 16))]
+    rows = [(f, b, x[b * 16 : b * 16 + 16].astype("<u4").tobytes()) for f, x in files.items() for b in range(-(-len(x) // 16))]
     got = {}
     for r in separators.scan(spark.createDataFrame(rows, separators.BLOCKS).repartition(4), 9).collect():
         got.setdefault(r.file, []).append((r.ordinal, r.start, r.n_tokens, r.terminated))
@@ -608,6 +620,44 @@ def test_separator_scan_over_block_borders(spark):
         assert sorted(got.get(f, [])) == want, f
 
 
+def test_counts_are_the_tokenizers(spark, documents, texts, sf_dir):
+    inner = UnitTokenizer(tokenizer_path(), True).inner
+    rows = queries.op1_token_counts(spark, sf_dir).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(inner.encode(t or "", add_special_tokens=False).ids) for i, t in texts.items()} and len(rows) == len(texts)
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.file, []).append((r.ordinal, r.start, r.n_tokens))
+    for mine in by_file.values():
+        mine.sort()
+        assert [o for o, _, _ in mine] == list(range(len(mine))) and all(a[1] + a[2] + 1 == b[1] for a, b in zip(mine, mine[1:], strict=False))
+
+
+def test_a_text_with_more_units_than_the_table_holds(monkeypatch):
+    from narrative_spark.llm import tokens
+
+    monkeypatch.setattr(tokens, "MAX_UNITS", 100)
+    import pyarrow as pa
+
+    coder = UnitTokenizer(tokenizer_path())
+    coder.clear(0)
+    coder.mask = 63
+    coder.keys, coder.slots = np.zeros(64, np.uint64), np.zeros(64, np.int32)
+    text = " ".join(f"u{k}x" for k in range(3000))
+    for _, ids, _ in coder.texts(pa.array([text, "short one", text])):
+        pass
+    assert coder.mask + 1 >= 2 * len(coder.first)
+    assert coder.inner.encode(text, add_special_tokens=False).ids == [int(x) for x in next(iter(coder.texts(pa.array([text]))))[1]]
+
+
+def test_one_file_is_read_by_many_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(separators, "RUN", 2)
+    ids = np.random.default_rng(2).choice([9, 1, 2], 5001, p=[0.01, 0.5, 0.49]).astype("<u2")
+    (tmp_path / "a.bin").write_bytes(ids.tobytes() + b"x")
+    blocks = separators.read_token_files(spark, str(tmp_path), 2, 100)
+    assert sorted((r.block, len(r.tokens)) for r in blocks.collect()) == [(k, 200) for k in range(50)] + [(50, 2)]
+    assert separators.scan(blocks, 9, 2).agg(F.sum("n_tokens")).first()[0] == (ids != 9).sum()
+
+
 def test_token_files_are_read_in_blocks(spark, tmp_path):
     ids = np.array([5, 9, 6, 6, 9, 7], "<u2")
     (tmp_path / "a.bin").write_bytes(ids.tobytes())

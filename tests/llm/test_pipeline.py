@@ -1,10 +1,14 @@
 """The pipeline's stages against what they promise."""
 
+import zlib
+
 import corpus_pipeline
 import numpy as np
 
-from narrative_spark.llm import decontaminate, near, rules
+from narrative_spark.llm import decontaminate, near, pii, rules
 from narrative_spark.llm.common import materialize
+from narrative_spark.llm.tokens import UnitTokenizer, tokenizer_path
+from tests.llm.test_operators import WORD, cut_out, lower
 
 
 def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
@@ -31,8 +35,34 @@ def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
 
 
 def test_run_equals_stages(spark, sf_dir):
-    pieces = corpus_pipeline.run(spark, sf_dir).collect()
-    assert len({(r.doc_id, r.start) for r in pieces}) == len(pieces) > 0
+    """run against its stages by brute force: rules and classes by their operators, contamination and redaction in plain Python, ids by the tokenizer."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = materialize(rules.judge(docs).where("quality_rules.kept").select("doc_id", "text"), "test-run")
+    ids = {r.class_id for r in near.classes(kept).collect()}
+    items = {tuple(w[k : k + 13]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if (w := words(r.text)) for k in range(max(1, len(w) - 12))}
+    clean = {}
+    for r in kept.collect():
+        if r.doc_id in ids:
+            w = words(r.text)
+            hit = {p for size in {len(x) for x in items} for k in range(len(w) - size + 1) if tuple(w[k : k + size]) in items for p in range(k, k + size)}
+            if not (hit and 20 * len(hit) >= len(w)):
+                clean[r.doc_id] = r.text
+    table = materialize(spark.createDataFrame(list(clean.items()), "doc_id long, text string"), "test-run")
+    redacted = {r.doc_id: cut_out(clean[r.doc_id], [(s.start, s.end, s.kind) for s in r.pii.all]) for r in pii.find(table).collect()}
+    inner, pieces = UnitTokenizer(tokenizer_path()).inner, {}
+    for r in corpus_pipeline.run(spark, sf_dir).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == set(clean)
+    for i, mine in pieces.items():
+        want, at = np.array([*inner.encode(redacted[i], add_special_tokens=False).ids, 1], "<u4"), 0
+        for r in sorted(mine, key=lambda r: r.start):
+            assert r.start == at and r.ids_crc32 == zlib.crc32(want[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(want)
+
+
+def words(text):
+    return WORD.findall(lower(text))
 
 
 def test_empty_documents(spark, tmp_path, sf_dir):
