@@ -5,8 +5,9 @@ rarity in the corpus (document frequency over hashed buckets, as many at every s
 weighted samples; BANDS groups of them are sorted, so that texts that share a group stand side by side and
 meet their next neighbours: a linear number of candidates whatever the size of a group of copies. Candidates whose samples
 agree enough are verified by weighted Jaccard similarity of their whole shingle sets, and verified links are joined to
-classes. Groups that then still hold texts of several classes are compared in full: blocks of sketches meet in pairs, and of the pairs
-that class, size and sketch let through the whole sets are fetched and verified. Equal word sequences are one text throughout.
+classes. Groups that then still hold texts of several classes are compared in full: blocks of sketches meet in pairs, for the texts
+that have a partner there by class, size and sketch, the whole sets are fetched, and a block pair returns only the links that join
+classes. Equal word sequences are one text throughout.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ SAMPLES = BANDS * ROWS
 NEIGHBOURS, LIKELY = 3, 0.55
 #: Buckets of the document frequencies.
 BUCKETS = 1 << 18
-#: Texts in a block of a group that is compared in full; of each, about 250 bytes meet the other blocks.
-BLOCK = 1024
+#: Texts in a block of a group that is compared in full, and bytes of their whole sets; of each text, about 250 bytes meet the other blocks.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 #: Row numbers that are sent to all tasks at most; beyond it, rows are joined by a shuffle.
 SENT_ROWS = 1_000_000
 _POOL = 1 << 14
@@ -218,46 +219,77 @@ def _verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
 
 def _open_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """band, k, key, label, blocks: members of the groups of several classes. Small ones count too, as the border between two tasks may have kept neighbours apart."""
-    rows = nodes.select("key", "bands").join(labels.select("key", "label"), "key").select("key", "label", F.posexplode("bands").alias("k", "band"))
-    sums = rows.groupBy("band", "k").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-    sums = sums.where(F.col("least") != F.col("most")).select("band", "k", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = nodes.select("key", "bands", "size").join(labels.select("key", "label"), "key").select("key", "label", "size", F.posexplode("bands").alias("k", "band"))
+    sums = rows.groupBy("band", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"), F.min("label").alias("least"), F.max("label").alias("most"))
+    # A shingle takes 12 bytes and weighs 1 at least.
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") * 12 / BLOCK_BYTES)).cast("int")
+    sums = sums.where(F.col("least") != F.col("most")).select("band", "k", blocks.alias("blocks"))
     return rows.withColumn("salt", salt_of("key")).join(dealt(sums), ["band", "k", "salt"]).select("band", "k", "key", "label", "blocks")
 
 
-def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, label_a, label_b: pairs of different classes in a group that size and sketch let through, each in the first group that its texts share.
+_PAIR = ["band", "low", "high", "k"]
+_MEMBER = "band long, low int, high int, k int, block int, key binary, label binary, bands array<long>, sketch binary, size double"
 
-    Blocks of a group meet in pairs; only keys, classes, sizes and sketches are sent there.
-    """
+
+class _Part:
+    """The texts of a pair of blocks of one group."""
+
+    def __init__(self, part: pa.Table):
+        self.k, self.across = part["k"][0].as_py(), part["low"][0].as_py() != part["high"][0].as_py()
+        self.block, self.size = part["block"].to_numpy(), part["size"].to_numpy()
+        self.sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u2").reshape(-1, SAMPLES)
+        self.bands = np.array(part["bands"].to_pylist(), np.int64)
+        labels = part["label"].to_pylist()
+        number = {x: i for i, x in enumerate(sorted(set(labels)))}
+        self.group = np.array([number[x] for x in labels])
+
+    def partners(self, i: int) -> np.ndarray:
+        """The later texts of other classes that size and sketch let through, if this is the first group that the two share; those whose samples agree most come first."""
+        rest = slice(i + 1, None)
+        ok = (self.group[rest] != self.group[i]) & (np.minimum(self.size[rest], self.size[i]) >= SIMILAR * 0.999 * np.maximum(self.size[rest], self.size[i]))
+        if self.across:
+            ok &= self.block[rest] != self.block[i]
+        at = np.flatnonzero(ok) + i + 1
+        agree = (self.sketch[at] == self.sketch[i]).sum(1)
+        ok = (agree >= LIKELY * SAMPLES) & ~(self.bands[at, : self.k] == self.bands[i, : self.k]).any(1)
+        return at[ok][np.argsort(-agree[ok], kind="stable")]
+
+
+def _with_partners(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of each pair of blocks of a group that have a partner in it. Only keys, classes, sizes and sketches are sent there."""
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks").cast("long")).cast("int")
     rows = members.withColumn("block", own).join(nodes.select("key", "bands", "sketch", "size"), "key")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
+    def keep(part: pa.Table) -> pa.Table:
+        texts, kept = _Part(part), np.zeros(part.num_rows, bool)
+        for i in range(part.num_rows - 1):
+            at = texts.partners(i)
+            kept[at] = True
+            kept[i] |= len(at) > 0
+        return part.filter(pa.array(kept))
+
+    return rows.select(*[x.split()[0] for x in _MEMBER.split(", ")]).groupBy(*_PAIR).applyInArrow(keep, _MEMBER)
+
+
+def _joins(members: DataFrame, features: DataFrame) -> DataFrame:
+    """a, b, label_a, label_b: verified links that join the classes within each pair of blocks."""
+
     def compare(part: pa.Table) -> pa.Table:
-        keys, labels = (part[c].to_pylist() for c in ("key", "label"))
-        k, across = part["k"][0].as_py(), part["low"][0].as_py() != part["high"][0].as_py()
-        block, size = part["block"].to_numpy(), part["size"].to_numpy()
-        sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u2").reshape(-1, SAMPLES)
-        bands = np.array(part["bands"].to_pylist(), np.int64)
-        number = {x: i for i, x in enumerate(sorted(set(labels)))}
-        group = np.array([number[x] for x in labels])
+        texts = _Part(part)
+        group = texts.group.copy()
+        sets = list(zip(*([x.as_buffer() for x in part[c].combine_chunks()] for c in ("hashes", "weights")), strict=True))
         left, right = [], []
-        for i in range(len(keys) - 1):
-            rest = slice(i + 1, None)
-            ok = (group[rest] != group[i]) & (np.minimum(size[rest], size[i]) >= SIMILAR * 0.999 * np.maximum(size[rest], size[i]))
-            if across:
-                ok &= block[rest] != block[i]
-            at = np.flatnonzero(ok) + i + 1
-            at = at[(sketch[at] == sketch[i]).sum(1) >= LIKELY * SAMPLES]
-            at = at[~(bands[at, :k] == bands[i, :k]).any(1)]
-            left += [i] * len(at)
-            right += at.tolist()
-        take = lambda values, some: pa.array([values[j] for j in some], pa.binary())
-        return pa.Table.from_arrays([take(keys, left), take(keys, right), take(labels, left), take(labels, right)], names=["a", "b", "label_a", "label_b"])
-
-    columns = ["band", "low", "high", "k", "block", "key", "label", "bands", "sketch", "size"]
-    return rows.select(*columns).groupBy("band", "low", "high", "k").applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary")
+        for i in range(part.num_rows - 1):
+            for j in texts.partners(i):
+                if group[i] != group[j] and weighted_jaccard(sets[i], sets[j]) >= SIMILAR:
+                    left, right = [*left, i], [*right, j]
+                    group[group == group[j]] = group[i]
+        take = lambda name, rows: part[name].take(pa.array(rows, pa.int64()))
+        return pa.Table.from_arrays([take("key", left), take("key", right), take("label", left), take("label", right)], names=["a", "b", "label_a", "label_b"])
+
+    return members.join(features, "key").select(*[x.split()[0] for x in _MEMBER.split(", ")], "hashes", "weights").groupBy(*_PAIR).applyInArrow(compare, "a binary, b binary, label_a binary, label_b binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str | None = None) -> DataFrame:
@@ -298,7 +330,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     labelled = nodes.select("key", "best").join(trees.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
     labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
-    labelled = _whole_groups(labelled, nodes, likely, features, ends, named, row, text_col, rare)
+    labelled = _whole_groups(labelled, nodes, features, ends, named, row, text_col, rare)
     heads = dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
     per_key = labelled.withColumn("salt", salt_of("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
     own = signed.select("row", "id", "key", salt_of("row").alias("salt"))
@@ -306,15 +338,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     return joined.select("row", "id", F.coalesce("head.row", "row").alias("class_row"), F.coalesce("head.id", F.when(F.col("head").isNull(), F.col("id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _whole_groups(labelled: DataFrame, nodes: DataFrame, likely: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
-    """labelled after the groups that hold several classes are compared in full. Pairs that neighbours brought together were verified before."""
-    pairs = _across(materialize(_open_groups(nodes, labelled), "members"), nodes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "label_a", "label_b")
-    pairs = materialize(pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    inside = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def _whole_groups(labelled: DataFrame, nodes: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
+    """labelled after the groups that hold several classes are compared in full."""
+    members = materialize(_with_partners(materialize(_open_groups(nodes, labelled), "members"), nodes), "partners")
+    inside = members.select("key").distinct()
     unread = nodes.join(inside, "key", "left_semi").join(ends, "key", "left_anti").select(F.col("best.row").alias("row"))
     features = features.unionByName(materialize(_features(named, row, text_col, unread, rare), "features"))
-    links = materialize(_verified(pairs, features), "links")
-    joined = components(pairs.join(links, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    links = materialize(_joins(members, features), "links")
+    joined = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("further"))
     moved = labelled.withColumn("salt", salt_of("key")).join(dealt(joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))), ["label", "salt"], "left")
     moved = moved.join(degree, "key", "left")
