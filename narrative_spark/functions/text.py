@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,10 +12,19 @@ SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202
 #: Signs that carry no meaning in a query.
 STOP_SIGNS = "的了么吗呢啊吧嘛呀哦嗯唉咦之与及和或但而却并且也又再就都只还很最更被把让从向给在是有这那要会能可以应该怎什为哪谁何哪些这个"
 
+#: Latin letters with marks, and the same without them.
+_MARKED = [c for c in map(chr, range(0xC0, 0x250)) if unicodedata.category(c).startswith("L") and not unicodedata.normalize("NFD", c)[0] == c]
+
+
+def without_marks(text: Column) -> Column:
+    """text with Latin letters without their marks."""
+    return F.translate(text, "".join(_MARKED), "".join(unicodedata.normalize("NFD", c)[0] for c in _MARKED))
+
 
 def ustrip(text: Column) -> Column:
-    """text without white space at both ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """text without white space at both ends; most texts have none, which a look at their ends tells."""
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1))).rlike(SPACE)
+    return F.when(ends, F.regexp_replace(text, f"^{SPACE}++|{SPACE}++$", "")).otherwise(text)
 
 
 def count_of(text: Column, part: Column) -> Column:
@@ -38,3 +49,14 @@ def pairs(items: Column) -> Column:
     left = F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0)))
     right = F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0)))
     return F.array_distinct(F.zip_with(left, right, lambda a, b: F.concat(a, b)))
+
+
+def counted(items: Column) -> Column:
+    """Distinct items, sorted, each with how often it comes: array of term, tf."""
+
+    def runs(s: Column) -> Column:
+        ends = F.filter(F.transform(s, lambda x, i: F.struct(x.alias("term"), (i + 1).alias("end"))), lambda e: ~F.coalesce(F.get(s, e["end"]) == e["term"], F.lit(False)))
+        tf = lambda e: F.transform(e, lambda x, i: F.struct(x["term"].alias("term"), (x["end"] - F.coalesce(F.get(e, i - 1)["end"], F.lit(0))).cast("long").alias("tf")))
+        return F.flatten(F.transform(F.array(ends), tf))
+
+    return F.flatten(F.transform(F.array(F.sort_array(items)), runs))

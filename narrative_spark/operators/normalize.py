@@ -15,9 +15,12 @@ from narrative_spark.functions.text import ustrip
 
 def normalize_lines(raw: DataFrame) -> DataFrame:
     """Lines that aren't blank, stripped, with their original numbers. Only line feeds end a line, after other newlines are made so."""
-    split = raw.select("work_id", "part", F.split(F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n"), "\n", -1).alias("all"))
-    first = split.groupBy("work_id", "part").agg(F.sum(F.size("all")).alias("n")).select("work_id", "part", F.coalesce(F.sum("n").over(W.partitionBy("work_id").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    rows = split.select("work_id", "part", F.posexplode("all").alias("at", "line")).join(first, ["work_id", "part"])
+    text = F.coalesce("text", F.lit(""))
+    text = F.when(text.contains("\r"), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
+    parts = raw.select("work_id", "part", text.alias("text"))
+    n = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    first = parts.groupBy("work_id", "part").agg(F.sum(n).alias("n")).select("work_id", "part", F.coalesce(F.sum("n").over(W.partitionBy("work_id").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    rows = parts.join(first, ["work_id", "part"]).select("work_id", "part", "first", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     return rows.select("work_id", "part", (F.col("first") + F.col("at") + 1).cast("long").alias("line_no"), ustrip(F.col("line")).alias("line")).where("line <> ''")
 
 

@@ -7,7 +7,6 @@ them. units: work_id, unit_id, ord (from 1), chapter_idx, chapter_name, start_li
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from narrative_spark.functions import prefix
@@ -19,36 +18,39 @@ BLOCK = 1 << 14
 
 
 def label_chapters(body: DataFrame, headers: DataFrame) -> DataFrame:
-    """body with chapter_idx, chapter_name and is_header; headers: work_id, header. Lines before the first header are chapter 0 without a name."""
+    """body with is_header, chapter_idx and chapter_name; headers: work_id, header. Lines before the first header are chapter 0 without a name.
+
+    Only lines that are short enough to be a header meet the headers, and only numbers and header lines are counted through; body should be stored, as
+    it is read twice.
+    """
     known = headers.select(F.col("work_id"), F.col("header").alias("line")).distinct().withColumn("is_header", F.lit(True))
-    rows = body.join(known, ["work_id", "line"], "left").withColumn("is_header", F.coalesce("is_header", F.lit(False)))
-    rows = rows.withColumn("block", F.floor(F.col("line_no") / BLOCK))
-    hit = F.col("is_header").cast("long")
-    counted = prefix.before(rows, "work_id", "block", [F.col("line_no")], {"earlier": hit})
-    counted = counted.withColumn("chapter_idx", (F.col("earlier") + hit).cast("int")).drop("earlier", "block")
-    # A chapter has one header line, its first.
-    name = F.max(F.when(F.col("is_header"), F.col("line"))).over(W.partitionBy("work_id", "chapter_idx"))
-    return counted.withColumn("chapter_name", F.coalesce(name, F.lit("")))
+    longest = known.agg(F.max(F.length("line"))).first()[0] or 0
+    lines = body.select("work_id", "line_no", F.floor(F.col("line_no") / BLOCK).alias("block"), F.when(F.length("line") <= longest, F.col("line")).alias("line"))
+    short = lines.where("line is not null").join(known, ["work_id", "line"], "left")
+    marks = short.select("work_id", "line_no", "block", F.when(F.col("is_header"), F.col("line")).alias("name"))
+    marks = stored(marks.unionByName(lines.where("line is null").withColumnRenamed("line", "name")), "marks")
+    hit = F.col("name").isNotNull()
+    labels = prefix.scan(marks, "work_id", "block", [F.col("line_no")], sums={"earlier": hit.cast("long")}, latest={"last": F.col("name")})
+    labels = labels.select("work_id", "line_no", hit.alias("is_header"), (F.col("earlier") + hit.cast("long")).cast("int").alias("chapter_idx"), F.coalesce("name", "last", F.lit("")).alias("chapter_name"))
+    return body.join(labels, ["work_id", "line_no"]).select(*body.columns, "is_header", "chapter_idx", "chapter_name")
 
 
 def segment_units(labelled: DataFrame, works: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Units of every work. A chapter without lines has none; a header that comes again is a chapter again.
 
-    Units are written to the shared folder before they are numbered, as their numbers need the counts of all chapters before.
+    Numbers of lines are counted through first and stored; texts then move to their units once.
     """
     lines = labelled.where(~F.col("is_header"))
-    inside = W.partitionBy("work_id", "chapter_idx").orderBy("line_no")
-    long = (F.length("line") > threshold).cast("long")
-    # A chapter whose first line is short counts one beginning more.
-    lines = lines.withColumn("place", F.sum(long).over(inside) + 1 - F.first(long).over(inside))
-    made = lines.groupBy("work_id", "chapter_idx", "place").agg(F.first("chapter_name").alias("chapter_name"), F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    made = stored(made, "units")
-    chapters = made.groupBy("work_id", "chapter_idx").agg(F.count(F.lit(1)).alias("n"))
-    chapters = chapters.select("work_id", "chapter_idx", F.coalesce(F.sum("n").over(W.partitionBy("work_id").orderBy("chapter_idx").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
-    made = made.join(chapters, ["work_id", "chapter_idx"]).join(works.select("work_id", F.coalesce("work_short", F.substring("work_id", 1, 2)).alias("work_short")), "work_id", "left")
-    order = (F.col("earlier") + F.col("place")).cast("long")
+    numbers = stored(lines.select("work_id", "line_no", "chapter_idx", F.floor(F.col("line_no") / BLOCK).alias("block"), (F.length("line") > threshold).alias("long")), "numbers")
+    after = prefix.scan(numbers, "work_id", "block", [F.col("line_no")], latest={"before": F.col("chapter_idx")})
+    begun = after.withColumn("begins", (F.col("long") | ~F.col("before").eqNullSafe(F.col("chapter_idx"))).cast("long"))
+    placed = prefix.scan(begun, "work_id", "block", [F.col("line_no")], sums={"earlier": F.col("begins")})
+    rows = lines.join(placed.select("work_id", "line_no", (F.col("earlier") + F.col("begins")).alias("ord")), ["work_id", "line_no"])
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
+    made = rows.groupBy("work_id", "ord").agg(F.min("chapter_idx").alias("chapter_idx"), F.min("chapter_name").alias("chapter_name"), F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"), text.alias("text"))
+    made = made.join(works.select("work_id", F.coalesce("work_short", F.substring("work_id", 1, 2)).alias("work_short")), "work_id", "left")
     short = F.coalesce("work_short", F.substring("work_id", 1, 2))
-    return made.select("work_id", F.format_string("%s-%04d", short, order).alias("unit_id"), order.alias("ord"), "chapter_idx", "chapter_name", "start_line", "end_line", "text", F.length("text").alias("chars"))
+    return made.select("work_id", F.format_string("%s-%04d", short, "ord").alias("unit_id"), "ord", "chapter_idx", "chapter_name", "start_line", "end_line", "text", F.length("text").alias("chars"))
 
 
 def chapter_stats(units: DataFrame) -> DataFrame:
