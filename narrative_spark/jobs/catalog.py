@@ -38,8 +38,14 @@ def _cut(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return lines, stages.stored(fx.units(spark, d, lines), "units")
 
 
+def _asked(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Queries and the units that they ask, both made once."""
+    units = stages.stored(fx.units(spark, d), "units")
+    return stages.stored(fx.queries(spark, d, units, whole), "queries"), units
+
+
 def _routed(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    asked, units = fx.queries(spark, d, whole), stages.stored(fx.units(spark, d), "units")
+    asked, units = _asked(spark, d, whole)
     return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
 
 
@@ -49,9 +55,9 @@ def _search(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     return found.select("query_id", "work_id", "unit_id", "ord", "place", "used", F.round("score", 3).alias("score"), "raw_text", *[f"metadata.{c}" for c in ("chapter", "start_line", "end_line")])
 
 
-def _bm25(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    units = stages.stored(fx.units(spark, d), "units")
-    return search.search_bm25(fx.queries(spark, d, whole), lexical.build_postings(units), lexical.index_stats(units)).withColumn("score", F.round("score", 3))
+def _bm25(spark: SparkSession, d: str, whole: bool = False, tokenizer: str = "pair") -> DataFrame:
+    asked, units = _asked(spark, d, whole)
+    return search.search_bm25(asked, lexical.build_postings(units, tokenizer), lexical.index_stats(units, tokenizer), tokenizer=tokenizer).withColumn("score", F.round("score", 3))
 
 
 def _evaluate(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
@@ -61,6 +67,25 @@ def _evaluate(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     return search.evaluate_retrieval(search.to_evidence(rows, units), asked.select("query_id", "max_order").join(gold, "query_id", "left"))
 
 
+def _by_vector(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Given vectors as units of three works: the vector index of the first is current, that of the second older than its source, that of the third is asked for a chapter that no unit has."""
+    n = F.col("vec_id").cast("string")
+    part = F.concat(F.lit("part "), F.col("label").cast("string"))
+    units = fx.table(spark, d, "embeddings").select(F.concat(F.lit("emb"), (F.col("vec_id") % 3).cast("string")).alias("work_id"), F.concat(F.lit("e-"), n).alias("unit_id"), (F.col("vec_id") + 1).cast("long").alias("ord"), part.alias("chapter_name"), F.concat(F.lit("unit number "), n, F.lit(" of "), part).alias("text"), F.col("embedding").alias("vector"), "vec_id")
+    asked = units.where("vec_id % 20 = 0").select(n.alias("query_id"), "work_id", F.concat(F.lit("number "), n).alias("query"), F.lit(None).cast("long").alias("max_order"), F.when(F.col("work_id") == "emb2", "none").alias("chapter"), "vector")
+    works = units.select("work_id").distinct()
+    now = works.withColumn("source_sha256", F.concat("work_id", F.lit("-now")))
+    then = works.withColumn("source_sha256", F.concat("work_id", F.when(F.col("work_id") == "emb1", "-old").otherwise("-now")))
+    current = vectors.index_status(vectors.index_meta(units, then), now).where("current").select("work_id")
+    found = vectors.search_vector(asked.join(current, "work_id", "left_semi"), units)
+    return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units), found, current), current, now
+
+
+def _vector_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    asked, units, rows, current, now = _by_vector(spark, d)
+    return search.search_diagnostics(asked, units, rows, current, manifest=now)
+
+
 def _tags(spark: SparkSession, d: str) -> DataFrame:
     return extract.derive_tags(fx.delta_units(spark, d)).select("work_id", "unit_id", *[F.array_join(c, ",").alias(c) for c in ("characters", "locations", "key_terms")])
 
@@ -74,6 +99,16 @@ def _cached(spark: SparkSession, d: str) -> DataFrame:
     return extract.run_report(rows.withColumn("degraded", F.col("ord") % 10 == 9))
 
 
+def _reported(spark: SparkSession, d: str) -> DataFrame:
+    """Every third unit is fresh and took a request; a degraded one failed twice; every second chapter's digest came from the cache."""
+    units = fx.delta_units(spark, d)
+    fresh = F.col("ord") % 3 == 0
+    usage = units.where(fresh).select("work_id", F.col("ord").alias("prompt_tokens"), (F.col("ord") % 7).alias("completion_tokens"))
+    errors = units.where("degraded").select("work_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("attempt"))
+    archived = units.select("work_id", "chapter_idx").distinct().select("work_id", (F.col("chapter_idx") % 2 == 0).alias("cached"))
+    return extract.run_report(units.withColumn("cached", ~fresh), errors, usage, archived)
+
+
 def _patched(spark: SparkSession, d: str) -> DataFrame:
     units = fx.delta_units(spark, d)
     fields = units.select("work_id", "ord", F.concat(F.lit("s"), F.col("ord").cast("string")).alias("summary"), "entity_updates", "plotline_updates", F.array(F.lit("a"), F.lit("b")).alias("context_refs"), "recent_event")
@@ -99,17 +134,23 @@ def _kept(spark: SparkSession, d: str, keep: str) -> DataFrame:
 def _read(spark: SparkSession, d: str, readers: DataFrame) -> DataFrame:
     """Snapshots of the units that readers stand at, and no others."""
     units = fx.delta_units(spark, d)
-    return stages.stored(state.fold_state(units, keep="marked", marked=views.read_units(units, readers)), "snapshots")
+    return stages.stored(state.fold_state(units, keep="marked", marked=views.read_units(units, readers).where("ord is not null")), "snapshots")
 
 
-def _current(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    asked = _requests(spark, d, ["vie", "clicks"], whole)
-    return views.entity_current(_read(spark, d, asked), asked)
+def _current(spark: SparkSession, d: str, names: list[str], view, whole: bool = False) -> DataFrame:
+    asked = _requests(spark, d, names, whole)
+    return view(_read(spark, d, asked), asked)
 
 
 def _fold(spark: SparkSession, d: str) -> DataFrame:
     s = F.from_json("snapshot", "last_order long, backdrop string, recent array<struct<order:bigint,text:string>>")
-    return state.fold_state(fx.delta_units(spark, d)).withColumn("s", s).select("work_id", "ord", "s.last_order", _flat("s.recent"), "s.backdrop")
+    return state.fold_state(fx.delta_units(spark, d)).withColumn("s", s).select("work_id", "ord", "chapter_idx", "s.last_order", _flat("s.recent"), "s.backdrop", "snapshot", "fingerprint")
+
+
+def _viewed(spark: SparkSession, d: str) -> DataFrame:
+    readers = _readers(spark, d)
+    seen = views.progressive_view(_read(spark, d, readers), readers, fx.delta_units(spark, d))
+    return seen.select("reader_id", "work_id", "max_order", "status", "reason", "snapshot_order", "snapshot", "provenance.unit_id", "provenance.chapter")
 
 
 def _readers(spark: SparkSession, d: str) -> DataFrame:
@@ -139,9 +180,15 @@ def _picked(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
 
 
 def _ranges(spark: SparkSession, d: str) -> DataFrame:
+    asked, units = _asked(spark, d)
     low = F.coalesce("max_order", F.lit(1))
-    asked = fx.queries(spark, d).select(F.col("query_id").alias("range_id"), "work_id", low.alias("low"), (low + 4).alias("high"))
-    return views.get_range(fx.units(spark, d), asked).select("range_id", "work_id", "unit_id", "ord")
+    return views.get_range(units, asked.select(F.col("query_id").alias("range_id"), "work_id", low.alias("low"), (low + 4).alias("high"))).select("range_id", "work_id", "unit_id", "ord")
+
+
+def _works(spark: SparkSession, d: str) -> DataFrame:
+    """All works but one have a lexical index, some a vector index."""
+    works = fx.works(spark, d)
+    return views.list_works(fx.units(spark, d), works, works.where("work_id <> 'src3'"), works.where("work_id < 'src5'"))
 
 
 def _prefixes(spark: SparkSession, d: str) -> DataFrame:
@@ -190,15 +237,35 @@ def _status(spark: SparkSession, d: str) -> DataFrame:
     return vectors.index_status(then, now)
 
 
-def _coerced(spark: SparkSession, d: str) -> DataFrame:
+def _model_output(spark: SparkSession, d: str) -> DataFrame:
     """Model output written from events: whole, no JSON, a wrong collection, or without a summary."""
     i = F.col("event_id").cast("string")
     whole = F.concat(F.lit('```json\n{"summary": " s'), i, F.lit(' ", "entity_updates": [{"name": " '), F.col("event_type"), F.lit('", "type": "robot"}, {"name": ""}, 5], "plotline_updates": [{"title": "k'), i, F.lit('", "action": "jump"}], "recent_event": "went '), i, F.lit('"}\n```'))
     case = F.col("event_id") % 5
     output = F.when(case == 1, F.lit("sorry")).when(case == 2, F.lit('{"summary": "s", "entity_updates": {"name": "A"}}')).when(case == 3, F.lit('{"summary": " "}')).otherwise(whole)
-    got = extract.coerce_fields(fx.table(spark, d, "events").select("event_id", output.alias("output")))
+    return extract.coerce_fields(fx.table(spark, d, "events").select("event_id", "event_type", "user_id", output.alias("output")))
+
+
+def _coerced(spark: SparkSession, d: str) -> DataFrame:
     flat = lambda c, a, b: F.when(F.col(c).isNotNull(), F.array_join(F.transform(c, lambda x: F.concat_ws(":", x[a], x[b])), ","))
-    return got.select("event_id", "parse_error", "summary", flat("entity_updates", "name", "type").alias("entities"), flat("plotline_updates", "action", "title").alias("plots"), F.col("recent_event.text").alias("event"))
+    return _model_output(spark, d).select("event_id", "parse_error", "summary", flat("entity_updates", "name", "type").alias("entities"), flat("plotline_updates", "action", "title").alias("plots"), F.col("recent_event.text").alias("event"))
+
+
+def _extracted(spark: SparkSession, d: str) -> DataFrame:
+    """The same model output with the first sentence of a text where it is no good."""
+    text = F.concat(F.col("event_type"), F.lit(" of "), F.col("user_id").cast("string"), F.lit("。and more"))
+    got = extract.with_fallback(_model_output(spark, d).withColumn("text", text))
+    return got.select("event_id", "degraded", "summary", F.size("entity_updates").alias("entities"), F.col("recent_event.text").alias("event"))
+
+
+def _review(spark: SparkSession, d: str) -> DataFrame:
+    """Review patches written from events: whole, no JSON, or with a wrong collection."""
+    i = F.col("event_id").cast("string")
+    whole = F.concat(F.lit('{"summary_replacement": " s'), i, F.lit('", "rename_entities": [{"from": "'), F.col("event_type"), F.lit('", "to": " new"}, {"from": "x"}, 3], "entity_status_updates": [{"name": "'), F.col("event_type"), F.lit('", "status": "on"}], "remove_entities": [" a", "", "b"], "plotline_fixes": [{"title": "k'), i, F.lit('"}, {}]}'))
+    case = F.col("event_id") % 4
+    got = extract.coerce_patch(fx.table(spark, d, "events").select("event_id", F.when(case == 1, F.lit("[]")).when(case == 2, F.lit('{"rename_entities": {"from": "a"}}')).otherwise(whole).alias("output")))
+    flat = lambda n, *keys: F.array_join(F.transform(F.col("patch")[n], lambda x: F.concat_ws(":", *[x[k] for k in keys])), ",")
+    return got.select("event_id", "parse_error", F.col("patch.summary_replacement").alias("summary"), flat("rename_entities", "from", "to").alias("renames"), flat("entity_status_updates", "name", "status", "note").alias("statuses"), F.array_join("patch.remove_entities", ",").alias("removed"), flat("plotline_fixes", "action", "title").alias("fixes"), F.array_join("patch.context_ref_additions", ",").alias("refs"))
 
 
 def _refs(spark: SparkSession, d: str) -> DataFrame:
@@ -224,26 +291,32 @@ QUERIES = {
     "spot_check": lambda s, d: validate.spot_check(fx.units(s, d)),
     "validation_report": lambda s, d: validate.validation_report(*_cut(s, d), fx.headers(s, d)),
     "corpus_profile": lambda s, d: validate.corpus_profile(fx.lines(s, d), ["the", "de"]),
-    "analyze_queries": lambda s, d: lexical.analyze_queries(fx.queries(s, d)).select("query_id", "terms", "single"),
+    "analyze_queries": lambda s, d: lexical.analyze_queries(fx.queries(s, d, fx.units(s, d))).select("query_id", "terms", "single"),
     "build_postings": lambda s, d: lexical.build_postings(fx.units(s, d)),
     "index_stats": lambda s, d: lexical.index_stats(fx.units(s, d)).withColumn("mean_size", F.round("mean_size", 6)),
     "search_bm25": _bm25,
-    "search_scan": lambda s, d: search.search_scan(fx.queries(s, d), fx.units(s, d)),
+    "search_scan": lambda s, d: search.search_scan(*_asked(s, d)),
     "search": _search,
     "search_diagnostics": lambda s, d: search.search_diagnostics(*_routed(s, d)),
     "evaluate_retrieval": _evaluate,
-    "analyze_queries_whole": lambda s, d: lexical.analyze_queries(fx.queries(s, d, whole=True)).select("query_id", "terms", "single"),
+    "analyze_queries_whole": lambda s, d: lexical.analyze_queries(fx.queries(s, d, None, whole=True)).select("query_id", "terms", "single"),
     "search_bm25_whole": lambda s, d: _bm25(s, d, whole=True),
-    "search_scan_whole": lambda s, d: search.search_scan(fx.queries(s, d, whole=True), fx.units(s, d)),
+    "search_scan_whole": lambda s, d: search.search_scan(*_asked(s, d, whole=True)),
     "search_whole": lambda s, d: _search(s, d, whole=True),
     "search_diagnostics_whole": lambda s, d: search.search_diagnostics(*_routed(s, d, whole=True)),
     "evaluate_retrieval_whole": lambda s, d: _evaluate(s, d, whole=True),
+    "search_run": lambda s, d: _bm25(s, d, tokenizer="run"),
+    "search_routes": lambda s, d: _by_vector(s, d)[2].select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"), "used"),
+    "search_routes_diagnostics": _vector_diagnostics,
     "fallback_extract": lambda s, d: extract.fallback_extract(fx.units(s, d), (".", "\n")).select("work_id", "unit_id", "summary"),
     "derive_tags": _tags,
     "recent_context": lambda s, d: extract.recent_context(fx.talk_units(s, d)).select("work_id", "ord", "recent_text"),
     "related_context": lambda s, d: extract.related_context(fx.talk_units(s, d)),
     "cache_split": _cached,
     "apply_patch": _patched,
+    "coerce_patch": _review,
+    "extract_units": _extracted,
+    "run_report": _reported,
     "entity_timeline": lambda s, d: state.entity_timeline(fx.delta_units(s, d)),
     "plotline_timeline": lambda s, d: state.plotline_timeline(fx.delta_units(s, d)),
     "recent_events": lambda s, d: state.recent_events(fx.delta_units(s, d)).select("work_id", "ord", _flat("recent")),
@@ -254,19 +327,21 @@ QUERIES = {
     "prefix_consistency": _prefixes,
     "state_view": lambda s, d: state.render_state_view(_snapshots(s, d)).select("work_id", "ord", "view"),
     "stream_state": _streamed,
-    "list_works": lambda s, d: views.list_works(fx.units(s, d), fx.works(s, d)),
+    "list_works": _works,
     "reading_locations": lambda s, d: views.reading_locations(fx.talk_units(s, d)),
     "get_units": _picked,
     "get_range": _ranges,
-    "progressive_view": lambda s, d: views.progressive_view(_read(s, d, _readers(s, d)), _readers(s, d)).drop("snapshot"),
-    "recap": lambda s, d: views.recap(_read(s, d, _readers(s, d)), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent")),
+    "progressive_view": _viewed,
+    "recap": lambda s, d: views.recap(_read(s, d, _readers(s, d)), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent"), "backdrop"),
     "entity_history": _history,
     "plotline_history": _plots,
-    "entity_current": _current,
+    "entity_current": lambda s, d: _current(s, d, ["vie", "clicks"], views.entity_current),
+    "plotline_current": lambda s, d: _current(s, d, ["k3", "k"], views.plotline_current),
     "get_units_whole": lambda s, d: _picked(s, d, whole=True),
     "entity_history_whole": lambda s, d: _history(s, d, whole=True),
     "plotline_history_whole": lambda s, d: _plots(s, d, whole=True),
-    "entity_current_whole": lambda s, d: _current(s, d, whole=True),
+    "entity_current_whole": lambda s, d: _current(s, d, ["vie", "clicks"], views.entity_current, whole=True),
+    "plotline_current_whole": lambda s, d: _current(s, d, ["k3", "k"], views.plotline_current, whole=True),
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
     "search_vector": _vectors,

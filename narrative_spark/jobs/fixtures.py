@@ -42,12 +42,14 @@ def units(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> D
     return segment.segment_units(labelled(spark, sf_dir) if lines is None else lines, works(spark, sf_dir))
 
 
-def queries(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Beginnings of benchmark items asked of a work each, three of four within a boundary; or whole items, asked of all units of their work."""
+def queries(spark: SparkSession, sf_dir: str, units: DataFrame, whole: bool = False) -> DataFrame:
+    """Whole benchmark items asked of a work each: three of four within a quarter, a half or three quarters of its units; whole: all of them of all units."""
     item = F.col("item_id")
-    text = F.col("text") if whole else F.substring("text", 1, 40)
-    limit = F.lit(None).cast("long") if whole else F.when(item % 4 != 0, item + 10)
-    return table(spark, sf_dir, "benchmark").select(item.cast("string").alias("query_id"), F.concat(F.lit("src"), (item % 20).cast("string")).alias("work_id"), text.alias("query"), limit.alias("max_order"), F.lit(None).cast("string").alias("chapter"))
+    asked = table(spark, sf_dir, "benchmark").select(item, item.cast("string").alias("query_id"), F.concat(F.lit("src"), (item % 20).cast("string")).alias("work_id"), F.col("text").alias("query"), F.lit(None).cast("string").alias("chapter"))
+    if whole:
+        return asked.withColumn("max_order", F.lit(None).cast("long")).drop("item_id")
+    last = units.groupBy("work_id").agg(F.max("ord").alias("last"))
+    return asked.join(last, "work_id", "left").withColumn("max_order", F.when(item % 4 != 0, F.floor(F.col("last") * (item % 4) / 4))).drop("item_id", "last")
 
 
 def talk_units(spark: SparkSession, sf_dir: str) -> DataFrame:

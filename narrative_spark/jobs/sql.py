@@ -1,6 +1,7 @@
 """DuckDB SQL for the registered queries' rows."""
 
-SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+from narrative_spark.functions.text import SPACE
+from narrative_spark.functions.text import STOP_SIGNS as STOP
 
 LINES = rf"""
 raw AS (
@@ -50,11 +51,13 @@ ev AS (
   FROM ev
 )
 """
+#: Whole benchmark items, asked of a work each; three of four within a share of its units.
 QUERIES = """
-queries AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, substring(text, 1, 40) AS query, CASE WHEN item_id % 4 <> 0 THEN item_id + 10 END AS max_order FROM benchmark)
+, asks AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, text AS query, item_id FROM benchmark
+), lasts AS (SELECT work_id, max(ord) AS last FROM units GROUP BY work_id
+), queries AS (SELECT query_id, work_id, query, CASE WHEN item_id % 4 <> 0 THEN (last * (item_id % 4)) // 4 END AS max_order FROM asks LEFT JOIN lasts USING (work_id))
 """
 
-STOP = "的了么吗呢啊吧嘛呀哦嗯唉咦之与及和或但而却并且也又再就都只还很最更被把让从向给在是有这那要会能可以应该怎什为哪谁何哪些这个"
 TERMS = QUERIES + f"""
 , q1 AS (SELECT *, regexp_extract_all(query, '[\\p{{L}}\\p{{N}}]') AS every FROM queries
 ), q2 AS (SELECT *, list_filter(every, lambda x: NOT contains('{STOP}', x)) AS few FROM q1
@@ -97,6 +100,76 @@ EVENTS = """
 , readers AS (SELECT work_id || '-' || p AS reader_id, work_id, p AS max_order FROM (SELECT DISTINCT work_id FROM deltas), (VALUES (0), (7), (33), (500)) v(p))
 """
 
+#: The whole state as of each unit, as canonical JSON. Every event has one entity, one plotline and one event at most, so that orders tell records apart.
+SNAPS = EVENTS + """
+, before AS (SELECT a.work_id, a.ord AS here, d.* EXCLUDE (work_id) FROM deltas a JOIN deltas d ON d.work_id = a.work_id AND d.ord <= a.ord AND NOT d.degraded
+), ents AS (
+  SELECT work_id, here, type, name, min(ord) AS first_seen_order, max(ord) AS last_seen_order,
+    CASE WHEN type <> 'location' THEN arg_max(status, ord) FILTER (WHERE status <> '') END AS status,
+    arg_max(CASE WHEN type = 'location' AND note = '' THEN status ELSE note END, ord) FILTER (WHERE CASE WHEN type = 'location' AND note = '' THEN status ELSE note END <> '') AS note
+  FROM before GROUP BY 1, 2, 3, 4
+), plots AS (
+  SELECT work_id, here, title, CASE WHEN count(*) FILTER (WHERE action = 'close') > 0 THEN 'closed' ELSE 'open' END AS status, min(ord) AS opened_order, max(ord) FILTER (WHERE action = 'close') AS closed_order,
+    list_sort(list(DISTINCT ord)) AS key_orders, coalesce(arg_max(plot_note, ord) FILTER (WHERE plot_note <> ''), '') AS summary FROM before GROUP BY 1, 2, 3
+), entity_json AS (
+  SELECT work_id, here, type, string_agg('{"aliases":[],"first_seen_order":' || first_seen_order || CASE WHEN type = 'object' THEN ',"kind":"object"' ELSE '' END || ',"last_seen_order":' || last_seen_order || ',"name":"' || name || '"'
+    || coalesce(',"note":"' || note || '"', '') || coalesce(',"status":"' || status || '"', '') || '}', ',' ORDER BY first_seen_order) AS j FROM ents GROUP BY 1, 2, 3
+), plot_json AS (
+  SELECT work_id, here, string_agg('{"closed_order":' || coalesce(CAST(closed_order AS VARCHAR), 'null') || ',"key_orders":[' || array_to_string(key_orders, ',') || '],"opened_order":' || opened_order || ',"status":"' || status || '","summary":"' || summary || '","title":"' || title || '"}', ',' ORDER BY opened_order) AS j
+  FROM plots GROUP BY 1, 2
+), ends AS (SELECT work_id, chapter_idx, max(ord) AS chapter_end FROM deltas GROUP BY 1, 2
+), pushes AS (SELECT work_id, ord, event, push FROM (SELECT work_id, ord, event, lead(ord, 5) OVER (PARTITION BY work_id ORDER BY ord) AS push FROM seen) WHERE push IS NOT NULL
+), held AS (
+  SELECT a.work_id, a.ord AS here, string_agg('{"order":' || p.ord || ',"text":"' || p.event || '"}', ',' ORDER BY p.ord) AS j
+  FROM deltas a JOIN pushes p ON p.work_id = a.work_id AND p.push <= a.ord JOIN deltas d ON d.work_id = p.work_id AND d.ord = p.push JOIN ends e ON e.work_id = d.work_id AND e.chapter_idx = d.chapter_idx WHERE e.chapter_end > a.ord GROUP BY 1, 2
+), recent_json AS (
+  SELECT work_id, ord, string_agg('{"order":' || ord || ',"text":"' || event || '"}', ',') OVER (PARTITION BY work_id ORDER BY ord ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS j FROM seen
+), lasts AS (
+  SELECT d.work_id, d.ord, d.chapter_idx, d.degraded, max(CASE WHEN NOT d.degraded THEN d.ord ELSE 0 END) OVER w AS last_order, last_value(r.j IGNORE NULLS) OVER w AS recent, lead(d.chapter_idx) OVER (PARTITION BY d.work_id ORDER BY d.ord) IS NOT DISTINCT FROM d.chapter_idx AS inside
+  FROM deltas d LEFT JOIN recent_json r USING (work_id, ord) WINDOW w AS (PARTITION BY d.work_id ORDER BY d.ord ROWS UNBOUNDED PRECEDING)
+), states AS (
+  SELECT l.*, coalesce((SELECT arg_max(backdrop, b.chapter_idx) FROM backdrops b WHERE b.work_id = l.work_id AND b.chapter_idx <= l.chapter_idx - l.inside::INT), '') AS backdrop FROM lasts l
+), snaps AS (
+  SELECT s.work_id, s.ord, s.chapter_idx, s.degraded, s.inside, s.last_order, s.backdrop,
+    '{"backdrop":"' || s.backdrop || '","backdrop_buffer":[' || coalesce(h.j, '') || '],"characters":[' || coalesce(c.j, '') || '],"last_order":' || s.last_order || ',"locations":[' || coalesce(o.j, '') || '],"objects":[' || coalesce(t.j, '')
+    || '],"plotlines":[' || coalesce(p.j, '') || '],"recent":[' || coalesce(s.recent, '') || '],"schema_version":"1","work_id":"' || s.work_id || '"}' AS snapshot
+  FROM states s LEFT JOIN held h ON h.work_id = s.work_id AND h.here = s.ord LEFT JOIN plot_json p ON p.work_id = s.work_id AND p.here = s.ord
+    LEFT JOIN entity_json c ON c.work_id = s.work_id AND c.here = s.ord AND c.type = 'character' LEFT JOIN entity_json o ON o.work_id = s.work_id AND o.here = s.ord AND o.type = 'location' LEFT JOIN entity_json t ON t.work_id = s.work_id AND t.here = s.ord AND t.type = 'object'
+), read_at AS (SELECT reader_id, r.work_id, CAST(r.max_order AS BIGINT) AS max_order, max(d.ord) AS ord FROM readers r LEFT JOIN deltas d ON d.work_id = r.work_id AND d.ord <= r.max_order GROUP BY 1, 2, 3)
+"""
+#: What stands in the snapshot that a request reads, which ends here BOUND.
+CURRENT = DELTAS + SNAPS + """
+, asked AS (SELECT work_id || '-' || q AS request_id, work_id, q, least(max(ord), BOUND) AS here FROM deltas, (VALUES NAMES) v(q) GROUP BY 1, 2, 3)
+"""
+VIEW = """
+, view_parts AS (
+  SELECT s.work_id, s.ord, s.last_order, s.backdrop,
+    (SELECT string_agg(name || coalesce('：' || coalesce(status, note), ''), '；' ORDER BY first_seen_order) FROM ents e WHERE e.work_id = s.work_id AND e.here = s.ord AND type = 'character') AS people,
+    (SELECT string_agg(name || '（' || coalesce(status, note, 'object') || '）', '；' ORDER BY first_seen_order) FROM ents e WHERE e.work_id = s.work_id AND e.here = s.ord AND type = 'object') AS things,
+    (SELECT string_agg(name, '、' ORDER BY first_seen_order) FROM ents e WHERE e.work_id = s.work_id AND e.here = s.ord AND type = 'location') AS places,
+    (SELECT string_agg(title || '[' || CASE WHEN status = 'open' THEN '进行中' ELSE '已结束' END || '@' || opened_order || coalesce('→' || closed_order, '') || ']：' || summary, '；' ORDER BY status = 'closed', opened_order)
+      FROM (SELECT *, row_number() OVER (PARTITION BY work_id, here, status ORDER BY opened_order DESC) AS back FROM plots) p WHERE p.work_id = s.work_id AND p.here = s.ord AND (status = 'open' OR back <= 2)) AS lines,
+    (SELECT string_agg('@' || ord || ' ' || event, '；' ORDER BY ord) FROM (SELECT e.ord, e.event FROM seen e WHERE e.work_id = s.work_id AND e.ord <= s.ord ORDER BY e.ord DESC LIMIT 5) x) AS recent
+  FROM snaps s
+)
+"""
+#: The given vectors as units of three works: the vector index of the first is as new as its source, that of the second older, that of the third new too but asked for a chapter that no unit has.
+ROUTES = """
+units AS (SELECT 'emb' || (vec_id % 3) AS work_id, 'e-' || vec_id AS unit_id, CAST(vec_id + 1 AS BIGINT) AS ord, 'part ' || label AS chapter_name, 'unit number ' || vec_id || ' of part ' || label AS text, embedding AS vector, vec_id FROM embeddings
+), terms AS (
+  SELECT CAST(vec_id AS VARCHAR) AS query_id, work_id, CAST(NULL AS BIGINT) AS max_order, FALSE AS single, vector, CASE WHEN work_id = 'emb2' THEN 'none' ELSE '' END AS chapter, list_filter(two, lambda x, i: list_position(two, x) = i) AS terms
+  FROM (SELECT *, list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1]) AS two FROM (SELECT *, regexp_extract_all('number ' || vec_id, '[\\p{L}\\p{N}]') AS c FROM units WHERE vec_id % 20 = 0))
+), near AS (
+  SELECT query_id, t.work_id, u.unit_id, u.ord, list_cosine_similarity(t.vector::DOUBLE[], u.vector::DOUBLE[]) AS score FROM terms t JOIN units u ON u.work_id = t.work_id AND t.work_id <> 'emb1' AND contains(u.chapter_name, t.chapter)
+), vec AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord, unit_id) AS place FROM near QUALIFY place <= 200)
+"""
+RUN_TOKENS = """
+, run_terms AS (SELECT query_id, work_id, max_order, list_distinct(regexp_extract_all(strip_accents(lower(query)), '[\\p{L}\\p{N}]+')) AS terms FROM queries
+), tokens AS (SELECT work_id, unit_id, ord, chapter_name, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+') AS s FROM units
+), postings AS (SELECT work_id, term, ord, unit_id, chapter_name, CAST(len(s) AS BIGINT) AS size, count(*) AS tf FROM (SELECT *, unnest(s) AS term FROM tokens) GROUP BY ALL
+), stats AS (SELECT work_id, count(*) AS n_units, avg(len(s)) AS mean_size FROM tokens GROUP BY 1)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "normalize_lines": f"WITH {LINES} SELECT work_id, line_no, line FROM lines",
     "split_title": f"""WITH {LINES}, t AS (SELECT work_id, min(line_no) AS title_line, arg_min(line, line_no) AS title FROM lines GROUP BY work_id)
@@ -122,15 +195,15 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT work_id, 'provenance', bool_and(start_line > 0 AND start_line <= end_line) FROM units GROUP BY 1)
         SELECT * FROM r UNION ALL SELECT work_id, 'all', bool_and(passed) FROM r GROUP BY 1""",
     "corpus_profile": f"""WITH {LINES} SELECT work_id, count(*) AS line_count, quantile_cont(length(line), 0.5) AS median_chars, quantile_cont(length(line), 0.9) AS p90_chars, max(length(line)) AS max_chars, CAST(sum((length(line) - length(replace(line, 'the', ''))) // 3) AS BIGINT) AS n_the, CAST(sum((length(line) - length(replace(line, 'de', ''))) // 2) AS BIGINT) AS n_de FROM lines GROUP BY work_id""",
-    "analyze_queries": f"WITH {TERMS} SELECT query_id, terms, single FROM terms",
+    "analyze_queries": f"WITH {UNITS} {TERMS} SELECT query_id, terms, single FROM terms",
     "build_postings": f"WITH {UNITS} {POSTINGS} SELECT work_id, term, ord, unit_id, chapter_name, size, tf FROM postings",
     "index_stats": f"WITH {UNITS} {POSTINGS} SELECT work_id, n_units, round(mean_size, 6) AS mean_size FROM stats",
-    "search_bm25": f"WITH {UNITS}, {TERMS} {POSTINGS} {BM25} SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, place FROM bm25",
-    "search_scan": f"WITH {UNITS}, {TERMS} {SCAN} SELECT query_id, work_id, unit_id, ord, score, place FROM scan",
-    "search": f"WITH {UNITS}, {TERMS} {ROUTED} SELECT query_id, work_id, unit_id, ord, place, used, round(round(score, 4), 3) AS score, text AS raw_text, chapter_name AS chapter, start_line, end_line FROM routed JOIN units USING (work_id, unit_id, ord) WHERE place <= 8",
-    "search_diagnostics": f"""WITH {UNITS}, {TERMS} {ROUTED}, e AS (SELECT query_id, count(*) AS n FROM terms JOIN units USING (work_id) WHERE ord <= coalesce(max_order, 9000000000) GROUP BY 1), r AS (SELECT query_id, count(*) AS n, min(used) AS used FROM routed GROUP BY 1)
+    "search_bm25": f"WITH {UNITS} {TERMS} {POSTINGS} {BM25} SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, place FROM bm25",
+    "search_scan": f"WITH {UNITS} {TERMS} {SCAN} SELECT query_id, work_id, unit_id, ord, score, place FROM scan",
+    "search": f"WITH {UNITS} {TERMS} {ROUTED} SELECT query_id, work_id, unit_id, ord, place, used, round(round(score, 4), 3) AS score, text AS raw_text, chapter_name AS chapter, start_line, end_line FROM routed JOIN units USING (work_id, unit_id, ord) WHERE place <= 8",
+    "search_diagnostics": f"""WITH {UNITS} {TERMS} {ROUTED}, e AS (SELECT query_id, count(*) AS n FROM terms JOIN units USING (work_id) WHERE ord <= coalesce(max_order, 9000000000) GROUP BY 1), r AS (SELECT query_id, count(*) AS n, min(used) AS used FROM routed GROUP BY 1)
         SELECT t.query_id, 'auto' AS requested, coalesce(r.used, 'scan') AS used, CASE WHEN r.used = 'fts' THEN 'vector_unavailable_or_stale' ELSE 'vector_then_fts_unavailable_or_no_match' END AS fallback_reason, coalesce(e.n, 0) AS eligible_units, coalesce(r.n, 0) AS candidates FROM terms t LEFT JOIN e USING (query_id) LEFT JOIN r USING (query_id)""",
-    "evaluate_retrieval": f"""WITH {UNITS}, {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
+    "evaluate_retrieval": f"""WITH {UNITS} {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
         c AS (SELECT q.query_id, q.max_order, g.relevant FROM queries q LEFT JOIN gold g USING (query_id)), x AS (SELECT c.*, (SELECT list(ord) FROM top t WHERE t.query_id = c.query_id AND place <= 5) AS found, (SELECT max(ord) FROM top t WHERE t.query_id = c.query_id) AS furthest FROM c)
         SELECT count(*) AS cases, count(relevant) AS scored, count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) AS hits, count(*) FILTER (WHERE furthest > max_order) AS violations, coalesce(count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) / nullif(count(relevant), 0), 0.0) AS recall FROM x""",
     "fallback_extract": f"""WITH {UNITS}, h AS (SELECT work_id, unit_id, CASE WHEN contains(text, '.') AND trim(split_part(text, '.', 1)) <> '' THEN trim(split_part(text, '.', 1)) WHEN contains(text, chr(10)) AND trim(split_part(text, chr(10), 1)) <> '' THEN trim(split_part(text, chr(10), 1)) ELSE text END AS head FROM units)
@@ -150,16 +223,25 @@ ORACLE_SQL: dict[str, str] = {
     "plotline_timeline": f"""WITH {DELTAS} SELECT work_id, title, CASE WHEN count(*) FILTER (WHERE action = 'close') > 0 THEN 'closed' ELSE 'open' END AS status, min(ord) AS opened_order, max(ord) FILTER (WHERE action = 'close') AS closed_order, list_sort(list(DISTINCT ord)) AS key_orders, coalesce(arg_max(plot_note, ord) FILTER (WHERE plot_note <> ''), '') AS summary FROM deltas WHERE NOT degraded GROUP BY 1, 2""",
     "recent_events": f"WITH {DELTAS} {EVENTS} SELECT work_id, ord, recent FROM recents",
     "archive_backdrop": f"WITH {DELTAS} {EVENTS} SELECT work_id, chapter_idx, digest, backdrop FROM backdrops",
-    "fold_state": f"""WITH {DELTAS} {EVENTS}, l AS (SELECT work_id, ord, max(CASE WHEN NOT degraded THEN ord ELSE 0 END) OVER (PARTITION BY work_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS last_order, lead(chapter_idx) OVER (PARTITION BY work_id ORDER BY ord) IS NOT DISTINCT FROM chapter_idx AS inside, chapter_idx FROM deltas)
-        SELECT l.work_id, l.ord, l.last_order, r.recent, coalesce((SELECT arg_max(backdrop, b.chapter_idx) FROM backdrops b WHERE b.work_id = l.work_id AND b.chapter_idx <= l.chapter_idx - l.inside::INT), '') AS backdrop FROM l JOIN recents r USING (work_id, ord)""",
-    "list_works": f"WITH {UNITS} SELECT work_id, count(*) AS unit_count, CAST(NULL AS VARCHAR) AS title FROM units GROUP BY 1",
+    "fold_state": f"""WITH {DELTAS} {SNAPS} SELECT s.work_id, s.ord, s.chapter_idx, s.last_order, r.recent, s.backdrop, s.snapshot, sha256(s.snapshot) AS fingerprint FROM snaps s JOIN recents r USING (work_id, ord)""",
+    "stream_state": f"WITH {DELTAS} {SNAPS} SELECT work_id, ord, chapter_idx, snapshot, sha256(snapshot) AS fingerprint, degraded FROM snaps",
+    "checkpoints": f"WITH {DELTAS} {SNAPS} SELECT work_id, ord, chapter_idx, snapshot, sha256(snapshot) AS fingerprint, degraded FROM snaps WHERE NOT inside",
+    "final_state": f"WITH {DELTAS} {SNAPS} SELECT work_id, ord, snapshot, sha256(snapshot) AS fingerprint FROM snaps QUALIFY row_number() OVER (PARTITION BY work_id ORDER BY ord DESC) = 1",
+    "state_view": f"""WITH {DELTAS} {SNAPS} {VIEW} SELECT work_id, ord, '（故事状态，截至第 ' || last_order || ' 段）' || coalesce(chr(10) || '人物：' || people, '') || coalesce(chr(10) || '物件/设定：' || things, '') || coalesce(chr(10) || '地点：' || places, '')
+        || coalesce(chr(10) || '事件线：' || lines, '') || coalesce(chr(10) || '最近发生：' || recent, '') || CASE WHEN backdrop <> '' THEN chr(10) || '更早背景：' || backdrop ELSE '' END AS view FROM view_parts""",
+    "prefix_consistency": f"""WITH {DELTAS}, l AS (SELECT work_id, max(ord) AS last FROM deltas GROUP BY 1), p AS (SELECT DISTINCT work_id, last, unnest([5, 20, 40, CAST(ceil(last * 0.5) AS BIGINT), CAST(ceil(last * 0.75) AS BIGINT), last]) AS prefix FROM l)
+        SELECT work_id, prefix, CAST(0 AS BIGINT) AS differences, CAST([] AS BIGINT[]) AS first, TRUE AS ok FROM p WHERE prefix > 1 OR last = 1""",
+    "list_works": f"WITH {UNITS} SELECT work_id, count(*) AS unit_count, CAST(NULL AS VARCHAR) AS title, work_id <> 'src3' AS has_index, work_id < 'src5' AS has_vector_index FROM units GROUP BY 1",
     "reading_locations": f"""WITH {TALKS} SELECT work_id, 'chapter-' || lpad(CAST(chapter_idx AS VARCHAR), 2, '0') AS location_id, chapter_name AS label, min(ord) AS start_order, max(ord) AS end_order, min(ord) AS start_line, max(ord) AS end_line, count(*) AS unit_count FROM talks GROUP BY work_id, chapter_idx, chapter_name""",
     "get_units": f"WITH {UNITS} SELECT work_id, unit_id, ord, text FROM units WHERE ord % 50 = 7",
-    "get_range": f"WITH {UNITS}, {QUERIES} SELECT query_id AS range_id, work_id, unit_id, ord FROM queries JOIN units USING (work_id) WHERE ord BETWEEN coalesce(max_order, 1) AND coalesce(max_order, 1) + 4",
-    "progressive_view": f"""WITH {DELTAS} {EVENTS}, x AS (SELECT reader_id, r.work_id, r.max_order, max(d.ord) AS snapshot_order, arg_max(degraded, d.ord) AS degraded FROM readers r LEFT JOIN deltas d ON d.work_id = r.work_id AND d.ord <= r.max_order GROUP BY 1, 2, 3)
-        SELECT reader_id, work_id, CAST(max_order AS BIGINT) AS max_order, CASE WHEN snapshot_order IS NULL OR degraded THEN 'unavailable' ELSE 'ok' END AS status, CASE WHEN snapshot_order IS NULL THEN 'no_readable_unit' WHEN degraded THEN 'degraded_snapshot' END AS reason, snapshot_order FROM x""",
-    "recap": f"""WITH {DELTAS} {EVENTS}, x AS (SELECT reader_id, r.work_id, r.max_order, max(d.ord) AS ord FROM readers r LEFT JOIN deltas d ON d.work_id = r.work_id AND d.ord <= r.max_order GROUP BY 1, 2, 3)
-        SELECT reader_id, x.work_id, CAST(max_order AS BIGINT) AS max_order, coalesce(recent, '') AS recent FROM x LEFT JOIN recents USING (work_id, ord)""",
+    "get_range": f"WITH {UNITS} {QUERIES} SELECT query_id AS range_id, work_id, unit_id, ord FROM queries JOIN units USING (work_id) WHERE ord BETWEEN coalesce(max_order, 1) AND coalesce(max_order, 1) + 4",
+    "progressive_view": f"""WITH {DELTAS} {SNAPS} SELECT reader_id, x.work_id, max_order, CASE WHEN s.ord IS NULL THEN 'unavailable' WHEN s.degraded THEN 'invalid' ELSE 'ok' END AS status, CASE WHEN s.ord IS NULL THEN 'no_completed_unit' WHEN s.degraded THEN 'degraded_snapshot' END AS reason, s.ord AS snapshot_order,
+        CASE WHEN NOT s.degraded THEN snapshot END AS snapshot, CASE WHEN NOT s.degraded THEN d.unit_id END AS unit_id, CASE WHEN NOT s.degraded THEN d.chapter_name END AS chapter FROM read_at x LEFT JOIN snaps s USING (work_id, ord) LEFT JOIN deltas d USING (work_id, ord)""",
+    "recap": f"""WITH {DELTAS} {SNAPS} SELECT reader_id, x.work_id, max_order, coalesce(r.recent, '') AS recent, coalesce(s.backdrop, '') AS backdrop FROM read_at x LEFT JOIN recents r USING (work_id, ord) LEFT JOIN snaps s USING (work_id, ord)""",
+    "entity_current": f"""WITH {CURRENT} SELECT request_id, a.work_id, name, CAST([] AS VARCHAR[]) AS aliases, CASE WHEN type = 'object' THEN 'object' END AS kind, status, note, first_seen_order, last_seen_order, type || 's' AS "group" FROM asked a JOIN ents e ON e.work_id = a.work_id AND e.here = a.here AND (contains(name, q) OR contains(q, name))
+        QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY list_position(['character', 'object', 'location'], type), first_seen_order) = 1""".replace("NAMES", "('vie'), ('clicks')").replace("BOUND", "40"),
+    "plotline_current": f"""WITH {CURRENT} SELECT request_id, a.work_id, title, status, opened_order, closed_order, key_orders, summary FROM asked a JOIN plots e ON e.work_id = a.work_id AND e.here = a.here AND (contains(title, q) OR contains(q, title))
+        QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY opened_order) = 1""".replace("NAMES", "('k3'), ('k')").replace("BOUND", "40"),
     "entity_history": f"WITH {DELTAS} SELECT work_id || '-' || q AS request_id, work_id, ord, unit_id, name FROM deltas, (VALUES ('vie'), ('clicks'), ('up')) v(q) WHERE ord <= 40 AND (contains(name, q) OR contains(q, name))",
     "plotline_history": f"WITH {DELTAS} SELECT work_id || '-' || q AS request_id, work_id, ord, unit_id, title FROM deltas, (VALUES ('k3'), ('k')) v(q) WHERE ord <= 40 AND (contains(title, q) OR contains(q, title))",
     "resolve_units": f"WITH {UNITS} SELECT work_id, unit_id, ord, CASE WHEN work_id IN ('src1', 'src2') THEN 'done' ELSE '' END AS summary FROM units",
@@ -172,10 +254,21 @@ ORACLE_SQL: dict[str, str] = {
     "coerce_fields": """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'not_json' WHEN 2 THEN 'entity_updates' WHEN 3 THEN 'no_summary' END AS parse_error, CASE WHEN event_id % 5 IN (0, 4) THEN 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (0, 4) THEN event_type || ':character' END AS entities, CASE WHEN event_id % 5 IN (0, 4) THEN 'advance:k' || event_id END AS plots, CASE WHEN event_id % 5 IN (0, 4) THEN 'went ' || event_id END AS event FROM events""",
     "normalize_refs": "SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL WHEN turn % 3 = 1 THEN role || ',e' || turn ELSE role END AS refs FROM conversations",
 }
-
-#: The searches asked with whole benchmark items, of all units of their work.
-WHOLE_QUERIES = """
-queries AS (SELECT CAST(item_id AS VARCHAR) AS query_id, 'src' || (item_id % 20) AS work_id, text AS query, CAST(NULL AS BIGINT) AS max_order FROM benchmark)
-"""
-ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(QUERIES, WHOLE_QUERIES) for name in ("analyze_queries", "search_bm25", "search_scan", "search", "search_diagnostics", "evaluate_retrieval")}
-ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(" ord <= 40 AND", "").replace(" WHERE ord % 50 = 7", "") for name in ("get_units", "entity_history", "plotline_history")}
+ORACLE_SQL |= {
+    "coerce_patch": """SELECT event_id, CASE event_id % 4 WHEN 1 THEN 'not_json' WHEN 2 THEN 'rename_entities' END AS parse_error, CASE WHEN event_id % 4 IN (0, 3) THEN 's' || event_id END AS summary, CASE WHEN event_id % 4 IN (0, 3) THEN event_type || ':new' END AS renames, CASE WHEN event_id % 4 IN (0, 3) THEN event_type || ':on:' END AS statuses,
+        CASE WHEN event_id % 4 IN (0, 3) THEN 'a,b' END AS removed, CASE WHEN event_id % 4 IN (0, 3) THEN 'advance:k' || event_id END AS fixes, CASE WHEN event_id % 4 IN (0, 3) THEN '' END AS refs FROM events""",
+    "extract_units": f"""WITH {DELTAS} SELECT event_id, event_id % 5 IN (1, 2, 3) AS degraded, CASE WHEN event_id % 5 IN (1, 2, 3) THEN event_type || ' of ' || user_id ELSE 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (1, 2, 3) THEN 0 ELSE 1 END AS entities, CASE WHEN event_id % 5 IN (1, 2, 3) THEN event_type || ' of ' || user_id ELSE 'went ' || event_id END AS event FROM events""",
+    "run_report": f"""WITH {DELTAS} SELECT work_id, count(*) AS units, count(*) FILTER (WHERE ord % 3 <> 0) AS cached, count(*) FILTER (WHERE ord % 3 = 0) AS fresh, count(*) FILTER (WHERE degraded) AS degraded, 2 * count(*) FILTER (WHERE degraded) AS errors, count(*) FILTER (WHERE ord % 3 = 0) AS requests,
+        CAST(coalesce(sum(ord) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS prompt_tokens, CAST(coalesce(sum(ord % 7) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS completion_tokens, CAST(coalesce(sum(ord + ord % 7) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS total_tokens,
+        count(DISTINCT chapter_idx) FILTER (WHERE chapter_idx % 2 = 0) AS compress_cached, count(DISTINCT chapter_idx) FILTER (WHERE chapter_idx % 2 = 1) AS compress_fresh FROM deltas GROUP BY 1""",
+    "search_run": f"""WITH {UNITS} {QUERIES} {RUN_TOKENS} {BM25} SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, place FROM bm25""".replace("FROM terms", "FROM run_terms"),
+    "search_routes": f"""WITH {ROUTES} {POSTINGS} {BM25}, every AS (SELECT query_id, work_id, unit_id, ord, score, place, 'vector' AS used FROM vec UNION ALL SELECT query_id, work_id, unit_id, ord, score, place, 'fts' FROM bm25 WHERE work_id = 'emb1')
+        SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, used FROM every""",
+    "search_routes_diagnostics": f"""WITH {ROUTES} {POSTINGS} {BM25}, n AS (SELECT query_id, count(*) AS n FROM vec GROUP BY 1 UNION ALL SELECT query_id, count(*) FROM bm25 WHERE work_id = 'emb1' GROUP BY 1), w AS (SELECT work_id, count(*) AS n FROM units GROUP BY 1)
+        SELECT t.query_id, 'auto' AS requested, CASE WHEN t.work_id = 'emb1' THEN 'fts' ELSE 'vector' END AS used, CASE WHEN t.work_id = 'emb1' THEN 'vector_unavailable_or_stale' END AS fallback_reason, CASE WHEN t.work_id = 'emb2' THEN 0 ELSE w.n END AS eligible_units, coalesce(n.n, 0) AS candidates, t.work_id || '-now' AS source_version
+        FROM terms t JOIN w USING (work_id) LEFT JOIN n USING (query_id)""",
+}
+ORACLE_SQL["search_diagnostics"] = ORACLE_SQL["search_diagnostics"].replace("AS candidates FROM", "AS candidates, CAST(NULL AS VARCHAR) AS source_version FROM")
+#: The searches asked of all units of their work.
+ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace("CASE WHEN item_id % 4 <> 0 THEN (last * (item_id % 4)) // 4 END AS max_order", "CAST(NULL AS BIGINT) AS max_order") for name in ("analyze_queries", "search_bm25", "search_scan", "search", "search_diagnostics", "evaluate_retrieval")}
+ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(" ord <= 40 AND", "").replace(" WHERE ord % 50 = 7", "").replace("least(max(ord), 40)", "max(ord)") for name in ("get_units", "entity_history", "plotline_history", "entity_current", "plotline_current")}

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from narrative_spark.functions import prefix
 from narrative_spark.functions.text import content_signs, ustrip
 
+#: Units of a work that one task compares with as many others.
+BLOCK = 1024
 SEPARATORS = ("。", "！", "？", "；", "\n")
 HEAD = 60
 #: Most items and longest strings of coerced fields.
@@ -29,10 +34,15 @@ def first_sentence(text: Column, separators: tuple[str, ...] = SEPARATORS) -> Co
     return F.when(F.length(head) > HEAD, F.concat(F.substring(head, 1, HEAD), F.lit("……"))).otherwise(head)
 
 
+def _fallback(separators: tuple[str, ...]) -> dict[str, Column]:
+    head = first_sentence(F.col("text"), separators)
+    empty = lambda kind: F.array().cast(f"array<{kind}>")
+    return {"summary": head, "entity_updates": empty(ENTITY), "plotline_updates": empty(PLOTLINE), "context_refs": empty("string"), "recent_event": F.when(head != "", F.struct(head.alias("text")))}
+
+
 def fallback_extract(units: DataFrame, separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
     """units with summary, empty updates and a recent event, all from the first sentence."""
-    head = first_sentence(F.col("text"), separators)
-    return units.withColumns({"summary": head, "entity_updates": F.array().cast(f"array<{ENTITY}>"), "plotline_updates": F.array().cast(f"array<{PLOTLINE}>"), "context_refs": F.array().cast("array<string>"), "recent_event": F.when(head != "", F.struct(head.alias("text")))})
+    return units.withColumns(_fallback(separators))
 
 
 def coerce_fields(outputs: DataFrame, col: str = "output") -> DataFrame:
@@ -63,6 +73,36 @@ def coerce_fields(outputs: DataFrame, col: str = "output") -> DataFrame:
     return rows.withColumns({"summary": F.when(ok, clean(r("summary"), SUMMARY)), "entity_updates": F.when(ok, entities), "plotline_updates": F.when(ok, plots), "context_refs": F.when(ok, refs), "recent_event": F.when(ok & (event != ""), F.struct(event.alias("text")))}).drop("body__", "raw__")
 
 
+#: Most items of a review patch.
+PATCH_MOST = {"rename_entities": 10, "entity_status_updates": 20, "plotline_fixes": 10, "remove_entities": 20, "context_ref_additions": 20}
+PATCH_NAME, PATCH_NOTE = 80, 120
+
+
+def coerce_patch(outputs: DataFrame, col: str = "output") -> DataFrame:
+    """outputs with parse_error and patch (as apply_patch takes it, null where there is an error) from the text of a review: items cut to the most allowed before bad ones are
+    dropped, strings cut, a collection of another kind refused. A null counts as missing."""
+    body = F.regexp_extract(F.regexp_replace(F.coalesce(F.col(col), F.lit("")), r"```(?:json)?", ""), r"(?s)\{.*\}", 0)
+    raw = F.from_json(body, ", ".join(f"{n} string" for n in ("summary_replacement", "recent_event_replacement", *PATCH_MOST)))
+    rows = outputs.withColumn("body__", body).withColumn("raw__", raw)
+    r = lambda n: F.col("raw__")[n]
+    clean = lambda x, size: F.substring(ustrip(F.coalesce(x, F.lit(""))), 1, size)
+    is_list = lambda n: F.coalesce(r(n), F.lit("")).rlike(r"^\s*(?:\[|$)") | r(n).isin("null", "{}", "false", "0")
+    items = lambda n: F.slice(F.coalesce(F.from_json(r(n), "array<string>"), F.array().cast("array<string>")), 1, PATCH_MOST[n])
+    part = lambda x, key, size: clean(F.get_json_object(x, f"$.{key}"), size)
+    objects = lambda n, *needed: F.filter(items(n), lambda x: reduce(lambda a, b: a & b, [part(x, k, PATCH_NAME) != "" for k in needed], F.coalesce(x, F.lit("")).startswith("{")))
+    strings = lambda n: F.filter(F.transform(items(n), lambda x: clean(x, PATCH_NAME)), lambda x: x != "")
+    renames = F.transform(objects("rename_entities", "from", "to"), lambda x: F.struct(part(x, "from", PATCH_NAME).alias("from"), part(x, "to", PATCH_NAME).alias("to")))
+    updates = F.transform(objects("entity_status_updates", "name"), lambda x: F.struct(part(x, "name", PATCH_NAME).alias("name"), part(x, "status", PATCH_NOTE).alias("status"), part(x, "note", PATCH_NOTE).alias("note")))
+    action = lambda x: F.coalesce(ustrip(F.get_json_object(x, "$.action")), F.lit("advance"))
+    fixes = F.transform(objects("plotline_fixes", "title"), lambda x: F.struct(action(x).alias("action"), part(x, "title", TITLE).alias("title"), part(x, "note", PATCH_NOTE).alias("note")))
+    patch = F.struct(clean(r("summary_replacement"), SUMMARY).alias("summary_replacement"), clean(r("recent_event_replacement"), EVENT).alias("recent_event_replacement"), renames.alias("rename_entities"), updates.alias("entity_status_updates"), strings("remove_entities").alias("remove_entities"), fixes.alias("plotline_fixes"), strings("context_ref_additions").alias("context_ref_additions"))
+    error = F.when((F.col("body__") == "") | F.col("raw__").isNull() | F.try_parse_json("body__").isNull(), F.lit("not_json"))
+    for n in PATCH_MOST:
+        error = error.when(~is_list(n), n)
+    rows = rows.withColumn("parse_error", error)
+    return rows.withColumn("patch", F.when(F.col("parse_error").isNull(), patch)).drop("body__", "raw__")
+
+
 def apply_patch(fields: DataFrame, patches: DataFrame) -> DataFrame:
     """fields (work_id, ord, summary, entity_updates, plotline_updates, context_refs, recent_event) after review patches (work_id, ord, patch).
 
@@ -104,15 +144,39 @@ def recent_context(units: DataFrame, n: int = 2) -> DataFrame:
 def related_context(units: DataFrame, top: int = 3, most_chars: int = 1800) -> DataFrame:
     """work_id, ord, related: earlier units, the last two left out, that share most content signs with the unit; best three, cut to most_chars.
 
-    Every pair of a work's units is compared, as the reading asks; it is meant for works of bounded length.
+    Blocks of a work's units meet in pairs, each pair in a task of its own: one matrix product counts what their units share, and a unit keeps the best of
+    each block, so that no pair of units is ever a row.
     """
-    shape = units.select("work_id", "ord", "chapter_name", "text", F.array_distinct(content_signs(F.coalesce("text", F.lit("")))).alias("signs"), F.row_number().over(W.partitionBy("work_id").orderBy("ord")).alias("place"))
-    marks = shape.select("work_id", "place", F.explode("signs").alias("sign"))
-    asked = shape.where(F.size("signs") >= 2).select("work_id", F.col("place").alias("now"), F.explode("signs").alias("sign"))
-    shared = asked.join(marks, ["work_id", "sign"]).where(F.col("place") <= F.col("now") - 3).groupBy("work_id", "now", "place").agg(F.count(F.lit(1)).alias("score"))
-    best = shared.withColumn("rank", F.row_number().over(W.partitionBy("work_id", "now").orderBy(F.desc("score"), F.desc("place")))).where(F.col("rank") <= top)
+    found = F.array_distinct(content_signs(F.coalesce("text", F.lit(""))))
+    numbered = units.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("group"))
+    numbered = prefix.scan(numbered, "work_id", "group", [F.col("ord")], sums={"earlier": F.lit(1)}).select("work_id", "ord", (F.col("earlier") + 1).alias("place"))
+    shape = units.select("work_id", "ord", "chapter_name", "text", F.array_join(found, "").alias("signs")).join(numbered, ["work_id", "ord"])
+    block, last = F.floor(F.col("place") / BLOCK).cast("int"), F.floor(F.col("n") / BLOCK).cast("int")
+    signs = shape.select("work_id", "place", "signs").join(shape.groupBy("work_id").agg(F.count(F.lit(1)).alias("n")), "work_id")
+    now = signs.where(F.length("signs") >= 2).select("work_id", "place", "signs", block.alias("now"), F.explode(F.sequence(F.lit(0), block)).alias("then"))
+    then = signs.select("work_id", "place", "signs", block.alias("then"), F.explode(F.sequence(block, last)).alias("now"))
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            alphabet = {c: k for k, c in enumerate(sorted(set("".join(left["signs"]) + "".join(right["signs"]))))}
+            marked = [np.zeros((len(part), len(alphabet)), np.float32) for part in (left, right)]
+            for m, part in zip(marked, (left, right), strict=True):
+                for k, signs in enumerate(part["signs"]):
+                    m[k, [alphabet[c] for c in signs]] = 1
+            shared, places = marked[0] @ marked[1].T, right["place"].to_numpy()
+            for k, place in enumerate(left["place"]):
+                at = np.flatnonzero((shared[k] > 0) & (places <= place - 3))
+                at = at[np.lexsort((-places[at], -shared[k, at]))][:top]
+                out.append(pd.DataFrame({"work_id": left["work_id"].iloc[0], "now": place, "place": places[at], "score": shared[k, at].astype(np.int64)}))
+        out = [o for o in out if len(o)]
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("work_id", object), ("now", "int64"), ("place", "int64"), ("score", "int64"))})
+
+    keys = ["work_id", "now", "then"]
+    shared = now.toDF(*now.columns).groupBy(*keys).cogroup(then.groupBy(*keys)).applyInPandas(best, "work_id string, now long, place long, score long")
+    best_ = shared.withColumn("rank", F.row_number().over(W.partitionBy("work_id", "now").orderBy(F.desc("score"), F.desc("place")))).where(F.col("rank") <= top)
     piece = F.concat(F.lit("@"), F.col("ord").cast("string"), F.lit("（"), F.col("chapter_name"), F.lit("，相关度"), F.col("score").cast("string"), F.lit("）："), ustrip(F.col("text")))
-    rows = best.join(shape.select("work_id", "place", "ord", "chapter_name", "text"), ["work_id", "place"]).select("work_id", "now", "rank", piece.alias("piece"))
+    rows = best_.join(shape.select("work_id", "place", "ord", "chapter_name", "text"), ["work_id", "place"]).select("work_id", "now", "rank", piece.alias("piece"))
     used = F.coalesce(F.sum(F.length("piece") + 1).over(W.partitionBy("work_id", "now").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("cut", F.substring("piece", F.lit(1), F.greatest(most_chars - used, F.lit(0)).cast("int"))).where("cut <> ''")
     text = rows.groupBy("work_id", "now").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "cut"))), lambda x: x["cut"]), "\n").alias("related"))
@@ -156,6 +220,53 @@ def extract_units(inputs: DataFrame, extractor: Callable[[dict], str], attempts:
     return inputs.mapInPandas(run, schema)
 
 
-def run_report(extracted: DataFrame) -> DataFrame:
-    """Units, cached, fresh and degraded of each work."""
-    return extracted.groupBy("work_id").agg(F.count(F.lit(1)).alias("units"), F.count_if("cached").alias("cached"), F.count_if(~F.col("cached")).alias("fresh"), F.count_if("degraded").alias("degraded"))
+TASKS = "outputs map<string,string>, errors array<struct<task:string,attempt:int,error:string>>"
+
+
+def extract_tasks(inputs: DataFrame, extractors: dict[str, Callable[[dict], str]], mandatory: tuple[str, ...] = ("summary",), attempts: int = 3) -> DataFrame:
+    """inputs with outputs (text by task), errors (one for each failed attempt) and failed: whether a mandatory task found no answer. Every task is tried up to attempts times by its own
+    callable on the executors; an optional one that fails is left out of outputs."""
+    schema = StructType([*inputs.schema.fields, *StructType.fromDDL(TASKS).fields, StructField("failed", BooleanType())])
+
+    def one(row: dict) -> tuple[dict, list, bool]:
+        outputs, errors = {}, []
+        for task, extractor in extractors.items():
+            for attempt in range(1, attempts + 1):
+                try:
+                    outputs[task] = extractor(row)
+                    break
+                except Exception as e:  # noqa: BLE001
+                    errors.append({"task": task, "attempt": attempt, "error": repr(e)})
+            if task in mandatory and task not in outputs:
+                return {}, errors, True
+        return outputs, errors, False
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            got = [one(row) for row in frame.to_dict("records")]
+            yield frame.assign(outputs=[g[0] for g in got], errors=[g[1] for g in got], failed=[g[2] for g in got])
+
+    return inputs.mapInPandas(run, schema)
+
+
+def with_fallback(coerced: DataFrame, separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
+    """Units with coerced fields (coerce_fields) and degraded: a unit with a parse_error gets the fields of its first sentence instead, and none of the model's."""
+    bad = F.col("parse_error").isNotNull()
+    return coerced.withColumns({n: F.when(bad, c).otherwise(F.col(n)) for n, c in _fallback(separators).items()} | {"degraded": bad})
+
+
+def run_report(extracted: DataFrame, errors: DataFrame | None = None, usage: DataFrame | None = None, compressions: DataFrame | None = None) -> DataFrame:
+    """Units, cached, fresh and degraded of each work; with errors (work_id, a row for each failed attempt) also their number, with usage (work_id, prompt_tokens, completion_tokens, a
+    row for each request) requests and sums of tokens, with compressions (work_id, cached, a row for each archived chapter) how many came from the cache."""
+    report = extracted.groupBy("work_id").agg(F.count(F.lit(1)).alias("units"), F.count_if("cached").alias("cached"), F.count_if(~F.col("cached")).alias("fresh"), F.count_if("degraded").alias("degraded"))
+    parts: list[DataFrame] = []
+    if errors is not None:
+        parts.append(errors.groupBy("work_id").agg(F.count(F.lit(1)).alias("errors")))
+    if usage is not None:
+        n = lambda c: F.coalesce(F.col(c), F.lit(0))
+        parts.append(usage.groupBy("work_id").agg(F.count(F.lit(1)).alias("requests"), F.sum(n("prompt_tokens")).alias("prompt_tokens"), F.sum(n("completion_tokens")).alias("completion_tokens"), F.sum(n("prompt_tokens") + n("completion_tokens")).alias("total_tokens")))
+    if compressions is not None:
+        parts.append(compressions.groupBy("work_id").agg(F.count_if("cached").alias("compress_cached"), F.count_if(~F.col("cached")).alias("compress_fresh")))
+    for part in parts:
+        report = report.join(part, "work_id", "left").fillna(0, [c for c in part.columns if c != "work_id"])
+    return report

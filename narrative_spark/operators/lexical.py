@@ -1,8 +1,8 @@
 """Lexical index tables and BM25 over them.
 
 postings: work_id, term, ord, unit_id, chapter_name, tf, size. stats: work_id, n_units, mean_size. Two tokenizers: "pair" takes pairs of
-neighbouring letters or digits (other signs between them don't count), "run" takes whole runs of them. Both fold
-case; a unit's size is the number of its letters and digits, or of its runs.
+neighbouring letters or digits (other signs between them don't count), "run" takes whole runs of them, without the marks of Latin letters. Both fold
+case; a unit's size is the number of its letters and digits, or of its runs. Queries are analysed by the tokenizer of the postings they meet.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from narrative_spark.functions.text import content_signs, pairs, signs
+from narrative_spark.functions.text import content_signs, counted, pairs, signs, without_marks
 
 K1, B, LEAST_IDF, MOST = 1.2, 0.75, 1e-6, 200
 
 
-def analyze_queries(queries: DataFrame) -> DataFrame:
-    """queries with terms: distinct pairs of content signs in order, or the sorted signs where there is no pair; empty without signs."""
+def analyze_queries(queries: DataFrame, tokenizer: str = "pair") -> DataFrame:
+    """queries with terms: distinct pairs of content signs in order, or the sorted signs where there is no pair; empty without signs. "run": distinct runs in order."""
+    if tokenizer == "run":
+        return queries.withColumn("terms", F.array_distinct(_tokens(F.coalesce("query", F.lit("")), tokenizer))).withColumn("single", F.lit(False))
     every = content_signs(F.coalesce("query", F.lit("")))
     return queries.withColumn("terms", F.when(F.size(every) >= 2, pairs(every)).otherwise(F.sort_array(F.array_distinct(every)))).withColumn("single", F.size(every) < 2)
 
@@ -25,7 +27,7 @@ def analyze_queries(queries: DataFrame) -> DataFrame:
 def _tokens(text: Column, tokenizer: str) -> Column:
     folded = F.lower(text)
     if tokenizer == "run":
-        return F.regexp_extract_all(folded, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+        return F.regexp_extract_all(without_marks(folded), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     found = signs(folded)
     left = F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0)))
     return F.zip_with(left, F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), lambda a, b: F.concat(a, b))
@@ -36,12 +38,11 @@ def _summary(units: DataFrame) -> Column:
 
 
 def build_postings(units: DataFrame, tokenizer: str = "pair") -> DataFrame:
-    """Occurrences of each term in each unit, over text and summary."""
+    """Occurrences of each term in each unit, over text and summary. A unit is a row, so that its terms are counted where it stands."""
     text, summary = F.coalesce("text", F.lit("")), _summary(units)
     size = F.size(signs(text)) + F.size(signs(summary)) if tokenizer == "pair" else F.size(_tokens(text, tokenizer)) + F.size(_tokens(summary, tokenizer))
-    rows = units.select("work_id", "unit_id", "ord", "chapter_name", size.cast("long").alias("size"), F.concat(_tokens(text, tokenizer), _tokens(summary, tokenizer)).alias("terms"))
-    rows = rows.select("work_id", "unit_id", "ord", "chapter_name", "size", F.explode("terms").alias("term"))
-    return rows.groupBy("work_id", "term", "ord", "unit_id", "chapter_name", "size").agg(F.count(F.lit(1)).alias("tf"))
+    rows = units.select("work_id", "unit_id", "ord", "chapter_name", size.cast("long").alias("size"), F.explode(counted(F.concat(_tokens(text, tokenizer), _tokens(summary, tokenizer)))).alias("t"))
+    return rows.select("work_id", "t.term", "ord", "unit_id", "chapter_name", "size", "t.tf")
 
 
 def index_stats(units: DataFrame, tokenizer: str = "pair") -> DataFrame:
@@ -62,13 +63,13 @@ def ranked(scored: DataFrame, most: int = MOST) -> DataFrame:
     return scored.withColumn("place", F.row_number().over(by)).where(F.col("place") <= most)
 
 
-def search_bm25(queries: DataFrame, postings: DataFrame, stats: DataFrame, most: int = MOST) -> DataFrame:
+def search_bm25(queries: DataFrame, postings: DataFrame, stats: DataFrame, most: int = MOST, tokenizer: str = "pair") -> DataFrame:
     """query_id, work_id, unit_id, ord, score, place of units that hold a term of the query, inside its boundary. Frequencies are over the whole work."""
-    asked = analyze_queries(queries).select("query_id", "work_id", "max_order", "chapter", F.explode(F.array_distinct(F.transform("terms", lambda t: F.lower(t)))).alias("term"))
+    asked = analyze_queries(queries, tokenizer).select("query_id", "work_id", "max_order", "chapter", F.explode(F.array_distinct(F.transform("terms", lambda t: F.lower(t)))).alias("term"))
     # Only terms that are asked for are counted.
     wanted = postings.join(asked.select("work_id", "term").distinct(), ["work_id", "term"], "left_semi")
     spread = wanted.groupBy("work_id", "term").agg(F.count(F.lit(1)).alias("n"))
-    rows = asked.join(spread, ["work_id", "term"]).join(stats, "work_id").join(postings, ["work_id", "term"]).where(readable(queries))
+    rows = asked.join(spread, ["work_id", "term"]).join(stats, "work_id").join(wanted, ["work_id", "term"]).where(readable(queries))
     idf = F.log((F.col("n_units") - F.col("n") + 0.5) / (F.col("n") + 0.5))
     weight = F.when(idf <= 0, LEAST_IDF).otherwise(idf)
     part = weight * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean_size")))

@@ -5,15 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from narrative_spark.functions import prefix
 from narrative_spark.functions.text import count_of, ustrip
 from narrative_spark.operators.lexical import MOST, analyze_queries, ranked, readable, search_bm25
+from narrative_spark.operators.views import BLOCK, read_units
+from narrative_spark.sources.stages import stored
 
 TOP = 8
 
 
 def eligible(queries: DataFrame, units: DataFrame) -> DataFrame:
-    """query_id with each unit that it may see."""
-    return queries.select("query_id", "work_id", "max_order", "chapter").join(units, "work_id").where(readable(queries)).drop("max_order", "chapter")
+    """query_id, eligible_units: how many units each query may see, where there are any.
+
+    Without a chapter filter that is the number of units up to the boundary, counted once for each work; only queries with a filter meet the units of the
+    chapters that it lets through.
+    """
+    block = lambda c: F.floor(c / BLOCK)
+    limit = F.coalesce("max_order", F.lit(2**62)).cast("long")
+    asked = queries.select("query_id", "work_id", limit.alias("max_order"), F.coalesce("chapter", F.lit("")).alias("chapter"))
+    plain = asked.where("chapter = ''")
+    numbered = prefix.scan(units.select("work_id", "ord", block(F.col("ord")).alias("block")), "work_id", "block", [F.col("ord")], sums={"n": F.lit(1)})
+    placed = read_units(units, plain).join(numbered.select("work_id", "ord", F.col("n") + 1), ["work_id", "ord"]).toDF("work_id", "ord", "max_order", "eligible_units")
+    counts = plain.join(placed, ["work_id", "max_order"]).select("query_id", "eligible_units")
+    within = asked.where("chapter <> ''")
+    names = units.select("work_id", "chapter_name").distinct()
+    open_ = within.join(names, "work_id").where(F.col("chapter_name").contains(F.col("chapter")))
+    some = open_.join(units.select("work_id", "chapter_name", "ord"), ["work_id", "chapter_name"]).where("ord <= max_order")
+    return counts.unionByName(some.groupBy("query_id").agg(F.count(F.lit(1)).alias("eligible_units")))
 
 
 def search_scan(queries: DataFrame, units: DataFrame, most: int = MOST) -> DataFrame:
@@ -26,10 +44,10 @@ def search_scan(queries: DataFrame, units: DataFrame, most: int = MOST) -> DataF
     return ranked(rows.where("score > 0").select("query_id", "work_id", "unit_id", "ord", "score"), most)
 
 
-def search(queries: DataFrame, units: DataFrame, postings: DataFrame, stats: DataFrame, vector_rows: DataFrame | None = None, vector_works: DataFrame | None = None, retrieval: str = "auto") -> DataFrame:
+def search(queries: DataFrame, units: DataFrame, postings: DataFrame, stats: DataFrame, vector_rows: DataFrame | None = None, vector_works: DataFrame | None = None, retrieval: str = "auto", tokenizer: str = "pair") -> DataFrame:
     """Ranked rows with the route they came by: vector where the work's vector index is current, else lexical, else scan.
 
-    A lexical search without a hit falls on to the scan; a vector search without a hit doesn't. retrieval: auto, fts or vector.
+    A lexical search without a hit falls on to the scan; a vector search without a hit doesn't. retrieval: auto, fts or vector; tokenizer: that of the postings.
     """
     asked = queries.join(units.select("work_id").distinct(), "work_id", "left_semi")
     by_vector = None
@@ -38,18 +56,23 @@ def search(queries: DataFrame, units: DataFrame, postings: DataFrame, stats: Dat
         asked = asked.join(vector_works.select("work_id").distinct(), "work_id", "left_anti")
     if retrieval == "vector":
         return by_vector if by_vector is not None else search_scan(asked, units).withColumn("used", F.lit("none")).limit(0)
-    lexical = search_bm25(asked, postings, stats).withColumn("used", F.lit("fts"))
+    # Written, at most MOST rows for each query, as the queries without a hit are told by them too.
+    lexical = stored(search_bm25(asked, postings, stats, tokenizer=tokenizer), "lexical").withColumn("used", F.lit("fts"))
     missed = asked.join(lexical.select("query_id").distinct(), "query_id", "left_anti")
     rows = lexical.unionByName(search_scan(missed, units).withColumn("used", F.lit("scan")))
     return rows if by_vector is None else rows.unionByName(by_vector)
 
 
-def search_diagnostics(queries: DataFrame, units: DataFrame, rows: DataFrame, vector_works: DataFrame | None = None, retrieval: str = "auto") -> DataFrame:
-    """One row for each query: requested and used route, reason of a fall-back, units it may see, candidates before the top is cut."""
+def search_diagnostics(queries: DataFrame, units: DataFrame, rows: DataFrame, vector_works: DataFrame | None = None, retrieval: str = "auto", manifest: DataFrame | None = None) -> DataFrame:
+    """One row for each query: requested and used route, reason of a fall-back, units it may see, candidates before the top is cut, and the version of its
+    work's source where a manifest (work_id, source_sha256) is given."""
     known = units.select("work_id").distinct().withColumn("known", F.lit(True))
-    seen = eligible(queries, units).groupBy("query_id").agg(F.count(F.lit(1)).alias("eligible_units"))
+    seen = eligible(queries, units)
     got = rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("candidates"), F.min("used").alias("used"))
     out = queries.join(known, "work_id", "left").join(seen, "query_id", "left").join(got, "query_id", "left")
+    version = F.lit(None).cast("string")
+    if manifest is not None:
+        out, version = out.join(manifest.select("work_id", F.col("source_sha256").alias("version__")), "work_id", "left"), F.col("version__")
     has_vector = F.lit(False)
     if vector_works is not None:
         out = out.join(vector_works.select("work_id").distinct().withColumn("has_vector", F.lit(True)), "work_id", "left")
@@ -60,7 +83,7 @@ def search_diagnostics(queries: DataFrame, units: DataFrame, rows: DataFrame, ve
     by_vector = has_vector & F.lit(retrieval in ("auto", "vector"))
     reason = F.when(~known_work, "work_not_found_or_empty").when(by_vector, F.lit(None)).when(F.col("used") == "fts", first).otherwise(F.lit(fell))
     route = F.when(~known_work, "none").when(by_vector, "vector").when(F.lit(retrieval == "vector"), "none").otherwise(F.coalesce("used", F.lit("scan")))
-    return out.select("query_id", F.lit(retrieval).alias("requested"), route.alias("used"), reason.alias("fallback_reason"), F.coalesce("eligible_units", F.lit(0)).alias("eligible_units"), F.coalesce("candidates", F.lit(0)).alias("candidates"))
+    return out.select("query_id", F.lit(retrieval).alias("requested"), route.alias("used"), reason.alias("fallback_reason"), F.coalesce("eligible_units", F.lit(0)).alias("eligible_units"), F.coalesce("candidates", F.lit(0)).alias("candidates"), version.alias("source_version"))
 
 
 def normalize_refs(raw: Column) -> Column:

@@ -5,18 +5,31 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-RECENT = 5
-
+from narrative_spark.functions import prefix
 
-def list_works(units: DataFrame, works: DataFrame) -> DataFrame:
-    """Works with their unit counts and titles."""
-    counts = units.groupBy("work_id").agg(F.count(F.lit(1)).alias("unit_count"))
-    return counts.join(works.select("work_id", "title"), "work_id", "left")
+RECENT = 5
+#: Fields of a snapshot that hold an order, and its lists of records.
+ORDER_FIELDS = frozenset("order last_order first_seen_order last_seen_order opened_order closed_order".split())
+RECORDS = ("characters", "objects", "locations", "plotlines", "recent", "backdrop_buffer")
+#: Orders that one sort, or one join of a range, takes together.
+BLOCK = 4096
+
+
+def list_works(units: DataFrame, works: DataFrame, lexical: DataFrame | None = None, vector: DataFrame | None = None) -> DataFrame:
+    """Works with their unit counts, titles, and whether they are among the works of a lexical and of a vector index."""
+    rows = units.groupBy("work_id").agg(F.count(F.lit(1)).alias("unit_count")).join(works.select("work_id", "title"), "work_id", "left")
+    for name, index in (("has_index", lexical), ("has_vector_index", vector)):
+        if index is None:
+            rows = rows.withColumn(name, F.lit(False))
+        else:
+            known = index.select("work_id").distinct().withColumn(name, F.lit(True))
+            rows = rows.join(known, "work_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return rows
 
 
 def reading_locations(units: DataFrame) -> DataFrame:
@@ -35,18 +48,36 @@ def get_units(units: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def get_range(units: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Units of each asked range (range_id, work_id, low, high)."""
-    return ranges.join(units, "work_id").where(F.col("ord").between(F.col("low"), F.col("high")))
+    """Units of each asked range (range_id, work_id, low, high). Ranges meet only the blocks of units that they reach into."""
+    block = lambda c: F.floor(c / BLOCK)
+    ends = units.groupBy("work_id").agg(F.min("ord").alias("first__"), F.max("ord").alias("last__"))
+    low, high = F.greatest("low", "first__"), F.least("high", "last__")
+    asked = ranges.join(ends, "work_id").where(low <= high).withColumn("block__", F.explode(F.sequence(block(low), block(high)))).drop("first__", "last__")
+    return asked.join(units.withColumn("block__", block(F.col("ord"))), ["work_id", "block__"]).where(F.col("ord").between(F.col("low"), F.col("high"))).drop("block__")
 
 
 @F.pandas_udf(StringType())
 def _fault(snapshot: pd.Series, work: pd.Series, order: pd.Series) -> pd.Series:
-    """What is wrong with a snapshot, or null. Types are checked in the JSON itself."""
+    """What is wrong with a snapshot, or null. Types are checked in the JSON itself, where a boolean is no order."""
+
+    def inside(n: object) -> bool:
+        return type(n) is int and 0 <= n <= now
 
     def orders(x: object) -> bool:
-        if isinstance(x, dict):
-            return all((k in ("closed_order",) and v is None) or (type(v) is int and 0 <= v <= now) if k == "order" or k.endswith("_order") else (isinstance(v, list) and all(type(i) is int and 0 <= i <= now for i in v)) if k.endswith("_orders") else orders(v) for k, v in x.items())
-        return all(orders(v) for v in x) if isinstance(x, list) else True
+        if isinstance(x, list):
+            return all(map(orders, x))
+        if not isinstance(x, dict):
+            return True
+        for key, value in x.items():
+            if key in ORDER_FIELDS:
+                ok = value is None or inside(value)
+            elif key == "key_orders":
+                ok = isinstance(value, list) and all(map(inside, value))
+            else:
+                ok = orders(value)
+            if not ok:
+                return False
+        return True
 
     out: list[str | None] = []
     for raw, own, now in zip(snapshot, work, order, strict=True):
@@ -54,13 +85,13 @@ def _fault(snapshot: pd.Series, work: pd.Series, order: pd.Series) -> pd.Series:
             s = json.loads(raw) if raw else None
         except ValueError:
             s = None
-        if not isinstance(s, dict) or not s:
+        if not isinstance(s, dict):
             out.append("missing_snapshot")
-        elif s.get("work_id") != own or type(s.get("last_order")) is not int or s["last_order"] != now:
+        elif s.get("work_id") != own or s.get("last_order") != now:
             out.append("snapshot_identity")
         elif not isinstance(s.get("backdrop", ""), str):
             out.append("invalid_backdrop")
-        elif not all(isinstance(s.get(g, []), list) and all(isinstance(r, dict) for r in s.get(g, [])) for g in ("characters", "objects", "locations", "plotlines", "recent", "backdrop_buffer")):
+        elif not all(isinstance(s.get(g, []), list) and all(isinstance(r, dict) for r in s.get(g, [])) for g in RECORDS):
             out.append("invalid_group")
         else:
             out.append(None if orders(s) else "future_or_invalid_order")
@@ -73,27 +104,41 @@ def validate_snapshots(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn("fault__", fault).withColumn("reason", F.when(F.coalesce("degraded", F.lit(False)), "degraded_snapshot").otherwise(F.col("fault__"))).drop("fault__")
 
 
-def as_of(snapshots: DataFrame, readers: DataFrame) -> DataFrame:
-    """readers (reader_id, work_id, max_order) with the last row of snapshots at or before their position: both sides sorted together once."""
-    rows = snapshots.where("ord > 0").select("work_id", F.col("ord").alias("at"), F.lit(0).alias("side"), F.lit(None).cast("string").alias("reader_id"), F.struct(*[F.col(c) for c in snapshots.columns if c != "work_id"]).alias("row"))
-    asked = readers.select("work_id", F.col("max_order").cast("long").alias("at"), F.lit(1).alias("side"), F.col("reader_id").cast("string").alias("reader_id"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
-    both = rows.unionByName(asked).withColumn("row", F.last("row", ignorenulls=True).over(W.partitionBy("work_id").orderBy("at", "side").rowsBetween(W.unboundedPreceding, 0)))
-    return both.where("side = 1").select("reader_id", "work_id", F.col("at").alias("max_order"), "row.*")
+def read_units(units: DataFrame, readers: DataFrame) -> DataFrame:
+    """work_id, max_order, ord: the last unit at or before each position that readers (work_id, max_order) stand at; ord is null where there is none.
 
+    Only numbers are sorted, block by block.
+    """
+    seen = units.where("ord > 0").select("work_id", F.col("ord").alias("at"), F.lit(0).alias("side"), F.col("ord").alias("mine"))
+    asked = readers.select("work_id", F.col("max_order").cast("long").alias("at"), F.lit(1).alias("side"), F.lit(None).cast("long").alias("mine")).distinct()
+    both = seen.unionByName(asked).withColumn("block", F.floor(F.col("at") / BLOCK))
+    found = prefix.scan(both, "work_id", "block", [F.col("at"), F.col("side")], latest={"ord": F.col("mine")})
+    return found.where("side = 1").select("work_id", F.col("at").alias("max_order"), "ord")
 
-def read_units(units: DataFrame, readers: DataFrame) -> DataFrame:
-    """work_id, ord of the units that as_of finds for readers (work_id, max_order): the last one at or before each position."""
-    asked = readers.select("work_id", "max_order").distinct()
-    seen = units.where("ord > 0").select("work_id", "ord").join(asked, "work_id").where(F.col("ord") <= F.col("max_order"))
-    return seen.groupBy("work_id", "max_order").agg(F.max("ord").alias("ord")).select("work_id", "ord").distinct()
 
+def as_of(snapshots: DataFrame, readers: DataFrame) -> DataFrame:
+    """readers (reader_id, work_id, max_order) with the last row of snapshots at or before their position: the place is found first, the row is then fetched."""
+    asked = readers.select(F.col("reader_id").cast("string").alias("reader_id"), "work_id", F.col("max_order").cast("long").alias("max_order"))
+    placed = asked.join(read_units(snapshots, readers), ["work_id", "max_order"], "left")
+    return placed.join(snapshots, ["work_id", "ord"], "left").select("reader_id", "work_id", "max_order", "ord", *[c for c in snapshots.columns if c not in ("work_id", "ord")])
 
-def progressive_view(snapshots: DataFrame, readers: DataFrame) -> DataFrame:
-    """One row for each reader: status ok, invalid or unavailable, reason, snapshot order and snapshot. No older snapshot stands in for a bad one."""
+
+def progressive_view(snapshots: DataFrame, readers: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """One row for each reader: status ok, invalid or unavailable, reason, snapshot order and snapshot. No older snapshot stands in for a bad one.
+
+    With units, also provenance of a snapshot that is ok: kind, unit_id, order_range, chapter, and snapshot_line_range where units have lines.
+    """
     seen = as_of(validate_snapshots(snapshots), readers)
-    status = F.when(F.col("ord").isNull(), "unavailable").when(F.col("reason").isNull(), "ok").when(F.col("reason").isin("missing_snapshot", "degraded_snapshot"), "unavailable").otherwise("invalid")
-    reason = F.when(F.col("ord").isNull(), "no_readable_unit").otherwise(F.col("reason"))
-    return seen.select("reader_id", "work_id", "max_order", status.alias("status"), reason.alias("reason"), F.col("ord").alias("snapshot_order"), F.when(status == "ok", F.col("snapshot")).alias("snapshot"))
+    ok = F.col("ord").isNotNull() & F.col("reason").isNull()
+    status = F.when(F.col("ord").isNull(), "unavailable").when(ok, "ok").otherwise("invalid")
+    reason = F.when(F.col("ord").isNull(), "no_completed_unit").otherwise(F.col("reason"))
+    more = []
+    if units is not None:
+        line = lambda c: units[c] if c in units.columns else F.lit(None).cast("long")
+        source = units.select("work_id", "ord", F.struct(F.lit("progressive_snapshot").alias("kind"), units["unit_id"], F.array(F.lit(1).cast("long"), units["ord"]).alias("order_range"), units["chapter_name"].alias("chapter"), F.array(line("start_line"), line("end_line")).alias("snapshot_line_range")).alias("source__"))
+        seen = seen.join(source, ["work_id", "ord"], "left")
+        more = [F.when(ok, F.col("source__")).alias("provenance")]
+    return seen.select("reader_id", "work_id", "max_order", status.alias("status"), reason.alias("reason"), F.col("ord").alias("snapshot_order"), F.when(ok, F.col("snapshot")).alias("snapshot"), *more)
 
 
 def recap(snapshots: DataFrame, readers: DataFrame, recent: int = RECENT) -> DataFrame:
@@ -124,15 +169,27 @@ def plotline_history(units: DataFrame, requests: DataFrame) -> DataFrame:
     return _history(units, requests, "plotline_updates", "title")
 
 
+def _grouped(records: Column, group: str) -> Column:
+    return F.transform(records, lambda r: r.withField("group", F.lit(group)))
+
+
+def _matching(snapshots: DataFrame, requests: DataFrame, schema: str, lists: tuple[str, ...], name: str) -> DataFrame:
+    """request_id, work_id, c: the first record whose name holds the asked one or is held by it, list by list, in the last readable snapshot."""
+    asked = requests.select(F.col("request_id").cast("string").alias("reader_id"), F.trim("name").alias("asked")).where("asked <> ''")
+    seen = as_of(snapshots, requests.withColumnRenamed("request_id", "reader_id")).withColumn("s__", F.from_json("snapshot", schema)).join(asked, "reader_id")
+    match = lambda r: (r[name] != "") & (r[name].contains(F.col("asked")) | F.col("asked").contains(r[name]))
+    named = [_grouped(F.filter(F.col(f"s__.{g}"), match), g) for g in lists]
+    found = F.concat(*[F.coalesce(x, F.array()) for x in named])
+    return seen.select(F.col("reader_id").alias("request_id"), "work_id", F.get(found, F.lit(0)).alias("c")).where("c is not null")
+
+
 def entity_current(snapshots: DataFrame, requests: DataFrame) -> DataFrame:
-    """The entity's record in the last readable snapshot: first match in characters, then objects, then locations."""
-    record = "array<struct<name:string,status:string,note:string,first_seen_order:bigint,last_seen_order:bigint>>"
-    seen = as_of(snapshots, requests.withColumnRenamed("request_id", "reader_id")).withColumn("s__", F.from_json("snapshot", f"characters {record}, objects {record}, locations {record}"))
-    rows = seen.join(requests.select(F.col("request_id").cast("string").alias("reader_id"), F.trim("name").alias("asked")), "reader_id").where("asked <> ''")
-    match = lambda r: (r["name"] != "") & (r["name"].contains(F.col("asked")) | F.col("asked").contains(r["name"]))
-    named = [_grouped(F.filter(F.col(f"s__.{g}"), match), g) for g in ("characters", "objects", "locations")]
-    return rows.select(F.col("reader_id").alias("request_id"), "work_id", F.get(F.concat(*named), F.lit(0)).alias("c")).where("c is not null").select("request_id", "work_id", "c.*")
+    """The entity's whole record in the last readable snapshot: first match in characters, then objects, then locations."""
+    record = "array<struct<name:string,aliases:array<string>,kind:string,status:string,note:string,first_seen_order:bigint,last_seen_order:bigint>>"
+    return _matching(snapshots, requests, f"characters {record}, objects {record}, locations {record}", ("characters", "objects", "locations"), "name").select("request_id", "work_id", "c.*")
 
 
-def _grouped(records, group: str):
-    return F.transform(records, lambda r: r.withField("group", F.lit(group)))
+def plotline_current(snapshots: DataFrame, requests: DataFrame) -> DataFrame:
+    """The plotline's whole record in the last readable snapshot: the first whose title matches."""
+    record = "array<struct<title:string,status:string,opened_order:bigint,closed_order:bigint,key_orders:array<bigint>,summary:string>>"
+    return _matching(snapshots, requests, f"plotlines {record}", ("plotlines",), "title").select("request_id", "work_id", "c.*").drop("group")

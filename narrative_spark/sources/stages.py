@@ -55,7 +55,7 @@ def source_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def read_units(spark: SparkSession, path: str) -> DataFrame:
     """Unit files (JSON lines) with defaults for what a line leaves out: empty lists and texts, 0, chars from the text, not degraded."""
-    units = spark.read.schema(UNIT_SCHEMA).json(path).where("work_id is not null")
+    units = spark.read.schema(UNIT_SCHEMA).json(path).where("work_id is not null").select(*[f.split()[0] for f in UNIT_SCHEMA.split(", ")])
     kinds = dict(units.dtypes)
     default = {"string": F.lit(""), "int": F.lit(0), "bigint": F.lit(0).cast("long"), "boolean": F.lit(False)}
     keep = {"recent_event", "state_snapshot", "chars"}
@@ -63,6 +63,12 @@ def read_units(spark: SparkSession, path: str) -> DataFrame:
     return units.select(*columns).withColumn("chars", F.when(F.coalesce("chars", F.lit(0)) == 0, F.length("text")).otherwise(F.col("chars")))
 
 
+def write_units(units: DataFrame, path: str) -> None:
+    """Unit files (JSON lines), a folder for each work, as read_units reads them: the fields of UNIT_SCHEMA that units has."""
+    names = [f.split()[0] for f in UNIT_SCHEMA.split(", ") if f.split()[0] in units.columns]
+    units.select(*names, F.col("work_id").alias("work")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("work").json(path)
+
+
 def write_stage(df: DataFrame, path: str) -> None:
     """One folder for each work; only the works in df are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("work_id").parquet(path)

@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from narrative_spark.operators import extract, lexical, normalize, search, segment, state, validate, vectors, views
@@ -146,6 +147,87 @@ def test_views_fail_closed(spark):
     assert {r.reader_id: r.status for r in views.progressive_view(rows, readers).collect()} == {"r1": "unavailable", "r2": "ok", "r3": "invalid"}
 
 
+def test_each_fault_of_a_snapshot_has_its_code(spark):
+    """Only the named order fields may be null; booleans are no orders; other fields that end in _order aren't looked at."""
+    good = {"work_id": "w", "last_order": 1}
+    cases = [
+        (None, "missing_snapshot"), ("no json", "missing_snapshot"), ("[]", "missing_snapshot"), ("{}", "snapshot_identity"), ({"last_order": True}, "future_or_invalid_order"), ({"last_order": 2}, "snapshot_identity"), ({"last_order": None}, "snapshot_identity"),
+        ({"backdrop": None}, "invalid_backdrop"), ({"recent": None}, "invalid_group"), ({"objects": [1]}, "invalid_group"), ({"characters": [{"first_seen_order": None}]}, None), ({"characters": [{"last_seen_order": 2}]}, "future_or_invalid_order"),
+        ({"plotlines": [{"key_orders": [0, 1], "closed_order": None}]}, None), ({"plotlines": [{"key_orders": None}]}, "future_or_invalid_order"), ({"plotlines": [{"key_orders": [1.0]}]}, "future_or_invalid_order"), ({"plotlines": [{"opened_order": -1}]}, "future_or_invalid_order"),
+        ({"backdrop_buffer": [{"order": "1"}]}, "future_or_invalid_order"), ({"more": {"deep": [{"order": 9}]}}, "future_or_invalid_order"), ({"sort_order": 99, "line_orders": "x"}, None),
+    ]
+    rows = [(k, "w", 1, x if x is None or isinstance(x, str) else json.dumps({**good, **x}), False) for k, (x, _) in enumerate(cases)]
+    got = {r.k: r.reason for r in views.validate_snapshots(spark.createDataFrame(rows, "k int, work_id string, ord long, snapshot string, degraded boolean")).collect()}
+    assert got == {k: reason for k, (_, reason) in enumerate(cases)}
+
+
+def test_review_patches_are_coerced_and_applied(spark):
+    outputs = [
+        '```json\n{"summary_replacement": " new ", "rename_entities": [{"from": "A", "to": "B"}, {"from": "A"}, "x"], "entity_status_updates": [{"name": "B", "status": "well"}], "remove_entities": ["C", 5, ""], "plotline_fixes": [{"title": "T"}], "context_ref_additions": ["r"]}\n```',
+        '{"remove_entities": {"a": 1}}',
+        "no json",
+        '{"rename_entities": null}',
+    ]
+    rows = extract.coerce_patch(spark.createDataFrame([("w", k, o) for k, o in enumerate(outputs)], "work_id string, ord long, output string"))
+    got = {r.ord: r for r in rows.collect()}
+    assert [got[k].parse_error for k in range(4)] == [None, "remove_entities", "not_json", None]
+    assert got[1].patch is None and got[3].patch.rename_entities == [] and got[3].patch.summary_replacement == ""
+    fields = spark.createDataFrame([("w", k, "s", [("A", "character", "", "", None, None), ("C", "character", "", "", None, None)], [("advance", "T", "")], ["q"], None) for k in range(4)], f"work_id string, ord long, summary string, entity_updates array<{extract.ENTITY}>, plotline_updates array<{extract.PLOTLINE}>, context_refs array<string>, recent_event struct<text:string>")
+    done = {r.ord: r for r in extract.apply_patch(fields, rows).collect()}
+    assert (done[0].summary, [(e.name, e.status) for e in done[0].entity_updates], len(done[0].plotline_updates), done[0].context_refs) == ("new", [("B", "well")], 1, ["q", "r"])
+    assert all((done[k].summary, len(done[k].entity_updates)) == ("s", 2) for k in (1, 2, 3))
+
+
+def test_tasks_fail_each_for_itself(spark):
+    def summary(row):
+        if row["k"] == 1:
+            raise ValueError("no")
+        return '{"summary": "fine"}'
+
+    def entity(row):
+        raise KeyError(row["k"])
+
+    got = {r.k: r for r in extract.extract_tasks(spark.createDataFrame([(0,), (1,)], "k long"), {"summary": summary, "entity": entity}, attempts=2).collect()}
+    assert got[0].outputs == {"summary": '{"summary": "fine"}'} and not got[0].failed and [(e.task, e.attempt) for e in got[0].errors] == [("entity", 1), ("entity", 2)]
+    assert got[1].outputs == {} and got[1].failed and [(e.task, e.attempt) for e in got[1].errors] == [("summary", 1), ("summary", 2)]
+
+
+def test_bad_output_falls_back_to_the_first_sentence(spark):
+    rows = spark.createDataFrame([(0, "One. Two", '{"summary": "s", "entity_updates": [{"name": "A"}]}'), (1, "One. Two", "sorry"), (2, "", None)], "k long, text string, output string")
+    got = {r.k: r for r in extract.with_fallback(extract.coerce_fields(rows), (".",)).collect()}
+    assert (got[0].summary, got[0].degraded, len(got[0].entity_updates)) == ("s", False, 1)
+    assert (got[1].summary, got[1].degraded, got[1].entity_updates, got[1].recent_event.text) == ("One", True, [], "One")
+    assert (got[2].summary, got[2].degraded, got[2].recent_event) == ("", True, None)
+
+
+def test_runs_of_letters_meet_queries_without_their_marks(spark):
+    units = units_of(spark, [("w", 1, 1, "A", "Über die Brücke"), ("w", 2, 1, "A", "Eine Brucke"), ("w", 3, 1, "A", "nichts")])
+    asked = spark.createDataFrame([("q", "w", "BRÜCKE, über", None, None)], "query_id string, work_id string, query string, max_order long, chapter string")
+    got = lexical.search_bm25(asked, lexical.build_postings(units, "run"), lexical.index_stats(units, "run"), tokenizer="run").orderBy("place").collect()
+    assert [r.ord for r in got] == [1, 2]
+
+
+def test_blocks_of_vectors_and_units_lose_nothing(spark, monkeypatch):
+    """Small blocks, many of them, against one block."""
+    draw = np.random.default_rng(5)
+    stored = spark.createDataFrame([(f"w{k % 2}", f"u{k}", k, "A", draw.normal(size=4).tolist()) for k in range(60)], "work_id string, unit_id string, ord long, chapter_name string, vector array<double>")
+    asked = stored.where("ord % 3 = 0").selectExpr("unit_id query_id", "work_id", "ord max_order", "cast(null as string) chapter", "vector")
+    talk = units_of(spark, [("w", k, 1, "A", "".join(draw.choice(list("abcdefgh"), 4))) for k in range(1, 40)] + [("v", k, 1, "A", "xyz") for k in range(1, 6)])
+    positions = spark.createDataFrame([(f"r{k}", "w0", k) for k in (-1, 0, 1, 7, 30, 2**62)], "reader_id string, work_id string, max_order long")
+    spread = stored.where("work_id = 'w0'")
+    ranges = spark.createDataFrame([("a", "w0", 3, 11), ("b", "w0", 50, 2**62), ("c", "w1", -5, 1), ("d", "w0", 9, 8)], "range_id string, work_id string, low long, high long")
+
+    def rows():
+        made = [vectors.search_vector(asked, stored, 5), extract.related_context(talk), views.read_units(spread, positions), views.as_of(spread, positions).drop("vector"), views.get_range(stored, ranges).drop("vector")]
+        return [sorted(map(repr, m.collect())) for m in made]
+
+    whole = rows()
+    for module, names in ((vectors, {"QUERIES": 7, "VECTORS": 11, "SLICE": 2}), (extract, {"BLOCK": 4}), (views, {"BLOCK": 4})):
+        for name, size in names.items():
+            monkeypatch.setattr(module, name, size)
+    assert rows() == whole and all(whole)
+
+
 def test_raw_files_and_units(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw/a.txt").write_bytes("一\r\n二".encode("gb18030"))
@@ -154,6 +236,8 @@ def test_raw_files_and_units(spark, tmp_path):
     assert got == {"a.txt": ("gb18030", "一\n二"), "b.txt": ("utf-8-sig", "abc")}
     assert stages.source_manifest(spark, str(tmp_path / "raw")).count() == 2
     (tmp_path / "u.jsonl").write_text('{"work_id": "w", "unit_id": "w-1", "text": "four"}\n\n')
+    stages.write_units(stages.read_units(spark, str(tmp_path / "u.jsonl")), str(tmp_path / "units"))
+    assert [r.asDict() for r in stages.read_units(spark, str(tmp_path / "units")).collect()] == [r.asDict() for r in stages.read_units(spark, str(tmp_path / "u.jsonl")).collect()]
     unit = stages.read_units(spark, str(tmp_path / "u.jsonl")).first()
     assert unit.chars == 4 and unit.characters == [] and unit.degraded is False and unit.recent_event is None
     stages.write_stage(spark.createDataFrame([("w", 1), ("v", 1)], "work_id string, x int"), str(tmp_path / "stage"))
