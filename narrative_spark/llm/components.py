@@ -1,4 +1,7 @@
-"""Connected components of a large graph by label passing, with hooking of whole labels."""
+"""Connected components of a large graph by label passing, with hooking of whole labels.
+
+Rows of a key that many rows may share are dealt to SALTS shares throughout: edges are only those between texts that are near each other.
+"""
 
 from __future__ import annotations
 

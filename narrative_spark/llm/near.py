@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import materialize, tidy, unused
+from narrative_spark.llm.common import join_dealt, materialize, tidy, unused
 from narrative_spark.llm.components import components, dealt, roots, salt_of
 
 WIDTH, SIMILAR = 5, 0.8
@@ -310,7 +310,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     rare = document_frequencies(named, text_col)
     signed = materialize(signatures(named, row, id_col, text_col, rare), "signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("best")
-    nodes = materialize(signed.where("key is not null").groupBy("key").agg(first, *[F.first(c).alias(c) for c in ("bands", "sketch", "size")]), "nodes")
+    nodes = materialize(signed.where("key is not null").groupBy("key").agg(first, F.count(F.lit(1)).alias("rows"), *[F.first(c).alias(c) for c in ("bands", "sketch", "size")]), "nodes")
     likely = materialize(_likely(_neighbours(nodes), nodes), "likely")
     ends = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
     features = materialize(_features(named, row, text_col, nodes.join(ends, "key").select(F.col("best.row").alias("row")), rare), "features")
@@ -331,10 +331,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
     labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
     labelled = _whole_groups(labelled, nodes, features, ends, named, row, text_col, rare)
-    heads = dealt(labelled.groupBy("label").agg(F.min("best").alias("head")))
-    per_key = labelled.withColumn("salt", salt_of("key")).join(heads, ["label", "salt"]).select("key", "head", "n_links")
-    own = signed.select("row", "id", "key", salt_of("row").alias("salt"))
-    joined = own.join(dealt(per_key), ["key", "salt"], "left")
+    heads = materialize(labelled.groupBy("label").agg(F.min("best").alias("head"), F.count(F.lit(1)).alias("keys")), "heads")
+    per_key = join_dealt(labelled.select("key", "label", "n_links"), heads, "label", "keys", F.col("key"), "inner")
+    per_key = materialize(per_key.join(nodes.select("key", "rows"), "key").select("key", "rows", "head", "n_links"), "keys")
+    joined = join_dealt(signed.select("row", "id", "key"), per_key, "key", "rows", F.col("row"))
     return joined.select("row", "id", F.coalesce("head.row", "row").alias("class_row"), F.coalesce("head.id", F.when(F.col("head").isNull(), F.col("id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
