@@ -135,10 +135,21 @@ def derive_tags(units: DataFrame) -> DataFrame:
     return units.withColumns({"characters": names("character"), "locations": names("location"), "key_terms": names("object")})
 
 
+def _placed(units: DataFrame) -> DataFrame:
+    """work_id, ord, place: a unit's number in its work, from 1."""
+    numbers = units.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("group"))
+    return prefix.scan(numbers, "work_id", "group", [F.col("ord")], sums={"earlier": F.lit(1)}).select("work_id", "ord", (F.col("earlier") + 1).alias("place"))
+
+
 def recent_context(units: DataFrame, n: int = 2) -> DataFrame:
-    """units with recent_text: texts of the n units before."""
-    before = W.partitionBy("work_id").orderBy("ord").rowsBetween(-n, -1)
-    return units.withColumn("recent_text", F.array_join(F.collect_list("text").over(before), "\n"))
+    """units with recent_text: texts of the n units before. Blocks of a work are sorted by themselves; the last n units of a block stand before the next one too."""
+    block = F.floor(F.col("place__") / BLOCK)
+    rows = units.join(_placed(units).withColumnRenamed("place", "place__"), ["work_id", "ord"]).withColumn("own__", block)
+    near = F.floor((F.col("place__") + n) / BLOCK)
+    rows = rows.withColumn("block__", F.explode(F.sequence(F.col("own__"), near)))
+    before = W.partitionBy("work_id", "block__").orderBy("place__").rowsBetween(-n, -1)
+    rows = rows.withColumn("recent_text", F.array_join(F.collect_list("text").over(before), "\n"))
+    return rows.where("own__ = block__").select(*units.columns, "recent_text")
 
 
 def related_context(units: DataFrame, top: int = 3, most_chars: int = 1800) -> DataFrame:
@@ -148,9 +159,7 @@ def related_context(units: DataFrame, top: int = 3, most_chars: int = 1800) -> D
     each block, so that no pair of units is ever a row.
     """
     found = F.array_distinct(content_signs(F.coalesce("text", F.lit(""))))
-    numbered = units.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("group"))
-    numbered = prefix.scan(numbered, "work_id", "group", [F.col("ord")], sums={"earlier": F.lit(1)}).select("work_id", "ord", (F.col("earlier") + 1).alias("place"))
-    shape = units.select("work_id", "ord", "chapter_name", "text", F.array_join(found, "").alias("signs")).join(numbered, ["work_id", "ord"])
+    shape = units.select("work_id", "ord", "chapter_name", "text", F.array_join(found, "").alias("signs")).join(_placed(units), ["work_id", "ord"])
     block, last = F.floor(F.col("place") / BLOCK).cast("int"), F.floor(F.col("n") / BLOCK).cast("int")
     signs = shape.select("work_id", "place", "signs").join(shape.groupBy("work_id").agg(F.count(F.lit(1)).alias("n")), "work_id")
     now = signs.where(F.length("signs") >= 2).select("work_id", "place", "signs", block.alias("now"), F.explode(F.sequence(F.lit(0), block)).alias("then"))

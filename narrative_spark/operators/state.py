@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from narrative_spark.functions import prefix
 from narrative_spark.functions.text import ustrip
+from narrative_spark.sources.stages import stored
 
+#: Orders that one sort takes together.
+BLOCK = 4096
 RECENT, EVENT, BACKDROP, DIGEST = 5, 120, 300, 200
 GROUPS = {"character": "characters", "object": "objects", "location": "locations"}
 
@@ -47,24 +51,40 @@ def _events(units: DataFrame) -> DataFrame:
     return units.where(~F.coalesce("degraded", F.lit(False))).select("work_id", "ord", "chapter_idx", F.substring(text, 1, EVENT).alias("event")).where("event <> ''")
 
 
+def _numbered(events: DataFrame) -> DataFrame:
+    """events (work_id, ord, ...) with place, from 1 in each work."""
+    rows = prefix.scan(events.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("block__")), "work_id", "block__", [F.col("ord")], sums={"n__": F.lit(1)})
+    return events.join(rows.select("work_id", "ord", (F.col("n__") + 1).alias("place")), ["work_id", "ord"])
+
+
 def recent_events(units: DataFrame, n: int = RECENT) -> DataFrame:
-    """work_id, ord, recent: the last n events (order, text) as of each unit."""
-    order = W.partitionBy("work_id").orderBy("ord")
-    seen = _events(units).select("work_id", "ord", F.collect_list(F.struct(F.col("ord").alias("order"), F.col("event").alias("text"))).over(order.rowsBetween(1 - n, 0)).alias("window"))
-    rows = units.select("work_id", "ord").join(seen, ["work_id", "ord"], "left")
-    return rows.select("work_id", "ord", F.coalesce(F.last("window", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)), F.array().cast(seen.schema["window"].dataType)).alias("recent"))
+    """work_id, ord, recent: the last n events (order, text) as of each unit. Units find the place of their last event, then fetch the n events up to it."""
+    events = stored(_numbered(_events(units)).select("work_id", "ord", "place", F.struct(F.col("ord").alias("order"), F.col("event").alias("text")).alias("e")), "events")
+    marked = units.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("block__")).join(events.select("work_id", "ord", "place"), ["work_id", "ord"], "left")
+    last = prefix.scan(marked, "work_id", "block__", [F.col("ord")], latest={"before__": F.col("place")}).select("work_id", "ord", F.coalesce("place", "before__").alias("last"))
+    wanted = last.where("last is not null").select("work_id", "ord", F.explode(F.sequence(F.greatest(F.col("last") - n + 1, F.lit(1).cast("long")), F.col("last"))).alias("place"))
+    found = wanted.join(events.select("work_id", "place", "e"), ["work_id", "place"]).groupBy("work_id", "ord").agg(F.sort_array(F.collect_list("e")).alias("recent"))
+    return units.select("work_id", "ord").join(found, ["work_id", "ord"], "left").withColumn("recent", F.coalesce("recent", F.array().cast(found.schema["recent"].dataType)))
 
 
 def archive_backdrop(units: DataFrame, n: int = RECENT) -> DataFrame:
     """work_id, chapter_idx, digest, backdrop after each chapter: events that n later ones have pushed out, in the chapter in which that
-    happened; joined and cut to DIGEST, then added to the backdrop, whose head is kept."""
-    order = W.partitionBy("work_id").orderBy("ord")
-    pushed = _events(units).select("work_id", "ord", "event", F.lead("chapter_idx", n).over(order).alias("chapter_idx")).where("chapter_idx is not null")
-    line = F.concat(F.lit("@"), F.col("ord").cast("string"), F.lit(" "), F.col("event"))
-    digest = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", line.alias("line")))), lambda x: x["line"]), "；")
-    chapters = pushed.groupBy("work_id", "chapter_idx").agg(ustrip(F.substring(digest, 1, DIGEST)).alias("digest"))
-    so_far = F.array_join(F.collect_list("digest").over(W.partitionBy("work_id").orderBy("chapter_idx").rowsBetween(W.unboundedPreceding, 0)), "；")
-    return chapters.select("work_id", "chapter_idx", "digest", F.substring(so_far, 1, BACKDROP).alias("backdrop"))
+    happened; joined and cut to DIGEST, then added to the backdrop, whose head is kept.
+
+    As both are cut, a chapter needs its first events only, and a work its first digests: each is five signs long at least, with what joins it to the next.
+    """
+    events = stored(_numbered(_events(units)), "events")
+    pushing = events.select("work_id", (F.col("place") - n).alias("place"), "chapter_idx")
+    line = F.concat(F.lit("@"), F.col("ord").cast("string"), F.lit(" "), F.col("event")).alias("line")
+    pushed = events.select("work_id", "place", "ord", line).join(pushing, ["work_id", "place"])
+    first = lambda rows, by, order, most: rows.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(order))).where(F.col("rank") <= most)
+    texts = lambda c, order: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, c))), lambda x: x[c]), "；")
+    heads = first(pushed, ["work_id", "chapter_idx"], "ord", DIGEST // 5 + 1)
+    chapters = stored(heads.groupBy("work_id", "chapter_idx").agg(ustrip(F.substring(texts("line", "ord"), 1, DIGEST)).alias("digest")), "digests")
+    most = BACKDROP // 5 + 1
+    early = first(chapters, ["work_id"], "chapter_idx", most).groupBy("work_id").agg(F.sort_array(F.collect_list(F.struct("chapter_idx", "digest"))).alias("early"))
+    so_far = F.array_join(F.transform(F.filter("early", lambda x: x["chapter_idx"] <= F.col("chapter_idx")), lambda x: x["digest"]), "；")
+    return chapters.join(early, "work_id").select("work_id", "chapter_idx", "digest", F.substring(so_far, 1, BACKDROP).alias("backdrop"))
 
 
 class Story:

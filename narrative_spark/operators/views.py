@@ -6,7 +6,6 @@ import json
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -34,9 +33,11 @@ def list_works(units: DataFrame, works: DataFrame, lexical: DataFrame | None = N
 
 def reading_locations(units: DataFrame) -> DataFrame:
     """Runs of one chapter in reading order, without anything of their content."""
-    order = W.partitionBy("work_id").orderBy("ord")
-    fresh = F.when(F.lag("chapter_idx").over(order).eqNullSafe(F.col("chapter_idx")) & F.lag("chapter_name").over(order).eqNullSafe(F.col("chapter_name")), 0).otherwise(1)
-    runs = units.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
+    rows = units.select("work_id", "ord", "chapter_idx", "chapter_name", "start_line", "end_line", F.floor(F.col("ord") / BLOCK).alias("block"))
+    chapter = F.struct("chapter_idx", "chapter_name")
+    after = prefix.scan(rows, "work_id", "block", [F.col("ord")], latest={"before": chapter})
+    fresh = after.withColumn("fresh", (~F.col("before").eqNullSafe(chapter)).cast("long")).drop("before")
+    runs = prefix.scan(fresh, "work_id", "block", [F.col("ord")], sums={"run": F.col("fresh")}).withColumn("run", F.col("run") + F.col("fresh"))
     rows = runs.groupBy("work_id", "run", "chapter_idx", "chapter_name").agg(F.min("ord").alias("start_order"), F.max("ord").alias("end_order"), F.min_by("start_line", "ord").alias("start_line"), F.max_by("end_line", "ord").alias("end_line"), F.count(F.lit(1)).alias("unit_count"))
     label = F.when(F.coalesce("chapter_name", F.lit("")) != "", F.col("chapter_name")).otherwise(F.concat(F.lit("第 "), F.col("chapter_idx").cast("string"), F.lit(" 章")))
     return rows.select("work_id", F.format_string("chapter-%02d", "chapter_idx").alias("location_id"), label.alias("label"), "start_order", "end_order", "start_line", "end_line", "unit_count")

@@ -218,11 +218,12 @@ def test_blocks_of_vectors_and_units_lose_nothing(spark, monkeypatch):
     ranges = spark.createDataFrame([("a", "w0", 3, 11), ("b", "w0", 50, 2**62), ("c", "w1", -5, 1), ("d", "w0", 9, 8)], "range_id string, work_id string, low long, high long")
 
     def rows():
-        made = [vectors.search_vector(asked, stored, 5), extract.related_context(talk), views.read_units(spread, positions), views.as_of(spread, positions).drop("vector"), views.get_range(stored, ranges).drop("vector")]
+        events = talk.withColumns({"recent_event": F.when(F.col("ord") % 4 > 0, F.struct(F.concat(F.lit("e"), F.col("ord").cast("string")).alias("text"))), "degraded": F.lit(False), "chapter_idx": F.floor(F.col("ord") / 7).cast("int")})
+        made = [extract.recent_context(talk), views.reading_locations(events), state.recent_events(events), state.archive_backdrop(events), vectors.search_vector(asked, stored, 5), extract.related_context(talk), views.read_units(spread, positions), views.as_of(spread, positions).drop("vector"), views.get_range(stored, ranges).drop("vector")]
         return [sorted(map(repr, m.collect())) for m in made]
 
     whole = rows()
-    for module, names in ((vectors, {"QUERIES": 7, "VECTORS": 11, "SLICE": 2}), (extract, {"BLOCK": 4}), (views, {"BLOCK": 4})):
+    for module, names in ((vectors, {"QUERIES": 7, "VECTORS": 11, "SLICE": 2}), (extract, {"BLOCK": 4}), (views, {"BLOCK": 4}), (state, {"BLOCK": 4})):
         for name, size in names.items():
             monkeypatch.setattr(module, name, size)
     assert rows() == whole and all(whole)
