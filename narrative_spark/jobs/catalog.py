@@ -52,7 +52,7 @@ def _routed(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame
 def _search(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     _, units, rows = _routed(spark, d, whole)
     found = search.to_evidence(rows, units)
-    return found.select("query_id", "work_id", "unit_id", "ord", "place", "used", F.round("score", 3).alias("score"), "raw_text", *[f"metadata.{c}" for c in ("chapter", "start_line", "end_line")])
+    return found.select("query_id", "work_id", "unit_id", "ord", "place", "used", "score", "raw_text", *[f"metadata.{c}" for c in ("chapter", "start_line", "end_line")])
 
 
 def _bm25(spark: SparkSession, d: str, whole: bool = False, tokenizer: str = "pair") -> DataFrame:

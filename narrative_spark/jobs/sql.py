@@ -200,7 +200,7 @@ ORACLE_SQL: dict[str, str] = {
     "index_stats": f"WITH {UNITS} {POSTINGS} SELECT work_id, n_units, round(mean_size, 6) AS mean_size FROM stats",
     "search_bm25": f"WITH {UNITS} {TERMS} {POSTINGS} {BM25} SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, place FROM bm25",
     "search_scan": f"WITH {UNITS} {TERMS} {SCAN} SELECT query_id, work_id, unit_id, ord, score, place FROM scan",
-    "search": f"WITH {UNITS} {TERMS} {ROUTED} SELECT query_id, work_id, unit_id, ord, place, used, round(round(score, 4), 3) AS score, text AS raw_text, chapter_name AS chapter, start_line, end_line FROM routed JOIN units USING (work_id, unit_id, ord) WHERE place <= 8",
+    "search": f"WITH {UNITS} {TERMS} {ROUTED} SELECT query_id, work_id, unit_id, ord, place, used, round(score, 4) AS score, text AS raw_text, chapter_name AS chapter, start_line, end_line FROM routed JOIN units USING (work_id, unit_id, ord) WHERE place <= 8",
     "search_diagnostics": f"""WITH {UNITS} {TERMS} {ROUTED}, e AS (SELECT query_id, count(*) AS n FROM terms JOIN units USING (work_id) WHERE ord <= coalesce(max_order, 9000000000) GROUP BY 1), r AS (SELECT query_id, count(*) AS n, min(used) AS used FROM routed GROUP BY 1)
         SELECT t.query_id, 'auto' AS requested, coalesce(r.used, 'scan') AS used, CASE WHEN r.used = 'fts' THEN 'vector_unavailable_or_stale' ELSE 'vector_then_fts_unavailable_or_no_match' END AS fallback_reason, coalesce(e.n, 0) AS eligible_units, coalesce(r.n, 0) AS candidates FROM terms t LEFT JOIN e USING (query_id) LEFT JOIN r USING (query_id)""",
     "evaluate_retrieval": f"""WITH {UNITS} {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
