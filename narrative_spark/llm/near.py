@@ -121,7 +121,7 @@ def signatures(docs: DataFrame, row: str, id_col: str, text_col: str, rare: np.n
                 bands: list = [None] * len(sets.keys)
                 sketch: list = [None] * len(sets.keys)
                 weight = log_weight(sets.hash, sets.count, sent.value)
-                size = np.bincount(sets.doc, np.exp(weight.astype(np.float64)), len(sets.keys))
+                size = np.bincount(sets.doc, np.exp(weight.astype(np.float64)), len(sets.keys)).astype(np.float64)  # whole numbers where there is no shingle
                 if len(sets.hash):
                     got = _samples(sets, weight)
                     short = (got >> np.uint64(16)).astype("<u2")

@@ -74,6 +74,11 @@ def test_odd_rows_empty_tables_and_clashing_columns(spark, odd, name):
     assert OPERATORS[name](odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["quality", "separators", "html", "secrets", "near"])
+def test_tables_without_a_word(spark, odd, name):
+    assert OPERATORS[name](odd.where("doc_id <= 3").coalesce(1)).count() == 3
+
+
 def test_count_of_quality_rules(documents, texts):
     def brute(text):
         w, seen = re.findall(r"[^\x20\x09-\x0D]+", text or ""), {}
