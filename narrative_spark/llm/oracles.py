@@ -85,8 +85,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM v JOIN posterior p ON p.votes IS NOT DISTINCT FROM v.votes
 """
 
+OP12 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), first AS (SELECT text, min(doc_id) AS least FROM w GROUP BY text
+), failed AS (
+  SELECT part, (CASE WHEN len(words) < 50 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) THEN 'C' ELSE '' END) || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM w JOIN first USING (text)
+), sets AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM failed GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), grown AS (
+  SELECT '' AS filter_order UNION ALL SELECT filter_order || letter FROM grown, letters WHERE NOT contains(filter_order, letter)
+), orders AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM grown WHERE length(filter_order) = 5
+), judged AS (
+  SELECT part, fails, n, n_good, n_toxic, filter_order, step, substring(filter_order, step, 1) AS own, contains(fails, substring(filter_order, step, 1)) AS bad,
+    regexp_matches(fails, '[' || substring(filter_order || '-', 1, step - 1) || '-]') AND fails <> '' AS gone
+  FROM sets, orders
+), shares AS (SELECT part, letter, CAST(sum(CASE WHEN contains(fails, letter) THEN n * 120 // length(fails) ELSE 0 END) AS BIGINT) AS shapley FROM sets, letters GROUP BY part, letter
+), steps AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (bad AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (bad AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (bad AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(n_toxic) FILTER (bad AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, own
+)
+SELECT s.part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley FROM steps s JOIN shares h ON s.part = h.part AND s.own = h.letter
+"""
+
 ORACLE_SQL = {
     "op4_decontamination": OP4,
     "op6_quality_rules": OP6,
     "op8_merkle_audit": OP8,
+    "op12_filter_audit": OP12,
 }

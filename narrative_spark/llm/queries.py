@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import decontaminate, html, merkle, near, oracles, packing, pii, quality, rules, secrets, separators, spans
+from narrative_spark.llm import decontaminate, filteraudit, html, merkle, near, oracles, packing, pii, quality, rules, secrets, separators, simhash, spans, whitening
 from narrative_spark.llm.common import table
 from narrative_spark.llm.tokens import tokenizer_path
 
@@ -78,6 +78,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector along the first four components of all of them."""
+    found, model = whitening.whiten(table(spark, sf_dir, "embeddings"), most=4)
+    shares = [float(v) for v in model.explained()[:4]] if model else []
+    entry = F.posexplode("whitened").alias("k", "whitened")
+    n, error = (model.n, model.error) if model else (0, 0.0)
+    explained = F.element_at(F.array(*[F.lit(v) for v in shares]).cast("array<double>"), F.col("component"))
+    rows = found.select("vec_id", "deviation", entry).withColumn("component", F.col("k") + 1)
+    return rows.select("vec_id", "component", F.lit(n).cast("long").alias("n"), "deviation", "whitened", explained.alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over every document, in all orders."""
+    labels = table(spark, sf_dir, "labels")
+    return filteraudit.audit(table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1").select("doc_id"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.components_of(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -89,5 +112,8 @@ QUERIES = {
     "op8_merkle_audit": op8_merkle_audit,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_simhash": op13_simhash,
 }
 ORACLE_SQL = oracles.ORACLE_SQL
