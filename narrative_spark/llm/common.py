@@ -109,3 +109,19 @@ def join_dealt(rows: DataFrame, one: DataFrame, key: str, count: str, by: Column
     left = rows.join(hot, key, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(shares, F.lit(1))).cast("int")).drop(shares)
     right = dealt.withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(shares) - 1))).drop(shares, count)
     return left.join(right, [key, salt], how).drop(salt)
+
+
+def join_hot(rows: DataFrame, one: DataFrame, key: str | list[str], by: Column, total: int, how: str = "left") -> DataFrame:
+    """rows joined on key with one, which has a row for each key; total: rows, or more. Hot keys as in join_dealt, but counted here; rows should be stored."""
+    keys = [key] if isinstance(key, str) else key
+    if total <= HOT_ROWS:
+        return rows.join(one, keys, how)
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    taken = [*rows.columns, *one.columns]
+    shares, salt, count = (unused(taken, x) for x in ("shares", "salt", "rows_of_key"))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > most)
+    hot = F.broadcast(counted.select(*keys, F.ceil(F.col(count) / most).cast("int").alias(shares)))
+    own = F.coalesce(shares, F.lit(1))
+    left = rows.join(hot, keys, "left").withColumn(salt, F.pmod(F.xxhash64(by), own.cast("long")).cast("int")).drop(shares)
+    right = one.join(hot, keys, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), own - 1))).drop(shares)
+    return left.join(right, [*keys, salt], how).drop(salt)

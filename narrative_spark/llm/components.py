@@ -1,25 +1,14 @@
 """Connected components of a large graph by label passing, with hooking of whole labels.
 
-Rows of a key that many rows may share are dealt to SALTS shares throughout: edges are only those between texts that are near each other.
+Rows of a key that many rows share (labels, parents) are dealt to shares by their count: edges are only those between texts that are near each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrative_spark.llm.common import materialize
-
-SALTS = 16
-
-
-def dealt(one_for_each: DataFrame) -> DataFrame:
-    """Each row for every share of a key that many rows of another table may have."""
-    return one_for_each.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-
-def salt_of(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+from narrative_spark.llm.common import join_hot, materialize
 
 
 def roots(parents: DataFrame) -> DataFrame:
@@ -27,10 +16,11 @@ def roots(parents: DataFrame) -> DataFrame:
 
     Every round takes the parent's parent, so that rounds go with the logarithm of the depth.
     """
-    now = parents.select("node", "parent")
+    now = materialize(parents.select("node", "parent"), "roots")
+    total = now.count()
     while True:
-        above = dealt(now.select(F.col("node").alias("parent"), F.col("parent").alias("above")))
-        step = now.withColumn("salt", salt_of("node")).join(above, ["parent", "salt"], "left")
+        above = now.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        step = join_hot(now.select("node", "parent"), above, "parent", F.col("node"), total)
         now = materialize(step.select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")), "roots")
         if not now.where("moved").limit(1).count():
             return now.select("node", F.col("parent").alias("root"))
@@ -40,19 +30,19 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label (the least node of its component) for every node of edges (a, b).
 
     Each round takes the least label among a node's neighbours, then the least that any node of the same old label found; so
-    whole trees move at once. Labels gather many nodes: rows of one label are dealt to SALTS shares. Every round is
-    written to the shared folder.
+    whole trees move at once. Every round is written to the shared folder.
     """
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label"))
     labels = materialize(labels, "labels")
-    while True:
+    total = labels.count()
+    while total:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
-        hook = dealt(step.groupBy("label").agg(F.min("new").alias("hook")))
-        moved = step.withColumn("salt", salt_of("node")).join(hook, ["label", "salt"])
+        step = materialize(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new")), "step")
+        hook = step.groupBy("label").agg(F.min("new").alias("hook"))
         least = F.least("new", "hook")
-        labels = materialize(moved.select("node", least.alias("label"), (least < F.col("label")).alias("moved")), "labels")
+        labels = materialize(join_hot(step, hook, "label", F.col("node"), total).select("node", least.alias("label"), (least < F.col("label")).alias("moved")), "labels")
         if not labels.where("moved").limit(1).count():
             return labels.drop("moved")
         labels = labels.drop("moved")
+    return labels

@@ -5,9 +5,9 @@ rarity in the corpus (document frequency over hashed buckets, as many at every s
 weighted samples; BANDS groups of them are sorted, so that texts that share a group stand side by side and
 meet their next neighbours: a linear number of candidates whatever the size of a group of copies. Candidates whose samples
 agree enough are verified by weighted Jaccard similarity of their whole shingle sets, and verified links are joined to
-classes. Groups that then still hold texts of several classes are compared in full: blocks of sketches meet in pairs, for the texts
-that have a partner there by class, size and sketch, the whole sets are fetched, and a block pair returns only the links that join
-classes. Equal word sequences are one text throughout.
+classes. Groups that then still hold texts of several classes are compared in full, all but their largest class with itself: blocks of sketches
+of the other classes meet blocks of all, for the texts that have a partner there by class, size and sketch, the whole sets are fetched, and a pair of blocks returns
+only the links that join classes. Equal word sequences are one text throughout.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.llm import bytetext
-from narrative_spark.llm.common import join_dealt, materialize, tidy, unused
-from narrative_spark.llm.components import components, dealt, roots, salt_of
+from narrative_spark.llm.common import join_dealt, join_hot, materialize, tidy, unused
+from narrative_spark.llm.components import components, roots
 
 WIDTH, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 3
@@ -218,59 +218,71 @@ def _verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def _open_groups(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, k, key, label, blocks: members of the groups of several classes. Small ones count too, as the border between two tasks may have kept neighbours apart."""
+    """band, k, key, label, most, ask, held, of the members of the groups of several classes. Small ones count too, as the border between two tasks may have kept neighbours apart.
+
+    most: the group's largest class. The texts of its other classes are dealt to ask blocks, all of its texts to held blocks.
+    """
     rows = nodes.select("key", "bands", "size").join(labels.select("key", "label"), "key").select("key", "label", "size", F.posexplode("bands").alias("k", "band"))
-    sums = rows.groupBy("band", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"), F.min("label").alias("least"), F.max("label").alias("most"))
+    own = rows.groupBy("band", "k", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"))
+    largest = F.max(F.struct("n", "label", "weight"))
+    sums = own.groupBy("band", "k").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), largest.alias("most"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
     # A shingle takes 12 bytes and weighs 1 at least.
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") * 12 / BLOCK_BYTES)).cast("int")
-    sums = sums.where(F.col("least") != F.col("most")).select("band", "k", blocks.alias("blocks"))
-    return rows.withColumn("salt", salt_of("key")).join(dealt(sums), ["band", "k", "salt"]).select("band", "k", "key", "label", "blocks")
+    blocks = lambda n, weight: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(weight * 12 / BLOCK_BYTES)).cast("int")
+    sums = sums.select("band", "k", F.col("most.label").alias("most"), blocks(F.col("n") - F.col("most.n"), F.col("weight") - F.col("most.weight")).alias("asking"), blocks(F.col("n"), F.col("weight")).alias("holding"), "n")
+    return join_dealt(rows.select(F.struct("band", "k").alias("group"), "key", "label"), materialize(sums.select(F.struct("band", "k").alias("group"), "most", "asking", "holding", "n"), "open"), "group", "n", F.col("key"), "inner").select("group.band", "group.k", "key", "label", "most", "asking", "holding")
 
 
-_PAIR = ["band", "low", "high", "k"]
-_MEMBER = "band long, low int, high int, k int, block int, key binary, label binary, bands array<long>, sketch binary, size double"
+_PAIR = ["band", "k", "ask", "held"]
+_MEMBER = "band long, k int, ask int, held int, asks boolean, most binary, key binary, label binary, bands array<long>, sketch binary, size double"
 
 
 class _Part:
-    """The texts of a pair of blocks of one group."""
+    """The texts of an ask block and of a held block of one group, by key."""
 
     def __init__(self, part: pa.Table):
-        self.k, self.across = part["k"][0].as_py(), part["low"][0].as_py() != part["high"][0].as_py()
-        self.block, self.size = part["block"].to_numpy(), part["size"].to_numpy()
+        self.part = part = part.sort_by([("key", "ascending"), ("asks", "ascending")])
+        self.k, self.size = part["k"][0].as_py(), part["size"].to_numpy()
+        asks = part["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        self.asking, self.held = np.flatnonzero(asks), np.flatnonzero(~asks)
         self.sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u2").reshape(-1, SAMPLES)
         self.bands = np.array(part["bands"].to_pylist(), np.int64)
         labels = part["label"].to_pylist()
         number = {x: i for i, x in enumerate(sorted(set(labels)))}
         self.group = np.array([number[x] for x in labels])
+        self.first = self.group.copy()
+        self.first[self.group == number.get(part["most"][0].as_py(), -1)] = len(number)  # the largest class never asks
 
     def partners(self, i: int) -> np.ndarray:
-        """The later texts of other classes that size and sketch let through, if this is the first group that the two share; those whose samples agree most come first."""
-        rest = slice(i + 1, None)
-        ok = (self.group[rest] != self.group[i]) & (np.minimum(self.size[rest], self.size[i]) >= SIMILAR * 0.999 * np.maximum(self.size[rest], self.size[i]))
-        if self.across:
-            ok &= self.block[rest] != self.block[i]
-        at = np.flatnonzero(ok) + i + 1
+        """The held texts of later classes that size and sketch let through, if this is the first group that the two share; those whose samples agree most come first."""
+        at = self.held[(self.first[self.held] > self.first[i]) & (np.minimum(self.size[self.held], self.size[i]) >= SIMILAR * 0.999 * np.maximum(self.size[self.held], self.size[i]))]
         agree = (self.sketch[at] == self.sketch[i]).sum(1)
         ok = (agree >= LIKELY * SAMPLES) & ~(self.bands[at, : self.k] == self.bands[i, : self.k]).any(1)
         return at[ok][np.argsort(-agree[ok], kind="stable")]
 
 
+def _sent(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows that meet: texts of all but a group's largest class in their ask block, for each held block, and all texts in their held block, for each ask block. Only
+    keys, classes, sizes and sketches are sent."""
+    own = lambda salt, n: F.pmod(F.xxhash64("key", "band", F.lit(salt)), F.col(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = members.where(F.col("label") != F.col("most")).withColumn("ask", own(1, "asking")).withColumn("held", every("holding")).withColumn("asks", F.lit(True))
+    held = members.withColumn("held", own(2, "holding")).withColumn("ask", every("asking")).withColumn("asks", F.lit(False))
+    return asking.unionByName(held, allowMissingColumns=True).drop("asking", "holding").join(nodes.select("key", "bands", "sketch", "size"), "key").select(*[x.split()[0] for x in _MEMBER.split(", ")])
+
+
 def _with_partners(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of each pair of blocks of a group that have a partner in it. Only keys, classes, sizes and sketches are sent there."""
-    own = F.pmod(F.xxhash64("key", "band"), F.col("blocks").cast("long")).cast("int")
-    rows = members.withColumn("block", own).join(nodes.select("key", "bands", "sketch", "size"), "key")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    """The rows of _sent that have a partner where they meet."""
 
     def keep(part: pa.Table) -> pa.Table:
-        texts, kept = _Part(part), np.zeros(part.num_rows, bool)
-        for i in range(part.num_rows - 1):
+        texts = _Part(part)
+        kept = np.zeros(part.num_rows, bool)
+        for i in texts.asking:
             at = texts.partners(i)
             kept[at] = True
             kept[i] |= len(at) > 0
-        return part.filter(pa.array(kept))
+        return texts.part.filter(pa.array(kept))
 
-    return rows.select(*[x.split()[0] for x in _MEMBER.split(", ")]).groupBy(*_PAIR).applyInArrow(keep, _MEMBER)
+    return _sent(members, nodes).groupBy(*_PAIR).applyInArrow(keep, _MEMBER)
 
 
 def _joins(members: DataFrame, features: DataFrame) -> DataFrame:
@@ -278,10 +290,10 @@ def _joins(members: DataFrame, features: DataFrame) -> DataFrame:
 
     def compare(part: pa.Table) -> pa.Table:
         texts = _Part(part)
-        group = texts.group.copy()
+        part, group = texts.part, texts.group.copy()
         sets = list(zip(*([x.as_buffer() for x in part[c].combine_chunks()] for c in ("hashes", "weights")), strict=True))
         left, right = [], []
-        for i in range(part.num_rows - 1):
+        for i in texts.asking:
             for j in texts.partners(i):
                 if group[i] != group[j] and weighted_jaccard(sets[i], sets[j]) >= SIMILAR:
                     left, right = [*left, i], [*right, j]
@@ -293,7 +305,7 @@ def _joins(members: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str | None = None) -> DataFrame:
-    """row, id, class_row, class_id, n_links for every row of docs, which must be repeatable (a stored table).
+    """row, id, class_row, class_id, n_links for every row of docs.
 
     A class is a set of texts joined by links of similarity SIMILAR or more; class_id is its least id and class_row the row
     that has it. n_links: other texts with which a link was verified (pairs that other links have joined aren't looked at again); equal word
@@ -301,12 +313,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     of fewer than five words have one shingle, all their words; null texts and texts without words are classes of
     their own; very long texts are read whole. Null ids come last; repeated rows fall into one class, and of rows of one id the
     first in the table stands for the class; an empty table gives an empty result; other columns aren't read. row: a column that numbers
-    the rows, where docs has one.
+    the rows, where docs is a stored table that has one; else rows are numbered and written once, as numbers made again could differ where a table is split otherwise.
     """
     named = docs
     if row is None:
         row = unused([id_col, text_col], "near__row")
-        named = docs.select(F.col(id_col), F.col(text_col), F.monotonically_increasing_id().alias(row))
+        named = numbered(docs.select(id_col, text_col), row)
     rare = document_frequencies(named, text_col)
     signed = materialize(signatures(named, row, id_col, text_col, rare), "signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("best")
@@ -328,7 +340,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     links = links.unionByName(more)
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("n_links"))
     labelled = nodes.select("key", "best").join(trees.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
-    labelled = labelled.withColumn("root", F.coalesce("root", "key")).withColumn("salt", salt_of("key")).join(dealt(joined.withColumnRenamed("node", "root")), ["root", "salt"], "left")
+    labelled = materialize(labelled.withColumn("root", F.coalesce("root", "key")), "rooted")
+    labelled = join_hot(labelled, joined.withColumnRenamed("node", "root"), "root", F.col("key"), labelled.count())
     labelled = materialize(labelled.select("key", "best", F.coalesce("label", "root").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "labelled")
     labelled = _whole_groups(labelled, nodes, features, ends, named, row, text_col, rare)
     heads = materialize(labelled.groupBy("label").agg(F.min("best").alias("head"), F.count(F.lit(1)).alias("keys")), "heads")
@@ -340,21 +353,29 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
 
 def _whole_groups(labelled: DataFrame, nodes: DataFrame, features: DataFrame, ends: DataFrame, named: DataFrame, row: str, text_col: str, rare: np.ndarray) -> DataFrame:
     """labelled after the groups that hold several classes are compared in full."""
-    members = materialize(_with_partners(materialize(_open_groups(nodes, labelled), "members"), nodes), "partners")
+    members = materialize(_open_groups(nodes, labelled), "members")
+    if not members.limit(1).count():
+        return labelled
+    members = materialize(_with_partners(members, nodes), "partners")
     inside = members.select("key").distinct()
     unread = nodes.join(inside, "key", "left_semi").join(ends, "key", "left_anti").select(F.col("best.row").alias("row"))
     features = features.unionByName(materialize(_features(named, row, text_col, unread, rare), "features"))
     links = materialize(_joins(members, features), "links")
     joined = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count(F.lit(1)).alias("further"))
-    moved = labelled.withColumn("salt", salt_of("key")).join(dealt(joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))), ["label", "salt"], "left")
+    moved = join_hot(labelled, joined.select(F.col("node").alias("label"), F.col("label").alias("joined")), "label", F.col("key"), labelled.count())
     moved = moved.join(degree, "key", "left")
     return materialize(moved.select("key", "best", F.coalesce("joined", "label").alias("label"), (F.col("n_links") + F.coalesce("further", F.lit(0))).alias("n_links")), "labelled")
 
 
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """docs with row, a number for each row, written once to the shared folder."""
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, which must be a stored table, with one row of each class, the one with the least id; all of its columns as they were. Else as classes."""
+    """docs with one row of each class, the one with the least id; all of its columns as they were. Else as classes."""
     row = unused(docs.columns, "near__row")
-    named = docs.withColumn(row, F.monotonically_increasing_id())
+    named = numbered(docs, row)
     kept = classes(named, id_col, text_col, row).where("row = class_row").select(F.col("row").alias(f"{row}_kept"))
     return named.join(kept, F.col(row) == F.col(f"{row}_kept"), "left_semi").select(*docs.columns)

@@ -200,7 +200,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = materialize(nodes.join(found.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print")), "placed")
     heads = placed.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
     per = join_dealt(placed.select("print", "rows", "label"), heads, "label", "n", F.col("print"))
-    return join_dealt(printed, per.select("print", "rows", "component_id"), "print", "rows", F.coalesce("id", F.lit(0))).select("id", "print", "component_id")
+    return join_dealt(printed, per.select("print", "rows", "component_id"), "print", "rows", F.monotonically_increasing_id()).select("id", "print", "component_id")
 
 
 def hexadecimal(column: str = "print") -> Column:

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import filteraudit, queries, simhash, whitening
+from narrative_spark.llm import common, filteraudit, near, queries, simhash, whitening
 from tests.llm.test_operators import CLASHES, lower
 from tests.oracle import both
 
@@ -185,3 +185,52 @@ def test_simhash_of_odd_rows(spark):
     check_components([r for r in rows if r.doc_id], docs)
     assert sorted((r.component_id for r in rows if r.doc_id is None), key=str) == [4, None]
     assert simhash.components_of(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_stay_when_cores_change(spark, monkeypatch):
+    """The table is split otherwise between the scans of classes, and between classes and the fetch of what stays."""
+    conf = "spark.sql.leafNodeDefaultParallelism"
+    docs = common.materialize(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(24, "doc_id"), "files")
+    kept, every = near.keep_one(docs).collect(), near.classes(docs).collect()
+    least = {}
+    for r in every:
+        least[r.class_id] = min(r.id, least.get(r.class_id, r.id))
+    assert {r.doc_id for r in kept} == set(least.values())
+
+    def then(name, cores):
+        made = getattr(near, name)
+
+        def run(*args, **more):
+            out = made(*args, **more)
+            spark.conf.set(conf, cores)
+            return out
+
+        monkeypatch.setattr(near, name, run)
+
+    then("document_frequencies", "3")
+    then("signatures", "7")
+    then("_whole_groups", "2")
+    then("classes", "5")
+    spark.conf.set(conf, "16")
+    try:
+        assert {(r.id, r.class_id, r.n_links) for r in near.classes(docs).collect()} == {(r.id, r.class_id, r.n_links) for r in every}
+        spark.conf.set(conf, "16")
+        assert sorted(map(repr, near.keep_one(docs).collect())) == sorted(map(repr, kept))
+    finally:
+        spark.conf.unset(conf)
+
+
+@pytest.mark.parametrize("strangers", [1, 3, 20])
+def test_rows_sent_for_a_large_class_and_strangers(spark, monkeypatch, strangers):
+    monkeypatch.setattr(near, "BLOCK", 16)
+    n, key = 600, lambda k: k.to_bytes(4, "big")
+    nodes = spark.createDataFrame([(bytearray(key(k)), [7] * near.BANDS, bytearray(2 * near.SAMPLES), 1.0) for k in range(n + strangers)], "key binary, bands array<long>, sketch binary, size double")
+    labels = spark.createDataFrame([(bytearray(key(k)), bytearray(key(max(0, k - n + 1)))) for k in range(n + strangers)], "key binary, label binary")
+    members = near._open_groups(nodes, labels)
+    held, asking = -(-(n + strangers) // 16), -(-strangers // 16)
+    assert near._sent(members, nodes).count() == near.BANDS * ((n + strangers) * asking + strangers * held)
+    met = {}
+    for r in near._with_partners(members, nodes).select("band", "k", "ask", "held", "asks", "key", "label").collect():
+        met.setdefault((r.k, r.ask, r.held), []).append(r)
+    asked = [(bytes(x.key), bytes(y.key)) for (k, *_), rows in met.items() if not k for x in rows if x.asks for y in rows if not y.asks and bytes(y.label) == key(0)]
+    assert len(asked) == len(set(asked)) == strangers * n  # each stranger meets the whole class once
