@@ -34,10 +34,14 @@ FORMS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Parts of class names and ids that speak of boilerplate, those of reader comments, those that turn a name's sense, and those after which "header" means an article's own.
 NAMES = frozenset("nav navbar navigation menu submenu header masthead topbar footer sidebar side aside ad ads adv advert advertisement advertising banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login register paywall share sharing social breadcrumb breadcrumbs related recommended recommendations widget toolbar pagination pager search skip hidden".split())
-COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+COMMENTS = frozenset("comment comments commentlist discussion discussions disqus reply replies respond".split())
 TURNED = frozenset("has have is no not non with without free less".split())
 KINDS_OF = frozenset("category tag type format status".split())
 OWN = frozenset("article entry post story content".split())
+#: Elements without an end tag that another one ends.
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}} | {t: {"td", "th", "tr", "thead", "tbody", "tfoot"} for t in ("thead", "tbody", "tfoot")}
+#: What makes attributes worth reading.
+_TELLING = re.compile(r"class|id|hidden|style|role", re.I)
 _NAME = re.compile(r"</?+([a-zA-Z][^\s/>]*+)")
 _QUOTED = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
 _ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+""")
@@ -49,6 +53,8 @@ class Block(NamedTuple):
     text: str
     links: int  # code points inside links
     good: bool  # outside boilerplate
+    leaf: str = ""  # the element that it stands in, where that is a leaf
+    title: bool = False  # a headline in a header that names itself an article's own
 
 
 class Page:
@@ -92,10 +98,10 @@ class Page:
 class _Element:
     """An element while a page is read. mark: what it says of itself; size, h1, main and article: what is inside it."""
 
-    __slots__ = ("parent", "tag", "path", "mark", "head", "size", "h1", "main", "article", "bad", "cause", "inner", "direct")
+    __slots__ = ("parent", "tag", "path", "mark", "head", "own", "leaf", "size", "h1", "main", "article", "bad", "cause", "inner", "direct")
 
-    def __init__(self, parent, tag, path, mark, head):
-        self.parent, self.tag, self.path, self.mark, self.head = parent, tag, path, mark, head
+    def __init__(self, parent, tag, path, mark, head, own=False, leaf=False):
+        self.parent, self.tag, self.path, self.mark, self.head, self.own, self.leaf = parent, tag, path, mark, head, own, leaf
         self.size, self.h1, self.main, self.article = 0, False, tag == "main", tag == "article"
 
 
@@ -110,28 +116,56 @@ def _step(tag: str, names: dict[str, str]) -> str:
     return ".".join([tag, *sorted({w for w in words if w})])
 
 
-def _mark(tag: str, names: dict[str, str]) -> tuple[int, bool]:
-    """(what an element says of itself, whether it is a header). Names are hints, which its content may outweigh."""
-    if tag in ("html", "body"):
-        return _PLAIN, False
-    if tag in HIDDEN or tag in BOILERPLATE or names.get("role", "").lower() in ROLES or "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*+:\s*+none", names.get("style", "")):
-        return _HARD, tag == "header"
-    if tag in ("main", "article"):
-        return _PLAIN, False
-    if tag in FORMS:
-        return _FORM, False
-    soft, heads = False, True
+def _hints(names: dict[str, str]) -> tuple[int, bool, bool]:
+    """(what class names and id say, whether only of a header, whether of an article's own header). They are hints, which content may outweigh."""
+    soft, heads, own = False, True, False
     for parts in _words(names.get("class", "") + " " + names.get("id", "")):
         if not parts or parts[0] in KINDS_OF or not TURNED.isdisjoint(parts):
             continue
         if not COMMENTS.isdisjoint(parts):
-            return _TALK, False
+            return _TALK, False, False
         hints = NAMES.intersection(parts)
         if hints <= {"header"} and not OWN.isdisjoint(parts):
+            own |= bool(hints)
             continue
         if hints:
             soft, heads = True, heads and hints <= {"header", "masthead"}
-    return (_SOFT, heads) if soft else (_PLAIN, False)
+    return (_SOFT, heads, False) if soft else (_PLAIN, False, own)
+
+
+def _unseen(names: dict[str, str]) -> bool:
+    """Whether an element says that it isn't shown, or that it is no text of the page."""
+    return names.get("role", "").lower() in ROLES or "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*+:\s*+none", names.get("style", "")) is not None
+
+
+def _mark(tag: str, names: dict[str, str]) -> tuple[int, bool, bool]:
+    """(what an element says of itself, whether it is a header, whether it names itself an article's own)."""
+    if tag in ("html", "body"):
+        return _PLAIN, False, False
+    if tag in HIDDEN or tag in BOILERPLATE or _unseen(names):
+        return _HARD, tag == "header", tag == "header" and _hints(names)[2]
+    if tag in ("main", "article"):
+        return _PLAIN, False, False
+    if tag in FORMS:
+        return _FORM, False, False
+    mark, heads, _ = _hints(names)
+    return mark, heads, False
+
+
+def _small_mark(names: dict[str, str]) -> int:
+    """What a leaf or an inline element says of itself; names of headers don't count."""
+    if _unseen(names):
+        return _HARD
+    mark, heads, _ = _hints(names)
+    return _PLAIN if heads else mark
+
+
+def _attributes(rest: str) -> dict[str, str]:
+    names: dict[str, str] = {}
+    if _TELLING.search(rest):
+        for n, a, b, c in _ATTRIBUTE.findall(rest):
+            names.setdefault(n.lower(), unescape(a or b or c))
+    return names
 
 
 def _spared(e: _Element, total: int) -> bool:
@@ -148,8 +182,9 @@ def read(html: str) -> Page:
     parents, a tag, comment or script without an end takes the rest of the page with it."""
     page, root = Page(), _Element(None, "", 0, _PLAIN, False)
     elements, stack, open_ = [root], [root], Counter()
-    raw: list[tuple[_Element, str, str, int]] = []  # element, leaf, text, links
-    leaf, words, links, in_link, at = "", [], 0, 0, 0
+    raw: list[tuple[_Element, str, str, str, int]] = []  # element, leaf, text, text without what inline elements' names speak against, links
+    leaf, words, sure, links, in_link, at = "", [], [], 0, 0, 0
+    muted, depth, mute = "", 0, _PLAIN  # the inline element whose text doesn't count, and how many of its kind are open
     last, trusted = html.rfind(">"), 0  # quotes in tags before trusted don't close
 
     def flush() -> None:
@@ -157,16 +192,30 @@ def read(html: str) -> Page:
         if words:
             text = " ".join("".join(words).split())
             if text:
-                raw.append((stack[-1], leaf, text, links))
+                raw.append((stack[-1], leaf, text, text if len(sure) == len(words) else " ".join("".join(sure).split()), links))
             words.clear()
+            sure.clear()
         links = 0
 
     def say(piece: str) -> None:
         nonlocal links
-        if piece:
+        if piece and mute != _HARD:
             words.append(text := unescape(piece))
-            if in_link:
-                links += len(text)
+            if not depth:
+                sure.append(text)
+                if in_link:
+                    links += len(text)
+
+    def end_leaves(tags: set[str]) -> None:
+        """Close the marked leaves on top of the stack, down to the lowest of tags among them. No two of one kind stand on each other, so that there are few."""
+        k = len(stack)
+        while k > 1 and stack[k - 1].leaf:
+            k -= 1
+        while k < len(stack) and stack[k].tag not in tags:
+            k += 1
+        for gone in stack[k:]:
+            open_[gone.tag] -= 1
+        del stack[k:]
 
     while (sign := html.find("<", at)) >= 0:
         m = _NAME.match(html, sign)
@@ -191,34 +240,50 @@ def read(html: str) -> Page:
         end = html.find(">", end)
         close, tag, rest, at = html[sign + 1] == "/", m[1].lower(), html[m.end() : end], end + 1
         if tag in INLINE:
+            if depth and tag == muted:
+                depth += -1 if close else 1 if tag not in VOID else 0
+                mute = mute if depth else _PLAIN
+            elif not depth and not close and tag not in VOID and _TELLING.search(rest):
+                said = _small_mark(_attributes(rest))
+                if said == _HARD or (said != _PLAIN and leaf != "pre"):
+                    muted, depth, mute = tag, 1, said
             if tag == "br":
                 words.append(" ")
+                sure.append(" ")
             elif tag == "a":
                 in_link = max(0, in_link + (-1 if close else 1))
             continue
         flush()
-        in_link = 0
+        in_link, depth, mute = 0, 0, _PLAIN
         if close:
             leaf = ""
-            if open_[tag]:
+            if tag in LEAVES:
+                end_leaves({tag})
+            elif open_[tag]:
                 while True:
                     gone = stack.pop()
                     open_[gone.tag] -= 1
                     if gone.tag == tag:
                         break
-        elif tag in RAW and not (tag == "svg" and rest.endswith("/")):
+            continue
+        if stack[-1].leaf:
+            end_leaves(ENDS.get(tag, {"p", tag}))
+        if tag in RAW and not (tag == "svg" and rest.endswith("/")):
             found = re.compile(rf"</{tag}\s*+>", re.I).search(html, at)
             at = found.end() if found else len(html)
         elif tag in LEAVES:
             leaf = tag
+            said = _small_mark(_attributes(rest)) if tag not in VOID else _PLAIN
+            if said != _PLAIN:
+                stack.append(_Element(stack[-1], tag, stack[-1].path, said, False, leaf=True))
+                elements.append(stack[-1])
+                open_[tag] += 1
             stack[-1].h1 |= tag == "h1"
         elif tag not in VOID and not rest.endswith("/"):
-            names: dict[str, str] = {}
-            for n, a, b, c in _ATTRIBUTE.findall(rest):
-                names.setdefault(n.lower(), unescape(a or b or c))
+            names = _attributes(rest)
             leaf = ""
-            mark, head = _mark(tag, names)
-            stack.append(_Element(stack[-1], tag, page.child(stack[-1].path, _step(tag, names)), mark, head))
+            mark, head, own = _mark(tag, names)
+            stack.append(_Element(stack[-1], tag, page.child(stack[-1].path, _step(tag, names)), mark, head, own))
             elements.append(stack[-1])
             open_[tag] += 1
     say(html[at:])
@@ -227,11 +292,11 @@ def read(html: str) -> Page:
     return page
 
 
-def _judge(elements: list[_Element], raw: list[tuple[_Element, str, str, int]], page: Page) -> None:
+def _judge(elements: list[_Element], raw: list[tuple[_Element, str, str, str, int]], page: Page) -> None:
     """Decide which blocks are boilerplate, from what elements say and from how much text they hold."""
     for e in elements:
         e.bad = e.mark == _HARD or (e.parent is not None and e.parent.bad)
-    for e, _, text, _ in raw:
+    for e, _, text, _, _ in raw:
         if not e.bad:
             e.size += len(text)
     for e in reversed(elements[1:]):
@@ -250,8 +315,12 @@ def _judge(elements: list[_Element], raw: list[tuple[_Element, str, str, int]],
             e.inner = (up is not None and up.inner) or e.tag in ("article", "main")
             e.direct = e.cause is e or (up is not None and up.direct and e.mark == _PLAIN)
         # A headline keeps its place when the page wraps it in its article's own header.
-        headline = lambda e, leaf: leaf in ("h1", "h2") and e.direct and e.cause.head and e.cause.inner
-        page.blocks = [Block(e.path, text, links, not e.bad or headline(e, leaf)) for e, leaf, text, links in raw]
+        headline = lambda e, leaf: leaf in ("h1", "h2") and e.direct and e.cause.head and (e.cause.inner or e.cause.own)
+        page.blocks = []
+        for e, leaf, text, sure, links in raw:
+            head = e.bad and headline(e, leaf)
+            if shown := sure if hints else text:
+                page.blocks.append(Block(e.path, shown, links, not e.bad or head, leaf, head and not e.cause.inner))
         if any(b.good for b in page.blocks):
             break
 
@@ -325,7 +394,12 @@ def cut(page: Page, winners: list[str]) -> tuple[str, str]:
     inside = [p == own for p in range(len(page.step))]
     for p in range(1, len(inside)):
         inside[p] |= inside[page.parent[p]]
-    return "\n\n".join(b.text for b in page.blocks if b.good and inside[b.path]), page.name(own)
+    kept = [b.good and inside[b.path] for b in page.blocks]
+    if not any(k and b.leaf == "h1" for k, b in zip(kept, page.blocks, strict=True)):
+        # A headline whose header stands beside the container, or beside what it stands in.
+        around = {0, *page.chain(own)[:-1]}
+        kept = [k or (b.title and b.good and page.parent[b.path] in around) for k, b in zip(kept, page.blocks, strict=True)]
+    return "\n\n".join(b.text for k, b in zip(kept, page.blocks, strict=True) if k), page.name(own)
 
 
 def host_of(url: Column) -> Column:

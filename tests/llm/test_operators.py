@@ -442,6 +442,14 @@ def test_broken_pages_are_read_in_linear_time(name):
     assert "kept" not in BROKEN[name] or text.startswith("kept")
 
 
+#: Lists of its own, for what the given pages hold.
+WALK_INLINE = set("a abbr b br cite code em i img input small span strong sub sup time u".split())
+WALK_LEAVES = set("p h1 h2 h3 h4 h5 h6 li dt dd pre td th hr tr tbody thead figcaption".split())
+WALK_VOID = set("br hr img input link meta".split())
+WALK_NAMES = set("ad ads advert banner comment comments cookie footer header menu nav navbar newsletter promo related share sidebar social".split())
+WALK_BOILERPLATE = set("aside button footer form head header nav noscript script select style svg template textarea title".split())
+
+
 class Walk(HTMLParser):
     """Plain reading of a page: (path, text, letters in links, good) of each block, paths as tuples."""
 
@@ -460,21 +468,21 @@ class Walk(HTMLParser):
         self.text, self.links = "", 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in html.INLINE:
+        if tag in WALK_INLINE:
             self.text += " " * (tag == "br")
             self.link = self.link or tag == "a"
             return
         self.flush()
-        if tag in html.LEAVES:
+        if tag in WALK_LEAVES:
             self.leaf = tag
-        elif tag not in html.VOID:
+        elif tag not in WALK_VOID:
             a = dict(attrs)
-            hint = any(w in html.NAMES for w in re.split(r"[-_\s]", (a.get("class") or "") + " " + (a.get("id") or "")))
+            hint = any(w in WALK_NAMES for w in re.split(r"[-_\s]", (a.get("class") or "") + " " + (a.get("id") or "")))
             name = ".".join([tag, *sorted(re.sub(r"\d", "", w) for w in (a.get("class") or "").split())])
-            self.stack.append((name, tag in html.HIDDEN | html.BOILERPLATE | html.FORMS or hint))
+            self.stack.append((name, tag in WALK_BOILERPLATE or hint))
 
     def handle_endtag(self, tag):
-        if tag in html.INLINE:
+        if tag in WALK_INLINE:
             self.link = self.link and tag != "a"
             return
         self.flush()

@@ -1,6 +1,7 @@
 """Whitening, the filter audit and SimHash against brute force, and on odd rows."""
 
 import re
+import time
 from itertools import combinations, permutations
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import common, filteraudit, near, queries, simhash, whitening
+from narrative_spark.llm import common, filteraudit, html, near, queries, simhash, whitening
 from tests.llm.test_operators import CLASHES, lower
 from tests.oracle import both
 
@@ -234,3 +235,37 @@ def test_rows_sent_for_a_large_class_and_strangers(spark, monkeypatch, strangers
         met.setdefault((r.k, r.ask, r.held), []).append(r)
     asked = [(bytes(x.key), bytes(y.key)) for (k, *_), rows in met.items() if not k for x in rows if x.asks for y in rows if not y.asks and bytes(y.label) == key(0)]
     assert len(asked) == len(set(asked)) == strangers * n  # each stranger meets the whole class once
+
+
+@pytest.mark.parametrize(
+    ("inner", "wanted"),
+    [
+        ('<article><p class="advertisement">Buy</p><p>LONG</p><p class="cookie-notice">We use</p></article>', ["LONG"]),
+        ('<article><p hidden>gone</p><p>LONG</p><p style="display: none">gone</p><p aria-hidden="true">gone</p></article>', ["LONG"]),
+        ('<article><p>LONG</p><ul><li class="comment">Great <p>really</p> read<li>kept</li></ul></article>', ["LONG", "kept"]),
+        ('<article><p>LONG</p><table><tr class="navigation"><td>a<td>b<tr><td class="sidebar">side<td>cell</table></article>', ["LONG", "cell"]),
+        ('<article><p>LONG one <span class="ad">Ad <span>in</span> it</span> two <i hidden>x</i>three</p></article>', ["LONG one two three"]),
+        ("<article><p>LONG <span class=ad>never closed<p>next</p></article>", ["LONG", "next"]),
+        ("<article><p class=ad>Buy this<p>LONG<ul><li class=promo>Sale<ul><li>more</li></ul>still<li>keep</ul></article>", ["LONG", "keep"]),
+        ('<div class=text><p>LONG</p></div><div class="discussion"><p>TALK</p></div>', ["LONG"]),
+        ('<header class="post-header"><h1>Title</h1><p>by me</p></header><div class="body"><p>LONG</p></div>', ["Title", "LONG"]),
+        ('<div class=page><header class="entry-header"><div><h1>Title</h1></div></header><div class="body"><p>LONG</p></div></div>', ["Title", "LONG"]),
+        ('<header class="site-header"><h1>Site</h1></header><div class="body"><p>LONG</p></div>', ["LONG"]),
+        ('<article><h1 class="page-header">Head</h1><p>LONG</p><pre><span class="hljs-comment">// note</span> x</pre></article>', ["Head", "LONG", "// note x"]),
+        ('<div><p class="share">LONG</p></div>', ["LONG"]),
+        ('<div><p><span class="social">LONG</span></p></div>', ["LONG"]),
+        ("<article><p class=no-ads>LONG</p><p class=post-header>in</p></article>", ["LONG", "in"]),
+    ],
+)
+def test_what_leaves_and_inline_elements_say(inner, wanted):
+    long = "Words of the story go on and on. " * 9
+    page = f"<html><body><nav><a href=/>Home</a></nav>{inner}<footer>me</footer></body></html>".replace("LONG", long).replace("TALK", long * 2)
+    text = html.cut(html.read(page), [])[0]
+    assert text == "\n\n".join(wanted).replace("LONG ", long).replace("LONG", long.strip())
+
+
+def test_marked_leaves_are_read_in_linear_time():
+    for page in ("<p class=ad>x" * 60_000, "<li class=ad><ul>" * 30_000, "<span class=ad>" * 60_000 + "x", "<h1 class=ad>" * 60_000, "<td class=ad>" * 60_000 + "</td>" * 60_000, "<p class=ad><li class=ad><td class=ad>" * 20_000 + "</p></li>" * 20_000):
+        began = time.time()
+        html.cut(html.read(page), [])
+        assert time.time() - began < 5
