@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,10 +114,10 @@ def _patched(spark: SparkSession, d: str) -> DataFrame:
     units = fx.delta_units(spark, d)
     fields = units.select("work_id", "ord", F.concat(F.lit("s"), F.col("ord").cast("string")).alias("summary"), "entity_updates", "plotline_updates", F.array(F.lit("a"), F.lit("b")).alias("context_refs"), "recent_event")
     text = F.lit
-    patch = F.struct(F.concat(text("checked "), F.col("ord").cast("string")).alias("summary_replacement"), text("").alias("recent_event_replacement"), F.array(F.struct(text("click").alias("from"), text("press").alias("to"))).alias("rename_entities"), F.array(F.struct(text("press").alias("name"), text("pressed").alias("status"), text("").alias("note"))).alias("entity_status_updates"), F.array(text("view")).alias("remove_entities"), F.array(F.struct(text("advance").alias("action"), text("k1").alias("title"), text("").alias("note"))).alias("plotline_fixes"), F.array(text("b"), text("c")).alias("context_ref_additions"))
+    patch = F.struct(F.concat(text("checked "), F.col("ord").cast("string")).alias("summary_replacement"), text("").alias("recent_event_replacement"), F.array(F.struct(text("click").alias("from"), text("press").alias("to"))).alias("rename_entities"), F.array(*[F.struct(text("press").alias("name"), text(status).alias("status"), text(note).alias("note")) for status, note in (("down", ""), ("pressed", ""), ("", "seen"))]).alias("entity_status_updates"), F.array(text("view")).alias("remove_entities"), F.array(F.struct(text("advance").alias("action"), text("k1").alias("title"), text("").alias("note"))).alias("plotline_fixes"), F.array(text("b"), text("c")).alias("context_ref_additions"))
     done = extract.apply_patch(fields, units.where("ord % 4 = 0").select("work_id", "ord", patch.alias("patch")))
     joined = lambda k: F.array_join(F.transform("entity_updates", lambda e: e[k]), ",").alias(k)
-    return done.select("work_id", "ord", "summary", joined("name"), joined("status"), F.size("plotline_updates").alias("plots"), F.array_join("context_refs", ",").alias("refs"))
+    return done.select("work_id", "ord", "summary", joined("name"), joined("status"), joined("note"), F.size("plotline_updates").alias("plots"), F.array_join("context_refs", ",").alias("refs"))
 
 
 def _flat(column: str) -> Column:
@@ -238,24 +239,41 @@ def _status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _model_output(spark: SparkSession, d: str) -> DataFrame:
-    """Model output written from events: whole, no JSON, a wrong collection, or without a summary."""
+    """Model output written from events: whole, whole with texts that look like other values, no JSON, a wrong collection, or without a summary."""
     i = F.col("event_id").cast("string")
     whole = F.concat(F.lit('```json\n{"summary": " s'), i, F.lit(' ", "entity_updates": [{"name": " '), F.col("event_type"), F.lit('", "type": "robot"}, {"name": ""}, 5], "plotline_updates": [{"title": "k'), i, F.lit('", "action": "jump"}], "recent_event": "went '), i, F.lit('"}\n```'))
     case = F.col("event_id") % 5
-    output = F.when(case == 1, F.lit("sorry")).when(case == 2, F.lit('{"summary": "s", "entity_updates": {"name": "A"}}')).when(case == 3, F.lit('{"summary": " "}')).otherwise(whole)
+    looks = F.concat(F.lit('{"summary": '), i, F.lit(', "entity_updates": [{"name": 7, "type": "object", "status": 0}, {"name": null}], "plotline_updates": {}, "context_refs": ["{x", 7, {"entity": "true"}], "recent_event": "{oops '), i, F.lit('"}'))
+    output = F.when(case == 4, looks).when(case == 1, F.lit("sorry")).when(case == 2, F.lit('{"summary": "s", "entity_updates": {"name": "A"}}')).when(case == 3, F.lit('{"summary": " "}')).otherwise(whole)
     return extract.coerce_fields(fx.table(spark, d, "events").select("event_id", "event_type", "user_id", output.alias("output")))
 
 
 def _coerced(spark: SparkSession, d: str) -> DataFrame:
     flat = lambda c, a, b: F.when(F.col(c).isNotNull(), F.array_join(F.transform(c, lambda x: F.concat_ws(":", x[a], x[b])), ","))
-    return _model_output(spark, d).select("event_id", "parse_error", "summary", flat("entity_updates", "name", "type").alias("entities"), flat("plotline_updates", "action", "title").alias("plots"), F.col("recent_event.text").alias("event"))
+    return _model_output(spark, d).select("event_id", "parse_error", "summary", flat("entity_updates", "name", "type").alias("entities"), flat("plotline_updates", "action", "title").alias("plots"), F.array_join("context_refs", ",").alias("refs"), F.col("recent_event.text").alias("event"))
+
+
+def _summarise(row: dict) -> str:
+    return "sorry" if row["event_id"] % 5 == 1 else json.dumps({"summary": f" s{row['event_id']} ", "recent_event": f"went {row['event_id']}"})
+
+
+def _name(row: dict) -> str:
+    if row["event_id"] % 7 == 3:
+        raise ValueError("nobody answers")
+    return "```json\n" + json.dumps({"entity_updates": [{"name": row["event_type"]}, {"name": ""}]}) + "\n```"
+
+
+def _relate(row: dict) -> str:
+    return json.dumps({"plotline_updates": {"title": "k"} if row["event_id"] % 11 == 5 else [{"title": f"k{row['event_id']}"}], "context_refs": [row["event_type"]]})
 
 
 def _extracted(spark: SparkSession, d: str) -> DataFrame:
-    """The same model output with the first sentence of a text where it is no good."""
+    """Three tasks for each event, by callables that fail for some: no answer that can be read, no answer at all, a wrong collection. Where the summary failed or fields are refused, the first sentence of the text stands in."""
     text = F.concat(F.col("event_type"), F.lit(" of "), F.col("user_id").cast("string"), F.lit("。and more"))
-    got = extract.with_fallback(_model_output(spark, d).withColumn("text", text))
-    return got.select("event_id", "degraded", "summary", F.size("entity_updates").alias("entities"), F.col("recent_event.text").alias("event"))
+    inputs = fx.table(spark, d, "events").select("event_id", "event_type", text.alias("text"))
+    tasks = extract.extract_tasks(inputs, {"summary": _summarise, "entity": _name, "relation": _relate}, check=extract.object_of)
+    got = extract.with_fallback(extract.coerce_fields(extract.merged_tasks(tasks)))
+    return got.select("event_id", "failed", "degraded", F.size("errors").alias("errors"), F.array_join(F.array_distinct(F.transform("errors", lambda e: e["task"])), ",").alias("failing"), "summary", F.size("entity_updates").alias("entities"), F.size("plotline_updates").alias("plots"), F.array_join("context_refs", ",").alias("refs"), F.col("recent_event.text").alias("event"))
 
 
 def _review(spark: SparkSession, d: str) -> DataFrame:
@@ -271,7 +289,7 @@ def _review(spark: SparkSession, d: str) -> DataFrame:
 def _refs(spark: SparkSession, d: str) -> DataFrame:
     """References written from turns: names with blanks, repeated ones, objects, numbers, and none."""
     case = F.col("turn") % 3
-    raw = F.when(case == 2, F.lit('["", null, 5]')).when(case == 1, F.concat(F.lit('[" '), F.col("role"), F.lit('", {"entity": " e'), F.col("turn").cast("string"), F.lit('"}, "'), F.col("role"), F.lit('"]'))).otherwise(F.concat(F.lit('["'), F.col("role"), F.lit('", 7]')))
+    raw = F.when(case == 2, F.lit('["", null, 5]')).when(case == 1, F.concat(F.lit('[" '), F.col("role"), F.lit('", {"entity": " e'), F.col("turn").cast("string"), F.lit('"}, "'), F.col("role"), F.lit('"]'))).otherwise(F.concat(F.lit('["'), F.col("role"), F.lit('", 7, "7", "true", "[x]", "{a", true]')))
     return fx.table(spark, d, "conversations").select("conv_id", "turn", F.array_join(search.normalize_refs(raw), ",").alias("refs"))
 
 

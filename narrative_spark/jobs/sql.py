@@ -206,7 +206,7 @@ ORACLE_SQL: dict[str, str] = {
     "evaluate_retrieval": f"""WITH {UNITS} {TERMS} {ROUTED}, top AS (SELECT * FROM routed WHERE place <= 8), gold AS (SELECT q.query_id, list(DISTINCT u.ord) AS relevant FROM queries q JOIN units u USING (work_id) JOIN labels l ON u.chapter_name = '== ' || l.doc_id || ' ==' WHERE l.quality = 1 GROUP BY 1),
         c AS (SELECT q.query_id, q.max_order, g.relevant FROM queries q LEFT JOIN gold g USING (query_id)), x AS (SELECT c.*, (SELECT list(ord) FROM top t WHERE t.query_id = c.query_id AND place <= 5) AS found, (SELECT max(ord) FROM top t WHERE t.query_id = c.query_id) AS furthest FROM c)
         SELECT count(*) AS cases, count(relevant) AS scored, count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) AS hits, count(*) FILTER (WHERE furthest > max_order) AS violations, coalesce(count(*) FILTER (WHERE list_has_any(coalesce(found, []), coalesce(relevant, []))) / nullif(count(relevant), 0), 0.0) AS recall FROM x""",
-    "fallback_extract": f"""WITH {UNITS}, h AS (SELECT work_id, unit_id, CASE WHEN contains(text, '.') AND trim(split_part(text, '.', 1)) <> '' THEN trim(split_part(text, '.', 1)) WHEN contains(text, chr(10)) AND trim(split_part(text, chr(10), 1)) <> '' THEN trim(split_part(text, chr(10), 1)) ELSE text END AS head FROM units)
+    "fallback_extract": f"""WITH {UNITS}, h AS (SELECT work_id, unit_id, coalesce(nullif(split_part(text, '.', 1), ''), nullif(split_part(text, chr(10), 1), ''), text[:60]) AS head FROM units)
         SELECT work_id, unit_id, CASE WHEN length(head) > 60 THEN substring(head, 1, 60) || '……' ELSE head END AS summary FROM h""",
     "derive_tags": f"""WITH {DELTAS} SELECT work_id, unit_id, CASE WHEN type = 'character' THEN name ELSE '' END AS characters, CASE WHEN type = 'location' THEN name ELSE '' END AS locations, CASE WHEN type = 'object' THEN name ELSE '' END AS key_terms FROM deltas""",
     "recent_context": f"WITH {TALKS} SELECT work_id, ord, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY work_id ORDER BY ord ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS recent_text FROM talks",
@@ -217,7 +217,7 @@ ORACLE_SQL: dict[str, str] = {
         z AS (SELECT work_id, now, string_agg(substring(piece, 1, CAST(greatest(1800 - used, 0) AS BIGINT)), chr(10) ORDER BY rank) AS related FROM y WHERE used < 1800 GROUP BY 1, 2) SELECT p.work_id, p.ord, coalesce(related, '') AS related FROM p LEFT JOIN z ON p.work_id = z.work_id AND p.place = z.now""",
     "cache_split": f"""WITH {UNITS}, k AS (SELECT work_id, unit_id, ord, sha256('v1' || chr(10) || work_id || chr(10) || text) AS key FROM units), c AS (SELECT DISTINCT key FROM k WHERE ord % 3 <> 0)
         SELECT work_id, count(*) AS units, count(c.key) AS cached, count(*) - count(c.key) AS fresh, count(*) FILTER (WHERE ord % 10 = 9) AS degraded FROM k LEFT JOIN c USING (key) GROUP BY 1""",
-    "apply_patch": f"""WITH {DELTAS} SELECT work_id, ord, CASE WHEN ord % 4 = 0 THEN 'checked ' || ord ELSE 's' || ord END AS summary, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'press' ELSE name END AS name, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'pressed' ELSE status END AS status, CASE WHEN ord % 4 = 0 AND NOT (action = 'advance' AND title = 'k1') THEN 2 ELSE 1 END AS plots, CASE WHEN ord % 4 = 0 THEN 'a,b,c' ELSE 'a,b' END AS refs FROM deltas""",
+    "apply_patch": f"""WITH {DELTAS} SELECT work_id, ord, CASE WHEN ord % 4 = 0 THEN 'checked ' || ord ELSE 's' || ord END AS summary, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'press' ELSE name END AS name, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'pressed' ELSE status END AS status, CASE WHEN ord % 4 = 0 AND name = 'view' THEN '' WHEN ord % 4 = 0 AND name = 'click' THEN 'seen' ELSE note END AS note, CASE WHEN ord % 4 = 0 AND NOT (action = 'advance' AND title = 'k1') THEN 2 ELSE 1 END AS plots, CASE WHEN ord % 4 = 0 THEN 'a,b,c' ELSE 'a,b' END AS refs FROM deltas""",
     "entity_timeline": f"""WITH {DELTAS}, r AS (SELECT work_id, type, name, ord, CASE WHEN type = 'location' THEN NULL ELSE nullif(status, '') END AS status, nullif(CASE WHEN type = 'location' AND note = '' THEN status ELSE note END, '') AS note FROM deltas WHERE NOT degraded)
         SELECT work_id, type, name, arg_max(status, ord) FILTER (WHERE status IS NOT NULL) AS status, arg_max(note, ord) FILTER (WHERE note IS NOT NULL) AS note, min(ord) AS first_seen_order, max(ord) AS last_seen_order FROM r GROUP BY 1, 2, 3""",
     "plotline_timeline": f"""WITH {DELTAS} SELECT work_id, title, CASE WHEN count(*) FILTER (WHERE action = 'close') > 0 THEN 'closed' ELSE 'open' END AS status, min(ord) AS opened_order, max(ord) FILTER (WHERE action = 'close') AS closed_order, list_sort(list(DISTINCT ord)) AS key_orders, coalesce(arg_max(plot_note, ord) FILTER (WHERE plot_note <> ''), '') AS summary FROM deltas WHERE NOT degraded GROUP BY 1, 2""",
@@ -251,13 +251,16 @@ ORACLE_SQL: dict[str, str] = {
     "search_vector_whole": """WITH q AS (SELECT CAST(vec_id AS VARCHAR) AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id + 1 AS ord, list_cosine_similarity(v, embedding::DOUBLE[]) AS score FROM q, embeddings)
         SELECT query_id, 'emb' AS work_id, 'emb-' || lpad(CAST(ord AS VARCHAR), 4, '0') AS unit_id, ord, round(score, 3) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord) <= 200""",
     "index_status": "SELECT source AS work_id, NOT (source < 'src5') AS current FROM documents GROUP BY source",
-    "coerce_fields": """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'not_json' WHEN 2 THEN 'entity_updates' WHEN 3 THEN 'no_summary' END AS parse_error, CASE WHEN event_id % 5 IN (0, 4) THEN 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (0, 4) THEN event_type || ':character' END AS entities, CASE WHEN event_id % 5 IN (0, 4) THEN 'advance:k' || event_id END AS plots, CASE WHEN event_id % 5 IN (0, 4) THEN 'went ' || event_id END AS event FROM events""",
-    "normalize_refs": "SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL WHEN turn % 3 = 1 THEN role || ',e' || turn ELSE role END AS refs FROM conversations",
+    "coerce_fields": """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'not_json' WHEN 2 THEN 'entity_updates' WHEN 3 THEN 'no_summary' END AS parse_error, CASE event_id % 5 WHEN 0 THEN 's' || event_id WHEN 4 THEN CAST(event_id AS VARCHAR) END AS summary,
+        CASE event_id % 5 WHEN 0 THEN event_type || ':character' WHEN 4 THEN '7:object' END AS entities, CASE event_id % 5 WHEN 0 THEN 'advance:k' || event_id WHEN 4 THEN '' END AS plots, CASE event_id % 5 WHEN 0 THEN '' WHEN 4 THEN '{x,true' END AS refs, CASE event_id % 5 WHEN 0 THEN 'went ' || event_id WHEN 4 THEN '{oops ' || event_id END AS event FROM events""",
+    "normalize_refs": "SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN NULL WHEN turn % 3 = 1 THEN role || ',e' || turn ELSE role || ',7,true,[x],{a' END AS refs FROM conversations",
 }
 ORACLE_SQL |= {
     "coerce_patch": """SELECT event_id, CASE event_id % 4 WHEN 1 THEN 'not_json' WHEN 2 THEN 'rename_entities' END AS parse_error, CASE WHEN event_id % 4 IN (0, 3) THEN 's' || event_id END AS summary, CASE WHEN event_id % 4 IN (0, 3) THEN event_type || ':new' END AS renames, CASE WHEN event_id % 4 IN (0, 3) THEN event_type || ':on:' END AS statuses,
         CASE WHEN event_id % 4 IN (0, 3) THEN 'a,b' END AS removed, CASE WHEN event_id % 4 IN (0, 3) THEN 'advance:k' || event_id END AS fixes, CASE WHEN event_id % 4 IN (0, 3) THEN '' END AS refs FROM events""",
-    "extract_units": f"""WITH {DELTAS} SELECT event_id, event_id % 5 IN (1, 2, 3) AS degraded, CASE WHEN event_id % 5 IN (1, 2, 3) THEN event_type || ' of ' || user_id ELSE 's' || event_id END AS summary, CASE WHEN event_id % 5 IN (1, 2, 3) THEN 0 ELSE 1 END AS entities, CASE WHEN event_id % 5 IN (1, 2, 3) THEN event_type || ' of ' || user_id ELSE 'went ' || event_id END AS event FROM events""",
+    "extract_units": """WITH e AS (SELECT event_id, event_type, event_id % 5 = 1 AS failed, event_id % 5 = 1 OR event_id % 11 = 5 AS degraded, event_id % 7 = 3 AND event_id % 5 <> 1 AS unnamed, event_type || ' of ' || user_id AS head FROM events)
+        SELECT event_id, failed, degraded, CAST(CASE WHEN failed OR unnamed THEN 3 ELSE 0 END AS INTEGER) AS errors, CASE WHEN failed THEN 'summary' WHEN unnamed THEN 'entity' ELSE '' END AS failing, CASE WHEN degraded THEN head ELSE 's' || event_id END AS summary,
+        CAST(CASE WHEN degraded OR unnamed THEN 0 ELSE 1 END AS INTEGER) AS entities, CAST(CASE WHEN degraded THEN 0 ELSE 1 END AS INTEGER) AS plots, CASE WHEN degraded THEN '' ELSE event_type END AS refs, CASE WHEN degraded THEN head ELSE 'went ' || event_id END AS event FROM e""",
     "run_report": f"""WITH {DELTAS} SELECT work_id, count(*) AS units, count(*) FILTER (WHERE ord % 3 <> 0) AS cached, count(*) FILTER (WHERE ord % 3 = 0) AS fresh, count(*) FILTER (WHERE degraded) AS degraded, 2 * count(*) FILTER (WHERE degraded) AS errors, count(*) FILTER (WHERE ord % 3 = 0) AS requests,
         CAST(coalesce(sum(ord) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS prompt_tokens, CAST(coalesce(sum(ord % 7) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS completion_tokens, CAST(coalesce(sum(ord + ord % 7) FILTER (WHERE ord % 3 = 0), 0) AS BIGINT) AS total_tokens,
         count(DISTINCT chapter_idx) FILTER (WHERE chapter_idx % 2 = 0) AS compress_cached, count(DISTINCT chapter_idx) FILTER (WHERE chapter_idx % 2 = 1) AS compress_fresh FROM deltas GROUP BY 1""",

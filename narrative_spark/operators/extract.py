@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from narrative_spark.functions import prefix
+from narrative_spark.functions import variants as V
 from narrative_spark.functions.text import content_signs, ustrip
 
 #: Units of a work that one task compares with as many others.
@@ -27,10 +29,10 @@ PLOTLINE = "struct<action:string,title:string,note:string>"
 
 
 def first_sentence(text: Column, separators: tuple[str, ...] = SEPARATORS) -> Column:
-    """Text before the first separator that leaves something in front of it, tried in their order; cut to HEAD signs."""
-    stripped = ustrip(F.coalesce(text, F.lit("")))
-    heads = [F.when(stripped.contains(s), F.nullif(ustrip(F.substring_index(stripped, s, 1)), F.lit(""))) for s in separators]
-    head = F.coalesce(*heads, stripped)
+    """Text before the first separator, the whole text where it has none; only where nothing stands before it, the next separator is tried. Cut to HEAD signs."""
+    whole = F.coalesce(text, F.lit(""))
+    stripped = ustrip(whole)
+    head = F.coalesce(*[F.nullif(F.substring_index(stripped, s, 1), F.lit("")) for s in separators], F.substring(whole, 1, HEAD))
     return F.when(F.length(head) > HEAD, F.concat(F.substring(head, 1, HEAD), F.lit("……"))).otherwise(head)
 
 
@@ -45,80 +47,79 @@ def fallback_extract(units: DataFrame, separators: tuple[str, ...] = SEPARATORS)
     return units.withColumns(_fallback(separators))
 
 
+def _cut(value: Column, size: int) -> Column:
+    return F.substring(ustrip(F.coalesce(value, F.lit(""))), 1, size)
+
+
 def coerce_fields(outputs: DataFrame, col: str = "output") -> DataFrame:
     """outputs with parse_error, summary, entity_updates, plotline_updates, context_refs, recent_event from model text: fences
     off, first { to last }, wrong collections refused, items cut to the most allowed before bad ones are dropped, unknown kinds and actions
-    set to character and advance. A null counts as missing.
+    set to character and advance. A null counts as missing; other values count as text where text is asked for.
     """
-    body = F.regexp_extract(F.regexp_replace(F.coalesce(F.col(col), F.lit("")), r"```(?:json)?", ""), r"(?s)\{.*\}", 0)
-    raw = F.from_json(body, "summary string, entity_updates string, plotline_updates string, context_refs string, recent_event string")
-    rows = outputs.withColumn("body__", body).withColumn("raw__", raw)
-    r = lambda n: F.col("raw__")[n]
-    clean = lambda x, size: F.substring(ustrip(F.coalesce(x, F.lit(""))), 1, size)
-    is_list = lambda n: F.coalesce(r(n), F.lit("")).rlike(r"^\s*(?:\[|$)") | r(n).isin("null", "{}", "false", "0")
-    items = lambda n: F.slice(F.coalesce(F.from_json(r(n), "array<string>"), F.array().cast("array<string>")), 1, MOST[n])
-    part = lambda x, key: F.get_json_object(x, f"$.{key}")
-    objects = lambda n: F.filter(items(n), lambda x: F.coalesce(x, F.lit("")).startswith("{"))
-    kind = lambda x: F.when(ustrip(part(x, "type")).isin("character", "object", "location"), ustrip(part(x, "type"))).otherwise("character")
-    entities = F.transform(F.filter(objects("entity_updates"), lambda x: clean(part(x, "name"), NAME) != ""), lambda x: F.struct(clean(part(x, "name"), NAME).alias("name"), kind(x).alias("type"), clean(part(x, "status"), STATUS).alias("status"), clean(part(x, "note"), STATUS).alias("note"), F.lit(None).cast("array<string>").alias("aliases"), F.lit(None).cast("string").alias("kind")))
-    action = lambda x: F.when(ustrip(part(x, "action")).isin("open", "advance", "close"), ustrip(part(x, "action"))).otherwise("advance")
-    plots = F.transform(F.filter(objects("plotline_updates"), lambda x: clean(part(x, "title"), TITLE) != ""), lambda x: F.struct(action(x).alias("action"), clean(part(x, "title"), TITLE).alias("title"), clean(part(x, "note"), STATUS).alias("note")))
-    name = lambda x: F.when(x.startswith("{"), part(x, "entity")).otherwise(x)
-    refs = F.filter(F.transform(items("context_refs"), lambda x: clean(name(x), STATUS)), lambda x: x != "")
-    event = F.when(F.coalesce(r("recent_event"), F.lit("")).startswith("{"), part(r("recent_event"), "text")).otherwise(r("recent_event"))
-    event = clean(F.when(event == "null", F.lit(None)).otherwise(event), EVENT)
-    error = F.when((F.col("body__") == "") | F.col("raw__").isNull() | F.try_parse_json("body__").isNull(), "not_json").when(clean(r("summary"), SUMMARY) == "", "no_summary").when(~is_list("entity_updates"), "entity_updates").when(~is_list("plotline_updates"), "plotline_updates").when(~is_list("context_refs"), "context_refs")
+    rows = outputs.withColumn("raw__", V.parsed(F.col(col)))
+    r = lambda n: V.part(F.col("raw__"), n)
+    objects = lambda n, needed: F.filter(F.slice(V.items(r(n)), 1, MOST[n]), lambda x: (V.kind(x) == "OBJECT") & (_cut(V.text(V.part(x, needed)), NAME) != ""))
+    one_of = lambda x, known, other: F.when(ustrip(V.text(x)).isin(*known), ustrip(V.text(x))).otherwise(other)
+    note = lambda x, key: _cut(V.solid(V.part(x, key)), STATUS)
+    entities = F.transform(objects("entity_updates", "name"), lambda x: F.struct(_cut(V.text(V.part(x, "name")), NAME).alias("name"), one_of(V.part(x, "type"), ("character", "object", "location"), "character").alias("type"), note(x, "status").alias("status"), note(x, "note").alias("note"), F.lit(None).cast("array<string>").alias("aliases"), F.lit(None).cast("string").alias("kind")))
+    plots = F.transform(objects("plotline_updates", "title"), lambda x: F.struct(one_of(V.part(x, "action"), ("open", "advance", "close"), "advance").alias("action"), _cut(V.text(V.part(x, "title")), TITLE).alias("title"), note(x, "note").alias("note")))
+    name = lambda x: F.when(V.kind(x) == "STRING", V.text(x)).when(V.kind(x) == "OBJECT", V.text(V.part(x, "entity")))
+    refs = F.filter(F.transform(F.slice(V.items(r("context_refs")), 1, MOST["context_refs"]), lambda x: _cut(name(x), STATUS)), lambda x: x != "")
+    told = r("recent_event")
+    event = _cut(F.when(V.kind(told) == "STRING", V.text(told)).when(V.kind(told) == "OBJECT", V.solid(V.part(told, "text"))), EVENT)
+    summary = _cut(V.solid(r("summary")), SUMMARY)
+    error = F.when(F.col("raw__").isNull(), "not_json").when(summary == "", "no_summary")
+    for n in MOST:
+        error = error.when((V.kind(r(n)) != "ARRAY") & ~V.is_empty(r(n)), n)
     rows = rows.withColumn("parse_error", error)
     ok = F.col("parse_error").isNull()
-    return rows.withColumns({"summary": F.when(ok, clean(r("summary"), SUMMARY)), "entity_updates": F.when(ok, entities), "plotline_updates": F.when(ok, plots), "context_refs": F.when(ok, refs), "recent_event": F.when(ok & (event != ""), F.struct(event.alias("text")))}).drop("body__", "raw__")
+    return rows.withColumns({"summary": F.when(ok, summary), "entity_updates": F.when(ok, entities), "plotline_updates": F.when(ok, plots), "context_refs": F.when(ok, refs), "recent_event": F.when(ok & (event != ""), F.struct(event.alias("text")))}).drop("raw__")
 
 
-#: Most items of a review patch.
+#: Most items of a review patch; those of its lists that hold texts.
 PATCH_MOST = {"rename_entities": 10, "entity_status_updates": 20, "plotline_fixes": 10, "remove_entities": 20, "context_ref_additions": 20}
+PATCH_TEXTS = ("remove_entities", "context_ref_additions")
 PATCH_NAME, PATCH_NOTE = 80, 120
 
 
 def coerce_patch(outputs: DataFrame, col: str = "output") -> DataFrame:
     """outputs with parse_error and patch (as apply_patch takes it, null where there is an error) from the text of a review: items cut to the most allowed before bad ones are
-    dropped, strings cut, a collection of another kind refused. A null counts as missing."""
-    body = F.regexp_extract(F.regexp_replace(F.coalesce(F.col(col), F.lit("")), r"```(?:json)?", ""), r"(?s)\{.*\}", 0)
-    raw = F.from_json(body, ", ".join(f"{n} string" for n in ("summary_replacement", "recent_event_replacement", *PATCH_MOST)))
-    rows = outputs.withColumn("body__", body).withColumn("raw__", raw)
-    r = lambda n: F.col("raw__")[n]
-    clean = lambda x, size: F.substring(ustrip(F.coalesce(x, F.lit(""))), 1, size)
-    is_list = lambda n: F.coalesce(r(n), F.lit("")).rlike(r"^\s*(?:\[|$)") | r(n).isin("null", "{}", "false", "0")
-    items = lambda n: F.slice(F.coalesce(F.from_json(r(n), "array<string>"), F.array().cast("array<string>")), 1, PATCH_MOST[n])
-    part = lambda x, key, size: clean(F.get_json_object(x, f"$.{key}"), size)
-    objects = lambda n, *needed: F.filter(items(n), lambda x: reduce(lambda a, b: a & b, [part(x, k, PATCH_NAME) != "" for k in needed], F.coalesce(x, F.lit("")).startswith("{")))
-    strings = lambda n: F.filter(F.transform(items(n), lambda x: clean(x, PATCH_NAME)), lambda x: x != "")
+    dropped, strings cut, a collection of another kind refused; for lists of texts only null and the empty text count as none. A null counts as missing."""
+    rows = outputs.withColumn("raw__", V.parsed(F.col(col)))
+    r = lambda n: V.part(F.col("raw__"), n)
+    items = lambda n: F.slice(V.items(r(n)), 1, PATCH_MOST[n])
+    part = lambda x, key, size: _cut(V.text(V.part(x, key)), size)
+    objects = lambda n, *needed: F.filter(items(n), lambda x: reduce(lambda a, b: a & b, [part(x, k, PATCH_NAME) != "" for k in needed], V.kind(x) == "OBJECT"))
+    strings = lambda n: F.filter(F.transform(items(n), lambda x: _cut(V.text(x), PATCH_NAME)), lambda x: x != "")
     renames = F.transform(objects("rename_entities", "from", "to"), lambda x: F.struct(part(x, "from", PATCH_NAME).alias("from"), part(x, "to", PATCH_NAME).alias("to")))
     updates = F.transform(objects("entity_status_updates", "name"), lambda x: F.struct(part(x, "name", PATCH_NAME).alias("name"), part(x, "status", PATCH_NOTE).alias("status"), part(x, "note", PATCH_NOTE).alias("note")))
-    action = lambda x: F.coalesce(ustrip(F.get_json_object(x, "$.action")), F.lit("advance"))
+    action = lambda x: F.coalesce(ustrip(V.text(V.part(x, "action"))), F.lit("advance"))
     fixes = F.transform(objects("plotline_fixes", "title"), lambda x: F.struct(action(x).alias("action"), part(x, "title", TITLE).alias("title"), part(x, "note", PATCH_NOTE).alias("note")))
-    patch = F.struct(clean(r("summary_replacement"), SUMMARY).alias("summary_replacement"), clean(r("recent_event_replacement"), EVENT).alias("recent_event_replacement"), renames.alias("rename_entities"), updates.alias("entity_status_updates"), strings("remove_entities").alias("remove_entities"), fixes.alias("plotline_fixes"), strings("context_ref_additions").alias("context_ref_additions"))
-    error = F.when((F.col("body__") == "") | F.col("raw__").isNull() | F.try_parse_json("body__").isNull(), F.lit("not_json"))
+    patch = F.struct(_cut(V.solid(r("summary_replacement")), SUMMARY).alias("summary_replacement"), _cut(V.solid(r("recent_event_replacement")), EVENT).alias("recent_event_replacement"), renames.alias("rename_entities"), updates.alias("entity_status_updates"), strings("remove_entities").alias("remove_entities"), fixes.alias("plotline_fixes"), strings("context_ref_additions").alias("context_ref_additions"))
+    error = F.when(F.col("raw__").isNull(), F.lit("not_json"))
     for n in PATCH_MOST:
-        error = error.when(~is_list(n), n)
+        none = (V.kind(r(n)) == "VOID") | F.coalesce((V.kind(r(n)) == "STRING") & (V.text(r(n)) == ""), F.lit(False)) if n in PATCH_TEXTS else V.is_empty(r(n))
+        error = error.when((V.kind(r(n)) != "ARRAY") & ~none, n)
     rows = rows.withColumn("parse_error", error)
-    return rows.withColumn("patch", F.when(F.col("parse_error").isNull(), patch)).drop("body__", "raw__")
+    return rows.withColumn("patch", F.when(F.col("parse_error").isNull(), patch)).drop("raw__")
 
 
 def apply_patch(fields: DataFrame, patches: DataFrame) -> DataFrame:
     """fields (work_id, ord, summary, entity_updates, plotline_updates, context_refs, recent_event) after review patches (work_id, ord, patch).
 
     patch: summary_replacement, recent_event_replacement, rename_entities (array of from, to), entity_status_updates (name, status, note; by the new
-    name), remove_entities, plotline_fixes (action, title, note; the first of a title and action stays), context_ref_additions. Null parts and missing patches change nothing.
+    name; of several of a name the last status and the last note that aren't empty count), remove_entities, plotline_fixes (action, title, note; the first of a title and action stays), context_ref_additions. Null parts and missing patches change nothing.
     """
     rows = fields.join(patches.select("work_id", "ord", "patch"), ["work_id", "ord"], "left")
     p = lambda n: F.col("patch")[n]
-    last = lambda items, test: F.element_at(F.filter(items, test), -1)
+    last = lambda items, test: F.try_element_at(F.filter(items, test), F.lit(-1))
     found = lambda items, test: F.coalesce(F.size(F.filter(items, test)) > 0, F.lit(False))
     renamed = lambda e: F.when(found(p("rename_entities"), lambda r: r["from"] == e["name"]), last(p("rename_entities"), lambda r: r["from"] == e["name"])["to"]).otherwise(e["name"])
     rebuilt = lambda e, name, status, note: F.struct(name.alias("name"), e["type"].alias("type"), status.alias("status"), note.alias("note"), e["aliases"].alias("aliases"), e["kind"].alias("kind"))
     named = F.transform("entity_updates", lambda e: rebuilt(e, renamed(e), e["status"], e["note"]))
     rows = rows.withColumn("named__", named)
     mine = lambda e: (lambda u: u["name"] == e["name"])
-    pick = lambda e, key: F.coalesce(F.nullif(last(p("entity_status_updates"), mine(e))[key], F.lit("")), e[key])
+    pick = lambda e, key: F.coalesce(F.try_element_at(F.filter(p("entity_status_updates"), lambda u: mine(e)(u) & (u[key] != "")), F.lit(-1))[key], e[key])
     updated = F.transform("named__", lambda e: F.when(found(p("entity_status_updates"), mine(e)), rebuilt(e, e["name"], pick(e, "status"), pick(e, "note"))).otherwise(e))
     kept = F.filter(updated, lambda e: ~F.coalesce(F.array_contains(p("remove_entities"), e["name"]), F.lit(False)))
     every = F.concat("plotline_updates", F.coalesce(p("plotline_fixes"), F.array().cast(f"array<{PLOTLINE}>")))
@@ -232,9 +233,18 @@ def extract_units(inputs: DataFrame, extractor: Callable[[dict], str], attempts:
 TASKS = "outputs map<string,string>, errors array<struct<task:string,attempt:int,error:string>>"
 
 
-def extract_tasks(inputs: DataFrame, extractors: dict[str, Callable[[dict], str]], mandatory: tuple[str, ...] = ("summary",), attempts: int = 3) -> DataFrame:
+def object_of(answer: str) -> dict:
+    """The object between the first { and the last } of model text; raises where there is none."""
+    body = answer.replace("```json", "").replace("```", "")
+    found = json.loads(body[body.index("{") : body.rindex("}") + 1])
+    if not isinstance(found, dict):
+        raise ValueError("no object")
+    return found
+
+
+def extract_tasks(inputs: DataFrame, extractors: dict[str, Callable[[dict], str]], mandatory: tuple[str, ...] = ("summary",), attempts: int = 3, check: Callable[[str], object] | None = None) -> DataFrame:
     """inputs with outputs (text by task), errors (one for each failed attempt) and failed: whether a mandatory task found no answer. Every task is tried up to attempts times by its own
-    callable on the executors; an optional one that fails is left out of outputs."""
+    callable on the executors, and again where check refuses its answer (object_of, say) by an exception; an optional one that fails is left out of outputs."""
     schema = StructType([*inputs.schema.fields, *StructType.fromDDL(TASKS).fields, StructField("failed", BooleanType())])
 
     def one(row: dict) -> tuple[dict, list, bool]:
@@ -242,7 +252,10 @@ def extract_tasks(inputs: DataFrame, extractors: dict[str, Callable[[dict], str]
         for task, extractor in extractors.items():
             for attempt in range(1, attempts + 1):
                 try:
-                    outputs[task] = extractor(row)
+                    answer = extractor(row)
+                    if check is not None:
+                        check(answer)
+                    outputs[task] = answer
                     break
                 except Exception as e:  # noqa: BLE001
                     errors.append({"task": task, "attempt": attempt, "error": repr(e)})
@@ -258,6 +271,16 @@ def extract_tasks(inputs: DataFrame, extractors: dict[str, Callable[[dict], str]
     return inputs.mapInPandas(run, schema)
 
 
+#: The fields that each task answers.
+ANSWERS = {"summary": ("summary", "recent_event"), "entity": ("entity_updates",), "relation": ("plotline_updates", "context_refs")}
+
+
+def merged_tasks(tasks: DataFrame, answers: dict[str, tuple[str, ...]] = ANSWERS) -> DataFrame:
+    """tasks (extract_tasks) with output: one object of the fields that each task answers, as coerce_fields takes it; null where a mandatory task failed. What a task left out stays out."""
+    said = [F.concat(F.lit(f'"{field}":'), F.to_json(V.part(V.parsed(F.col("outputs")[task]), field))) for task, fields in answers.items() for field in fields]
+    return tasks.withColumn("output", F.when(~F.col("failed"), F.concat(F.lit("{"), F.concat_ws(",", *said), F.lit("}"))))
+
+
 def with_fallback(coerced: DataFrame, separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
     """Units with coerced fields (coerce_fields) and degraded: a unit with a parse_error gets the fields of its first sentence instead, and none of the model's."""
     bad = F.col("parse_error").isNotNull()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.functions import prefix
+from narrative_spark.functions import variants as V
 from narrative_spark.functions.text import count_of, ustrip
 from narrative_spark.operators.lexical import MOST, analyze_queries, ranked, readable, search_bm25
 from narrative_spark.operators.views import BLOCK, read_units
@@ -88,9 +89,9 @@ def search_diagnostics(queries: DataFrame, units: DataFrame, rows: DataFrame, ve
 
 def normalize_refs(raw: Column) -> Column:
     """Names from a JSON array of strings and {entity} objects: stripped, blank ones and other kinds dropped, distinct in order; null when none is left."""
-    items = F.from_json(raw, "array<string>")
-    name = lambda x: F.when(x.startswith("{"), F.get_json_object(x, "$.entity")).when(x.rlike(r"^(?:-?[0-9.]+(?:[eE][+-]?[0-9]+)?|true|false|null|\[.*)$"), F.lit(None)).otherwise(x)
-    names = F.array_distinct(F.filter(F.transform(items, lambda x: ustrip(name(x))), lambda x: F.coalesce(x, F.lit("")) != ""))
+    said = lambda x: F.when(V.kind(x) == "STRING", V.text(x))
+    name = lambda x: F.when(V.kind(x) == "OBJECT", said(V.part(x, "entity"))).otherwise(said(x))
+    names = F.array_distinct(F.filter(F.transform(V.items(F.try_parse_json(raw)), lambda x: ustrip(name(x))), lambda x: F.coalesce(x, F.lit("")) != ""))
     return F.when(F.size(names) > 0, names)
 
 
