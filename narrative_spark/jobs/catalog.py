@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from narrative_spark.jobs import fixtures as fx
 from narrative_spark.jobs.sql import ORACLE_SQL
-from narrative_spark.operators import extract, lexical, normalize, search, segment, state, validate, vectors, views
+from narrative_spark.operators import blocks, extract, lexical, normalize, search, segment, state, validate, vectors, views
 from narrative_spark.sources import stages
 from narrative_spark.streaming import fold
 
@@ -125,17 +125,17 @@ def _flat(column: str) -> Column:
 
 
 def _snapshots(spark: SparkSession, d: str) -> DataFrame:
-    return stages.stored(state.fold_state(fx.delta_units(spark, d)), "snapshots")
+    return stages.stored(blocks.fold(fx.delta_units(spark, d)), "snapshots")
 
 
 def _kept(spark: SparkSession, d: str, keep: str) -> DataFrame:
-    return state.fold_state(fx.delta_units(spark, d), keep=keep)
+    return blocks.fold(fx.delta_units(spark, d), keep=keep)
 
 
 def _read(spark: SparkSession, d: str, readers: DataFrame) -> DataFrame:
     """Snapshots of the units that readers stand at, and no others."""
     units = fx.delta_units(spark, d)
-    return stages.stored(state.fold_state(units, keep="marked", marked=views.read_units(units, readers).where("ord is not null")), "snapshots")
+    return stages.stored(blocks.fold(units, keep="marked", marked=views.read_units(units, readers).where("ord is not null")), "snapshots")
 
 
 def _current(spark: SparkSession, d: str, names: list[str], view, whole: bool = False) -> DataFrame:
@@ -143,9 +143,12 @@ def _current(spark: SparkSession, d: str, names: list[str], view, whole: bool =
     return view(_read(spark, d, asked), asked)
 
 
-def _fold(spark: SparkSession, d: str) -> DataFrame:
+def _fold(spark: SparkSession, d: str, size: int | None = None) -> DataFrame:
+    """Every snapshot; size: in blocks of so many orders, as works longer than a block are folded."""
     s = F.from_json("snapshot", "last_order long, backdrop string, recent array<struct<order:bigint,text:string>>")
-    return state.fold_state(fx.delta_units(spark, d)).withColumn("s", s).select("work_id", "ord", "chapter_idx", "s.last_order", _flat("s.recent"), "s.backdrop", "snapshot", "fingerprint")
+    units = fx.delta_units(spark, d)
+    rows = blocks.fold(units) if size is None else blocks.fold_blocks(stages.stored(units, "deltas"), size=size)
+    return rows.withColumn("s", s).select("work_id", "ord", "chapter_idx", "s.last_order", _flat("s.recent"), "s.backdrop", "snapshot", "fingerprint")
 
 
 def _viewed(spark: SparkSession, d: str) -> DataFrame:
@@ -203,14 +206,14 @@ def _prefixes(spark: SparkSession, d: str) -> DataFrame:
         upto = upto.select("work_id", "last", place.alias("prefix"))
         first = units.join(upto, "work_id").where(F.col("ord") <= F.col("prefix"))
         # A prefix ends its chapter early; its last unit counts only where the work ends too.
-        runs.append(state.fold_state(first).join(upto, "work_id").where((F.col("ord") < F.col("prefix")) | (F.col("ord") == F.col("last"))).drop("last"))
+        runs.append(blocks.fold(first).join(upto, "work_id").where((F.col("ord") < F.col("prefix")) | (F.col("ord") == F.col("last"))).drop("last"))
     return state.prefix_consistency(_snapshots(spark, d), reduce(DataFrame.unionByName, runs), fields)
 
 
 def _vectors(spark: SparkSession, d: str, bounded: bool = True) -> DataFrame:
-    """Every twentieth vector asked of those up to a boundary, or of all."""
+    """Every twentieth vector asked of those up to ten after its own, or of all."""
     table, unit = fx.table(spark, d, "embeddings"), F.col("vec_id") + 1
-    limit = 100 * (F.col("vec_id") % 5 + 1) if bounded else F.lit(None).cast("long")
+    limit = F.floor(F.col("vec_id") / 20) * 20 + 10 if bounded else F.lit(None).cast("long")
     stored = table.select(F.lit("emb").alias("work_id"), F.format_string("emb-%04d", unit).alias("unit_id"), unit.alias("ord"), F.col("label").cast("string").alias("chapter_name"), F.col("embedding").alias("vector"))
     asked = table.where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.lit("emb").alias("work_id"), limit.alias("max_order"), F.lit(None).cast("string").alias("chapter"), F.col("embedding").alias("vector"))
     return vectors.search_vector(asked, stored).select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"))
@@ -222,12 +225,14 @@ def _resolved(spark: SparkSession, d: str) -> DataFrame:
     return stages.resolve_units(done, units).select("work_id", "unit_id", "ord", F.coalesce("summary", F.lit("")).alias("summary"))
 
 
-def _streamed(spark: SparkSession, d: str) -> DataFrame:
-    """The fold over a stream of all events, fed file by file."""
+def _streamed(spark: SparkSession, d: str, again: str | None = None) -> DataFrame:
+    """The fold over a stream of all events, fed file by file; again: those that are sent twice."""
     rows = fold.as_stream_rows(fx.delta_units(spark, d))
-    source = stages.stored(rows.repartition(6, "ord"), "stream")
+    sent = rows if again is None else rows.unionByName(rows.where(again))
+    source = stages.stored(sent.repartition(6, "ord"), "stream")
     root = source.inputFiles()[0].rsplit("/", 1)[0]
-    return fold.run_available(spark, root, rows.schema, f"{root}-out", f"{root}-checkpoint")
+    folded = fold.run_available(spark, root, rows.schema, f"{root}-out", f"{root}-checkpoint")
+    return folded if again is None else fold.dropped(spark, f"{root}-out")
 
 
 def _status(spark: SparkSession, d: str) -> DataFrame:
@@ -340,21 +345,24 @@ QUERIES = {
     "recent_events": lambda s, d: state.recent_events(fx.delta_units(s, d)).select("work_id", "ord", _flat("recent")),
     "archive_backdrop": lambda s, d: state.archive_backdrop(fx.delta_units(s, d)),
     "fold_state": _fold,
+    "fold_state_blocks": lambda s, d: _fold(s, d, 16),
+    "archive_backdrop_blocks": lambda s, d: blocks.archived(fx.delta_units(s, d), size=16).drop("ord"),
     "checkpoints": lambda s, d: state.checkpoints(_kept(s, d, "chapter")),
     "final_state": lambda s, d: state.final_state(_kept(s, d, "work")),
     "prefix_consistency": _prefixes,
     "state_view": lambda s, d: state.render_state_view(_snapshots(s, d)).select("work_id", "ord", "view"),
     "stream_state": _streamed,
+    "stream_dropped": lambda s, d: _streamed(s, d, "ord % 10 = 3").groupBy("work_id", "ord").agg(F.count(F.lit(1)).alias("dropped")),
     "list_works": _works,
     "reading_locations": lambda s, d: views.reading_locations(fx.talk_units(s, d)),
-    "get_units": _picked,
+    "get_units": lambda s, d: _picked(s, d, whole=True),
     "get_range": _ranges,
     "progressive_view": _viewed,
     "recap": lambda s, d: views.recap(_read(s, d, _readers(s, d)), _readers(s, d)).select("reader_id", "work_id", "max_order", _flat("recent"), "backdrop"),
-    "entity_history": _history,
-    "plotline_history": _plots,
-    "entity_current": lambda s, d: _current(s, d, ["vie", "clicks"], views.entity_current),
-    "plotline_current": lambda s, d: _current(s, d, ["k3", "k"], views.plotline_current),
+    "entity_history": lambda s, d: _history(s, d, whole=True),
+    "plotline_history": lambda s, d: _plots(s, d, whole=True),
+    "entity_current": lambda s, d: _current(s, d, ["vie", "clicks"], views.entity_current, whole=True),
+    "plotline_current": lambda s, d: _current(s, d, ["k3", "k"], views.plotline_current, whole=True),
     "get_units_whole": lambda s, d: _picked(s, d, whole=True),
     "entity_history_whole": lambda s, d: _history(s, d, whole=True),
     "plotline_history_whole": lambda s, d: _plots(s, d, whole=True),
@@ -362,7 +370,8 @@ QUERIES = {
     "plotline_current_whole": lambda s, d: _current(s, d, ["k3", "k"], views.plotline_current, whole=True),
     "resolve_units": _resolved,
     "retrieval_text": lambda s, d: vectors.retrieval_text(fx.talk_units(s, d)),
-    "search_vector": _vectors,
+    "search_vector": lambda s, d: _vectors(s, d, bounded=False),
+    "search_vector_bounded": _vectors,
     "search_vector_whole": lambda s, d: _vectors(s, d, bounded=False),
     "index_status": _status,
     "coerce_fields": _coerced,

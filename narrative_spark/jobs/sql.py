@@ -275,3 +275,8 @@ ORACLE_SQL["search_diagnostics"] = ORACLE_SQL["search_diagnostics"].replace("AS
 #: The searches asked of all units of their work.
 ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace("CASE WHEN item_id % 4 <> 0 THEN (last * (item_id % 4)) // 4 END AS max_order", "CAST(NULL AS BIGINT) AS max_order") for name in ("analyze_queries", "search_bm25", "search_scan", "search", "search_diagnostics", "evaluate_retrieval")}
 ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(" ord <= 40 AND", "").replace(" WHERE ord % 50 = 7", "").replace("least(max(ord), 40)", "max(ord)") for name in ("get_units", "entity_history", "plotline_history", "entity_current", "plotline_current")}
+# The plain names ask for all rows too; what a boundary does is shown beside them.
+ORACLE_SQL["search_vector_bounded"] = ORACLE_SQL["search_vector"].replace("100 * (vec_id % 5 + 1) AS max_order", "vec_id // 20 * 20 + 10 AS max_order")
+ORACLE_SQL |= {name: ORACLE_SQL[f"{name}_whole"] for name in ("get_units", "entity_history", "plotline_history", "entity_current", "plotline_current", "search_vector")}
+ORACLE_SQL["fold_state_blocks"], ORACLE_SQL["archive_backdrop_blocks"] = ORACLE_SQL["fold_state"], ORACLE_SQL["archive_backdrop"]
+ORACLE_SQL["stream_dropped"] = f"WITH {DELTAS} SELECT work_id, ord, 1 AS dropped FROM deltas WHERE ord % 10 = 3"

@@ -164,6 +164,10 @@ def joined(events: list[dict]) -> str:
     return "；".join(f"@{e['order']} {e['text']}" for e in events)[:DIGEST]
 
 
+#: Events that it looks at: each is five signs long at least, with what joins it to the next.
+joined.reads = DIGEST // 5 + 1
+
+
 def fold_rows(story: Story, rows: list[dict], compress: Callable[[list[dict]], str], last: bool, after: int | None, keep: str = "unit") -> Iterator[tuple]:
     """(work_id, ord, chapter_idx, snapshot, fingerprint, degraded) for units in order; last: the work ends with them, else after is the next unit's chapter.
 

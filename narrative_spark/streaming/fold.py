@@ -7,60 +7,126 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from narrative_spark.operators.state import Story, joined
+from narrative_spark.operators.blocks import BLOCK, numbered
+from narrative_spark.operators.state import GROUPS, Story, joined
 
-ROWS = "work_id string, ord long, chapter_idx int, snapshot string, fingerprint string, degraded boolean"
-#: next order to apply, state, units that came too early, units that came too late.
-HELD = "next long, state string, early string, late long"
+#: kind: "snapshot" of a unit in its turn; "late" for a unit whose order was folded before, "repeated" for one whose order waits already.
+ROWS = "work_id string, ord long, kind string, chapter_idx int, snapshot string, fingerprint string, degraded boolean"
+_NAMES = [x.split()[0] for x in ROWS.split(", ")]
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Letters of snapshots that are handed on together.
+HANDED = 4_000_000
 
 
-def stream_state(units: DataFrame) -> DataFrame:
-    """Snapshots of a stream of units (work_id, ord, chapter_idx, ends_chapter, deltas_json, degraded), the same as the batch fold's.
+class Fold(StatefulProcessor):
+    """A work's state in parts: a value for what is short, and a map entry for each record, plotline, event and waiting unit, so that a batch writes what it
+    changed. A work that gets no unit in its turn only has its waiting units written."""
 
-    Orders of a work run from 1. A unit that comes before its turn waits in the state until the gap closes; one that comes again or
-    too late is dropped and counted. ends_chapter marks the last unit of a chapter or work.
-    """
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.short = handle.getValueState("short", "next long, late long, last_order long, backdrop string")
+        self.records = handle.getMapState("records", "kind string, place long", "body string")
+        self.waiting = handle.getMapState("waiting", "ord long", "chapter_idx int, ends boolean, deltas string, degraded boolean")
+
+    def _load(self, work: str, last: int, backdrop: str) -> tuple[Story, dict]:
+        kept = {key: body[0] for key, body in self.records.iterator()}
+        parts = {"work_id": work, "schema_version": "1", "last_order": last, "backdrop": backdrop} | {name: [] for name in self.lists}
+        for kind, place in sorted(kept):
+            parts[kind].append(json.loads(kept[kind, place]))
+        return Story(work, json.dumps(parts)), kept
+
+    #: The lists of a state.
+    lists = (*GROUPS.values(), "plotlines", "recent", "backdrop_buffer")
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        now, saved, early, late = state.get if state.exists else (1, None, "{}", 0)
-        story, waiting = Story(key[0], saved), json.loads(early)
-        for frame in frames:
+    def _save(self, story: Story, kept: dict) -> None:
+        """Write the records that changed, and remove those that went."""
+        now = {(kind, place): json.dumps(x, ensure_ascii=False) for kind in self.lists for place, x in enumerate(story.state[kind])}
+        for key, body in now.items():
+            if kept.get(key) != body:
+                self.records.updateValue(key, (body,))
+        for key in kept.keys() - now.keys():
+            self.records.removeKey(key)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        work = key[0]
+        now, late, last, backdrop = self.short.get() if self.short.exists() else (1, 0, 0, "")
+        fresh: dict[int, tuple] = {}
+        out: list[tuple] = []
+        for frame in rows:
             for r in frame.to_dict("records"):
-                if r["ord"] < now or str(r["ord"]) in waiting:
+                order = int(r["ord"])
+                again = "late" if order < now else "repeated" if order in fresh or self.waiting.containsKey((order,)) else None
+                if again:
                     late += 1
+                    out.append((work, order, again, int(r["chapter_idx"]), None, None, bool(r["degraded"])))
                 else:
-                    waiting[str(r["ord"])] = [int(r["chapter_idx"]), bool(r["ends_chapter"]), r["deltas_json"], bool(r["degraded"])]
-        out = []
-        while str(now) in waiting:
-            chapter, ends, deltas, degraded = waiting.pop(str(now))
+                    fresh[order] = (int(r["chapter_idx"]), bool(r["ends_chapter"]), r["deltas_json"], bool(r["degraded"]))
+        story = kept = None
+        size = 0
+        while now in fresh or self.waiting.containsKey((now,)):
+            if story is None:
+                story, kept = self._load(work, last, backdrop)
+            if now in fresh:
+                chapter, ends, deltas, degraded = fresh.pop(now)
+            else:
+                chapter, ends, deltas, degraded = self.waiting.getValue((now,))
+                self.waiting.removeKey((now,))
             if not degraded:
                 d = json.loads(deltas)
                 story.apply(now, d.get("entity_updates") or [], d.get("plotline_updates") or [], (d.get("recent_event") or {}).get("text") or "")
             if ends:
                 story.archive(joined)
             text = story.snapshot()
-            out.append((key[0], now, chapter, text, hashlib.sha256(text.encode()).hexdigest(), degraded))
-            now += 1
-        state.update((now, story.snapshot(), json.dumps(waiting), late))
-        yield pd.DataFrame(out, columns=[x.split()[0] for x in ROWS.split(", ")])
+            out.append((work, now, "snapshot", chapter, text, hashlib.sha256(text.encode()).hexdigest(), degraded))
+            now, size = now + 1, size + len(text)
+            if size >= HANDED:
+                yield pd.DataFrame(out, columns=_NAMES)
+                out, size = [], 0
+        for order, unit in fresh.items():
+            self.waiting.updateValue((order,), unit)
+        if story is not None:
+            self._save(story, kept)
+            last, backdrop = story.state["last_order"], story.state["backdrop"]
+        self.short.update((now, late, last, backdrop))
+        yield pd.DataFrame(out, columns=_NAMES)
 
-    return units.groupBy("work_id").applyInPandasWithState(step, ROWS, HELD, "append", "NoTimeout")
+    def close(self) -> None:
+        pass
 
 
-def as_stream_rows(units: DataFrame) -> DataFrame:
-    """Batch units in the shape of the stream."""
-    from pyspark.sql import Window as W
+def stream_state(units: DataFrame) -> DataFrame:
+    """Snapshots of a stream of units (work_id, ord, chapter_idx, ends_chapter, deltas_json, degraded), the same as the batch fold's, and a row for each unit that came again or too late.
 
-    ends = ~F.coalesce(F.lead("chapter_idx").over(W.partitionBy("work_id").orderBy("ord")) == F.col("chapter_idx"), F.lit(False))
-    return units.select("work_id", "ord", "chapter_idx", ends.alias("ends_chapter"), F.to_json(F.struct("entity_updates", "plotline_updates", "recent_event")).alias("deltas_json"), F.coalesce("degraded", F.lit(False)).alias("degraded"))
+    Orders of a work run from 1. A unit that comes before its turn waits in the state until the gap closes; one whose order was folded or waits already is dropped
+    and told of (kind). ends_chapter marks the last unit of a chapter or work. The session must keep state in RocksDB (use_rocks).
+    """
+    return units.groupBy("work_id").transformWithStateInPandas(Fold(), ROWS, "append", "none")
 
 
-def run_available(spark, source: str, schema, sink: str, checkpoint: str) -> DataFrame:
-    """Fold all stream rows that lie in source, write the snapshots to sink, and read them."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
+def use_rocks(spark: SparkSession) -> None:
+    """Keep the state of streams in RocksDB, which holds maps larger than memory and writes what changed."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def as_stream_rows(units: DataFrame, size: int = BLOCK) -> DataFrame:
+    """Batch units in the shape of the stream; the ends of chapters are found block by block."""
+    ends = numbered(units, size).select("work_id", "ord", F.col("ends").alias("ends_chapter"))
+    return units.join(ends, ["work_id", "ord"]).select("work_id", "ord", "chapter_idx", "ends_chapter", F.to_json(F.struct("entity_updates", "plotline_updates", "recent_event")).alias("deltas_json"), F.coalesce("degraded", F.lit(False)).alias("degraded"))
+
+
+def run_available(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, files: int = 2) -> DataFrame:
+    """Fold all stream rows that lie in source, some files in a batch, write what comes out to sink, and read its snapshots."""
+    use_rocks(spark)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
     query = stream_state(stream).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(ROWS).parquet(sink)
+    return spark.read.schema(ROWS).parquet(sink).where("kind = 'snapshot'").drop("kind")
+
+
+def dropped(spark: SparkSession, sink: str) -> DataFrame:
+    """work_id, ord, kind, chapter_idx of the units that run_available dropped: late ones and repeated ones, a row for each time."""
+    return spark.read.schema(ROWS).parquet(sink).where("kind <> 'snapshot'").select("work_id", "ord", "kind", "chapter_idx")
