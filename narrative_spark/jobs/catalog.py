@@ -47,7 +47,29 @@ def _asked(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame,
 
 def _routed(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     asked, units = _asked(spark, d, whole)
-    return asked, units, search.search(asked, units, lexical.build_postings(units), lexical.index_stats(units))
+    return asked, units, search.search(asked, units, _index(units))
+
+
+def _index(units: DataFrame, tokenizer: str = "pair") -> lexical.Index:
+    """An index kept in the shared folder, and opened."""
+    return lexical.write_index(units, stages.place(units.sparkSession, "index"), tokenizer)
+
+
+def _refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """An index first made of the odd units of some works and of a work that goes, then brought up to date for these works: what comes back is as if it were made at once."""
+    asked, units = _asked(spark, d, whole=True)
+    part = F.col("work_id") < "src2"
+    first = units.where(~part | (F.col("ord") % 2 == 1)).unionByName(units.where("work_id = 'src0'").withColumn("work_id", F.lit("gone")))
+    path = stages.place(spark, "index")
+    lexical.write_index(first, path, slots=16)
+    index = lexical.refresh_index(units.where(part), path, spark.createDataFrame([("gone",)], "work_id string"))
+    return lexical.search_index(asked, index).withColumn("score", F.round("score", 3))
+
+
+def _bounded_bm25(spark: SparkSession, d: str) -> DataFrame:
+    """Searches whose frequencies end at the query's boundary, too."""
+    asked, units = _asked(spark, d)
+    return lexical.search_index(asked, _index(units), stats_scope="boundary").withColumn("score", F.round("score", 3))
 
 
 def _search(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
@@ -58,7 +80,7 @@ def _search(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
 
 def _bm25(spark: SparkSession, d: str, whole: bool = False, tokenizer: str = "pair") -> DataFrame:
     asked, units = _asked(spark, d, whole)
-    return search.search_bm25(asked, lexical.build_postings(units, tokenizer), lexical.index_stats(units, tokenizer), tokenizer=tokenizer).withColumn("score", F.round("score", 3))
+    return lexical.search_index(asked, _index(units, tokenizer)).withColumn("score", F.round("score", 3))
 
 
 def _evaluate(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
@@ -328,6 +350,8 @@ QUERIES = {
     "search_whole": lambda s, d: _search(s, d, whole=True),
     "search_diagnostics_whole": lambda s, d: search.search_diagnostics(*_routed(s, d, whole=True)),
     "evaluate_retrieval_whole": lambda s, d: _evaluate(s, d, whole=True),
+    "search_refreshed": _refreshed,
+    "search_bounded": _bounded_bm25,
     "search_run": lambda s, d: _bm25(s, d, tokenizer="run"),
     "search_routes": lambda s, d: _by_vector(s, d)[2].select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"), "used"),
     "search_routes_diagnostics": _vector_diagnostics,

@@ -280,3 +280,12 @@ ORACLE_SQL["search_vector_bounded"] = ORACLE_SQL["search_vector"].replace("100 *
 ORACLE_SQL |= {name: ORACLE_SQL[f"{name}_whole"] for name in ("get_units", "entity_history", "plotline_history", "entity_current", "plotline_current", "search_vector")}
 ORACLE_SQL["fold_state_blocks"], ORACLE_SQL["archive_backdrop_blocks"] = ORACLE_SQL["fold_state"], ORACLE_SQL["archive_backdrop"]
 ORACLE_SQL["stream_dropped"] = f"WITH {DELTAS} SELECT work_id, ord, 1 AS dropped FROM deltas WHERE ord % 10 = 3"
+ORACLE_SQL["search_refreshed"] = ORACLE_SQL["search_bm25_whole"]
+ORACLE_SQL["search_bounded"] = f"""WITH {UNITS} {TERMS} {POSTINGS}, asked AS (SELECT DISTINCT query_id, work_id, coalesce(max_order, 9000000000) AS upto, lower(unnest(terms)) AS term FROM terms
+    ), read AS (SELECT query_id, upto, p.* FROM asked a JOIN postings p ON p.work_id = a.work_id AND p.term = a.term AND p.ord <= a.upto
+    ), spread AS (SELECT query_id, term, count(*) AS n FROM read GROUP BY 1, 2
+    ), sized AS (SELECT q.query_id, count(*) AS n_units, avg(len(s)) AS mean_size FROM terms q JOIN tokens t ON t.work_id = q.work_id AND t.ord <= coalesce(q.max_order, 9000000000) GROUP BY 1
+    ), bm AS (
+      SELECT query_id, work_id, unit_id, ord, sum(CASE WHEN ln((n_units - n + 0.5) / (n + 0.5)) <= 0 THEN 1e-6 ELSE ln((n_units - n + 0.5) / (n + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean_size))) AS score
+      FROM read JOIN spread USING (query_id, term) JOIN sized USING (query_id) GROUP BY 1, 2, 3, 4)
+    SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord, unit_id) AS place FROM bm QUALIFY place <= 200"""

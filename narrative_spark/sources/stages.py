@@ -14,18 +14,22 @@ LADDER = ("utf-8-sig", "utf-8", "gb18030", "gbk", "big5")
 UNIT_SCHEMA = "work_id string, unit_id string, ord long, chapter_idx int, chapter_name string, start_line long, end_line long, text string, chars int, summary string, characters array<string>, locations array<string>, key_terms array<string>, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>, plotline_updates array<struct<action:string,title:string,note:string>>, context_refs array<string>, recent_event struct<text:string>, state_snapshot string, degraded boolean"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df written to the folder that the cluster names in spark.checkpoint.dir, and read back: later steps read it instead of making it again."""
-    spark = df.sparkSession
+def place(spark: SparkSession, label: str) -> str:
+    """A folder of its own under the one that the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df written to the folder that the cluster names in spark.checkpoint.dir, and read back: later steps read it instead of making it again."""
+    path = place(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

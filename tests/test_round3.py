@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from narrative_spark.operators import blocks, extract, search, state
+from narrative_spark.operators import blocks, extract, lexical, search, state
 from narrative_spark.streaming import fold
 
 FIELDS = "work_id string, ord long, summary string, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>, plotline_updates array<struct<action:string,title:string,note:string>>, context_refs array<string>, recent_event struct<text:string>"
@@ -148,3 +148,44 @@ def test_stream_of_shuffled_late_and_repeated_units_equals_the_fold(spark, tmp_p
     assert len(found) == len(whole) and {(r.work_id, r.ord): (r.chapter_idx, r.snapshot, r.fingerprint, r.degraded) for r in found} == whole
     assert len(found) + len(lost) == sum(map(len, batches)) and {r.kind for r in lost} == {"late", "repeated"}
     assert sum(r.kind == "late" for r in lost) >= len({r.work_id for r in given})
+
+
+def plain_units(spark, rows):
+    return spark.createDataFrame([(w, f"{w}-{k}", k, "c", t) for w, k, t in rows], "work_id string, unit_id string, ord long, chapter_name string, text string")
+
+
+def test_kept_index_is_read_where_it_lies(spark, tmp_path, monkeypatch):
+    """A large work lies in several slots; a search reads those of its terms only, without an exchange between the postings and the asked terms."""
+    monkeypatch.setattr(lexical, "SLOT_SIGNS", 500)
+    units = plain_units(spark, [("hot", k, f"some words {k} and more of them") for k in range(1, 90)] + [(f"w{k}", 1, "few words") for k in range(9)])
+    index = lexical.write_index(units, f"{tmp_path}/i", slots=12)
+    assert index.works.where("work_id = 'hot'").first().spread > 3 and index.postings.select("slot").distinct().count() > 6
+    asked = spark.createDataFrame([("q", "hot", "some", 50, None), ("r", "w3", "few", None, None)], "query_id string, work_id string, query string, max_order long, chapter string")
+    found = lexical.search_index(asked, index)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("HashAggregate(keys=[query_id") :].split("Exchange hashpartitioning(query_id")[-1].split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in below and "hashpartitioning" not in below and "slot" in plan[plan.index("PartitionFilters") :]
+    left = sorted(map(repr, found.collect()))
+    assert left == sorted(map(repr, lexical.search_bm25(asked, lexical.build_postings(units), lexical.index_stats(units)).collect())) and len(left) == 51
+
+
+def test_refreshed_index_equals_a_new_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical, "SLOT_SIGNS", 300)
+    old = [("a", k, f"old words {k}") for k in range(1, 40)] + [("b", k, f"words stay {k}") for k in range(1, 20)] + [("gone", 1, "went away")]
+    new = [("a", k, f"new words {k} " * 2) for k in range(1, 9)] + [("fresh", 1, "came in"), ("blank", 1, "--")]
+    lexical.write_index(plain_units(spark, old), f"{tmp_path}/i", slots=7)
+    got = lexical.refresh_index(plain_units(spark, new), f"{tmp_path}/i", spark.createDataFrame([("gone",)], "work_id string"))
+    want = lexical.write_index(plain_units(spark, [r for r in old if r[0] == "b"] + new), f"{tmp_path}/j", slots=7)
+    for name in ("postings", "terms", "works", "sizes"):
+        rows = [sorted(repr(r.asDict()) for r in getattr(i, name).select(*sorted(getattr(want, name).columns)).collect()) for i in (got, want)]
+        assert rows[0] == rows[1] and rows[0], name
+    assert lexical.write_index(plain_units(spark, old).limit(0), f"{tmp_path}/k").postings.count() == 0
+
+
+def test_frequencies_that_end_at_the_boundary(spark, tmp_path):
+    """What stands behind a query's boundary has no influence on its scores."""
+    rows = [("w", k, f"common words {'rare' if k % 7 == 2 else ''} {k}") for k in range(1, 60)]
+    asked = spark.createDataFrame([("q", "w", "rare words", 30, None)], "query_id string, work_id string, query string, max_order long, chapter string")
+    score = lambda i, scope: [(r.ord, round(r.score, 9)) for r in lexical.search_index(asked, i, stats_scope=scope).orderBy("place").collect()]
+    some, every = (lexical.write_index(plain_units(spark, rows[:n]), f"{tmp_path}/{n}") for n in (30, 59))
+    assert score(every, "boundary") == score(some, "work") == score(some, "boundary") and score(every, "work") != score(every, "boundary")
