@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from narrative_spark.jobs import fixtures as fx
 from narrative_spark.jobs.sql import ORACLE_SQL
-from narrative_spark.operators import blocks, extract, lexical, normalize, search, segment, state, validate, vectors, views
+from narrative_spark.operators import blocks, chain, extract, lexical, normalize, search, segment, state, validate, vectors, views
 from narrative_spark.sources import stages
 from narrative_spark.streaming import fold
 
@@ -122,6 +122,34 @@ def _cached(spark: SparkSession, d: str) -> DataFrame:
     return extract.run_report(rows.withColumn("degraded", F.col("ord") % 10 == 9))
 
 
+def _chained(spark: SparkSession, d: str) -> DataFrame:
+    """A second run over events whose middle unit has another text and another result, with the cache of a first run, and for every second work also that of an earlier second run."""
+    units = fx.delta_units(spark, d)
+    middle = units.groupBy("work_id").agg(F.floor(F.max("ord") / 2 + 1).alias("middle"))
+    given = stages.stored(units.join(middle, "work_id"), "deltas")
+    there = F.col("ord") == F.col("middle")
+    other = F.transform("entity_updates", lambda e: e.withField("status", F.concat(e["status"], F.lit(" again"))))
+    again = given.withColumns({"text": F.when(there, F.concat("text", F.lit("!"))).otherwise(F.col("text")), "entity_updates": F.when(there, other).otherwise(F.col("entity_updates"))})
+
+    def inputs(run: DataFrame) -> DataFrame:
+        plain = run.drop("middle").withColumn("related", F.lit(""))
+        earlier = extract.recent_context(plain).select("work_id", "ord", F.when(F.col("recent_text") != "", F.split("recent_text", "\n")).otherwise(F.array().cast("array<string>")).alias("earlier"))
+        return stages.stored(chain.keyed(plain.join(earlier, ["work_id", "ord"]), "v1"), "inputs")
+
+    def results(run: DataFrame, keyed: DataFrame) -> DataFrame:
+        around = chain.states_around(blocks.fold(run))
+        fields = F.to_json(F.struct("entity_updates", "plotline_updates", "recent_event"))
+        return chain.chain_append(keyed.join(around, ["work_id", "ord"]).withColumn("fields_json", fields), name, "v1")
+
+    name = chain.namespace({"extractor": "given"})
+    asked = inputs(again)
+    even = F.col("work_id").cast("long") % 2 == 0
+    cache = stages.stored(results(given, inputs(given)).unionByName(results(again.where(even), asked.where(even))), "cache")
+    hits, misses = chain.chain_split(asked, cache, name, size=16)
+    rows = hits.select("work_id", "degraded").withColumn("cached", F.lit(True)).unionByName(misses.select("work_id", "degraded").withColumn("cached", F.lit(False)))
+    return extract.run_report(rows)
+
+
 def _reported(spark: SparkSession, d: str) -> DataFrame:
     """Every third unit is fresh and took a request; a degraded one failed twice; every second chapter's digest came from the cache."""
     units = fx.delta_units(spark, d)
@@ -360,6 +388,7 @@ QUERIES = {
     "recent_context": lambda s, d: extract.recent_context(fx.talk_units(s, d)).select("work_id", "ord", "recent_text"),
     "related_context": lambda s, d: extract.related_context(fx.talk_units(s, d)),
     "cache_split": _cached,
+    "cache_chain": _chained,
     "apply_patch": _patched,
     "coerce_patch": _review,
     "extract_units": _extracted,

@@ -289,3 +289,7 @@ ORACLE_SQL["search_bounded"] = f"""WITH {UNITS} {TERMS} {POSTINGS}, asked AS (SE
       SELECT query_id, work_id, unit_id, ord, sum(CASE WHEN ln((n_units - n + 0.5) / (n + 0.5)) <= 0 THEN 1e-6 ELSE ln((n_units - n + 0.5) / (n + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean_size))) AS score
       FROM read JOIN spread USING (query_id, term) JOIN sized USING (query_id) GROUP BY 1, 2, 3, 4)
     SELECT query_id, work_id, unit_id, ord, round(score, 3) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, ord, unit_id) AS place FROM bm QUALIFY place <= 200"""
+#: A work's units hit up to the first that is degraded (never kept) or, in works of one run, has changed.
+ORACLE_SQL["cache_chain"] = f"""WITH {DELTAS}, m AS (SELECT work_id, max(ord) // 2 + 1 AS middle FROM deltas GROUP BY 1
+    ), stops AS (SELECT work_id, min(ord) FILTER (WHERE degraded OR (ord = middle AND CAST(work_id AS BIGINT) % 2 = 1)) AS stop FROM deltas JOIN m USING (work_id) GROUP BY 1)
+    SELECT work_id, count(*) AS units, count(*) FILTER (WHERE ord < coalesce(stop, 9000000000)) AS cached, count(*) FILTER (WHERE ord >= coalesce(stop, 9000000000)) AS fresh, count(*) FILTER (WHERE degraded) AS degraded FROM deltas JOIN stops USING (work_id) GROUP BY 1"""

@@ -1,12 +1,13 @@
 """Cases that the given data don't hold, and features over whole works, against plain Python."""
 
+import hashlib
 import json
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from narrative_spark.operators import blocks, extract, lexical, search, state
+from narrative_spark.operators import blocks, chain, extract, lexical, search, state
 from narrative_spark.streaming import fold
 
 FIELDS = "work_id string, ord long, summary string, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>, plotline_updates array<struct<action:string,title:string,note:string>>, context_refs array<string>, recent_event struct<text:string>"
@@ -189,3 +190,44 @@ def test_frequencies_that_end_at_the_boundary(spark, tmp_path):
     score = lambda i, scope: [(r.ord, round(r.score, 9)) for r in lexical.search_index(asked, i, stats_scope=scope).orderBy("place").collect()]
     some, every = (lexical.write_index(plain_units(spark, rows[:n]), f"{tmp_path}/{n}") for n in (30, 59))
     assert score(every, "boundary") == score(some, "work") == score(some, "boundary") and score(every, "work") != score(every, "boundary")
+
+
+def brute_chain(units, cache, empty):
+    """Orders of the hits: from the empty state on, each the only result of its unit made from the state that the one before left."""
+    hits = []
+    for work in {u[0] for u in units}:
+        now = empty[work]
+        for _, order, own in sorted(u for u in units if u[0] == work):
+            after = cache.get((work, order, own, now))
+            if after is None:
+                break
+            hits.append((work, order))
+            now = after
+    return sorted(hits)
+
+
+@pytest.mark.parametrize("size", [4, 4096])
+def test_hits_of_a_chain_are_those_of_brute_force(spark, size):
+    """Several runs that part and meet again, holes, and results from states that never came about."""
+    draw = np.random.default_rng(8)
+    units = [(f"w{w}", k, f"t{k}", [f"t{k - 1}"] if k > 1 else [], "") for w in range(12) for k in range(1, 4 + 3 * w)]
+    df = chain.keyed(spark.createDataFrame(units, "work_id string, ord long, text string, earlier array<string>, related string"), "v")
+    own = {(r.work_id, r.ord): r.own for r in df.collect()}
+    empty = {r.work_id: r.e for r in df.select("work_id", chain._empty_state("work_id").alias("e")).distinct().collect()}
+    cache = {}
+    for w in range(12):
+        for run in range(3):
+            now = empty[f"w{w}"]
+            for k in range(1, 4 + 3 * w):
+                after = now if draw.random() < 0.1 else f"s{k}" if draw.random() < 0.5 else f"s{k}-{run}"
+                if draw.random() > 0.3:
+                    cache.setdefault((f"w{w}", k, own[f"w{w}", k] if draw.random() > 0.02 else "other", now), after)
+                now = cache.get((f"w{w}", k, own[f"w{w}", k], now), after)
+    rows = [("n", w, k, o, b, f"{w}/{k}/{b}", a, json.dumps([a])) for (w, k, o, b), a in cache.items()] + [("m", "w1", 9, "x", "y", "z", "z", "[]")]
+    stored = spark.createDataFrame(rows, chain.CACHE)
+    hits, misses = chain.chain_split(df, stored, "n", size=size)
+    want = brute_chain([(w, k, own[w, k]) for w, k, *_ in units], cache, empty)
+    assert sorted((r.work_id, r.ord) for r in hits.collect()) == want and 20 < len(want) < len(units)
+    assert misses.count() == len(units) - len(want) and all(r.key.startswith(f"{r.work_id}/{r.ord}/") for r in hits.collect())
+    assert chain.chain_split(df, stored, "n", force=True, size=size)[0].count() == chain.chain_split(df, stored, "other", size=size)[0].count() == 0
+    assert chain.namespace({"b": 1, "a": "é"}) == hashlib.sha256('{"a": "é", "b": 1}'.encode()).hexdigest()[:16]
