@@ -56,9 +56,10 @@ def _index(units: DataFrame, tokenizer: str = "pair") -> lexical.Index:
 
 
 def _refreshed(spark: SparkSession, d: str) -> DataFrame:
-    """An index first made of the odd units of some works and of a work that goes, then brought up to date for these works: what comes back is as if it were made at once."""
+    """An index first made of the odd units of the works whose source has changed since, and of a work that goes, then brought up to date for these: what comes back is as if it were made at once."""
     asked, units = _asked(spark, d, whole=True)
-    part = F.col("work_id") < "src2"
+    stale = [r.work_id for r in _status(spark, d).where("not current").collect()]
+    part = F.col("work_id").isin(stale)
     first = units.where(~part | (F.col("ord") % 2 == 1)).unionByName(units.where("work_id = 'src0'").withColumn("work_id", F.lit("gone")))
     path = stages.place(spark, "index")
     lexical.write_index(first, path, slots=16)
@@ -285,12 +286,27 @@ def _streamed(spark: SparkSession, d: str, again: str | None = None) -> DataFram
     return folded if again is None else fold.dropped(spark, f"{root}-out")
 
 
+def _files(spark: SparkSession, d: str, before: bool = False) -> DataFrame:
+    """Documents as the files of their works; before: as they were when one document of each of some works had another text, and one of another work wasn't there."""
+    docs = fx.table(spark, d, "documents")
+    text = F.coalesce("text", F.lit(""))
+    if before:
+        first = docs.groupBy("source").agg(F.min("doc_id").alias("first"))
+        docs = docs.join(first, "source").where("not (source = 'src9' and doc_id = first)")
+        text = F.when((F.col("source") < "src2") & (F.col("doc_id") == F.col("first")), F.concat(text, F.lit("!"))).otherwise(text)
+    return docs.select(F.col("source").alias("work_id"), F.col("doc_id").cast("string").alias("source_file"), F.octet_length(text).cast("long").alias("source_bytes"), F.sha2(text, 256).alias("source_sha256"))
+
+
 def _status(spark: SparkSession, d: str) -> DataFrame:
-    """Vector indexes of some works come from an older source."""
-    docs = fx.table(spark, d, "documents").groupBy(F.col("source").alias("work_id")).agg(F.count(F.lit(1)).alias("n"))
-    now = docs.select("work_id", F.sha2(F.concat_ws(":", "work_id", F.col("n").cast("string")), 256).alias("source_sha256"))
-    then = docs.select("work_id", F.sha2(F.concat_ws(":", "work_id", F.when(F.col("work_id") < "src5", F.col("n") + 1).otherwise(F.col("n")).cast("string")), 256).alias("source_sha256"))
-    return vectors.index_status(then, now)
+    """Indexes made from the documents as they were, against the documents as they are, by the hashes of their contents."""
+    return vectors.index_status(stages.work_manifest(_files(spark, d, before=True)), stages.work_manifest(_files(spark, d)))
+
+
+def _differing(spark: SparkSession, d: str) -> DataFrame:
+    """Units of which some have lost a line or got another one, against the body."""
+    lines, units = _cut(spark, d)
+    text = F.when((F.col("work_id") < "src2") & (F.col("ord") % 50 == 7), F.concat("text", F.lit("\nadded"))).otherwise(F.col("text"))
+    return validate.lossless_differences(lines, units.withColumn("text", text), most=1)
 
 
 def _model_output(spark: SparkSession, d: str) -> DataFrame:
@@ -379,6 +395,8 @@ QUERIES = {
     "search_diagnostics_whole": lambda s, d: search.search_diagnostics(*_routed(s, d, whole=True)),
     "evaluate_retrieval_whole": lambda s, d: _evaluate(s, d, whole=True),
     "search_refreshed": _refreshed,
+    "work_manifest": lambda s, d: stages.work_manifest(_files(s, d)),
+    "lossless_differences": _differing,
     "search_bounded": _bounded_bm25,
     "search_run": lambda s, d: _bm25(s, d, tokenizer="run"),
     "search_routes": lambda s, d: _by_vector(s, d)[2].select("query_id", "work_id", "unit_id", "ord", F.round("score", 3).alias("score"), "used"),

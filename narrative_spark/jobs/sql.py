@@ -293,3 +293,11 @@ ORACLE_SQL["search_bounded"] = f"""WITH {UNITS} {TERMS} {POSTINGS}, asked AS (SE
 ORACLE_SQL["cache_chain"] = f"""WITH {DELTAS}, m AS (SELECT work_id, max(ord) // 2 + 1 AS middle FROM deltas GROUP BY 1
     ), stops AS (SELECT work_id, min(ord) FILTER (WHERE degraded OR (ord = middle AND CAST(work_id AS BIGINT) % 2 = 1)) AS stop FROM deltas JOIN m USING (work_id) GROUP BY 1)
     SELECT work_id, count(*) AS units, count(*) FILTER (WHERE ord < coalesce(stop, 9000000000)) AS cached, count(*) FILTER (WHERE ord >= coalesce(stop, 9000000000)) AS fresh, count(*) FILTER (WHERE degraded) AS degraded FROM deltas JOIN stops USING (work_id) GROUP BY 1"""
+ORACLE_SQL["work_manifest"] = """WITH f AS (SELECT source AS work_id, CAST(doc_id AS VARCHAR) AS file, strlen(coalesce(text, '')) AS size, sha256(coalesce(text, '')) AS hash FROM documents
+    ), g AS (SELECT work_id, substring(sha256(file), 1, 2) AS part, count(*) AS n, sum(size) AS size, sha256(string_agg(file || chr(9) || hash, chr(10) ORDER BY file)) AS hash FROM f GROUP BY 1, 2)
+    SELECT work_id, CAST(sum(n) AS BIGINT) AS files, CAST(sum(size) AS BIGINT) AS source_bytes, sha256(string_agg(part || chr(9) || hash, chr(10) ORDER BY part)) AS source_sha256 FROM g GROUP BY 1"""
+ORACLE_SQL["index_status"] = "SELECT source AS work_id, NOT (source < 'src2' OR source = 'src9') AS current FROM documents GROUP BY source"
+ORACLE_SQL["lossless_differences"] = f"""WITH {UNITS}, b AS (SELECT work_id, row_number() OVER (PARTITION BY work_id ORDER BY line_no) AS at, line FROM labelled WHERE NOT is_header
+    ), l AS (SELECT work_id, ord, unnest(string_split(CASE WHEN work_id < 'src2' AND ord % 50 = 7 THEN text || chr(10) || 'added' ELSE text END, chr(10))) AS line, generate_subscripts(string_split(CASE WHEN work_id < 'src2' AND ord % 50 = 7 THEN text || chr(10) || 'added' ELSE text END, chr(10)), 1) AS k FROM units
+    ), u AS (SELECT work_id, row_number() OVER (PARTITION BY work_id ORDER BY ord, k) AS at, line FROM l)
+    SELECT coalesce(b.work_id, u.work_id) AS work_id, coalesce(b.at, u.at) AS at, b.line AS body, u.line AS unit FROM b FULL JOIN u ON b.work_id = u.work_id AND b.at = u.at WHERE b.line IS DISTINCT FROM u.line QUALIFY row_number() OVER (PARTITION BY coalesce(b.work_id, u.work_id) ORDER BY coalesce(b.at, u.at)) = 1"""

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrative_spark.functions import prefix
 from narrative_spark.functions import variants as V
-from narrative_spark.functions.text import count_of, ustrip
-from narrative_spark.operators.lexical import MOST, Index, analyze_queries, ranked, readable, search_bm25, search_index
+from narrative_spark.functions.text import ustrip
+from narrative_spark.operators.lexical import MOST, SENT_TERMS, UNITS, Index, analyze_queries, ranked, readable, search_bm25, search_index
 from narrative_spark.operators.views import BLOCK, read_units
 from narrative_spark.sources.stages import stored
 
@@ -35,14 +39,62 @@ def eligible(queries: DataFrame, units: DataFrame) -> DataFrame:
     return counts.unionByName(some.groupBy("query_id").agg(F.count(F.lit(1)).alias("eligible_units")))
 
 
-def search_scan(queries: DataFrame, units: DataFrame, most: int = MOST) -> DataFrame:
-    """Units by counted occurrences of the query's pairs (twice in the text, once in the summary), or of its signs where it has no pair."""
-    asked = analyze_queries(queries).select("query_id", "work_id", "max_order", "chapter", "terms", "single")
+def _codes(terms: list[str]) -> np.ndarray:
+    """Terms of one or two signs as numbers."""
+    return np.unique(np.array([ord(t[0]) if len(t) == 1 else ord(t[0]) << 21 | ord(t[1]) for t in terms], np.int64))
+
+
+def raw_counts(units: DataFrame, terms: list[str] | None, single: bool) -> DataFrame:
+    """work_id, ord, unit_id, chapter_name, term, n: for each pair of neighbouring signs of a unit, as they are written, twice its occurrences in the text that don't overlap and once those in the
+    summary; with single, also n = 1 for each sign of the text. terms: those that are asked for, null for all."""
     text, summary = F.coalesce("text", F.lit("")), F.coalesce("summary", F.lit("")) if "summary" in units.columns else F.lit("")
-    pair = F.aggregate("terms", F.lit(0).cast("long"), lambda s, t: s + 2 * count_of(text, t) + count_of(summary, t))
-    sign = F.size(F.filter("terms", lambda t: text.contains(t))).cast("long")
-    rows = asked.join(units, "work_id").where(readable(queries)).withColumn("score", F.when(F.col("single"), sign).otherwise(pair).cast("double"))
-    return ranked(rows.where("score > 0").select("query_id", "work_id", "unit_id", "ord", "score"), most)
+    sent = units.sparkSession.sparkContext.broadcast(None if terms is None else _codes(terms))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, UNITS):
+                batch = whole.slice(first, UNITS)
+                parts = [t for pair in zip(batch.column(-2).to_pylist(), batch.column(-1).to_pylist(), strict=True) for t in pair]
+                codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
+                part = np.repeat(np.arange(len(parts)), [len(t) for t in parts])
+                # In a run of one sign only every second pair counts.
+                begins = np.ones(len(codes), bool)
+                begins[1:] = (codes[1:] != codes[:-1]) | (part[1:] != part[:-1])
+                at = np.arange(len(codes))
+                even = (at - np.maximum.accumulate(np.where(begins, at, 0))) % 2 == 0
+                ok = (part[1:] == part[:-1]) & ((codes[1:] != codes[:-1]) | even[:-1])
+                term, owner = (codes[:-1] << 21 | codes[1:])[ok], part[:-1][ok]
+                weight = 2 - owner % 2
+                if single:
+                    alone = np.unique((part[part % 2 == 0] << 21) | codes[part % 2 == 0])
+                    term, owner, weight = np.append(term, alone & ((1 << 21) - 1)), np.append(owner, alone >> 21), np.append(weight, np.ones(len(alone), np.int64))
+                if sent.value is not None:
+                    ok = np.isin(term, sent.value)
+                    term, owner, weight = term[ok], owner[ok], weight[ok]
+                by = np.lexsort((term, owner // 2))
+                term, owner, weight = term[by], owner[by] // 2, weight[by]
+                new = np.ones(len(term), bool)
+                new[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+                start = np.flatnonzero(new)
+                n = np.add.reduceat(weight, start) if len(start) else weight
+                known, place = np.unique(term[start], return_inverse=True)
+                names = pa.array([chr(c) if c < 1 << 21 else chr(c >> 21) + chr(c & ((1 << 21) - 1)) for c in known.tolist()], pa.string())
+                kept = [batch.column(k).take(pa.array(owner[start])) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([*kept, names.take(pa.array(place)), pa.array(n)], names=["work_id", "ord", "unit_id", "chapter_name", "term", "n"])
+
+    return units.select("work_id", F.col("ord").cast("long").alias("ord"), "unit_id", "chapter_name", text.alias("text"), summary.alias("summary")).mapInArrow(count, "work_id string, ord long, unit_id string, chapter_name string, term string, n long")
+
+
+def search_scan(queries: DataFrame, units: DataFrame, most: int = MOST) -> DataFrame:
+    """Units by counted occurrences of the query's pairs (twice in the text, once in the summary), or of its signs where it has no pair. Pairs are counted once in each unit, whatever the number of queries."""
+    asked = stored(analyze_queries(queries).select("query_id", "work_id", "max_order", "chapter", "single", F.explode("terms").alias("term")), "asked")
+    terms = asked.select("term").distinct()
+    few = terms.count() <= SENT_TERMS
+    single = asked.where("single").limit(1).count() > 0
+    counts = raw_counts(units, [r.term for r in terms.toLocalIterator()] if few else None, single)
+    sent = asked.drop("single")
+    rows = counts.join(F.broadcast(sent) if few and asked.count() <= SENT_TERMS else sent, ["work_id", "term"]).where(readable(queries))
+    return ranked(rows.groupBy("query_id", "work_id", "unit_id", "ord").agg(F.sum("n").cast("double").alias("score")), most)
 
 
 def search(queries: DataFrame, units: DataFrame, postings: DataFrame | Index, stats: DataFrame | None = None, vector_rows: DataFrame | None = None, vector_works: DataFrame | None = None, retrieval: str = "auto", tokenizer: str = "pair") -> DataFrame:

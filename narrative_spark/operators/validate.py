@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from narrative_spark.functions import prefix
 from narrative_spark.functions.text import count_of
+from narrative_spark.sources.stages import stored
 
 PREVIEW, SPOTS = 220, 10
+#: Lines or units that one sort takes together.
+BLOCK = 1 << 14
 
 
 def check_orders(units: DataFrame) -> DataFrame:
@@ -19,16 +23,35 @@ def check_orders(units: DataFrame) -> DataFrame:
     return units.groupBy("work_id").agg(n.alias("units"), F.min("ord").alias("first"), F.max("ord").alias("last"), ((n == F.count_distinct("ord")) & (F.min("ord") == 1) & (F.max("ord") == n)).alias("ok"))
 
 
+def _numbered_lines(labelled: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the lines outside headers, the units' lines): work_id, at (from 1 in each work), line. Numbers are counted block by block."""
+    body = labelled.where(~F.col("is_header")).select("work_id", "line_no", "line")
+    placed = prefix.scan(body.select("work_id", "line_no", F.floor(F.col("line_no") / BLOCK).alias("block")), "work_id", "block", [F.col("line_no")], sums={"earlier": F.lit(1)})
+    left = body.join(placed.select("work_id", "line_no", (F.col("earlier") + 1).alias("at")), ["work_id", "line_no"]).select("work_id", "at", "line")
+    lines = F.split("text", "\n", -1)
+    sizes = units.select("work_id", "ord", F.floor(F.col("ord") / BLOCK).alias("block"), F.size(lines).cast("long").alias("n"))
+    before = prefix.scan(sizes, "work_id", "block", [F.col("ord")], sums={"earlier": F.col("n")}).select("work_id", "ord", "earlier")
+    right = units.select("work_id", "ord", F.posexplode(lines).alias("k", "line")).join(before, ["work_id", "ord"]).select("work_id", (F.col("earlier") + F.col("k") + 1).alias("at"), "line")
+    return left, right
+
+
 def check_lossless(labelled: DataFrame, units: DataFrame) -> DataFrame:
-    """Whether the lines outside headers are the units' lines, in their order; lengths as of both joined by line feeds. Lines are compared one by one."""
-    body = labelled.where(~F.col("is_header")).select("work_id", "chapter_idx", "line_no", "line")
-    inside = W.partitionBy("work_id", "chapter_idx")
-    body = body.select("work_id", "chapter_idx", F.row_number().over(inside.orderBy("line_no")).alias("at"), F.col("line").alias("left"))
-    again = units.select("work_id", "chapter_idx", "ord", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
-    again = again.select("work_id", "chapter_idx", F.row_number().over(inside.orderBy("ord", "k")).alias("at"), F.col("line").alias("right"))
-    both = body.join(again, ["work_id", "chapter_idx", "at"], "full_outer")
-    size = lambda c: (F.coalesce(F.sum(F.length(c)), F.lit(0)) + F.greatest(F.count(c) - 1, F.lit(0))).cast("long")
-    return both.groupBy("work_id").agg(size("left").alias("body_chars"), size("right").alias("unit_chars"), F.bool_and(F.col("left").eqNullSafe(F.col("right"))).alias("ok"))
+    """Whether the lines outside headers are the units' lines, in their order; lengths as of both joined by line feeds.
+
+    A work's lines are summed up by two 64-bit hashes of each line with its place, so that no line meets another; where works differ, lossless_differences tells the lines.
+    """
+    size = (F.coalesce(F.sum(F.length("line")), F.lit(0)) + F.greatest(F.count("line") - 1, F.lit(0))).cast("long")
+    both = [df.groupBy("work_id").agg(size.alias(f"{n}_chars"), F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("at", "line")).alias("a"), F.bit_xor(F.xxhash64("line", "at", F.lit(7))).alias("b")).alias(n)) for n, df in zip(("body", "unit"), _numbered_lines(labelled, units), strict=True)]
+    none = lambda n: F.coalesce(f"{n}_chars", F.lit(0).cast("long")).alias(f"{n}_chars")
+    return both[0].join(both[1], "work_id", "full_outer").select("work_id", none("body"), none("unit"), F.col("body").eqNullSafe(F.col("unit")).alias("ok"))
+
+
+def lossless_differences(labelled: DataFrame, units: DataFrame, most: int = 8) -> DataFrame:
+    """work_id, at, body, unit: the first lines that differ (null where there is none) of each work that isn't kept whole; only such works are compared line by line."""
+    bad = stored(check_lossless(labelled, units).where("not ok").select("work_id"), "differing")
+    left, right = (df.join(bad, "work_id", "left_semi").select("work_id", "at", F.col("line").alias(n)) for n, df in zip(("body", "unit"), _numbered_lines(labelled, units), strict=True))
+    rows = left.join(right, ["work_id", "at"], "full_outer").where(~F.col("body").eqNullSafe(F.col("unit")))
+    return rows.withColumn("rank", F.row_number().over(W.partitionBy("work_id").orderBy("at"))).where(F.col("rank") <= most).select("work_id", "at", "body", "unit")
 
 
 def check_headers(units: DataFrame, headers: DataFrame) -> DataFrame:

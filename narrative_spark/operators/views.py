@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from narrative_spark.functions import prefix
+from narrative_spark.sources.stages import stored
 
 RECENT = 5
 #: Fields of a snapshot that hold an order, and its lists of records.
@@ -84,7 +85,7 @@ def _fault(snapshot: pd.Series, work: pd.Series, order: pd.Series) -> pd.Series:
     for raw, own, now in zip(snapshot, work, order, strict=True):
         try:
             s = json.loads(raw) if raw else None
-        except ValueError:
+        except (ValueError, RecursionError):  # nested too deeply to be a snapshot
             s = None
         if not isinstance(s, dict):
             out.append("missing_snapshot")
@@ -151,12 +152,36 @@ def recap(snapshots: DataFrame, readers: DataFrame, recent: int = RECENT) -> Dat
     return rows.select("reader_id", "work_id", "max_order", F.coalesce("s__.backdrop", F.lit("")).alias("backdrop"), last.alias("recent"))
 
 
+def _grams(text: Column) -> Column:
+    """Distinct pairs of neighbouring signs and single signs of text."""
+    every = F.split(text, "")
+    two = F.zip_with(F.slice(every, 1, F.size(every) - 1), F.slice(every, 2, F.size(every) - 1), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.concat(every, two))
+
+
+def _inside(small: DataFrame, large: DataFrame) -> DataFrame:
+    """work_id, small, large: pairs of a work of which one text stands in the other, from (work_id, small) and (work_id, large), both distinct and not empty.
+
+    Texts are indexed by their pairs of signs; the small one meets those only that hold its rarest pair (its sign, where it has but one), and is then looked for in them.
+    """
+    index = large.select("work_id", "large", F.explode(_grams(F.col("large"))).alias("gram"))
+    spread = index.groupBy("work_id", "gram").agg(F.count(F.lit(1)).alias("n"))
+    wanted = small.select("work_id", "small", F.explode(F.filter(_grams(F.col("small")), lambda g: F.length(g) == F.least(F.length("small"), F.lit(2)))).alias("gram"))
+    rarest = wanted.join(spread, ["work_id", "gram"], "left").groupBy("work_id", "small").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least")).where("least.n > 0")
+    rows = rarest.select("work_id", "small", F.col("least.gram").alias("gram")).join(index, ["work_id", "gram"])
+    return rows.where(F.col("large").contains(F.col("small"))).select("work_id", "small", "large")
+
+
 def _history(units: DataFrame, requests: DataFrame, column: str, field: str) -> DataFrame:
-    """Updates whose name holds the asked name or is held by it. Requests are matched with the distinct names of their work first."""
+    """Updates whose name holds the asked name or is held by it. Requests are matched with the distinct names of their work first, by the signs they share."""
     rows = units.select("work_id", "unit_id", "ord", F.posexplode(column).alias("pos", "u")).withColumn("name", F.col("u")[field])
-    names = rows.select("work_id", "name").where("name <> ''").distinct()
+    names = stored(rows.select("work_id", "name").where("name <> ''").distinct(), "names")
     asked = requests.withColumn("asked", F.trim("name")).drop("name").where("asked <> ''")
-    pairs = asked.join(names, "work_id").where(F.col("name").contains(F.col("asked")) | F.col("asked").contains(F.col("name"))).select("request_id", "work_id", "max_order", "name")
+    texts = stored(asked.select("work_id", "asked").distinct(), "asked")
+    side = lambda df, c, to: df.select("work_id", F.col(c).alias(to))
+    holds = _inside(side(texts, "asked", "small"), side(names, "name", "large")).select("work_id", F.col("small").alias("asked"), F.col("large").alias("name"))
+    held = _inside(side(names, "name", "small"), side(texts, "asked", "large")).select("work_id", F.col("large").alias("asked"), F.col("small").alias("name"))
+    pairs = asked.join(holds.unionByName(held).distinct(), ["work_id", "asked"]).select("request_id", "work_id", "max_order", "name")
     return pairs.join(rows, ["work_id", "name"]).where(F.col("ord") <= F.col("max_order")).select("request_id", "work_id", "ord", "unit_id", "pos", F.col("u").alias("update"))
 
 

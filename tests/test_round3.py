@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from narrative_spark.operators import blocks, chain, extract, lexical, search, state
+from narrative_spark.operators import blocks, chain, extract, lexical, search, state, views
+from narrative_spark.sources import stages
 from narrative_spark.streaming import fold
 
 FIELDS = "work_id string, ord long, summary string, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>, plotline_updates array<struct<action:string,title:string,note:string>>, context_refs array<string>, recent_event struct<text:string>"
@@ -231,3 +232,68 @@ def test_hits_of_a_chain_are_those_of_brute_force(spark, size):
     assert misses.count() == len(units) - len(want) and all(r.key.startswith(f"{r.work_id}/{r.ord}/") for r in hits.collect())
     assert chain.chain_split(df, stored, "n", force=True, size=size)[0].count() == chain.chain_split(df, stored, "other", size=size)[0].count() == 0
     assert chain.namespace({"b": 1, "a": "é"}) == hashlib.sha256('{"a": "é", "b": 1}'.encode()).hexdigest()[:16]
+
+
+def test_scan_counts_pairs_as_they_are_written(spark):
+    """Runs of one sign, pairs over borders of texts and summaries, capitals, and queries of a single sign, against counting substrings."""
+    texts = ["aaaa aaa aa a", "ab aba abab", "aB Ab AB", "a b", "", "aab", "xyzab\nab", "😀a😀a", "é1é1 1"]
+    units = spark.createDataFrame([("w", f"u{k}", k, "c", t, s) for k, (t, s) in enumerate(zip(texts, ["aa", "aaab", "", None, "ab", "b", "a", "😀a", "1é"], strict=True), 1)], "work_id string, unit_id string, ord long, chapter_name string, text string, summary string")
+    asked = spark.createDataFrame([(q, "w", q, None, None) for q in ("aa", "aaab", "AB", "x", "é1", "ab aa", "?")] + [("bound", "w", "ab", 4, None), ("chapter", "w", "ab", None, "d"), ("other", "v", "ab", None, None)], "query_id string, work_id string, query string, max_order long, chapter string")
+    rows = units.collect()
+    want = set()
+    for q in lexical.analyze_queries(asked).collect():
+        for u in rows:
+            score = sum(t in u.text for t in q.terms) if q.single else sum(2 * u.text.count(t) + (u.summary or "").count(t) for t in q.terms)
+            if score and q.work_id == "w" and u.ord <= (q.max_order or 99) and not q.chapter:
+                want.add((q.query_id, u.ord, float(score)))
+    assert {(r.query_id, r.ord, r.score) for r in search.search_scan(asked, units).collect()} == want and len(want) > 15
+
+
+def test_containment_both_ways(spark):
+    draw = np.random.default_rng(4)
+    word = lambda n: "".join(draw.choice(list("ab😀é"), n))
+    names, asked = {word(draw.integers(1, 6)) for _ in range(60)}, {word(draw.integers(1, 8)) for _ in range(40)} | {"zz", "a"}
+    rows = [("w", f"u{k}", k, [(n, "character", "", "", None, None)]) for k, n in enumerate(sorted(names), 1)]
+    units = spark.createDataFrame(rows, "work_id string, unit_id string, ord long, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>")
+    requests = spark.createDataFrame([(q, w, f" {q} ", 40) for w in ("w", "v") for q in sorted(asked)], "request_id string, work_id string, name string, max_order long")
+    found = views.entity_history(units, requests)
+    want = {(q, n) for q in asked for k, n in enumerate(sorted(names), 1) if k <= 40 and (q in n or n in q)}
+    assert {(r.request_id, r.update.name) for r in found.collect()} == want and len(want) > 100
+
+
+@pytest.mark.parametrize("name", ["utf-8-sig", "utf-8", "gb18030", "gbk", "big5"])
+def test_files_in_ranges_equal_files_as_a_whole(spark, tmp_path, name):
+    text = "".join(f"第{k}行：中文 line{' long' * (k % 30)}{end}" for k, end in zip(range(400), ["\n", "\r\n", "\r", "\n\n", "\r\r\n"] * 80, strict=True)) + "末尾\r"
+    (tmp_path / "a.txt").write_bytes(text.encode(name))
+    (tmp_path / "b.txt").write_bytes(b"\xff\xff\n\xff plain")
+    (tmp_path / "c.txt").write_bytes("﻿one\n﻿two".encode())
+    whole = {r.source_file.rsplit("/", 1)[1]: (r.encoding, r.text) for r in stages.read_raw(spark, str(tmp_path)).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = stages.read_raw_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for file, (encoding, content) in whole.items():
+        mine = sorted((r.line_no, r.line) for r in lines if r.source_file.endswith(file))
+        assert [n for n, _ in mine] == list(range(1, len(mine) + 1)) and {r.encoding for r in lines if r.source_file.endswith(file)} == {encoding}
+        if content is not None:
+            kept = lambda items: [x for x in items if x[1]]
+            assert kept(mine) == kept(list(enumerate(content.split("\n"), 1)))
+    assert whole["b.txt"] == (None, None) and {r.line for r in lines if r.source_file.endswith("b.txt")} == {None}
+
+
+def test_one_changed_file_changes_its_work(spark):
+    files = [(f"w{k % 3}", f"f{k}", 5, f"{k:064x}") for k in range(900)]
+    df = lambda rows: stages.work_manifest(spark.createDataFrame(rows, "work_id string, source_file string, source_bytes long, source_sha256 string").repartition(5))
+    old = {r.work_id: r for r in df(files).collect()}
+    assert {r.work_id: r for r in df(files[::-1]).collect()} == old and old["w1"].files == 300 and old["w1"].source_bytes == 1500
+    new = {r.work_id: r.source_sha256 for r in df([*files[:7], ("w1", "f7", 5, "other"), *files[8:]]).collect()}
+    assert [new[w] == old[w].source_sha256 for w in ("w0", "w1", "w2")] == [True, False, True]
+
+
+def test_deeply_nested_snapshots_are_no_end(spark):
+    rows = [("w", 1, "[" * 200_000, False), ("w", 2, '{"a":' * 50_000 + "1" + "}" * 50_000, False), ("w", 3, '{"work_id": "w", "last_order": 3}', False)]
+    got = views.validate_snapshots(spark.createDataFrame(rows, "work_id string, ord long, snapshot string, degraded boolean")).collect()
+    assert {r.ord: r.reason for r in got} == {1: "missing_snapshot", 2: "missing_snapshot", 3: None}
