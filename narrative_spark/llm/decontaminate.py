@@ -28,23 +28,33 @@ _OUT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("item
 
 
 class Phrases:
-    """Windows of benchmark items over a numbered alphabet."""
+    """Windows of benchmark items over a numbered alphabet: a matrix of their numbers for each size, and of each window the items that have it, as places in names."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
         self.window = window
-        grams: dict[tuple[int, ...], set[str]] = {}
-        for first, data, edges in bytetext.chunks(pa.array([t for _, t in items], pa.large_string())):
+        hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, data, edges in bytetext.chunks(pa.array([t for _, t in items], pa.large_string())):
             words = bytetext.words_of(data, edges, bytetext.ALNUM, True)
-            for d in range(len(edges) - 1):
-                own = words.hash[words.doc_words[d] : words.doc_words[d + 1]].tolist()
-                for k in range(max(1, len(own) - window + 1) if own else 0):
-                    grams.setdefault(tuple(own[k : k + window]), set()).add(items[first + d][0])
-        self.alphabet = np.unique(np.array([h for g in grams for h in g], np.uint64))
-        self.shortest = min((len(g) for g in grams), default=window)
-        self.sets: list[tuple[np.ndarray, list[list[str]]]] = []
-        for size in sorted({len(g) for g in grams}):
-            some = [g for g in grams if len(g) == size]
-            self.sets.append((np.searchsorted(self.alphabet, np.array(some, np.uint64)) + 1, [sorted(grams[g]) for g in some]))
+            hashes.append(words.hash)
+            sizes.append(np.diff(words.doc_words))
+        self.alphabet, symbols = np.unique(np.concatenate(hashes), return_inverse=True)
+        symbols, size = (symbols + 1).astype(np.int32), np.concatenate(sizes)
+        begin = np.cumsum(size) - size
+        self.names = sorted({name for name, _ in items})
+        rank = {name: k for k, name in enumerate(self.names)}
+        named = np.array([rank[name] for name, _ in items], np.int64)
+        wide = np.minimum(size, window)
+        self.shortest = int(min(wide[wide > 0], default=window))
+        self.sets: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for w in np.unique(wide[wide > 0]):
+            own = np.flatnonzero(wide == w)
+            count = size[own] - w + 1
+            item = np.repeat(own, count)
+            start = begin[item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+            rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(symbols, w)[start])
+            _, first, one = np.unique(rows.view(np.dtype((np.void, rows.itemsize * w))).ravel(), return_index=True, return_inverse=True)
+            pair = np.unique(one.ravel() * len(self.names) + named[item])
+            self.sets.append((rows[first], np.searchsorted(pair, np.arange(len(first) + 1) * len(self.names)), (pair % len(self.names)).astype(np.int32)))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.alphabet & np.uint64(len(self.maybe) - 1)).astype(np.int64)] = True
 
@@ -64,14 +74,14 @@ class Phrases:
         if not len(text):
             return
         index = FMIndex(text, len(self.alphabet) + 1)
-        for patterns, names in self.sets:
+        for patterns, cut, of in self.sets:
             low, high = index.search(patterns)
             found = np.flatnonzero(high > low)
             many = high[found] - low[found]
             edges = np.concatenate(([0], np.cumsum(many)))
             at = place[index.locate(np.repeat(low[found] - edges[:-1], many) + np.arange(edges[-1]))]
             for k, one in enumerate(found):
-                yield at[edges[k] : edges[k + 1]], patterns.shape[1], names[one]
+                yield at[edges[k] : edges[k + 1]], patterns.shape[1], [self.names[i] for i in of[cut[one] : cut[one + 1]]]
 
 
 def _stretches(symbols: np.ndarray, doc_words: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:

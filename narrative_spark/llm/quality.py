@@ -1,8 +1,8 @@
 """Operator 5: supervised subword embeddings for document quality.
 
-A document is the average of learned vectors of its hashed words, word pairs and byte n-grams inside words; a softmax over
+A document is the average of learned vectors of its hashed words, word pairs and character n-grams inside words; a softmax over
 that average gives its label. Vectors and softmax are trained by numpy stochastic gradient descent on a bounded sample of labelled
-rows, each feature's step shrinking with the gradients that it has seen (AdaGrad). As the average and the output are linear, scoring needs one number for each feature, so that whole texts are scored
+rows, some at a time, each feature's step shrinking with the gradients that it has seen (AdaGrad). As the average and the output are linear, scoring needs one number for each feature, so that whole texts are scored
 by table look-ups.
 """
 
@@ -20,7 +20,9 @@ from narrative_spark.llm.common import tidy
 
 #: Labelled rows that training sees at most, picked by a hash of their id, and bytes of their texts together; texts are taken whole or not at all.
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
-BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 16, 6, 0.1
+BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 16, 6, 0.2
+#: Texts of a step.
+BATCH = 16
 NGRAMS = (2, 3, 4)
 _SAME = np.uint64(0x5851F42D4C957F2D)
 
@@ -36,14 +38,16 @@ def features(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
     both = bytetext.mix(h[pair] * np.uint64(0x9E3779B97F4A7C15) + h[pair + 1])
     found.append(np.where(h[pair] == h[pair + 1], _SAME, both))
     docs.append(doc[pair])
-    size = words.end - words.start
-    owner = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + words.start[owner]
+    # Code points: where each begins, and the word it lies in.
+    begin = np.flatnonzero((words.data & 0xC0) != 0x80)
+    owner = np.searchsorted(words.start, begin, "right") - 1
+    inside = np.flatnonzero((owner >= 0) & (begin < words.end[np.maximum(owner, 0)])) if len(words.end) else np.zeros(0, np.int64)
+    begin = np.append(begin, np.full(max(NGRAMS), len(words.data)))
     for n in NGRAMS:
-        ok = place + n <= words.end[owner]
-        at = place[ok]
-        found.append(words.span_hash(at, at + n) + np.uint64(n))
-        docs.append(doc[owner[ok]])
+        at, to, own = begin[inside], begin[inside + n], owner[inside]
+        ok = (to <= words.end[own]) & (inside + n <= len(owner)) if len(own) else np.zeros(0, bool)
+        found.append(words.span_hash(at[ok], to[ok]) + np.uint64(n))
+        docs.append(doc[own[ok]])
     return (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(docs)
 
 
@@ -63,25 +67,36 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 5) -> tuple[np.ndarra
     vectors = draw.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     out, bias = np.zeros((2, WIDTH), np.float32), np.zeros(2, np.float32)
     seen, seen_out, seen_bias = np.full(BUCKETS, 1e-12, np.float32), np.full((2, WIDTH), 1e-12, np.float32), np.full(2, 1e-12, np.float32)
-    step, steps = 0, EPOCHS * len(rows)
+    step, steps = 0, EPOCHS * -(-len(rows) // BATCH)
     for _ in range(EPOCHS):
-        for k in draw.permutation(len(rows)):
+        order = draw.permutation(len(rows))
+        for first in range(0, len(rows), BATCH):
+            some = order[first : first + BATCH]
             rate = RATE * (1 - step / steps)
             step += 1
-            at, share = rows[k]
-            hidden = share @ vectors[at]
-            odds = out @ hidden + bias
-            p = np.exp(odds - odds.max())
-            p /= p.sum()
-            p[labels[k]] -= 1
-            # The gradients of the loss: of a feature's vector share * back, of the output p * hidden, of the bias p.
-            back, turn = p @ out, np.outer(p, hidden)
-            seen[at] += share * share * (back @ back)
-            vectors[at] -= rate * np.outer(share / np.sqrt(seen[at]), back)
+            at, share = (np.concatenate([rows[k][j] for k in some]) for j in (0, 1))
+            size = np.array([len(rows[k][0]) for k in some])
+            text = np.repeat(np.arange(len(some)), size)
+            hidden = np.zeros((len(some), WIDTH), np.float32)
+            starts = np.cumsum(size) - size
+            hidden[size > 0] = np.add.reduceat(share[:, None] * vectors[at], starts[size > 0]) if len(at) else 0
+            odds = hidden @ out.T + bias
+            p = np.exp(odds - odds.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            p[np.arange(len(some)), labels[some]] -= 1
+            # The gradients of the batch's loss: of a feature's vector the sum of share * back over its texts, of the output and bias those of p * hidden and p.
+            back = p @ out
+            by = np.argsort(at, kind="stable")
+            at, lead = at[by], np.flatnonzero(np.diff(at[by], prepend=-1))
+            which = at[lead]
+            pull = np.add.reduceat(share[by, None] * back[text[by]], lead) if len(at) else np.zeros((0, WIDTH), np.float32)
+            seen[which] += (pull * pull).sum(1)
+            vectors[which] -= rate * pull / np.sqrt(seen[which])[:, None]
+            turn, lean = p.T @ hidden, p.sum(0)
             seen_out += turn * turn
             out -= rate * turn / np.sqrt(seen_out)
-            seen_bias += p * p
-            bias -= rate * p / np.sqrt(seen_bias)
+            seen_bias += lean * lean
+            bias -= rate * lean / np.sqrt(seen_bias)
     return vectors @ (out[1] - out[0]), float(bias[1] - bias[0])
 
 

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,20 +30,27 @@ FILES = "file string, first long, doc_ids array<long>"
 _KINDS = {2: "<u2", 4: "<u4"}
 
 
+def _name(column: str) -> Column:
+    """A file's name without its folders."""
+    return F.regexp_extract(column, "[^/]+$", 0)
+
+
 def _place(path: str) -> tuple[FileSystem, str]:
     """File system and path in it; Spark names local files file:/x."""
     return FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)
 
 
-def read_token_files(spark: SparkSession, path: str, id_bytes: int = 4, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, id_bytes: int = 4, block_tokens: int = BLOCK_TOKENS, only: DataFrame | None = None) -> DataFrame:
     """Flat token files as blocks: file, block, tokens. Spark lists the files with their lengths; tasks then read runs of blocks by byte range, so that a
     file may be larger than a task's memory.
 
-    Empty files have no blocks. The last bytes of a file that aren't a whole id are left out. Files must lie where pyarrow can open them (local or shared
+    only: names (file) of those that count, where others lie beside them. Empty files have no blocks. The last bytes of a file that aren't a whole id are left out. Files must lie where pyarrow can open them (local or shared
     folders, HDFS, object stores).
     """
     step = block_tokens * id_bytes
     files = spark.read.format("binaryFile").load(path).select("path", (F.col("length") - F.col("length") % id_bytes).alias("length")).where("length > 0")
+    if only is not None:
+        files = files.join(only.select(_name("file").alias("name")).distinct(), _name("path") == F.col("name"), "left_semi")
     runs = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / (step * RUN)))).alias("run"))
     runs = runs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "run")
 
@@ -67,7 +75,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, separator: int, folder: s
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, name, count, opened = UnitTokenizer.loaded(tokenizer, True), f"{folder}/{uuid.uuid4().hex}.bin", 0, None
+        coder, name, count, opened = UnitTokenizer.loaded(tokenizer, True), f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin", 0, None
         for batch in batches:
             names = batch.column(0)
             for at, ids, off in coder.texts(batch.column(1)):
@@ -88,14 +96,18 @@ def write_token_files(docs: DataFrame, tokenizer: str, separator: int, folder: s
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, separator: int, id_bytes: int = 2) -> DataFrame:
-    """Documents as flat files in the shared folder, and the scan of those files: file, ordinal, start, n_tokens, terminated, doc_id."""
+    """Documents as flat files in the shared folder, and the scan of those files: file, ordinal, start, n_tokens, terminated, doc_id.
+
+    A file is named by the part of docs that it holds, so that the same parts give the same rows. Null and empty texts are documents of no tokens; very long texts span blocks; repeated rows count
+    each; null ids stay; an empty table gives no rows; other columns aren't read.
+    """
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     files = write_token_files(docs, tokenizer, separator, folder, id_bytes)
-    known = files.select("file", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select(F.regexp_extract("file", "[^/]+$", 0).alias("file"), (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
-    blocks = read_token_files(spark, folder, id_bytes)
-    found = scan(blocks.withColumn("file", F.regexp_extract("file", "[^/]+$", 0)), separator, id_bytes)
-    return known.join(found, ["file", "ordinal"], "left").select("file", "ordinal", "start", "n_tokens", "terminated", "doc_id")
+    known = files.select("file", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select(_name("file").alias("file"), (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
+    blocks = read_token_files(spark, folder, id_bytes, only=files)
+    found = scan(blocks.withColumn("file", _name("file")), separator, id_bytes)
+    return known.join(found, ["file", "ordinal"], "left").select(F.regexp_extract("file", "^part-[0-9]+", 0).alias("file"), "ordinal", "start", "n_tokens", "terminated", "doc_id")
 
 
 def scan(blocks: DataFrame, separator: int, id_bytes: int = 4) -> DataFrame:

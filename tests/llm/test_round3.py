@@ -2,15 +2,19 @@
 
 import re
 import time
+from collections import Counter
 from itertools import combinations, permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import common, filteraudit, html, near, queries, simhash, whitening
+from narrative_spark.llm import bytetext, common, decontaminate, filteraudit, html, near, quality, queries, separators, simhash, whitening
+from narrative_spark.llm.tokens import tokenizer_path
 from tests.llm.test_operators import CLASHES, lower
+from tests.llm.test_whole_results import plain_features
 from tests.oracle import both
 
 
@@ -269,3 +273,43 @@ def test_marked_leaves_are_read_in_linear_time():
         began = time.time()
         html.cut(html.read(page), [])
         assert time.time() - began < 5
+
+
+def test_n_grams_are_of_characters():
+    texts = ["é", "éa ñ", "日本語 x", "", None, "  ", "a b", "😀é"]
+    for t in texts:
+        for _, data, edges in bytetext.chunks(pa.array([t, "tail"])):
+            bucket, doc = quality.features(data, edges)
+            assert Counter(bucket[doc == 0].tolist()) == plain_features(t), t
+
+
+def test_token_rows_are_the_same_in_every_run(spark):
+    docs = common.materialize(spark.createDataFrame([(k, f"some text {k} " * k) for k in range(40)], "doc_id long, text string").repartition(4, "doc_id"), "docs")
+    rows = [sorted(map(repr, separators.count_tokens(docs, tokenizer_path(), queries.SEPARATOR, 2).collect())) for _ in range(2)]
+    assert rows[0] == rows[1] and len(rows[0]) == 40
+
+
+def test_files_of_other_attempts_are_not_read(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(6)], "doc_id long, text string").repartition(2)
+    files = separators.write_token_files(docs, tokenizer_path(), queries.SEPARATOR, f"file://{tmp_path}", 2)
+    (tmp_path / "part-000000-other.bin").write_bytes(b"\x01\x00" * 9)
+    assert separators.read_token_files(spark, str(tmp_path), 2, only=files).count() == files.select("file").distinct().count() < separators.read_token_files(spark, str(tmp_path), 2).count()
+
+
+def test_windows_of_many_items_are_a_matrix():
+    """Windows against tuples of words, items that share them, repeated and short items; and their size in memory."""
+    draw = np.random.default_rng(5)
+    items = [(str(k % 70), " ".join(f"w{x}" for x in draw.integers(0, 6, draw.integers(0, 9)))) for k in range(90)]
+    want = {}
+    for name, text in items:
+        w = text.split()
+        for k in range(max(1, len(w) - 3) if w else 0):
+            want.setdefault(tuple(w[k : k + 4]), set()).add(name)
+    words = sorted({x for g in want for x in g})
+    place = {w: int(decontaminate.Phrases([("x", w)], 4).alphabet[0]) for w in words}
+    phrases = decontaminate.Phrases(items, 4)
+    back = {int(np.searchsorted(phrases.alphabet, np.uint64(h))) + 1: w for w, h in place.items()}
+    found = {tuple(back[int(x)] for x in row): {phrases.names[i] for i in of[cut[j] : cut[j + 1]]} for rows, cut, of in phrases.sets for j, row in enumerate(rows)}
+    assert found == want
+    many = decontaminate.Phrases([("a", " ".join(f"w{k}" for k in range(200_000)))], 13)
+    assert sum(rows.nbytes + cut.nbytes + of.nbytes for rows, cut, of in many.sets) < 70 * 200_000 and decontaminate.Phrases([], 13).sets == []

@@ -158,7 +158,7 @@ def plain_features(text):
     words = [w for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w]
     found = [hashed(w) for w in words]
     pairs = [int(quality._SAME) if a == b else mix((a * 0x9E3779B97F4A7C15 + b) & mask) for a, b in zip(found, found[1:], strict=False)]
-    grams = [(hashed(w[i : i + n]) + n) & mask for n in quality.NGRAMS for w in words for i in range(len(w) - n + 1)]
+    grams = [(hashed(w[i : i + n].encode()) + n) & mask for n in quality.NGRAMS for w in (x.decode() for x in words) for i in range(len(w) - n + 1)]
     return Counter(h % quality.BUCKETS for h in found + pairs + grams)
 
 
