@@ -18,47 +18,50 @@ from narrative_spark.operators.state import GROUPS, Story, joined
 ROWS = "work_id string, ord long, kind string, chapter_idx int, snapshot string, fingerprint string, degraded boolean"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Letters of snapshots that are handed on together.
-HANDED = 4_000_000
+#: Letters of snapshots that are handed on together, and items of a page.
+HANDED, PAGE = 4_000_000, 64
 
 
 class Fold(StatefulProcessor):
-    """A work's state in parts: a value for what is short, and a map entry for each record, plotline, event and waiting unit, so that a batch writes what it
+    """A work's state in parts: a value for what is short, a map entry for each page of records, plotlines and events, and one for each waiting unit, so that a batch writes the pages that it
     changed. A work that gets no unit in its turn only has its waiting units written."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.short = handle.getValueState("short", "next long, late long, last_order long, backdrop string")
-        self.records = handle.getMapState("records", "kind string, place long", "body string")
+        self.short = handle.getValueState("short", "next long, late long, last_order long, backdrop string, held long")
+        self.pages = handle.getMapState("pages", "kind string, page long", "body string")
         self.waiting = handle.getMapState("waiting", "ord long", "chapter_idx int, ends boolean, deltas string, degraded boolean")
 
     def _load(self, work: str, last: int, backdrop: str) -> tuple[Story, dict]:
-        kept = {key: body[0] for key, body in self.records.iterator()}
+        kept = {key: body[0] for key, body in self.pages.iterator()}
         parts = {"work_id": work, "schema_version": "1", "last_order": last, "backdrop": backdrop} | {name: [] for name in self.lists}
-        for kind, place in sorted(kept):
-            parts[kind].append(json.loads(kept[kind, place]))
+        for kind, page in sorted(kept):
+            parts[kind] += json.loads(kept[kind, page])
         return Story(work, json.dumps(parts)), kept
 
     #: The lists of a state.
     lists = (*GROUPS.values(), "plotlines", "recent", "backdrop_buffer")
 
     def _save(self, story: Story, kept: dict) -> None:
-        """Write the records that changed, and remove those that went."""
-        now = {(kind, place): json.dumps(x, ensure_ascii=False) for kind in self.lists for place, x in enumerate(story.state[kind])}
+        """Write the pages that changed, and remove those that went."""
+        now = {}
+        for kind in self.lists:
+            items = story.state[kind]
+            now |= {(kind, first // PAGE): json.dumps(items[first : first + PAGE], ensure_ascii=False) for first in range(0, len(items), PAGE)}
         for key, body in now.items():
             if kept.get(key) != body:
-                self.records.updateValue(key, (body,))
+                self.pages.updateValue(key, (body,))
         for key in kept.keys() - now.keys():
-            self.records.removeKey(key)
+            self.pages.removeKey(key)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         work = key[0]
-        now, late, last, backdrop = self.short.get() if self.short.exists() else (1, 0, 0, "")
+        now, late, last, backdrop, held = self.short.get() or (1, 0, 0, "", 0)
         fresh: dict[int, tuple] = {}
         out: list[tuple] = []
         for frame in rows:
             for r in frame.to_dict("records"):
                 order = int(r["ord"])
-                again = "late" if order < now else "repeated" if order in fresh or self.waiting.containsKey((order,)) else None
+                again = "late" if order < now else "repeated" if order in fresh or (held and self.waiting.containsKey((order,))) else None
                 if again:
                     late += 1
                     out.append((work, order, again, int(r["chapter_idx"]), None, None, bool(r["degraded"])))
@@ -66,7 +69,7 @@ class Fold(StatefulProcessor):
                     fresh[order] = (int(r["chapter_idx"]), bool(r["ends_chapter"]), r["deltas_json"], bool(r["degraded"]))
         story = kept = None
         size = 0
-        while now in fresh or self.waiting.containsKey((now,)):
+        while now in fresh or (held and self.waiting.containsKey((now,))):
             if story is None:
                 story, kept = self._load(work, last, backdrop)
             if now in fresh:
@@ -74,6 +77,7 @@ class Fold(StatefulProcessor):
             else:
                 chapter, ends, deltas, degraded = self.waiting.getValue((now,))
                 self.waiting.removeKey((now,))
+                held -= 1
             if not degraded:
                 d = json.loads(deltas)
                 story.apply(now, d.get("entity_updates") or [], d.get("plotline_updates") or [], (d.get("recent_event") or {}).get("text") or "")
@@ -90,7 +94,7 @@ class Fold(StatefulProcessor):
         if story is not None:
             self._save(story, kept)
             last, backdrop = story.state["last_order"], story.state["backdrop"]
-        self.short.update((now, late, last, backdrop))
+        self.short.update((now, late, last, backdrop, held + len(fresh)))
         yield pd.DataFrame(out, columns=_NAMES)
 
     def close(self) -> None:
