@@ -68,7 +68,12 @@ def audit(left: DataFrame, right: DataFrame, key: str, payload: str) -> DataFram
     equal replicas and two empty tables give no rows; extra columns are not read. Leaves are written to the
     shared folder once, and each level joins only the children of nodes that differ.
     """
-    leaf = [materialize(leaves(x, key, payload), "leaves") for x in (left, right)]
+    return compare(leaves(left, key, payload), leaves(right, key, payload))
+
+
+def compare(left: DataFrame, right: DataFrame) -> DataFrame:
+    """As audit, of leaves (key, hash, bytes), a row for each number."""
+    leaf = [materialize(x, "leaves") for x in (left, right)]
     shift = shifts(*leaf)
     a, b = (levels(x, shift) for x in leaf)
     open_ = None

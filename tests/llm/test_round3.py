@@ -1,5 +1,6 @@
 """Whitening, the filter audit and SimHash against brute force, and on odd rows."""
 
+import hashlib
 import re
 import time
 from collections import Counter
@@ -11,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from narrative_spark.llm import bytetext, common, decontaminate, filteraudit, html, near, quality, queries, separators, simhash, whitening
+from narrative_spark.llm import bytetext, common, decontaminate, filteraudit, html, near, quality, queries, separators, simhash, warc, whitening
 from narrative_spark.llm.tokens import tokenizer_path
 from tests.llm.test_operators import CLASHES, lower
 from tests.llm.test_whole_results import plain_features
@@ -313,3 +314,53 @@ def test_windows_of_many_items_are_a_matrix():
     assert found == want
     many = decontaminate.Phrases([("a", " ".join(f"w{k}" for k in range(200_000)))], 13)
     assert sum(rows.nbytes + cut.nbytes + of.nbytes for rows, cut, of in many.sets) < 70 * 200_000 and decontaminate.Phrases([], 13).sets == []
+
+
+def warc_record(k, payload, name="WARC/1.0", length=None):
+    head = f"{name}\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:{k}>\r\nWARC-Target-URI: http://a.b/{k}\r\nContent-Length: {len(payload) if length is None else length}\r\n\r\n"
+    return head.encode() + payload + b"\r\n\r\n"
+
+
+def warc_file(seed, n):
+    """Records of many sizes, some of which hold records themselves."""
+    draw = np.random.default_rng(seed)
+    out = []
+    for k in range(n):
+        payload = bytes(draw.integers(0, 256, int(draw.choice([0, 5, 300, 4000])), dtype=np.uint8))
+        if k % 5 == 2:
+            payload = b"x\r\n\r\n" + warc_record(f"in{k}", b"inner") + warc_record(f"in{k}b", b"", length=999) + payload
+        out.append(warc_record(k, payload, "WARC/1.1" if k % 3 else "WARC/1.0"))
+    return out
+
+
+@pytest.mark.parametrize("size", [700, 5000, warc.RANGE])
+def test_records_of_files_in_ranges(spark, tmp_path, size):
+    files = {"a.warc": warc_file(1, 60), "b.warc": warc_file(2, 9), "none.warc": []}
+    for name, records in files.items():
+        (tmp_path / name).write_bytes(b"".join(records))
+    got = {}
+    for r in warc.read_records(spark, str(tmp_path), size).collect():
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append((r.ordinal, r.offset, r.length, r.record_id, r.hash))
+    for name, records in files.items():
+        at = np.cumsum([0, *map(len, records)]).tolist()
+        assert sorted(got.get(name, [])) == [(k + 1, at[k], len(x), f"<urn:x:{k}>", hashlib.sha256(x).hexdigest()) for k, x in enumerate(records)]
+
+
+def test_audit_of_two_copies_of_warc_files(spark, tmp_path):
+    """Flipped bytes in payloads, a header whose length is damaged, a file that lacks its end, and one that is whole."""
+    files = {"a.warc": warc_file(3, 40), "b.warc": warc_file(4, 12), "c.warc": warc_file(5, 6)}
+    for side in ("l", "r"):
+        (tmp_path / side).mkdir()
+        for name, records in files.items():
+            records = list(records)
+            if side == "r" and name == "a.warc":
+                records[7] = records[7][:-6] + b"#" + records[7][-5:]
+                at = records[20].index(b"Content-Length: ") + 16
+                records[20] = records[20][:at] + (b"9" if records[20][at : at + 1] != b"9" else b"8") + records[20][at + 1 :]
+            if side == "r" and name == "b.warc":
+                records = records[:-2]
+            (tmp_path / side / name).write_bytes(b"".join(records))
+    got = {(r.file, r.record_id): r.status for r in warc.audit_files(spark, str(tmp_path / "l"), str(tmp_path / "r"), 3000).collect()}
+    want = {("a.warc", "<urn:x:7>"): "corrupt", ("a.warc", "<urn:x:20>"): "corrupt", ("b.warc", "<urn:x:10>"): "missing", ("b.warc", "<urn:x:11>"): "missing"}
+    assert got == want
+    assert warc.audit_files(spark, str(tmp_path / "l"), str(tmp_path / "l")).count() == 0
