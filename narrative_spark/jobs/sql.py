@@ -279,7 +279,7 @@ ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name].replace(" ord <= 40 AND", "").r
 ORACLE_SQL["search_vector_bounded"] = ORACLE_SQL["search_vector"].replace("100 * (vec_id % 5 + 1) AS max_order", "vec_id // 20 * 20 + 10 AS max_order")
 ORACLE_SQL |= {name: ORACLE_SQL[f"{name}_whole"] for name in ("get_units", "entity_history", "plotline_history", "entity_current", "plotline_current", "search_vector")}
 ORACLE_SQL["fold_state_blocks"], ORACLE_SQL["archive_backdrop_blocks"] = ORACLE_SQL["fold_state"], ORACLE_SQL["archive_backdrop"]
-ORACLE_SQL["stream_dropped"] = f"WITH {DELTAS} SELECT work_id, ord, 1 AS dropped FROM deltas WHERE ord % 10 = 3"
+ORACLE_SQL["stream_dropped"] = f"WITH {DELTAS} SELECT work_id, ord, CAST(1 AS BIGINT) AS dropped FROM deltas WHERE ord % 10 = 3"
 ORACLE_SQL["search_refreshed"] = ORACLE_SQL["search_bm25_whole"]
 ORACLE_SQL["search_bounded"] = f"""WITH {UNITS} {TERMS} {POSTINGS}, asked AS (SELECT DISTINCT query_id, work_id, coalesce(max_order, 9000000000) AS upto, lower(unnest(terms)) AS term FROM terms
     ), read AS (SELECT query_id, upto, p.* FROM asked a JOIN postings p ON p.work_id = a.work_id AND p.term = a.term AND p.ord <= a.upto

@@ -20,8 +20,8 @@ from narrative_spark.functions.text import ustrip
 from narrative_spark.operators import state as S
 from narrative_spark.sources.stages import stored
 
-#: Orders of a block.
-BLOCK = 512
+#: Orders of a block, and orders from which on a work is folded in blocks: shorter ones take one task less time than what stands before blocks would.
+BLOCK, LONG = 4096, 1 << 15
 BEFORE = "work_id string, block long, kind string, ord long, pos int, body string"
 
 
@@ -217,7 +217,7 @@ def archived(units: DataFrame, compress: Callable[[list[dict]], str] = S.joined,
     return archives.join(early, "work_id", "left").select("work_id", "ord", "chapter_idx", "digest", F.substring(F.coalesce(so_far, F.lit("")), 1, S.BACKDROP).alias("backdrop"))
 
 
-def fold(units: DataFrame, compress: Callable[[list[dict]], str] = S.joined, keep: str = "unit", marked: DataFrame | None = None, size: int = BLOCK) -> DataFrame:
-    """As state.fold_state: whole works side by side where none is longer than a block, else in blocks. units should be cheap to read, as they are read more than once."""
+def fold(units: DataFrame, compress: Callable[[list[dict]], str] = S.joined, keep: str = "unit", marked: DataFrame | None = None, size: int = BLOCK, long: int = LONG) -> DataFrame:
+    """As state.fold_state: whole works side by side where none reaches long orders, else in blocks of size. units should be cheap to read, as they are read more than once."""
     longest = units.agg(F.max("ord")).first()[0] or 0
-    return S.fold_state(units, compress, keep, marked) if longest < size else fold_blocks(units, compress, keep, marked, size)
+    return S.fold_state(units, compress, keep, marked) if longest < long else fold_blocks(units, compress, keep, marked, size)

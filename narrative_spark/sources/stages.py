@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,22 @@ LADDER = ("utf-8-sig", "utf-8", "gb18030", "gbk", "big5")
 UNIT_SCHEMA = "work_id string, unit_id string, ord long, chapter_idx int, chapter_name string, start_line long, end_line long, text string, chars int, summary string, characters array<string>, locations array<string>, key_terms array<string>, entity_updates array<struct<name:string,type:string,status:string,note:string,aliases:array<string>,kind:string>>, plotline_updates array<struct<action:string,title:string,note:string>>, context_refs array<string>, recent_event struct<text:string>, state_snapshot string, degraded boolean"
 
 
+_PLACES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the folders that stored and place made inside: for jobs whose result is written elsewhere by then."""
+    _PLACES.append([])
+    try:
+        yield
+    finally:
+        for path in _PLACES.pop():
+            for name in (path, f"{path}-out", f"{path}-checkpoint"):
+                there = spark._jvm.org.apache.hadoop.fs.Path(name)
+                there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def place(spark: SparkSession, label: str) -> str:
     """A folder of its own under the one that the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,7 +43,10 @@ def place(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _PLACES:
+        _PLACES[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 
 import numpy as np
 import pytest
@@ -297,3 +298,14 @@ def test_deeply_nested_snapshots_are_no_end(spark):
     rows = [("w", 1, "[" * 200_000, False), ("w", 2, '{"a":' * 50_000 + "1" + "}" * 50_000, False), ("w", 3, '{"work_id": "w", "last_order": 3}', False)]
     got = views.validate_snapshots(spark.createDataFrame(rows, "work_id string, ord long, snapshot string, degraded boolean")).collect()
     assert {r.ord: r.reason for r in got} == {1: "missing_snapshot", 2: "missing_snapshot", 3: None}
+
+
+def test_what_a_job_wrote_on_its_way_goes(spark, tmp_path):
+    with stages.scratch(spark):
+        kept = stages.stored(spark.range(5).toDF("k"), "some")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        with stages.scratch(spark):
+            inner = stages.place(spark, "inner")
+            spark.range(2).write.parquet(inner)
+        assert kept.count() == 5 and not os.path.exists(inner.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
