@@ -25,8 +25,8 @@ from narrative_spark.sources.stages import stored
 K1, B, LEAST_IDF, MOST = 1.2, 0.75, 1e-6, 200
 #: Units whose pairs are counted together.
 UNITS = 1000
-#: Signs (or runs) that a slot of a kept index holds, and asked terms that are sent to all tasks at most; beyond it, they are joined by a shuffle.
-SLOT_SIGNS, SENT_TERMS = 8_000_000, 1_000_000
+#: Signs (or runs) that a slot of a kept index holds, slots at most (of a larger index each holds more), and asked terms that are sent to all tasks at most; beyond it, they are joined by a shuffle.
+SLOT_SIGNS, SLOTS, SENT_TERMS = 8_000_000, 20_000, 1_000_000
 #: Orders that one sort takes together.
 BLOCK = 4096
 
@@ -111,6 +111,7 @@ class Index(NamedTuple):
     works: DataFrame
     sizes: DataFrame
     slots: int
+    signs: int  # from which on a work takes another slot
     tokenizer: str
 
 
@@ -126,6 +127,11 @@ def _indexed(units: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
     return sizes, sizes.groupBy("work_id").agg(F.count(F.lit(1)).alias("n_units"), F.avg("size").alias("mean_size"))
 
 
+def _spread(works: DataFrame, slots: int, signs_: int) -> DataFrame:
+    """works with the number of slots that each takes: more than one for as many works as there are slots at most."""
+    return works.withColumn("spread", F.least(F.greatest(F.ceil(F.col("n_units") * F.col("mean_size") / signs_), F.lit(1)), F.lit(slots)).cast("int"))
+
+
 def _placed(units: DataFrame, works: DataFrame, slots: int, tokenizer: str) -> DataFrame:
     """postings with their slots."""
     large = works.where("spread > 1").select("work_id", "spread")
@@ -142,24 +148,26 @@ def _written(rows: DataFrame, path: str, slots: int) -> None:
 
 
 def write_index(units: DataFrame, path: str, tokenizer: str = "pair", slots: int | None = None) -> Index:
-    """An index of units in a folder, ready to be searched. A work lies in one slot, a work of more than SLOT_SIGNS signs in several, so that at most total / SLOT_SIGNS works do; units should be
+    """An index of units in a folder, ready to be searched. A work lies in one slot, a work of more signs than a slot's share (SLOT_SIGNS at least) in several; units should be
     cheap to read, as they are read three times."""
     spark = units.sparkSession
     sizes, works = _indexed(units, tokenizer)
-    slots = slots or max(8, -(-(sizes.agg(F.sum("size")).first()[0] or 0) // SLOT_SIGNS))
-    works = stored(works.withColumn("spread", F.least(F.greatest(F.ceil(F.col("n_units") * F.col("mean_size") / SLOT_SIGNS), F.lit(1)), F.lit(slots)).cast("int")), "works")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    slots = slots or min(SLOTS, max(8, -(-total // SLOT_SIGNS)))
+    signs_ = max(SLOT_SIGNS, -(-total // slots))
+    works = stored(_spread(works, slots, signs_), "works")
     _written(_placed(units, works, slots, tokenizer), f"{path}/postings", slots)
     _written(_counted(spark.read.schema(_POSTING).parquet(f"{path}/postings")), f"{path}/terms", slots)
     works.write.mode("overwrite").parquet(f"{path}/works")
     sizes.write.mode("overwrite").parquet(f"{path}/sizes")
-    spark.createDataFrame([(slots, tokenizer)], "slots int, tokenizer string").write.mode("overwrite").parquet(f"{path}/kind")
+    spark.createDataFrame([(slots, signs_, tokenizer)], "slots int, signs long, tokenizer string").write.mode("overwrite").parquet(f"{path}/kind")
     return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     kind = spark.read.parquet(f"{path}/kind").first()
     read = lambda name, schema: spark.read.schema(schema).parquet(f"{path}/{name}")
-    return Index(read("postings", _POSTING), read("terms", "work_id string, term string, n long, slot int"), read("works", "work_id string, n_units long, mean_size double, spread int"), read("sizes", "work_id string, ord long, size long"), kind.slots, kind.tokenizer)
+    return Index(read("postings", _POSTING), read("terms", "work_id string, term string, n long, slot int"), read("works", "work_id string, n_units long, mean_size double, spread int"), read("sizes", "work_id string, ord long, size long"), kind.slots, kind.signs, kind.tokenizer)
 
 
 def refresh_index(units: DataFrame, path: str, gone: DataFrame | None = None) -> Index:
@@ -167,7 +175,7 @@ def refresh_index(units: DataFrame, path: str, gone: DataFrame | None = None) ->
     spark = units.sparkSession
     old = read_index(spark, path)
     sizes, works = _indexed(units, old.tokenizer)
-    works = stored(works.withColumn("spread", F.least(F.greatest(F.ceil(F.col("n_units") * F.col("mean_size") / SLOT_SIGNS), F.lit(1)), F.lit(old.slots)).cast("int")), "works")
+    works = stored(_spread(works, old.slots, old.signs), "works")
     changed = works.select("work_id")
     changed = stored((changed if gone is None else changed.unionByName(gone.select("work_id"))).distinct(), "changed")
     fresh = stored(_placed(units, works, old.slots, old.tokenizer), "postings")
