@@ -23,13 +23,13 @@ HANDED, PAGE = 4_000_000, 64
 
 
 class Fold(StatefulProcessor):
-    """A work's state in parts: a value for what is short, a map entry for each page of records, plotlines and events, and one for each waiting unit, so that a batch writes the pages that it
+    """A work's state in parts: a value for what is short, and map entries for pages of records, plotlines, events and waiting units, so that a batch writes the pages that it
     changed. A work that gets no unit in its turn only has its waiting units written."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.short = handle.getValueState("short", "next long, late long, last_order long, backdrop string, held long")
         self.pages = handle.getMapState("pages", "kind string, page long", "body string")
-        self.waiting = handle.getMapState("waiting", "ord long", "chapter_idx int, ends boolean, deltas string, degraded boolean")
+        self.waiting = handle.getMapState("waiting", "page long", "body string")
 
     def _load(self, work: str, last: int, backdrop: str) -> tuple[Story, dict]:
         kept = {key: body[0] for key, body in self.pages.iterator()}
@@ -56,28 +56,40 @@ class Fold(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         work = key[0]
         now, late, last, backdrop, held = self.short.get() or (1, 0, 0, "", 0)
-        fresh: dict[int, tuple] = {}
+        pages: dict[int, dict[str, list]] = {}
+        there: set[int] = set()
+        changed: set[int] = set()
+        before = held
+
+        def page(order: int) -> dict[str, list]:
+            """The waiting units (chapter, ends, deltas, degraded) of orders near this one; where none waited, the state isn't asked."""
+            k = order // PAGE
+            if k not in pages:
+                found = self.waiting.getValue((k,)) if before else None
+                pages[k] = json.loads(found[0]) if found else {}
+                there.update([k] if found else [])
+            return pages[k]
+
         out: list[tuple] = []
         for frame in rows:
             for r in frame.to_dict("records"):
                 order = int(r["ord"])
-                again = "late" if order < now else "repeated" if order in fresh or (held and self.waiting.containsKey((order,))) else None
+                again = "late" if order < now else "repeated" if str(order) in page(order) else None
                 if again:
                     late += 1
                     out.append((work, order, again, int(r["chapter_idx"]), None, None, bool(r["degraded"])))
                 else:
-                    fresh[order] = (int(r["chapter_idx"]), bool(r["ends_chapter"]), r["deltas_json"], bool(r["degraded"]))
+                    page(order)[str(order)] = [int(r["chapter_idx"]), bool(r["ends_chapter"]), r["deltas_json"], bool(r["degraded"])]
+                    changed.add(order // PAGE)
+                    held += 1
         story = kept = None
         size = 0
-        while now in fresh or (held and self.waiting.containsKey((now,))):
+        while held and str(now) in page(now):
             if story is None:
                 story, kept = self._load(work, last, backdrop)
-            if now in fresh:
-                chapter, ends, deltas, degraded = fresh.pop(now)
-            else:
-                chapter, ends, deltas, degraded = self.waiting.getValue((now,))
-                self.waiting.removeKey((now,))
-                held -= 1
+            chapter, ends, deltas, degraded = page(now).pop(str(now))
+            changed.add(now // PAGE)
+            held -= 1
             if not degraded:
                 d = json.loads(deltas)
                 story.apply(now, d.get("entity_updates") or [], d.get("plotline_updates") or [], (d.get("recent_event") or {}).get("text") or "")
@@ -89,12 +101,15 @@ class Fold(StatefulProcessor):
             if size >= HANDED:
                 yield pd.DataFrame(out, columns=_NAMES)
                 out, size = [], 0
-        for order, unit in fresh.items():
-            self.waiting.updateValue((order,), unit)
+        for k in changed:
+            if pages[k]:
+                self.waiting.updateValue((k,), (json.dumps(pages[k], ensure_ascii=False),))
+            elif k in there:
+                self.waiting.removeKey((k,))
         if story is not None:
             self._save(story, kept)
             last, backdrop = story.state["last_order"], story.state["backdrop"]
-        self.short.update((now, late, last, backdrop, held + len(fresh)))
+        self.short.update((now, late, last, backdrop, held))
         yield pd.DataFrame(out, columns=_NAMES)
 
     def close(self) -> None:
