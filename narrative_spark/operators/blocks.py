@@ -25,13 +25,17 @@ BLOCK, LONG = 4096, 1 << 15
 BEFORE = "work_id string, block long, kind string, ord long, pos int, body string"
 
 
-def numbered(units: DataFrame, size: int = BLOCK) -> DataFrame:
-    """work_id, ord, block, chapter_idx, degraded, ends (the unit is the last of a run of its chapter), run (a number for each such run)."""
+def ended(units: DataFrame, size: int = BLOCK) -> DataFrame:
+    """work_id, ord, block, chapter_idx, degraded, ends (the unit is the last of a run of its chapter)."""
     rows = units.select("work_id", "ord", F.floor(F.col("ord") / size).alias("block"), "chapter_idx", F.coalesce("degraded", F.lit(False)).alias("degraded"))
     back = stored(rows, "units").withColumn("back", -F.col("block"))
     after = prefix.scan(back, "work_id", "back", [-F.col("ord")], latest={"after": F.col("chapter_idx")})
-    ended = after.withColumn("ends", ~F.col("after").eqNullSafe(F.col("chapter_idx")) | F.col("after").isNull()).drop("back", "after")
-    return stored(prefix.scan(ended, "work_id", "block", [F.col("ord")], sums={"run": F.col("ends").cast("long")}), "numbers")
+    return after.withColumn("ends", ~F.col("after").eqNullSafe(F.col("chapter_idx")) | F.col("after").isNull()).drop("back", "after")
+
+
+def numbered(units: DataFrame, size: int = BLOCK) -> DataFrame:
+    """ended, with run: a number for each run of a chapter."""
+    return stored(prefix.scan(ended(units, size), "work_id", "block", [F.col("ord")], sums={"run": F.col("ends").cast("long")}), "numbers")
 
 
 def _digested(compress: Callable[[list[dict]], str]):

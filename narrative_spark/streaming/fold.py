@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from narrative_spark.operators.blocks import BLOCK, numbered
+from narrative_spark.operators.blocks import BLOCK, ended
 from narrative_spark.operators.state import GROUPS, Story, joined
 
 #: kind: "snapshot" of a unit in its turn; "late" for a unit whose order was folded before, "repeated" for one whose order waits already.
@@ -133,7 +133,7 @@ def use_rocks(spark: SparkSession) -> None:
 
 def as_stream_rows(units: DataFrame, size: int = BLOCK) -> DataFrame:
     """Batch units in the shape of the stream; the ends of chapters are found block by block."""
-    ends = numbered(units, size).select("work_id", "ord", F.col("ends").alias("ends_chapter"))
+    ends = ended(units, size).select("work_id", "ord", F.col("ends").alias("ends_chapter"))
     return units.join(ends, ["work_id", "ord"]).select("work_id", "ord", "chapter_idx", "ends_chapter", F.to_json(F.struct("entity_updates", "plotline_updates", "recent_event")).alias("deltas_json"), F.coalesce("degraded", F.lit(False)).alias("degraded"))
 
 
