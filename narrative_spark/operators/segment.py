@@ -18,7 +18,7 @@ BLOCK = 1 << 14
 
 
 def label_chapters(body: DataFrame, headers: DataFrame) -> DataFrame:
-    """body with is_header, chapter_idx and chapter_name; headers: work_id, header. Lines before the first header are chapter 0 without a name.
+    """body with line_chars, is_header, chapter_idx and chapter_name; headers: work_id, header. Lines before the first header are chapter 0 without a name.
 
     Only lines that are short enough to be a header meet the headers, and only numbers and header lines are counted through; body should be stored, as
     it is read twice.
@@ -32,16 +32,17 @@ def label_chapters(body: DataFrame, headers: DataFrame) -> DataFrame:
     hit = F.col("name").isNotNull()
     labels = prefix.scan(marks, "work_id", "block", [F.col("line_no")], sums={"earlier": hit.cast("long")}, latest={"last": F.col("name")})
     labels = labels.select("work_id", "line_no", hit.alias("is_header"), (F.col("earlier") + hit.cast("long")).cast("int").alias("chapter_idx"), F.coalesce("name", "last", F.lit("")).alias("chapter_name"))
-    return body.join(labels, ["work_id", "line_no"]).select(*body.columns, "is_header", "chapter_idx", "chapter_name")
+    # Sizes are taken before the join, so that who needs no more than them doesn't shuffle lines.
+    return body.withColumn("line_chars", F.length("line")).join(labels, ["work_id", "line_no"]).select(*body.columns, "line_chars", "is_header", "chapter_idx", "chapter_name")
 
 
 def segment_units(labelled: DataFrame, works: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Units of every work. A chapter without lines has none; a header that comes again is a chapter again.
+    """Units of every work, from lines as label_chapters gives them. A chapter without lines has none; a header that comes again is a chapter again.
 
     Numbers of lines are counted through first and stored; texts then move to their units once.
     """
     lines = labelled.where(~F.col("is_header"))
-    numbers = stored(lines.select("work_id", "line_no", "chapter_idx", F.floor(F.col("line_no") / BLOCK).alias("block"), (F.length("line") > threshold).alias("long")), "numbers")
+    numbers = stored(lines.select("work_id", "line_no", "chapter_idx", F.floor(F.col("line_no") / BLOCK).alias("block"), (F.col("line_chars") > threshold).alias("long")), "numbers")
     after = prefix.scan(numbers, "work_id", "block", [F.col("line_no")], latest={"before": F.col("chapter_idx")})
     begun = after.withColumn("begins", (F.col("long") | ~F.col("before").eqNullSafe(F.col("chapter_idx"))).cast("long"))
     placed = prefix.scan(begun, "work_id", "block", [F.col("line_no")], sums={"earlier": F.col("begins")})

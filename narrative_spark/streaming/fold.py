@@ -18,13 +18,13 @@ from narrative_spark.operators.state import GROUPS, Story, joined
 ROWS = "work_id string, ord long, kind string, chapter_idx int, snapshot string, fingerprint string, degraded boolean"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Letters of snapshots that are handed on together, and items of a page.
-HANDED, PAGE = 4_000_000, 64
+#: Letters of snapshots that are handed on together, items of a page, and letters of a state that is kept as one page.
+HANDED, PAGE, SMALL = 4_000_000, 64, 1 << 14
 
 
 class Fold(StatefulProcessor):
     """A work's state in parts: a value for what is short, and map entries for pages of records, plotlines, events and waiting units, so that a batch writes the pages that it
-    changed. A work that gets no unit in its turn only has its waiting units written."""
+    changed; lists of SMALL letters together are one page. A work that gets no unit in its turn only has its waiting units written."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.short = handle.getValueState("short", "next long, late long, last_order long, backdrop string, held long")
@@ -34,12 +34,17 @@ class Fold(StatefulProcessor):
     def _load(self, work: str, last: int, backdrop: str) -> tuple[Story, dict]:
         kept = {key: body[0] for key, body in self.pages.iterator()}
         parts = {"work_id": work, "schema_version": "1", "last_order": last, "backdrop": backdrop} | {name: [] for name in self.lists}
-        for kind, page in sorted(kept):
-            parts[kind] += json.loads(kept[kind, page])
+        if self.whole in kept:
+            parts |= json.loads(kept[self.whole])
+        else:
+            for kind, page in sorted(kept):
+                parts[kind] += json.loads(kept[kind, page])
         return Story(work, json.dumps(parts)), kept
 
     #: The lists of a state.
     lists = (*GROUPS.values(), "plotlines", "recent", "backdrop_buffer")
+    #: The page of a small state.
+    whole = ("whole", 0)
 
     def _save(self, story: Story, kept: dict) -> None:
         """Write the pages that changed, and remove those that went."""
@@ -47,6 +52,8 @@ class Fold(StatefulProcessor):
         for kind in self.lists:
             items = story.state[kind]
             now |= {(kind, first // PAGE): json.dumps(items[first : first + PAGE], ensure_ascii=False) for first in range(0, len(items), PAGE)}
+        if sum(map(len, now.values())) <= SMALL:
+            now = {self.whole: json.dumps({kind: story.state[kind] for kind in self.lists}, ensure_ascii=False)}
         for key, body in now.items():
             if kept.get(key) != body:
                 self.pages.updateValue(key, (body,))

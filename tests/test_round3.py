@@ -3,8 +3,10 @@
 import hashlib
 import json
 import os
+import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -309,3 +311,74 @@ def test_what_a_job_wrote_on_its_way_goes(spark, tmp_path):
             spark.range(2).write.parquet(inner)
         assert kept.count() == 5 and not os.path.exists(inner.removeprefix("file://"))
     assert not os.path.exists(path.removeprefix("file://"))
+
+
+class _Kept:
+    """Value and map states in memory."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def getValueState(self, *_):
+        return _Value()
+
+    def getMapState(self, *_):
+        return _Map()
+
+
+class _Value:
+    row = None
+
+    def get(self):
+        return self.row
+
+    def update(self, row):
+        self.row = row
+
+
+class _Map:
+    def __init__(self):
+        self.rows, self.seen = {}, set()
+
+    def iterator(self):
+        return iter(list(self.rows.items()))
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def updateValue(self, key, row):
+        self.rows[key] = row
+        self.seen.add(key[0])
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+
+def test_stream_state_grows_from_one_page_to_many_and_back(monkeypatch):
+    """Batches of a work whose state outgrows one page, and falls under its size again when events are archived, give the snapshots of one fold in order."""
+    monkeypatch.setattr(fold, "SMALL", 5_000)
+    monkeypatch.setattr(fold, "PAGE", 4)
+    rng = random.Random(5)
+    given = []
+    for n in range(1, 121):
+        entity = {"name": f"e{n % 9}", "type": "object", "status": f"s{n}" * rng.randint(0, 3), "note": "", "aliases": None, "kind": None}
+        given.append((n, n // 40, n % 40 == 39 or n == 120, json.dumps({"entity_updates": [entity], "plotline_updates": [], "recent_event": {"text": f"event {n} " * (12 if n < 80 else 1)}}), n % 17 == 0))
+    story, want = state.Story("w"), []
+    for n, _, ends, deltas, degraded in given:
+        d = json.loads(deltas)
+        if not degraded:
+            story.apply(n, d["entity_updates"], d["plotline_updates"], d["recent_event"]["text"])
+        if ends:
+            story.archive(state.joined)
+        want.append((n, story.snapshot()))
+    processor = fold.Fold()
+    processor.init(_Kept())
+    sent = sorted(given, key=lambda r: r[0] + rng.random() * 20)
+    got, forms = [], []
+    for batch in (sent[k : k + 11] for k in range(0, len(sent), 11)):
+        frame = pd.DataFrame(batch, columns=["ord", "chapter_idx", "ends_chapter", "deltas_json", "degraded"])
+        for out in processor.handleInputRows(("w",), iter([frame]), None):
+            got += [(r.ord, r.snapshot) for r in out.itertuples() if r.kind == "snapshot"]
+        forms.append(fold.Fold.whole in processor.pages.rows)
+    assert got == want and not processor.waiting.rows
+    assert processor.pages.seen > {"whole"} and "10" in "".join(str(int(f)) for f in forms) and "01" in "".join(str(int(f)) for f in forms)
