@@ -288,13 +288,16 @@ def _streamed(spark: SparkSession, d: str, again: str | None = None) -> DataFram
 
 def _files(spark: SparkSession, d: str, before: bool = False) -> DataFrame:
     """Documents as the files of their works; before: as they were when one document of each of some works had another text, and one of another work wasn't there."""
-    docs = fx.table(spark, d, "documents")
     text = F.coalesce("text", F.lit(""))
+    described = lambda t: F.struct(F.octet_length(t).cast("long").alias("source_bytes"), F.sha2(t, 256).alias("source_sha256"))
+    docs = fx.table(spark, d, "documents").select("source", "doc_id", described(text).alias("now"), described(F.concat(text, F.lit("!"))).alias("then"))
+    file = F.col("now")
     if before:
+        # Sizes and hashes meet the first document of each source, texts don't.
         first = docs.groupBy("source").agg(F.min("doc_id").alias("first"))
         docs = docs.join(first, "source").where("not (source = 'src9' and doc_id = first)")
-        text = F.when((F.col("source") < "src2") & (F.col("doc_id") == F.col("first")), F.concat(text, F.lit("!"))).otherwise(text)
-    return docs.select(F.col("source").alias("work_id"), F.col("doc_id").cast("string").alias("source_file"), F.octet_length(text).cast("long").alias("source_bytes"), F.sha2(text, 256).alias("source_sha256"))
+        file = F.when((F.col("source") < "src2") & (F.col("doc_id") == F.col("first")), F.col("then")).otherwise(file)
+    return docs.withColumn("file", file).select(F.col("source").alias("work_id"), F.col("doc_id").cast("string").alias("source_file"), "file.source_bytes", "file.source_sha256")
 
 
 def _status(spark: SparkSession, d: str) -> DataFrame:
