@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null texts and texts without words are no copies of anything and stay; very long texts are compared whole; of rows with one id, or without any, the
     first in the table stays; null ids come last.
     """
-    return near.keep_one(docs)
+    return near.keep_one(docs, stored=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ NEIGHBOURS, LIKELY = 3, 0.55
 BUCKETS = 1 << 18
 #: Texts in a block of a group that is compared in full, and bytes of their whole sets; of each text, about 250 bytes meet the other blocks.
 BLOCK, BLOCK_BYTES = 512, 8 << 20
-#: Row numbers that are sent to all tasks at most; beyond it, rows are joined by a shuffle.
-SENT_ROWS = 1_000_000
+#: Words of 64 row numbers that are sent to all tasks at most (64 million rows); beyond it, texts meet them by a shuffle.
+SENT_WORDS = 1_000_000
 _POOL = 1 << 14
 _DRAW = np.random.default_rng(11)
 _R = (_DRAW.gamma(2.0, 1.0, _POOL)).astype(np.float32)
@@ -177,12 +178,22 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(tidy(compare), "a binary, b binary, agree long")
 
 
+def _marked(docs: DataFrame, row: str, wanted: DataFrame, there: bool) -> DataFrame:
+    """The rows of docs whose number is in wanted (row), or those whose number isn't. Numbers are sent as words of 64 bits, so that texts stay where they lie."""
+    word, bits = (unused([*docs.columns, "row"], x) for x in ("near__word", "near__bits"))
+    place = lambda x: (F.shiftright(x, 6), F.col(x).bitwiseAND(63).cast("int"))
+    of, at = place("row")
+    words = wanted.groupBy(of.alias(word)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias(bits))
+    words = materialize(words, "marked")
+    of, at = place(row)
+    both = docs.join(F.broadcast(words) if words.count() <= SENT_WORDS else words, of == F.col(word), "left")
+    return both.where(F.coalesce(F.getbit(bits, at), F.lit(0)) == int(there)).select(*docs.columns)
+
+
 def _features(docs: DataFrame, row: str, text_col: str, wanted: DataFrame, rare: np.ndarray) -> DataFrame:
     """key, hashes (sorted, 8 bytes each), weights (4 bytes each) of the texts in wanted (row): read again, as most texts are in no pair."""
-    many, name, sent = wanted.count(), unused(docs.columns, "near__wanted"), docs.sparkSession.sparkContext.broadcast(rare)
-    wanted = wanted.select(F.col("row").alias(name))
-    own = docs.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    own = own.join(F.broadcast(wanted) if many <= SENT_ROWS else wanted, F.col("row") == F.col(name), "left_semi")
+    sent = docs.sparkSession.sparkContext.broadcast(rare)
+    own = _marked(docs.select(F.col(row).alias("row"), F.col(text_col).alias("text")), "row", wanted, True)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,9 +384,26 @@ def numbered(docs: DataFrame, row: str) -> DataFrame:
     return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class, the one with the least id; all of its columns as they were. Else as classes."""
+def placed(docs: DataFrame, row: str) -> DataFrame:
+    """docs with row, a number for each row by its file (in the order of their names) and its place there: nothing is written, and the numbers
+    are the same however the files are split. docs: a table as it is read from its Parquet files; of any other table's rows, see numbered."""
+    file, n = (unused([*docs.columns, row], x) for x in ("near__file", "near__files"))
+    place = docs.metadataColumn("_metadata")
+    names = sorted(r[0] for r in docs.select(place["file_path"]).distinct().collect())
+    files = docs.sparkSession.createDataFrame([*enumerate(names)], f"{n} long, {file} string")
+    at = docs.select("*", place["file_path"].alias(file), place["row_index"].alias(row))
+    return at.join(F.broadcast(files), file).select(*docs.columns, (F.shiftleft(n, 40) + F.col(row)).alias(row))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stored: bool = False) -> DataFrame:
+    """docs with one row of each class, the one with the least id; all of its columns as they were. Else as classes.
+
+    stored: docs is a table as it is read from its files, whose rows are told by their places; without it, or where the files tell no places, docs is written once with numbers.
+    """
     row = unused(docs.columns, "near__row")
-    named = numbered(docs, row)
-    kept = classes(named, id_col, text_col, row).where("row = class_row").select(F.col("row").alias(f"{row}_kept"))
-    return named.join(kept, F.col(row) == F.col(f"{row}_kept"), "left_semi").select(*docs.columns)
+    try:
+        named = placed(docs, row) if stored else numbered(docs, row)
+    except AnalysisException:
+        named = numbered(docs, row)
+    copies = classes(named, id_col, text_col, row).where("row <> class_row").select("row")
+    return _marked(named, row, copies, False).select(*docs.columns)

@@ -4,6 +4,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 
 from narrative_spark.llm import decontaminate, near, pii, rules
 from narrative_spark.llm.common import materialize
@@ -73,3 +74,37 @@ def test_empty_documents(spark, tmp_path, sf_dir):
     nulls = spark.createDataFrame([(None, None, None, None, None)] * 2, docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, nulls.coalesce(1), sf_dir).collect()
+
+
+def test_near_duplicates_copy_and_shuffle_no_texts(spark, sf_dir, monkeypatch, capsys):
+    """The stage tells rows by their places in the files: it writes no texts, its result joins none by a shuffle, and both ways of meeting give the same rows however files are split."""
+    docs, split = spark.read.parquet(f"{sf_dir}/documents.parquet"), "spark.sql.files.maxPartitionBytes"
+    docs = materialize(docs.withColumn("_metadata", F.lit("own")).repartition(6, "doc_id"), "test-stored")
+    want = sorted(map(repr, near.keep_one(docs).collect()))
+    assert 0 < len(want) < docs.count()
+    written, made = [], near.materialize
+    monkeypatch.setattr(near, "materialize", lambda df, label: written.append(df.columns) or made(df, label))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for words, size in ((near.SENT_WORDS, "128m"), (0, "64k")):
+            monkeypatch.setattr(near, "SENT_WORDS", words)
+            spark.conf.set(split, size)
+            got = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+            spark.conf.set(split, "32k")
+            assert sorted(map(repr, got.collect())) == want
+            capsys.readouterr()
+            got.explain()
+            assert ("hashpartitioning" in capsys.readouterr().out) == (words == 0)
+    finally:
+        spark.conf.unset(split)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert written and not any("text" in c for c in written)
+
+
+def test_row_numbers_of_any_size(spark):
+    rows = [0, 1, 62, 63, 64, 127, (1 << 33) + 63, (5 << 40) + 31, (1 << 62) + 32]
+    docs = spark.createDataFrame([(x, str(x)) for x in rows], "n long, text string").coalesce(2)
+    for some in (rows[::2], rows, []):
+        wanted = spark.createDataFrame([(x,) for x in some], "row long")
+        assert {r.n for r in near._marked(docs, "n", wanted, True).collect()} == set(some)
+        assert {r.n for r in near._marked(docs, "n", wanted, False).collect()} == set(rows) - set(some)
