@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from narrative_spark.functions import prefix
 from narrative_spark.functions import variants as V
 from narrative_spark.functions.text import ustrip
+from narrative_spark.operators.direct import search_units
 from narrative_spark.operators.lexical import MOST, SENT_TERMS, UNITS, Index, analyze_queries, ranked, readable, search_bm25, search_index
 from narrative_spark.operators.views import BLOCK, read_units
 from narrative_spark.sources.stages import stored
@@ -97,11 +98,11 @@ def search_scan(queries: DataFrame, units: DataFrame, most: int = MOST) -> DataF
     return ranked(rows.groupBy("query_id", "work_id", "unit_id", "ord").agg(F.sum("n").cast("double").alias("score")), most)
 
 
-def search(queries: DataFrame, units: DataFrame, postings: DataFrame | Index, stats: DataFrame | None = None, vector_rows: DataFrame | None = None, vector_works: DataFrame | None = None, retrieval: str = "auto", tokenizer: str = "pair") -> DataFrame:
+def search(queries: DataFrame, units: DataFrame, postings: DataFrame | Index | None = None, stats: DataFrame | None = None, vector_rows: DataFrame | None = None, vector_works: DataFrame | None = None, retrieval: str = "auto", tokenizer: str = "pair") -> DataFrame:
     """Ranked rows with the route they came by: vector where the work's vector index is current, else lexical, else scan.
 
     A lexical search without a hit falls on to the scan; a vector search without a hit doesn't. retrieval: auto, fts or vector; tokenizer: that of the postings.
-    postings: a table, with stats, or a kept index, which needs neither.
+    postings: a table, with stats, a kept index, which needs neither, or nothing: then units are scored where they stand.
     """
     asked = queries.join(units.select("work_id").distinct(), "work_id", "left_semi")
     by_vector = None
@@ -111,7 +112,10 @@ def search(queries: DataFrame, units: DataFrame, postings: DataFrame | Index, st
     if retrieval == "vector":
         return by_vector if by_vector is not None else search_scan(asked, units).withColumn("used", F.lit("none")).limit(0)
     # Written, at most MOST rows for each query, as the queries without a hit are told by them too.
-    found = search_index(asked, postings) if isinstance(postings, Index) else search_bm25(asked, postings, stats, tokenizer=tokenizer)
+    if postings is None:
+        found = search_units(asked, units, tokenizer=tokenizer)
+    else:
+        found = search_index(asked, postings) if isinstance(postings, Index) else search_bm25(asked, postings, stats, tokenizer=tokenizer)
     lexical = stored(found, "lexical").withColumn("used", F.lit("fts"))
     missed = asked.join(lexical.select("query_id").distinct(), "query_id", "left_anti")
     rows = lexical.unionByName(search_scan(missed, units).withColumn("used", F.lit("scan")))
